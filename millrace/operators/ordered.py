@@ -115,11 +115,9 @@ def drop_context(df: DataFrame) -> DataFrame:
     return df.filter(~F.col("__context")).drop("__block", "__context")
 
 
-def value_at_rank(df: DataFrame, keys: list[str], value: str, fractions: dict[str, float], buckets: int | None = None) -> DataFrame:
-    """Per key the value at zero-based rank ``floor(p * n)`` for each ``name: p``, exactly.
-
-    This is the index rule ``sorted(v)[int(p * n)]``: neither the interpolating nor the
-    inverse-distribution percentile. Equal values are collapsed before anything is ordered.
+def values_at_ranks(df: DataFrame, keys: list[str], value: str, ranks: dict, buckets: int | None = None) -> DataFrame:
+    """Per key the values at given zero-based ranks. ``ranks`` maps a name to a function from
+    the key's size (a Column) to the rank. Equal values are collapsed before anything is ordered.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     ranked = running_totals(counts, keys, value, {"__before": "__n"}, buckets=buckets)
@@ -130,16 +128,42 @@ def value_at_rank(df: DataFrame, keys: list[str], value: str, fractions: dict[st
     else:
         ranked = ranked.withColumn("__size", counts.agg(F.sum("__n").alias("s")).scalar())
 
-    def hit(p: float) -> Column:
-        target = F.least(F.floor(F.col("__size") * F.lit(float(p))), F.col("__size") - 1)
+    def hit(rank) -> Column:
+        target = F.least(rank(F.col("__size")), F.col("__size") - 1)
         return (F.col("__before") <= target) & (target < F.col("__before") + F.col("__n"))
 
     return ranked.groupBy(*keys).agg(
         F.max("__size").alias("n"),
-        *[F.max(F.when(hit(p), F.col(value))).alias(name) for name, p in fractions.items()],
+        *[F.max(F.when(hit(rank), F.col(value))).alias(name) for name, rank in ranks.items()],
     )
 
 
+def value_at_rank(df: DataFrame, keys: list[str], value: str, fractions: dict[str, float], buckets: int | None = None) -> DataFrame:
+    """The index rule ``sorted(v)[int(p * n)]`` for each ``name: p``, exactly: neither the
+    interpolating nor the inverse-distribution percentile."""
+    ranks = {n: (lambda size, p=p: F.floor(size * F.lit(float(p)))) for n, p in fractions.items()}
+    return values_at_ranks(df, keys, value, ranks, buckets)
+
+
+def linear_quantiles(df: DataFrame, keys: list[str], value: str, fractions: dict[str, float], buckets: int | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation between the two neighbouring ranks.
+
+    ``percentile`` gives the same numbers but keeps every distinct value in one task's buffer.
+    """
+    ranks = {}
+    for n, p in fractions.items():
+        ranks[f"__lo_{n}"] = lambda size, p=p: F.floor((size - 1) * F.lit(float(p)))
+        ranks[f"__hi_{n}"] = lambda size, p=p: F.ceil((size - 1) * F.lit(float(p)))
+    found = values_at_ranks(df, keys, value, ranks, buckets)
+
+    def between(n: str, p: float) -> Column:
+        at = (F.col("n") - 1) * F.lit(float(p))
+        low, high = F.col(f"__lo_{n}").cast("double"), F.col(f"__hi_{n}").cast("double")
+        return (low + (high - low) * (at - F.floor(at))).alias(n)
+
+    return found.select(*keys, "n", *[between(n, p) for n, p in fractions.items()])
+
+
 def average_rank(df: DataFrame, keys: list[str], value: str, name: str = "rank", buckets: int | None = None) -> DataFrame:
     """Rank of ``value`` within the key, ascending, ties sharing their mean rank."""
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import drop_context, number_rows, with_preceding
+from millrace.operators.ordered import drop_context, linear_quantiles, number_rows, with_preceding
 from millrace.operators.select import newest_per_key
 
 # --- joins -----------------------------------------------------------------
@@ -105,27 +105,23 @@ def share_of_classes(df: DataFrame, keys: list[str], label: str) -> DataFrame:
     return counts.withColumn("share", F.col("count") / F.sum("count").over(Window.partitionBy(*keys)))
 
 
+def unpivot_numeric(df: DataFrame, columns: list[str], keep: list[str] | None = None) -> DataFrame:
+    """(keep.., column_name, value) rows, one per numeric cell."""
+    cells = [F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in columns]
+    return df.select(*(keep or []), F.explode(F.array(*cells)).alias("__s")).select(
+        *(keep or []), F.col("__s.c").alias("column_name"), F.col("__s.v").alias("value")
+    )
+
+
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """count, mean, std, min, exact quartiles and max per column, one aggregation pass."""
-    aggs = []
-    for c in columns:
-        col = F.col(c)
-        aggs += [
-            F.struct(
-                F.lit(c).alias("column"),
-                F.count(col).alias("count"),
-                F.avg(col).alias("mean"),
-                F.stddev_samp(col).alias("std"),
-                F.min(col).cast("double").alias("min"),
-                F.percentile(col, [0.25, 0.5, 0.75]).alias("q"),
-                F.max(col).cast("double").alias("max"),
-            ).alias(c)
-        ]
-    rows = df.agg(*aggs).select(F.explode(F.array(*[F.col(f"`{c}`") for c in columns])).alias("s"))
-    return rows.select(
-        "s.column", "s.count", "s.mean", "s.std", "s.min",
-        F.col("s.q")[0].alias("p25"), F.col("s.q")[1].alias("p50"), F.col("s.q")[2].alias("p75"), "s.max",
+    """count, mean, sample std, min, exact linear quartiles and max per column."""
+    long = unpivot_numeric(df, columns)
+    stats = long.groupBy("column_name").agg(
+        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max"),
     )
+    quartiles = linear_quantiles(long, ["column_name"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}).drop("n")
+    return stats.join(quartiles, "column_name", "left")
 
 
 def missing_rates(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -134,7 +130,7 @@ def missing_rates(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     counts = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
     total = reduce(lambda a, b: a + b, [F.col(c) for c in columns])
     cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("missing"), F.col("__n").alias("cells")) for c in columns]
-    cells.append(F.struct(F.lit("*"), total, F.col("__n") * len(columns)))
+    cells.append(F.struct(F.lit("*").alias("column_name"), total.alias("missing"), (F.col("__n") * len(columns)).alias("cells")))
     return counts.select(F.explode(F.array(*cells)).alias("s")).select(
         "s.*", F.when(F.col("s.cells") > 0, F.col("s.missing") / F.col("s.cells")).alias("missing_rate")
     )
