@@ -1,4 +1,4 @@
 """All registered queries; importing this package fills the registry."""
 
-from millrace.plans import checking, relating, selecting  # noqa: F401
+from millrace.plans import checking, drifting, relating, selecting, storing  # noqa: F401
 from millrace.plans.registry import REGISTRY, Query  # noqa: F401
