@@ -1,12 +1,30 @@
-"""Text expressions on columns: native, whole-stage, no Python workers."""
+"""Text expressions on columns: native, no Python workers."""
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Blanks as Unicode sees them; Java's \s alone is ASCII.
 BLANK = r"(?U)[\s\x1c-\x1f]+"
+SENTENCE_END = r"(?U)(?<=[.!?])[\s\x1c-\x1f]+"
+
+# Words the keyword index leaves out.
+STOP_WORDS = """the a an and or but is are was were be been being have has had do does did will would could should may
+might must shall can to of in for on with at by from as into through during before after above below between under again
+further then once here there when where why how all each few more most other some such no nor not only own same so than
+too very just it its""".split()
+
+# Words that point back into a conversation. "the same" is two tokens, so it is
+# looked for as a phrase.
+BACK_REFERENCES = """it this that these those they them he she previous earlier before again more another also too""".split()
+BACK_PHRASES = ["the same"]
+
+# Phrases that mark a compound question.
+COMPOUND_PHRASES = ["and", "or", "vs", "versus", "compare", "difference", "relationship", "how does", "why does", "what are the", "list", "explain"]
 
 
 def words(text: Column) -> Column:
@@ -21,3 +39,164 @@ def normalised(text: Column) -> Column:
 
 def content_hash(text: Column) -> Column:
     return F.sha2(normalised(text).cast("binary"), 256)
+
+
+def sentences(text: Column) -> Column:
+    return F.split(text, SENTENCE_END)
+
+
+def tokens(text: Column) -> Column:
+    """Lower-cased words of letters, digits and underscores; stop words and single characters dropped."""
+    plain = F.regexp_replace(F.lower(text), r"(?U)[^\p{L}\p{N}_\s]", " ")
+    return F.filter(F.split(plain, BLANK), lambda w: (F.length(w) > 1) & ~w.isin(STOP_WORDS))
+
+
+def word_ngrams(text: Column, low: int = 3, high: int = 5) -> Column:
+    """All n-grams of lower-cased words of two or more characters, with repeats."""
+    terms = F.regexp_extract_all(F.lower(text), F.lit(r"(?U)[\p{L}\p{N}_]{2,}"), 0)
+
+    def grams(n: int) -> Column:
+        starts = F.when(F.size(terms) >= n, F.sequence(F.lit(1), F.size(terms) - (n - 1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.array_join(F.slice(terms, i, n), " "))
+
+    return F.concat(*[grams(n) for n in range(low, high + 1)])
+
+
+DNS_NAMESPACE = "6ba7b8109dad11d180b400c04fd430c8"
+
+
+def uuid5(name: Column, namespace: str = DNS_NAMESPACE) -> Column:
+    """RFC 4122 version 5 id of a name."""
+    digest = F.sha1(F.concat(F.unhex(F.lit(namespace)), name.cast("binary")))
+    variant = F.conv(F.substring(digest, 17, 1), 16, 10).cast("int").bitwiseAND(3).bitwiseOR(8)
+    return F.concat_ws(
+        "-", F.substring(digest, 1, 8), F.substring(digest, 9, 4), F.concat(F.lit("5"), F.substring(digest, 14, 3)),
+        F.concat(F.lower(F.hex(variant)), F.substring(digest, 18, 3)), F.substring(digest, 21, 12),
+    )
+
+
+def needs_context(question: Column) -> Column:
+    """True when the question points back at the conversation."""
+    lowered = F.lower(question)
+    known = F.arrays_overlap(words(lowered), F.array(*[F.lit(w) for w in BACK_REFERENCES]))
+    padded = F.concat(F.lit(" "), normalised(question), F.lit(" "))
+    return known | reduce(operator.or_, [padded.contains(f" {p} ") for p in BACK_PHRASES])
+
+
+def needs_decomposition(question: Column) -> Column:
+    """True for a compound phrase anywhere (also at the very start), more than 15 words, or two question marks."""
+    padded = F.concat(F.lit(" "), F.lower(question), F.lit(" "))
+    phrase = reduce(operator.or_, [padded.contains(f" {p} ") for p in COMPOUND_PHRASES])
+    marks = F.length(question) - F.length(F.replace(question, F.lit("?"), F.lit("")))
+    return phrase | (F.size(words(question)) > 15) | (marks > 1)
+
+
+def keyword_coverage(answer: Column, expected: list[str]) -> Column:
+    wanted = F.array(*[F.lit(w) for w in expected])
+    return F.size(F.filter(wanted, lambda w: F.contains(F.lower(answer), w))) / len(expected)
+
+
+# --- HTML ------------------------------------------------------------------
+
+# Named entities that occur in prose; the ampersand comes last so that nothing is unescaped twice.
+ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "copy": "©", "middot": "·", "hellip": "…", "mdash": "—", "ndash": "–", "euro": "€", "amp": "&"}
+
+
+def unescape(text: Column) -> Column:
+    """Numeric and common named entities as characters."""
+    def code(entity: Column) -> Column:
+        body = F.regexp_extract(entity, r"^&#(x?)([0-9A-Fa-f]+);$", 2)
+        base = F.when(F.lower(F.substring(entity, 3, 1)) == "x", F.conv(body, 16, 16)).otherwise(F.conv(body, 10, 16))
+        return F.decode(F.unhex(F.lpad(base, 8, "0")), "UTF-32")
+
+    numeric = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#(?:[xX][0-9A-Fa-f]{1,5}|[0-9]{1,6});"), 0))
+    out = F.aggregate(numeric, text, lambda acc, e: F.replace(acc, e, code(e)))
+    return reduce(lambda t, kv: F.replace(t, F.lit(f"&{kv[0]};"), F.lit(kv[1])), ENTITIES.items(), out)
+
+
+def html_to_text(html: Column) -> Column:
+    """Script, style, comments and tags out, entities decoded, blanks collapsed."""
+    bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " ")
+    bare = F.regexp_replace(bare, r"(?s)<[^>]*>", " ")
+    return F.trim(F.regexp_replace(unescape(bare), BLANK, " "))
+
+
+def html_tables(html: Column) -> Column:
+    """The outer markup of every (unnested) table."""
+    return F.regexp_extract_all(html, F.lit(r"(?is)<table\b[^>]*>.*?</table\s*>"), 0)
+
+
+def table_to_text(table: Column, sample: int = 5) -> Column:
+    """Row and column counts, header names, and the first rows as "name: value" pairs."""
+    rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), 1)
+    cells = F.transform(rows, lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<t[hd]\b[^>]*>(.*?)</t[hd]\s*>"), 1), html_to_text))
+    header = F.get(cells, F.lit(0))
+    body = F.slice(cells, 2, F.greatest(F.size(cells) - 1, F.lit(0)))
+
+    def line(row: Column, i: Column) -> Column:
+        pairs = F.zip_with(header, row, lambda h, v: F.concat_ws(": ", h, F.coalesce(v, F.lit(""))))
+        return F.concat(F.lit("Row "), i.cast("string"), F.lit(": "), F.array_join(pairs, ", "), F.lit("\n"))
+
+    return F.concat(
+        F.lit("Table with "), F.size(body).cast("string"), F.lit(" rows and "), F.size(header).cast("string"),
+        F.lit(" columns.\nColumns: "), F.array_join(header, ", "), F.lit("\n\n"),
+        F.array_join(F.transform(F.slice(body, 1, sample), line), ""),
+    )
+
+
+# --- personal data ---------------------------------------------------------
+
+# What each type looks like and how sure a bare match is.
+PII_PATTERNS = {
+    "EMAIL_ADDRESS": (r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}", 1.0),
+    "CREDIT_CARD": (r"(?<![\w.+-])\d(?:[ -]?\d){12,15}(?![\w-])", 1.0),
+    "US_SSN": (r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", 0.85),
+    "PHONE_NUMBER": (r"(?<![\w.])(?:\+\d{1,2}[ .-]?)?(?:\(\d{3}\)|\d{3})[ .-]\d{3}[ .-]\d{4}(?!\w)", 0.75),
+    "IP_ADDRESS": (r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\w)", 0.95),
+    "US_PASSPORT": (r"(?<!\w)[A-Z]\d{8}(?!\w)", 0.4),
+}
+
+
+def luhn(number: Column) -> Column:
+    """The check digit of a card number, blanks and dashes ignored."""
+    digits = F.transform(F.filter(F.split(F.regexp_replace(number, r"\D", ""), ""), lambda c: c != ""), lambda c: c.cast("int"))
+    doubled = F.transform(F.reverse(digits), lambda d, i: F.when(i % 2 == 0, d).otherwise(F.when(d * 2 > 9, d * 2 - 9).otherwise(d * 2)))
+    return F.aggregate(doubled, F.lit(0), lambda a, b: a + b) % 10 == 0
+
+
+def find_all(text: Column, pattern: str, kind: str, score: float) -> Column:
+    """Every match as (type, start, end, score, text); start inclusive, end exclusive.
+
+    A match starts after the gaps and matches before it, so offsets come from one split.
+    """
+    hits = F.regexp_extract_all(text, F.lit(pattern), 0)
+    gaps = F.split(text, pattern)
+    sizes = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, h: F.struct(F.length(g).alias("g"), F.length(h).alias("h")))
+    starts = F.aggregate(
+        sizes,
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("s")),
+        lambda acc, x: F.struct((acc["at"] + x["g"] + x["h"]).alias("at"), F.concat(acc["s"], F.array(acc["at"] + x["g"])).alias("s")),
+    )["s"]
+    spans = F.zip_with(
+        hits, starts,
+        lambda h, s: F.struct(F.lit(kind).alias("type"), s.alias("start"), (s + F.length(h)).alias("end"), F.lit(score).alias("score"), h.alias("text")),
+    )
+    return F.filter(spans, lambda x: luhn(x["text"])) if kind == "CREDIT_CARD" else spans
+
+
+def detect_pii(text: Column, above: float = 0.7) -> Column:
+    """Spans of personal data surer than ``above``. People and places need a model: see ``usercode``."""
+    found = F.concat(*[find_all(text, p, kind, score) for kind, (p, score) in PII_PATTERNS.items()])
+    return F.filter(found, lambda x: x["score"] > above)
+
+
+def mask_pii(text: Column) -> Column:
+    """Every finding, sure or not, replaced by its type in angle brackets."""
+
+    def mask(acc: Column, kind: str, pattern: str) -> Column:
+        if kind != "CREDIT_CARD":
+            return F.regexp_replace(acc, pattern, f"<{kind}>")
+        valid = F.filter(F.regexp_extract_all(acc, F.lit(pattern), 0), luhn)
+        return F.aggregate(F.array_distinct(valid), acc, lambda a, number: F.replace(a, number, F.lit(f"<{kind}>")))
+
+    return reduce(lambda acc, kv: mask(acc, kv[0], kv[1][0]), PII_PATTERNS.items(), text)

@@ -47,7 +47,7 @@ def load_corpus(
             "type",
             F.when(F.col("type").isin(SUFFIXES), F.col("type")).otherwise(F.raise_error(F.concat(F.lit("unsupported file type: "), "path"))),
         )
-    texts = files.filter(F.col("type").isin(TEXT_SUFFIXES)).withColumn("text", F.decode("content", F.lit("UTF-8")))
+    texts = files.filter(F.col("type").isin(TEXT_SUFFIXES)).withColumn("text", F.decode("content", "UTF-8"))
     out = texts.select("path", "type", "modificationTime", "text")
     if decoder is not None:
         binary = files.filter(~F.col("type").isin(TEXT_SUFFIXES))
