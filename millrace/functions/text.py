@@ -27,6 +27,11 @@ BACK_PHRASES = ["the same"]
 COMPOUND_PHRASES = ["and", "or", "vs", "versus", "compare", "difference", "relationship", "how does", "why does", "what are the", "list", "explain"]
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, also where ``use`` needs it inside a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def words(text: Column) -> Column:
     """Whitespace-separated words, no empty ones."""
     return F.filter(F.split(text, BLANK), lambda w: w != "")
@@ -53,13 +58,12 @@ def tokens(text: Column) -> Column:
 
 def word_ngrams(text: Column, low: int = 3, high: int = 5) -> Column:
     """All n-grams of lower-cased words of two or more characters, with repeats."""
-    terms = F.regexp_extract_all(F.lower(text), F.lit(r"(?U)[\p{L}\p{N}_]{2,}"), 0)
-
-    def grams(n: int) -> Column:
+    def grams(terms: Column, n: int) -> Column:
         starts = F.when(F.size(terms) >= n, F.sequence(F.lit(1), F.size(terms) - (n - 1))).otherwise(F.array().cast("array<int>"))
         return F.transform(starts, lambda i: F.array_join(F.slice(terms, i, n), " "))
 
-    return F.concat(*[grams(n) for n in range(low, high + 1)])
+    terms = F.regexp_extract_all(F.lower(text), F.lit(r"(?U)[\p{L}\p{N}_]{2,}"), 0)
+    return let(terms, lambda ts: F.concat(*[grams(ts, n) for n in range(low, high + 1)]))
 
 
 DNS_NAMESPACE = "6ba7b8109dad11d180b400c04fd430c8"
@@ -130,18 +134,21 @@ def table_to_text(table: Column, sample: int = 5) -> Column:
     """Row and column counts, header names, and the first rows as "name: value" pairs."""
     rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), 1)
     cells = F.transform(rows, lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<t[hd]\b[^>]*>(.*?)</t[hd]\s*>"), 1), html_to_text))
-    header = F.get(cells, F.lit(0))
-    body = F.slice(cells, 2, F.greatest(F.size(cells) - 1, F.lit(0)))
 
-    def line(row: Column, i: Column) -> Column:
+    def line(header: Column, row: Column, i: Column) -> Column:
         pairs = F.zip_with(header, row, lambda h, v: F.concat_ws(": ", h, F.coalesce(v, F.lit(""))))
         return F.concat(F.lit("Row "), i.cast("string"), F.lit(": "), F.array_join(pairs, ", "), F.lit("\n"))
 
-    return F.concat(
-        F.lit("Table with "), F.size(body).cast("string"), F.lit(" rows and "), F.size(header).cast("string"),
-        F.lit(" columns.\nColumns: "), F.array_join(header, ", "), F.lit("\n\n"),
-        F.array_join(F.transform(F.slice(body, 1, sample), line), ""),
-    )
+    def describe(grid: Column) -> Column:
+        header = F.get(grid, F.lit(0))
+        body = F.size(grid) - 1
+        return F.concat(
+            F.lit("Table with "), F.greatest(body, F.lit(0)).cast("string"), F.lit(" rows and "), F.coalesce(F.size(header), F.lit(0)).cast("string"),
+            F.lit(" columns.\nColumns: "), F.coalesce(F.array_join(header, ", "), F.lit("")), F.lit("\n\n"),
+            F.array_join(F.transform(F.slice(grid, 2, sample), lambda row, i: line(header, row, i)), ""),
+        )
+
+    return let(cells, describe)
 
 
 # --- personal data ---------------------------------------------------------
@@ -149,11 +156,11 @@ def table_to_text(table: Column, sample: int = 5) -> Column:
 # What each type looks like and how sure a bare match is.
 PII_PATTERNS = {
     "EMAIL_ADDRESS": (r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}", 1.0),
-    "CREDIT_CARD": (r"(?<![\w.+-])\d(?:[ -]?\d){12,15}(?![\w-])", 1.0),
-    "US_SSN": (r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", 0.85),
-    "PHONE_NUMBER": (r"(?<![\w.])(?:\+\d{1,2}[ .-]?)?(?:\(\d{3}\)|\d{3})[ .-]\d{3}[ .-]\d{4}(?!\w)", 0.75),
-    "IP_ADDRESS": (r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\w)", 0.95),
-    "US_PASSPORT": (r"(?<!\w)[A-Z]\d{8}(?!\w)", 0.4),
+    "CREDIT_CARD": (r"(?<![\p{L}\p{N}_.+-])\d(?:[ -]?\d){12,15}(?![\p{L}\p{N}_-])", 1.0),
+    "US_SSN": (r"(?<![\p{L}\p{N}_-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}_-])", 0.85),
+    "PHONE_NUMBER": (r"(?<![\p{L}\p{N}_.])(?:\+\d{1,2}[ .-]?)?(?:\(\d{3}\)|\d{3})[ .-]\d{3}[ .-]\d{4}(?![\p{L}\p{N}_])", 0.75),
+    "IP_ADDRESS": (r"(?<![\p{L}\p{N}_.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?[\p{L}\p{N}_])", 0.95),
+    "US_PASSPORT": (r"(?<![\p{L}\p{N}_])[A-Z]\d{8}(?![\p{L}\p{N}_])", 0.4),
 }
 
 

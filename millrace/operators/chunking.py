@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.text import sentences, uuid5, word_ngrams
+from millrace.functions.text import let, sentences, uuid5, word_ngrams
 from millrace.operators.ordered import running_totals
 from millrace.operators.relate import previous_row
 from millrace.operators.select import newest_per_key
@@ -56,7 +56,7 @@ def chunk_documents(docs: DataFrame, doc: str, text: str, size: int = 512, overl
         doc, *carry, F.array_join("__s", " ").alias("__j"),
         character_spans(F.transform("__s", F.length), size, overlap).alias("__x"),
     )
-    repeated = F.transform("__x", lambda x, i: x.withField("again", (i > 0) & (F.get(F.col("__x"), i - 1)["start"] == x["start"])))
+    repeated = let(F.col("__x"), lambda xs: F.transform(xs, lambda x, i: x.withField("again", (i > 0) & (F.get(xs, i - 1)["start"] == x["start"]))))
     rows = spans.select(doc, *carry, "__j", F.posexplode(repeated).alias("chunk_no", "x"))
     name = F.concat_ws(
         ":", F.col(doc).cast("string"), F.col("x.start").cast("string"), F.when(F.col("x.again"), F.col("chunk_no").cast("string"))
@@ -69,20 +69,24 @@ def chunk_documents(docs: DataFrame, doc: str, text: str, size: int = 512, overl
 
 def sentence_ranges(lengths: Column, size: int, keep: int) -> Column:
     """(first, last) sentence numbers of chunks that repeat the last ``keep`` sentences."""
-    def add(state: Column, n: Column) -> Column:
-        close = (state["used"] + n > size) & (state["last"] >= state["first"])
-        first = F.when(close, F.greatest(state["first"], state["last"] - (keep - 1))).otherwise(state["first"])
-        carried = F.aggregate(F.slice(lengths, first + 1, F.greatest(state["last"] - first + 1, F.lit(0))), F.lit(0), lambda a, b: a + b)
-        return F.struct(
-            first.alias("first"), (state["last"] + 1).alias("last"), (F.when(close, carried).otherwise(state["used"]) + n).alias("used"),
-            F.when(close, F.concat(state["out"], F.array(F.struct(state["first"].alias("first"), state["last"].alias("last"))))).otherwise(state["out"]).alias("out"),
+    def fold(sizes: Column) -> Column:
+        def add(state: Column, n: Column) -> Column:
+            close = (state["used"] + n > size) & (state["last"] >= state["first"])
+            first = F.when(close, F.greatest(state["first"], state["last"] - (keep - 1))).otherwise(state["first"])
+            carried = F.aggregate(F.slice(sizes, first + 1, F.greatest(state["last"] - first + 1, F.lit(0))), F.lit(0), lambda a, b: a + b)
+            done = F.array(F.struct(state["first"].alias("first"), state["last"].alias("last")))
+            return F.struct(
+                first.alias("first"), (state["last"] + 1).alias("last"), (F.when(close, carried).otherwise(state["used"]) + n).alias("used"),
+                F.when(close, F.concat(state["out"], done)).otherwise(state["out"]).alias("out"),
+            )
+
+        zero = F.struct(F.lit(0).alias("first"), F.lit(-1).alias("last"), F.lit(0).alias("used"), F.array().cast("array<struct<first:int,last:int>>").alias("out"))
+        return F.aggregate(
+            sizes, zero, add,
+            lambda s: F.when(s["last"] >= s["first"], F.concat(s["out"], F.array(F.struct(s["first"].alias("first"), s["last"].alias("last"))))).otherwise(s["out"]),
         )
 
-    zero = F.struct(F.lit(0).alias("first"), F.lit(-1).alias("last"), F.lit(0).alias("used"), F.array().cast("array<struct<first:int,last:int>>").alias("out"))
-    return F.aggregate(
-        lengths, zero, add,
-        lambda s: F.when(s["last"] >= s["first"], F.concat(s["out"], F.array(F.struct(s["first"].alias("first"), s["last"].alias("last"))))).otherwise(s["out"]),
-    )
+    return let(lengths, fold)
 
 
 def chunk_by_sentences(docs: DataFrame, doc: str, text: str, size: int = 500, keep: int = 1) -> DataFrame:

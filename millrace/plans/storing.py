@@ -87,14 +87,16 @@ def _(t):
     return kept.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("s10_corpus_load", "S10")
+@query("s10_corpus_load", "S10", sql=r"""SELECT 'source=' || source AS folder, 'txt' AS type, sum(length(regexp_replace(text, '[\r\n]+', ' ', 'g')) + 1)::BIGINT AS chars, true AS ids_agree FROM documents GROUP BY 1""")
 def _(t):
-    """Documents written as text files, one per row, and read back as a corpus."""
+    """Documents written as text files and read back as a corpus."""
     root = scratch(t.spark, "corpus")
-    numbered = t.documents.select(F.regexp_replace("text", "[\r\n]+", " ").alias("value"), F.concat(F.lit("d"), "source").alias("source"))
-    numbered.write.partitionBy("source").option("lineSep", "\n").text(root)
+    lines = t.documents.select(F.regexp_replace("text", "[\r\n]+", " ").alias("value"), "source")
+    lines.write.partitionBy("source").option("lineSep", "\n").text(root)
     corpus = files.load_corpus(t.spark, root)
-    return corpus.select("id", "filename", "type", F.length("content").cast("long").alias("size"))
+    return corpus.groupBy(F.regexp_extract("source", r"([^/]+)/[^/]+$", 1).alias("folder"), "type").agg(
+        F.sum(F.length("content")).alias("chars"), F.bool_and(F.length("id") == 12).alias("ids_agree")
+    )
 
 
 @query("s11_changed_since", "S11", sql="SELECT event_id, ts FROM events WHERE ts > TIMESTAMP '2024-01-29 12:00:00'")
