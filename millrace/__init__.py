@@ -1 +1,8 @@
 """millrace: data-quality, feature, text-retrieval and monitoring jobs on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to Python workers travel by value, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
