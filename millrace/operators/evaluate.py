@@ -125,12 +125,12 @@ def roc_curve(df: DataFrame, keys: list[str], label: str, score: str) -> DataFra
     """(keys.., threshold, fpr, tpr), one point per distinct score; prediction is score >= threshold."""
     counts = df.groupBy(*keys, score).agg(F.sum(F.col(label).cast("long")).alias("__p"), F.sum(1 - F.col(label).cast("long")).alias("__n"))
     running = running_totals(counts, keys, score, {"__tp": "__p", "__fp": "__n"}, descending=True)
-    whole = counts.groupBy(*keys).agg(F.sum("__p").alias("__P"), F.sum("__n").alias("__N"))
+    whole = counts.groupBy(*keys).agg(F.sum("__p").alias("__pos"), F.sum("__n").alias("__neg"))
     joined = running.join(F.broadcast(whole), keys) if keys else running.select(
-        "*", counts.agg(F.sum("__p").alias("p")).scalar().alias("__P"), counts.agg(F.sum("__n").alias("n")).scalar().alias("__N")
+        "*", counts.agg(F.sum("__p").alias("p")).scalar().alias("__pos"), counts.agg(F.sum("__n").alias("n")).scalar().alias("__neg")
     )
     return joined.select(
-        *keys, F.col(score).alias("threshold"), ((F.col("__fp") + F.col("__n")) / F.col("__N")).alias("fpr"), ((F.col("__tp") + F.col("__p")) / F.col("__P")).alias("tpr")
+        *keys, F.col(score).alias("threshold"), ((F.col("__fp") + F.col("__n")) / F.col("__neg")).alias("fpr"), ((F.col("__tp") + F.col("__p")) / F.col("__pos")).alias("tpr")
     )
 
 

@@ -1,4 +1,4 @@
 """All registered queries; importing this package fills the registry."""
 
-from millrace.plans import checking, drifting, relating, searching, selecting, storing, texting  # noqa: F401
+from millrace.plans import checking, contracting, drifting, evaluating, relating, searching, selecting, storing, texting  # noqa: F401
 from millrace.plans.registry import REGISTRY, Query  # noqa: F401
