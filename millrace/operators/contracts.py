@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.text import let
-
 # The two versions of the user event. Patterns and formats are part of the
 # documents but take no part in validation.
 _BASE = {
@@ -29,76 +27,85 @@ USER_EVENT = {
     },
 }
 
-# JSON kinds as the messages name them, and the kinds each declared type takes. A boolean
-# is an integer to the source of these rules, and so it is here.
-_NAMES = {"STRING": "str", "BIGINT": "int", "DOUBLE": "float", "DECIMAL": "float", "BOOLEAN": "bool", "OBJECT": "dict", "ARRAY": "list", "VOID": "NoneType"}
+# JSON kinds by the first letters of their variant schema, as the messages name them, and the
+# kinds each declared type takes. A boolean is an integer to the source of these rules, and so it is here.
+_NAMES = {"STR": "str", "BIG": "int", "DOU": "float", "DEC": "float", "FLO": "float", "BOO": "bool", "OBJ": "dict", "ARR": "list", "VOI": "NoneType"}
 _TAKES = {"string": ["str"], "integer": ["int", "bool"], "number": ["int", "float", "bool"], "boolean": ["bool"], "object": ["dict"], "array": ["list"]}
 
 
-def _kind(value: Column) -> Column:
+def _text(value: str) -> str:
+    """A string as an SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _list(values: list[str]) -> str:
+    return ", ".join(_text(v) for v in values)
+
+
+_KINDS = "map(" + ", ".join(f"{_text(k)}, {_text(v)}" for k, v in _NAMES.items()) + ")"
+
+
+def _kind(value: str) -> str:
     """The kind of a variant; only its outermost level matters."""
-    head = F.regexp_extract(F.schema_of_variant(value), r"^([A-Z]+)", 1)
-    names = F.create_map(*[F.lit(x) for kv in _NAMES.items() for x in kv])
-    return F.when(value.isNull(), "NoneType").otherwise(F.coalesce(F.try_element_at(names, head), F.lit("str")))
-
-
-def _shown(value: Column, kind: Column) -> Column:
-    """A value as the messages print it."""
-    raw = F.variant_get(value, "$", "string")
-    return F.when(kind == "NoneType", "None").when(kind == "bool", F.initcap(raw)).otherwise(raw)
-
-
-def _field_errors(name: str, rule: dict, value: Column) -> Column:
-    """Errors of one field as an array. The value and its kind are each worked out once."""
-
-    def judge(value: Column, kind: Column) -> Column:
-        errors = []
-        if rule.get("type"):
-            wrong = ~kind.isin(_TAKES[rule["type"]])
-            errors.append(F.when(wrong, F.concat(F.lit(f"Field {name}: expected {rule['type']}, got "), kind)))
-        if "enum" in rule:
-            allowed = "[" + ", ".join(f"'{v}'" for v in rule["enum"]) + "]"
-            outside = (kind != "str") | ~F.coalesce(F.variant_get(value, "$", "string"), F.lit("")).isin(rule["enum"])
-            errors.append(F.when(outside, F.concat(F.lit(f"Field {name}: value '"), _shown(value, kind), F.lit(f"' not in allowed values {allowed}"))))
-        number = F.when(kind.isin("int", "float"), F.try_variant_get(value, "$", "double")).when(kind == "bool", F.try_variant_get(value, "$", "boolean").cast("int").cast("double"))
-        for bound, word, past in (("minimum", "below", lambda n, b: n < b), ("maximum", "above", lambda n, b: n > b)):
-            if bound in rule:
-                limit = rule[bound]
-                errors.append(F.when(past(number, limit), F.concat(F.lit(f"Field {name}: value "), _shown(value, kind), F.lit(f" {word} {bound} {limit}"))))
-        return F.array_compact(F.array(*errors))
-
-    return let(value, lambda v: let(_kind(v), lambda k: judge(v, k)))
-
-
-def _errors(schema: dict, body: Column, keys: Column) -> Column:
-    """Required fields in schema order, then the fields of the event in the event's order."""
-    missing = [F.when(~F.array_contains(keys, name), F.lit(f"Missing required field: {name}")) for name in schema["required"]]
-    by_field = []
-    for name, rule in schema["properties"].items():
-        found = _field_errors(name, rule, F.try_variant_get(body, f"$.{name}", "variant"))
-        place = F.array_position(keys, F.lit(name))
-        by_field.append(F.when(place > 0, F.struct(place.alias("p"), found.alias("e"))))
-    ordered = F.array_sort(F.array_compact(F.array(*by_field)))
-    return F.concat(F.array_compact(F.array(*missing)), F.flatten(F.transform(ordered, lambda x: x["e"])))
+    return f"coalesce(element_at({_KINDS}, substring(schema_of_variant({value}), 1, 3)), 'NoneType')"
+
+
+def _rule(rule: dict | None) -> str:
+    """A field's rule as a struct literal; every rule has the same shape."""
+    rule = rule or {}
+    strings = lambda values: f"array({_list(values)})" if values else "CAST(NULL AS ARRAY<STRING>)"
+    allowed = "[" + ", ".join(f"'{v}'" for v in rule.get("enum", [])) + "]"
+    number = lambda bound: f"CAST({rule.get(bound, 'NULL')} AS DOUBLE)"
+    shown = lambda bound: _text(str(rule.get(bound, "")))
+    return (
+        f"named_struct('type', {_text(rule.get('type', ''))}, 'takes', {strings(_TAKES.get(rule.get('type', ''), []))}, 'enum', {strings(rule.get('enum'))}, "
+        f"'allowed', {_text(allowed)}, 'low', {number('minimum')}, 'low_text', {shown('minimum')}, 'high', {number('maximum')}, 'high_text', {shown('maximum')})"
+    )
+
+
+_SHOWN = "CASE x.kind WHEN 'NoneType' THEN 'None' WHEN 'bool' THEN initcap(x.raw) ELSE x.raw END"
+_FIELD_ERRORS = f"""array_remove(array(
+  CASE WHEN x.r.takes IS NULL OR array_contains(x.r.takes, x.kind) THEN '' ELSE concat('Field ', x.name, ': expected ', x.r.type, ', got ', x.kind) END,
+  CASE WHEN x.r.enum IS NULL OR (x.kind = 'str' AND array_contains(x.r.enum, x.raw)) THEN '' ELSE concat('Field ', x.name, ': value \\'', {_SHOWN}, '\\' not in allowed values ', x.r.allowed) END,
+  CASE WHEN x.number < x.r.low THEN concat('Field ', x.name, ': value ', {_SHOWN}, ' below minimum ', x.r.low_text) ELSE '' END,
+  CASE WHEN x.number > x.r.high THEN concat('Field ', x.name, ': value ', {_SHOWN}, ' above maximum ', x.r.high_text) ELSE '' END), '')"""
+
+
+def _missing(schema: dict) -> str:
+    """Required fields the event lacks, in schema order."""
+    return f"transform(array_except(array({_list(schema['required'])}), __k), n -> concat('Missing required field: ', n))"
 
 
 def validate_events(df: DataFrame, json: str, versions: dict[str, dict] = USER_EVENT, newer_key: str = "source") -> DataFrame:
     """Add (schema_version, errors, valid). An event with ``newer_key`` is held to v2, else to v1.
 
     A missing key and a null are different things. Text that is no JSON object is an error of
-    its own. Unknown fields pass.
+    its own. Unknown fields pass. The text is parsed once into one variant per declared field;
+    errors are required fields in schema order, then fields in the event's order. Rules are
+    data next to each field, so one small expression judges all of them.
     """
-    def judge(body: Column, keys: Column) -> Column:
-        newer = F.coalesce(F.array_contains(keys, newer_key), F.lit(False))
-        problems = F.when(keys.isNull(), F.array(F.lit("Not a JSON object"))).when(
-            newer, _errors(versions["v2"], body, keys)
-        ).otherwise(_errors(versions["v1"], body, keys))
-        return F.struct(F.when(newer, "v2").otherwise("v1").alias("schema_version"), problems.alias("errors"))
-
-    parsed = F.struct(F.try_parse_json(F.col(json)).alias("body"), F.json_object_keys(F.col(json)).alias("keys"))
-    out = df.withColumn("__r", let(parsed, lambda p: judge(p["body"], p["keys"])))
-    out = out.select(*df.columns, F.col("__r.schema_version").alias("schema_version"), F.col("__r.errors").alias("errors"))
-    return out.withColumn("valid", F.size("errors") == 0)
+    old, new = versions["v1"], versions["v2"]
+    fields = list({**old["properties"], **new["properties"]})
+    parsed = df.select("*", F.from_json(json, ", ".join(f"`{f}` variant" for f in fields)).alias("__f"), F.json_object_keys(json).alias("__k"))
+    read = parsed.selectExpr(
+        "*", f"coalesce(array_contains(__k, {_text(newer_key)}), false) AS __newer",
+        *[f"{_kind(f'__f.`{f}`')} AS `__kind_{f}`" for f in fields],
+        *[f"try_variant_get(__f.`{f}`, '$', 'string') AS `__raw_{f}`" for f in fields],
+    )
+    items = ", ".join(
+        f"named_struct('p', array_position(__k, {_text(f)}), 'name', {_text(f)}, 'kind', `__kind_{f}`, 'raw', `__raw_{f}`, "
+        f"'number', CASE `__kind_{f}` WHEN 'int' THEN try_cast(`__raw_{f}` AS DOUBLE) WHEN 'float' THEN try_cast(`__raw_{f}` AS DOUBLE) WHEN 'bool' THEN CAST(try_cast(`__raw_{f}` AS BOOLEAN) AS DOUBLE) END, "
+        f"'r', CASE WHEN __newer THEN {_rule(new['properties'].get(f))} ELSE {_rule(old['properties'].get(f))} END)"
+        for f in fields
+    )
+    listed = read.selectExpr(*[f"`{c}`" for c in df.columns], "__k", "__newer", f"sort_array(array({items})) AS __items")
+    judged = listed.selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        "CASE WHEN __newer THEN 'v2' ELSE 'v1' END AS schema_version",
+        f"CASE WHEN __k IS NULL THEN array('Not a JSON object') ELSE concat(CASE WHEN __newer THEN {_missing(new)} ELSE {_missing(old)} END, "
+        f"flatten(transform(__items, x -> CASE WHEN x.p > 0 THEN {_FIELD_ERRORS} ELSE array() END))) END AS errors",
+    )
+    return judged.withColumn("valid", F.size("errors") == 0)
 
 
 def upgrade(validated: DataFrame, json: str) -> DataFrame:
