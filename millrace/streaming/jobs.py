@@ -1,6 +1,163 @@
-from pyspark.sql import DataFrame
+"""Structured Streaming jobs. Every job takes a streaming frame, so Kafka, files or a rate source
+all fit; sinks write under a batch id, so a replayed batch replaces itself."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from millrace.operators.contracts import validate_events
+from millrace.operators.features import FeatureView, push
+from millrace.operators.relate import recent_accuracy, share_of_classes
+from millrace.operators.select import newest_per_key
+from millrace.sources import state
+
+
+def file_stream(spark: SparkSession, directory: str, schema: str, pattern: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
+    """Parquet files as a stream, with a declared schema and a bounded batch."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(directory)
+
+
+def kafka_stream(spark: SparkSession, servers: str, topic: str, per_batch: int = 100) -> DataFrame:
+    """A topic as (key, value) text rows, at most ``per_batch`` offsets per trigger. Needs the Kafka connector package."""
+    reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+    return reader.option("maxOffsetsPerTrigger", per_batch).load().selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value")
+
+
+def run_to_end(query: StreamingQuery) -> None:
+    """Wait for an available-now query and pass on its failure."""
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+def each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+# --- X1, X2: consume and publish -------------------------------------------
+
+
+def parse_events(messages: DataFrame, value: str, schema: str) -> DataFrame:
+    return messages.select(F.from_json(value, schema).alias("e")).select("e.*")
 
 
 def count_by_type(events: DataFrame) -> DataFrame:
+    """Counts per event type; a missing type counts as "unknown"."""
     return events.groupBy(F.coalesce("event_type", F.lit("unknown")).alias("event_type")).agg(F.count(F.lit(1)).alias("count"))
+
+
+def running_counts(events: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Current counts per type, replaced as a whole after every batch."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return count_by_type(events).writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def as_messages(events: DataFrame, key: str) -> DataFrame:
+    """(key, value) rows ready for a topic: the row as JSON, keyed by tenant."""
+    return events.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
+
+
+def publish(events: DataFrame, key: str, path: str, checkpoint: str) -> StreamingQuery:
+    """Messages to files; to a topic with ``format("kafka")`` in place of parquet."""
+    return as_messages(events, key).writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+# --- X3, X8: analytics ------------------------------------------------------
+
+
+def query_analytics(log: DataFrame, ts: str = "created_at", width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
+    """Volume and latency per tenant and window; rows later than ``late`` are left out, as in any
+    watermarked window."""
+    return log.withWatermark(ts, late).groupBy(F.window(ts, width).alias("w"), "tenant_id").agg(
+        F.count(F.lit(1)).alias("queries"), F.avg("latency_ms").alias("avg_ms"), F.max("latency_ms").alias("max_ms")
+    ).select(F.col("w.start").alias("window_start"), "tenant_id", "queries", "avg_ms", "max_ms")
+
+
+def low_ratings(log: DataFrame, limit: int = 2) -> DataFrame:
+    return log.filter(F.col("rating") <= limit)
+
+
+def append_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    return stream.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+# --- X4: dead letters -------------------------------------------------------
+
+
+def dead_letter_split(messages: DataFrame, json: str, root: str, checkpoint: str) -> StreamingQuery:
+    """Valid and invalid events of every batch, each under its batch id."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        judged = validate_events(batch, json)
+        judged.filter("valid").drop("errors").write.mode("overwrite").parquet(f"{root}/valid/batch={batch_id}")
+        judged.filter("NOT valid").write.mode("overwrite").parquet(f"{root}/dead/batch={batch_id}")
+
+    return each_batch(messages, write, checkpoint)
+
+
+# --- X5: feature push -------------------------------------------------------
+
+
+def push_features(rows: DataFrame, view: FeatureView, root: str, checkpoint: str) -> StreamingQuery:
+    """The newest row per key of each batch; readers take the newest over batches, so late older rows lose."""
+    return each_batch(rows, lambda batch, batch_id: push(batch, view, root, batch_id), checkpoint)
+
+
+# --- X6, X9: bounded memory per key ----------------------------------------
+
+
+def remember_last(rows: DataFrame, key: str, order: list[str], n: int, root: str, checkpoint: str) -> StreamingQuery:
+    """Each batch stores its last ``n`` rows per key: the last ``n`` of all are among them.
+
+    The cut happens before the shuffle, so one busy key costs no more than any other.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        state.put(newest_per_key(batch, [key], [F.col(c).desc() for c in order], n), root, batch_id)
+
+    return each_batch(rows, write, checkpoint)
+
+
+def remembered(spark: SparkSession, root: str, schema: T.StructType, key: str, order: list[str], n: int) -> DataFrame:
+    stored = state.read_all(spark, root, schema).drop("batch")
+    return newest_per_key(stored, [key], [F.col(c).desc() for c in order], n)
+
+
+def live_sessions(memory: DataFrame, key: str, ts: str, now: str, ttl_hours: int = 24) -> DataFrame:
+    """Sessions whose last write, by event time, is no older than the TTL."""
+    alive = memory.groupBy(key).agg(F.max(ts).alias("__last")).filter(F.col("__last") >= F.lit(now).cast("timestamp") - F.expr(f"interval {ttl_hours} hours"))
+    return memory.join(alive.select(key), key, "left_semi")
+
+
+def monitor_report(memory: DataFrame, key: str, order: list[str], n: int = 100) -> DataFrame:
+    """Rolling accuracy and the largest class share per model."""
+    accuracy = recent_accuracy(memory, [key], [F.col(c).desc() for c in order], "predicted", "actual", n)
+    skew = share_of_classes(memory, [key], "predicted").groupBy(key).agg(F.max("share").alias("max_share"))
+    return accuracy.join(skew, key)
+
+
+# --- X7: triggers -----------------------------------------------------------
+
+# Which workflow an event starts, and the field its configuration carries.
+TRIGGERS = {
+    "new_data_arrived": ("data_processing_pipeline", "source"),
+    "model_training_complete": ("model_deployment_pipeline", "model_id"),
+}
+
+
+def triggers(events: DataFrame, kind: str = "type", rules: dict[str, tuple[str, str]] = TRIGGERS) -> DataFrame:
+    """(target, conf) rows for events a rule names; nothing is launched. The rules are part of the plan."""
+    target = F.create_map(*[F.lit(x) for k, (t, _) in rules.items() for x in (k, t)])
+    conf = None
+    for name, (_, field) in rules.items():
+        made = F.to_json(F.struct(F.col(field)))
+        conf = F.when(F.col(kind) == name, made) if conf is None else conf.when(F.col(kind) == name, made)
+    return events.filter(F.col(kind).isin(*rules)).select("*", target[F.col(kind)].alias("target"), conf.alias("conf"))
