@@ -52,8 +52,7 @@ def sentences(text: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Lower-cased words of letters, digits and underscores; stop words and single characters dropped."""
-    plain = F.regexp_replace(F.lower(text), r"(?U)[^\p{L}\p{N}_\s]", " ")
-    return F.filter(F.split(plain, BLANK), lambda w: (F.length(w) > 1) & ~w.isin(STOP_WORDS))
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}_]+"), lambda w: (F.length(w) > 1) & ~w.isin(STOP_WORDS))
 
 
 def word_ngrams(text: Column, low: int = 3, high: int = 5) -> Column:
@@ -155,12 +154,12 @@ def table_to_text(table: Column, sample: int = 5) -> Column:
 
 # What each type looks like and how sure a bare match is.
 PII_PATTERNS = {
-    "EMAIL_ADDRESS": (r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}", 1.0),
-    "CREDIT_CARD": (r"(?<![\p{L}\p{N}_.+-])\d(?:[ -]?\d){12,15}(?![\p{L}\p{N}_-])", 1.0),
-    "US_SSN": (r"(?<![\p{L}\p{N}_-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}_-])", 0.85),
-    "PHONE_NUMBER": (r"(?<![\p{L}\p{N}_.])(?:\+\d{1,2}[ .-]?)?(?:\(\d{3}\)|\d{3})[ .-]\d{3}[ .-]\d{4}(?![\p{L}\p{N}_])", 0.75),
-    "IP_ADDRESS": (r"(?<![\p{L}\p{N}_.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?[\p{L}\p{N}_])", 0.95),
-    "US_PASSPORT": (r"(?<![\p{L}\p{N}_])[A-Z]\d{8}(?![\p{L}\p{N}_])", 0.4),
+    "EMAIL_ADDRESS": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}", 1.0),
+    "CREDIT_CARD": (r"(?=\d)(?<![\p{L}\p{N}_.+-])\d(?:[ -]?\d){12,15}(?![\p{L}\p{N}_-])", 1.0),
+    "US_SSN": (r"(?=\d)(?<![\p{L}\p{N}_-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}_-])", 0.85),
+    "PHONE_NUMBER": (r"(?=[+(\d])(?<![\p{L}\p{N}_.])(?:\+\d{1,2}[ .-]?)?(?:\(\d{3}\)|\d{3})[ .-]\d{3}[ .-]\d{4}(?![\p{L}\p{N}_])", 0.75),
+    "IP_ADDRESS": (r"(?=\d)(?<![\p{L}\p{N}_.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?[\p{L}\p{N}_])", 0.95),
+    "US_PASSPORT": (r"(?=[A-Z]\d)(?<![\p{L}\p{N}_])[A-Z]\d{8}(?![\p{L}\p{N}_])", 0.4),
 }
 
 
@@ -176,19 +175,24 @@ def find_all(text: Column, pattern: str, kind: str, score: float) -> Column:
 
     A match starts after the gaps and matches before it, so offsets come from one split.
     """
-    hits = F.regexp_extract_all(text, F.lit(pattern), 0)
-    gaps = F.split(text, pattern)
-    sizes = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, h: F.struct(F.length(g).alias("g"), F.length(h).alias("h")))
-    starts = F.aggregate(
-        sizes,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("s")),
-        lambda acc, x: F.struct((acc["at"] + x["g"] + x["h"]).alias("at"), F.concat(acc["s"], F.array(acc["at"] + x["g"])).alias("s")),
-    )["s"]
-    spans = F.zip_with(
-        hits, starts,
-        lambda h, s: F.struct(F.lit(kind).alias("type"), s.alias("start"), (s + F.length(h)).alias("end"), F.lit(score).alias("score"), h.alias("text")),
-    )
-    return F.filter(spans, lambda x: luhn(x["text"])) if kind == "CREDIT_CARD" else spans
+    def place(hits: Column) -> Column:
+        gaps = F.split(text, pattern)
+        sizes = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, h: F.struct(F.length(g).alias("g"), F.length(h).alias("h")))
+        starts = F.aggregate(
+            sizes,
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("s")),
+            lambda acc, x: F.struct((acc["at"] + x["g"] + x["h"]).alias("at"), F.concat(acc["s"], F.array(acc["at"] + x["g"])).alias("s")),
+        )["s"]
+        spans = F.zip_with(
+            hits, starts,
+            lambda h, s: F.struct(F.lit(kind).alias("type"), s.alias("start"), (s + F.length(h)).alias("end"), F.lit(score).alias("score"), h.alias("text")),
+        )
+        return F.filter(spans, lambda x: luhn(x["text"])) if kind == "CREDIT_CARD" else spans
+
+    empty = F.array().cast("array<struct<type:string,start:int,end:int,score:double,text:string>>")
+    possible = F.contains(text, F.lit("@")) if kind == "EMAIL_ADDRESS" else text.rlike(r"\d\d|\d\.")
+    found = F.when(possible, F.regexp_extract_all(text, F.lit(pattern), 0)).otherwise(F.array().cast("array<string>"))
+    return let(found, lambda hits: F.when(F.size(hits) > 0, place(hits)).otherwise(empty))
 
 
 def detect_pii(text: Column, above: float = 0.7) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import operator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.operators.ordered import linear_quantiles, running_totals, values_at_ranks
 from millrace.operators.relate import full_compare, unpivot_numeric
 from millrace.operators.select import newest_per_key
+from millrace.session import cut_lineage
 
 # The index bounds of the severity words, in rising order.
 SEVERITY_BOUNDS = [("none", 0.1), ("low", 0.2), ("medium", 0.3), ("high", 0.5)]
@@ -100,13 +102,12 @@ def stability_index(base: DataFrame, current: DataFrame, columns: list[str], buc
     """
     fractions = {f"e{i}": i / buckets for i in range(1, buckets)}
     long_base, long_current = unpivot_numeric(base, columns), unpivot_numeric(current, columns)
-    edges = linear_quantiles(long_base, ["column_name"], "value", fractions)
-    edges = edges.select("column_name", F.array(*fractions).alias("edges"))
+    edges = linear_quantiles(long_base, ["column_name"], "value", fractions).drop("n")
+    above = reduce(operator.add, [(F.col("value") >= F.col(e)).cast("int") for e in fractions])
 
     def counts(long: DataFrame, name: str) -> DataFrame:
         placed = long.filter(F.col("value").isNotNull()).join(F.broadcast(edges), "column_name")
-        placed = placed.withColumn("bucket", F.size(F.filter("edges", lambda e: e <= F.col("value"))))
-        return placed.groupBy("column_name", "bucket").agg(F.count(F.lit(1)).alias(name))
+        return placed.groupBy("column_name", above.alias("bucket")).agg(F.count(F.lit(1)).alias(name))
 
     spine = edges.select("column_name", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"))
     both = spine.join(counts(long_base, "b"), ["column_name", "bucket"], "left").join(counts(long_current, "c"), ["column_name", "bucket"], "left")
@@ -138,6 +139,7 @@ def two_sample_distance(base: DataFrame, current: DataFrame, columns: list[str])
     counts = side(base, 0).unionByName(side(current, 1)).groupBy("column_name", "value").agg(
         F.count_if(F.col("__side") == 0).alias("b"), F.count_if(F.col("__side") == 1).alias("c")
     )
+    counts = cut_lineage(counts, "steps")
     sizes = counts.groupBy("column_name").agg(F.sum("b").alias("n"), F.sum("c").alias("m"))
     running = running_totals(counts, ["column_name"], "value", {"cb": "b", "cc": "c"})
     gaps = running.join(F.broadcast(sizes), "column_name").select(
@@ -225,7 +227,7 @@ def monitoring_tests(report: DataFrame, stable_column: str, accuracy: Column, sh
         (f"column_drift_{stable_column}", ~F.col("moved")),
         ("accuracy_score", F.col("accuracy") > accuracy_above),
     ]
-    passed = reduce(lambda a, b: a & b, [F.coalesce(c, F.lit(False)) for _, c in rows])
+    passed = reduce(operator.and_, [F.coalesce(c, F.lit(False)) for _, c in rows])
     cells = [F.struct(F.lit(n).alias("test"), F.coalesce(c, F.lit(False)).alias("passed")) for n, c in rows]
     cells.append(F.struct(F.lit("all").alias("test"), passed.alias("passed")))
     return facts.select(F.explode(F.array(*cells)).alias("s")).select("s.*")

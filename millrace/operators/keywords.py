@@ -30,12 +30,17 @@ class KeywordIndex:
         postings = rows.groupBy("doc", "doc_len", "term").agg(F.count(F.lit(1)).alias("tf")).select("doc", "term", "tf", "doc_len")
         return KeywordIndex(postings, documents)
 
-    def write(self, root: str, part: int = 0) -> KeywordIndex:
-        """Store this index as one part; parts add up, and the statistics are always those of the whole."""
-        base = root.rstrip("/")
-        self.postings.write.mode("overwrite").parquet(f"{base}/postings/part={part}")
-        self.documents.write.mode("overwrite").parquet(f"{base}/documents/part={part}")
-        return KeywordIndex.read(self.postings.sparkSession, root)
+    @staticmethod
+    def create(docs: DataFrame, doc: str, text: str, root: str, part: int = 0) -> KeywordIndex:
+        """Tokenise once and store the index as one part; parts add up, and the statistics are
+        always those of the whole. Lengths come from the stored postings, not from the texts again."""
+        base, spark = root.rstrip("/"), docs.sparkSession
+        KeywordIndex.build(docs, doc, text).postings.write.mode("overwrite").parquet(f"{base}/postings/part={part}")
+        stored = spark.read.schema(POSTINGS).parquet(f"{base}/postings/part={part}").select("doc", "doc_len").distinct()
+        every = docs.select(F.col(doc).cast("long").alias("doc")).distinct()
+        lengths = every.join(stored, "doc", "left").select("doc", F.coalesce("doc_len", F.lit(0).cast("long")).alias("doc_len"))
+        lengths.write.mode("overwrite").parquet(f"{base}/documents/part={part}")
+        return KeywordIndex.read(spark, root)
 
     @staticmethod
     def read(spark: SparkSession, root: str) -> KeywordIndex:
@@ -47,7 +52,7 @@ class KeywordIndex:
 
     def append(self, docs: DataFrame, doc: str, text: str, root: str, part: int) -> KeywordIndex:
         """Add documents. Frequencies are recomputed over all parts, for every term, not only the new ones."""
-        return KeywordIndex.build(docs, doc, text).write(root, part)
+        return KeywordIndex.create(docs, doc, text, root, part)
 
     def terms(self, floor: float = 0.25) -> DataFrame:
         """(term, df, idf): idf = max(ln((N - df + .5) / (df + .5) + 1), floor)."""
@@ -59,7 +64,8 @@ class KeywordIndex:
     def search(self, queries: DataFrame, query: str, text: str, k: int = 10, k1: float = 1.5, b: float = 0.75) -> DataFrame:
         """(query_id, id, score, matched, rank): query words count as often as they are asked.
 
-        The query side carries its idf before it meets the postings, scores combine per task
+        Scores are rounded to nine places, so that equal texts tie whatever the order of their
+        sums. The query side carries its idf before it meets the postings, scores combine per task
         before the shuffle, and a frequent term is split by the adaptive skew join.
         """
         asked = queries.select(F.col(query).cast("long").alias("query_id"), F.explode(tokens(F.col(text))).alias("term"))
@@ -69,7 +75,7 @@ class KeywordIndex:
         hits = self.postings.join(weighed, "term").withColumn("__avg", average)
         gain = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("doc_len") / F.col("__avg")))
         scores = hits.groupBy("query_id", F.col("doc").alias("id")).agg(
-            F.sum(F.col("times") * F.col("idf") * gain).alias("score"), F.sum("times").alias("matched")
+            F.round(F.sum(F.col("times") * F.col("idf") * gain), 9).alias("score"), F.sum("times").alias("matched")
         )
         return rank_hits(scores.filter(F.col("score") > 0), "query_id", "id", "score", k)
 
@@ -101,7 +107,7 @@ def _stack(lists: dict[str, DataFrame]) -> DataFrame:
 def _fused(rows: DataFrame, part: Column, shown: Column, k: int) -> DataFrame:
     """Sum ``part`` per (query, id); ``sources`` maps each source to its own score. A row holds one entry per source."""
     fused = rows.groupBy("query_id", "id").agg(
-        F.sum(part).alias("score"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("source", shown)))).alias("sources")
+        F.round(F.sum(part), 12).alias("score"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("source", shown)))).alias("sources")
     )
     return rank_hits(fused, "query_id", "id", "score", k)
 

@@ -15,7 +15,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.session import shuffle_width
+from millrace.session import cut_lineage, shuffle_width
 
 _B = "__bucket"
 
@@ -119,7 +119,7 @@ def values_at_ranks(df: DataFrame, keys: list[str], value: str, ranks: dict, buc
     """Per key the values at given zero-based ranks. ``ranks`` maps a name to a function from
     the key's size (a Column) to the rank. Equal values are collapsed before anything is ordered.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    counts = cut_lineage(df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")), "counts")
     ranked = running_totals(counts, keys, value, {"__before": "__n"}, buckets=buckets)
     sizes = counts.groupBy(*keys).agg(F.sum("__n").alias("__size"))
     if keys:
@@ -166,7 +166,7 @@ def linear_quantiles(df: DataFrame, keys: list[str], value: str, fractions: dict
 
 def average_rank(df: DataFrame, keys: list[str], value: str, name: str = "rank", buckets: int | None = None) -> DataFrame:
     """Rank of ``value`` within the key, ascending, ties sharing their mean rank."""
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    counts = cut_lineage(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")), "counts")
     ranked = running_totals(counts, keys, value, {"__before": "__n"}, buckets=buckets)
     ranked = ranked.select(
         *[F.col(k).alias(f"__r_{k}") for k in [*keys, value]],

@@ -38,7 +38,8 @@ def _search_batches(batches: Iterator[pd.DataFrame], query_ids: np.ndarray, quer
     for batch in batches:
         if batch.empty:
             continue
-        found = queries @ _unit(np.stack(batch["v"].to_numpy()).astype("float64")).T
+        # Twelve places: equal vectors tie wherever they sit in a batch.
+        found = np.round(queries @ _unit(np.stack(batch["v"].to_numpy()).astype("float64")).T, 12)
         new_ids = batch["id"].to_numpy()
         for q in range(len(query_ids)):
             all_ids = new_ids if ids[q] is None else np.concatenate([ids[q], new_ids])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import contracts as c
 from millrace.plans.registry import query
-from millrace.session import scratch
+from millrace.session import scratch, spread
 
 
 def json_events(t):
@@ -23,7 +23,8 @@ def json_events(t):
         F.when(e % 2 == 0, part("source", quoted(F.when(e % 14 == 0, F.lit("fax")).when(e % 4 == 0, F.lit("web")).otherwise(F.lit("api"))))),
         F.when(e % 31 == 0, part("metadata", F.when(e % 62 == 0, F.lit("[1]")).otherwise(F.lit('{"k": 1}')))),
     ))
-    return t.events.select("event_id", F.concat(F.lit("{"), F.array_join(parts, ", "), F.lit("}")).alias("body"))
+    events = t.events if t.events.isStreaming else spread(t.events)
+    return events.select("event_id", F.concat(F.lit("{"), F.array_join(parts, ", "), F.lit("}")).alias("body"))
 
 
 KIND = "CASE event_type WHEN 'click' THEN 'login' WHEN 'error' THEN 'logout' ELSE event_type END"

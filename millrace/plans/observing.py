@@ -9,7 +9,7 @@ from millrace.operators import graph as g
 from millrace.operators import metrics as m
 from millrace.operators import usercode as uc
 from millrace.plans.registry import query
-from millrace.plans.texting import FOLD
+from millrace.plans.texting import FOLD, texts
 from millrace.plans.views import QUERY_LOG, query_log
 
 
@@ -52,7 +52,7 @@ MENTIONS = f"""{FOLD}, ent AS (SELECT doc_id, start_char, end_char, unnest(es) A
 def chunk_graph(t):
     """Capitalised words as entities; consecutive ones are related, and one candidate relation per
     entity points at a word that is no entity."""
-    chunks = ch.chunk_documents(t.documents, "doc_id", "text")
+    chunks = ch.chunk_documents(texts(t), "doc_id", "text")
     mentions = uc.extract_entities(chunks, "chunk_id", "content")
     nxt = mentions.select("chunk_id", (F.col("position") - 1).alias("position"), F.col("entity").alias("object"))
     follows = mentions.join(nxt, ["chunk_id", "position"]).select("chunk_id", F.col("entity").alias("subject"), F.lit("next to").alias("predicate"), "object")

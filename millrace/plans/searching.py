@@ -14,7 +14,7 @@ from millrace.operators import vectorsearch as vs
 from millrace.operators.keywords import KeywordIndex, reciprocal_rank_fusion, tfidf_vectors, weighted_fusion
 from millrace.plans.registry import query
 from millrace.plans.texting import TOKENS
-from millrace.session import scratch
+from millrace.session import scratch, spread
 
 
 def centroids(t):
@@ -94,12 +94,12 @@ INDEX = f"""tok AS (SELECT doc_id AS doc, {TOKENS} AS ts FROM documents), lens A
 
 
 def keyword_hits(k, name="hits"):
-    return f"{INDEX}, {name} AS (SELECT query_id, id, score, matched, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM bm QUALIFY rank <= {k})"
+    return f"{INDEX}, {name} AS (SELECT query_id, id, round(score, 9) AS score, matched, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM bm QUALIFY rank <= {k})"
 
 
 def index_of(t):
     """The keyword index of all documents, written once and read back."""
-    return KeywordIndex.build(t.documents, "doc_id", "text").write(scratch(t.spark, "index"))
+    return KeywordIndex.create(spread(t.documents.select("doc_id", "text")), "doc_id", "text", scratch(t.spark, "index"))
 
 
 @query("v07_keyword_index", "V7", sql=f"WITH {INDEX} SELECT term, df, round(idf, 9) AS idf FROM terms")
@@ -117,7 +117,7 @@ def _(t):
 def _(t):
     """Three languages first, the fourth appended: every idf must equal that of the whole."""
     root = scratch(t.spark, "index")
-    first = KeywordIndex.build(t.documents.filter("lang <> 'en'"), "doc_id", "text").write(root, 0)
+    first = KeywordIndex.create(t.documents.filter("lang <> 'en'"), "doc_id", "text", root, 0)
     return first.append(t.documents.filter("lang = 'en'"), "doc_id", "text", root, 1).terms().withColumn("idf", F.round("idf", 9))
 
 
@@ -125,7 +125,7 @@ def _(t):
 # a benchmark question has the centroid of the label equal to its number modulo ten.
 BOTH = f"""{INDEX}, {CENTROIDS}, q AS (SELECT item_id AS query_id, item_id % 10 AS label FROM benchmark),
  vh AS (SELECT q.query_id, s.id, s.score, row_number() OVER (PARTITION BY q.query_id ORDER BY s.score DESC, s.id) AS rank FROM q JOIN scored s ON s.query_id = q.label WHERE s.id IN (SELECT doc_id FROM documents) QUALIFY rank <= 20),
- kh AS (SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM bm QUALIFY rank <= 20)"""
+ kh AS (SELECT query_id, id, round(score, 9) AS score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM bm QUALIFY rank <= 20)"""
 
 
 def question_vectors(t):

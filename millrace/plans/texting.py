@@ -8,10 +8,15 @@ from millrace.functions import text as tx
 from millrace.operators import chunking as ch
 from millrace.operators import memory
 from millrace.plans.registry import query
+from millrace.session import spread
 
 # Sentences of a text in SQL: a marker after each sentence end, then a split.
 SENTENCES = r"string_split(regexp_replace(text, '([.!?])[\s]+', '\1' || chr(1), 'g'), chr(1))"
 
+def texts(t):
+    return spread(t.documents.select("doc_id", "text"))
+
+
 FOLD = f"""parts AS (SELECT doc_id, {SENTENCES} AS ss FROM documents),
  s AS (SELECT doc_id, list_transform(ss, lambda x: length(x)) AS lens, array_to_string(ss, ' ') AS j FROM parts),
  fold AS (SELECT doc_id, 2 AS i, 0::BIGINT AS st, lens[1] AS en, lens[1] AS used, NULL::BIGINT AS cs, NULL::BIGINT AS ce, len(lens) AS n FROM s
@@ -24,7 +29,7 @@ FOLD = f"""parts AS (SELECT doc_id, {SENTENCES} AS ss FROM documents),
 
 @query("t01_character_chunks", "T1", "K6", sql=f"WITH RECURSIVE {FOLD} SELECT doc_id, start_char, end_char, md5(content) AS digest FROM chunks")
 def _(t):
-    out = ch.chunk_documents(t.documents, "doc_id", "text")
+    out = ch.chunk_documents(texts(t), "doc_id", "text")
     return out.select("doc_id", F.col("start_char").cast("long"), F.col("end_char").cast("long"), F.md5("content").alias("digest"))
 
 
@@ -35,7 +40,7 @@ def _(t):
  ranges AS (SELECT doc_id, cf, cl FROM fold WHERE cf IS NOT NULL UNION ALL SELECT doc_id, first, n FROM fold WHERE i = n + 1)
 SELECT r.doc_id, (cl - cf + 1)::BIGINT AS n_sentences, md5(array_to_string(ss[cf:cl], ' ')) AS digest FROM ranges r JOIN s ON s.doc_id = r.doc_id""")
 def _(t):
-    out = ch.chunk_by_sentences(t.documents, "doc_id", "text")
+    out = ch.chunk_by_sentences(texts(t), "doc_id", "text")
     return out.select("doc_id", F.col("n_sentences").cast("long"), F.md5("content").alias("digest"))
 
 
@@ -91,12 +96,12 @@ def _(t):
  h AS (SELECT doc_id, no, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(doc_id || ':' || start_char || CASE WHEN again THEN ':' || no ELSE '' END)) AS d FROM named)
 SELECT doc_id, no AS chunk_no, substr(d, 1, 8) || '-' || substr(d, 9, 4) || '-5' || substr(d, 14, 3) || '-' || ['8', '9', 'a', 'b'][(('0x' || substr(d, 17, 1))::BIGINT & 3) + 1] || substr(d, 18, 3) || '-' || substr(d, 21, 12) AS chunk_id FROM h""")
 def _(t):
-    return ch.chunk_documents(t.documents, "doc_id", "text").select("doc_id", F.col("chunk_no").cast("long"), "chunk_id")
+    return ch.chunk_documents(texts(t), "doc_id", "text").select("doc_id", F.col("chunk_no").cast("long"), "chunk_id")
 
 
 @query("t06_exact_duplicates", "T6", sql=r"""SELECT sha256(trim(regexp_replace(lower(text), '[\s]+', ' ', 'g'))) AS digest, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1""")
 def _(t):
-    return ch.first_copies(t.documents, tx.content_hash(F.col("text")), "doc_id")
+    return ch.first_copies(texts(t), tx.content_hash(F.col("text")), "doc_id")
 
 
 PII_SQL = r"""pii AS (SELECT doc_id, 'EMAIL_ADDRESS' AS kind, unnest(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}')) AS found FROM documents
@@ -109,13 +114,13 @@ LUHN_SQL = r"""list_sum(list_transform(range(16), lambda i: CASE WHEN i % 2 = 1
 
 @query("t07_personal_data", "T7", sql=f"WITH {PII_SQL} SELECT kind AS type, found, count(*) AS n FROM pii WHERE kind <> 'CREDIT_CARD' OR {LUHN_SQL} GROUP BY 1, 2")
 def _(t):
-    spans = t.documents.select("doc_id", F.explode(tx.detect_pii(F.col("text"))).alias("p"))
+    spans = texts(t).select("doc_id", F.explode(tx.detect_pii(F.col("text"))).alias("p"))
     return spans.groupBy(F.col("p.type").alias("type"), F.col("p.text").alias("found")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("t07_personal_data_spans", "T7", sql=f"""WITH {PII_SQL} SELECT doc_id, kind AS type, count(*) AS n, true AS offsets_agree FROM pii WHERE kind <> 'CREDIT_CARD' OR {LUHN_SQL} GROUP BY 1, 2""")
 def _(t):
-    spans = t.documents.select("doc_id", "text", F.explode(tx.detect_pii(F.col("text"))).alias("p"))
+    spans = texts(t).select("doc_id", "text", F.explode(tx.detect_pii(F.col("text"))).alias("p"))
     agree = F.substring("text", F.col("p.start") + 1, F.col("p.end") - F.col("p.start")) == F.col("p.text")
     return spans.groupBy("doc_id", F.col("p.type").alias("type")).agg(F.count(F.lit(1)).alias("n"), F.bool_and(agree).alias("offsets_agree"))
 
@@ -123,13 +128,13 @@ def _(t):
 @query("t08_personal_data_mask", "T8", sql=f"""WITH {PII_SQL}, hit AS (SELECT doc_id, sum(length(found) - length(kind) - 2) AS shrink FROM pii WHERE kind <> 'CREDIT_CARD' OR {LUHN_SQL} GROUP BY 1)
 SELECT d.doc_id, (length(text) - coalesce(shrink, 0))::BIGINT AS masked_length FROM documents d LEFT JOIN hit USING (doc_id)""")
 def _(t):
-    return t.documents.select("doc_id", F.length(tx.mask_pii(F.col("text"))).cast("long").alias("masked_length"))
+    return texts(t).select("doc_id", F.length(tx.mask_pii(F.col("text"))).cast("long").alias("masked_length"))
 
 
 @query("t09_chunk_quality", "T9", sql=f"""WITH RECURSIVE {FOLD} SELECT doc_id, count(*) AS chunks, count(*) FILTER (WHERE NOT regexp_matches(content, '[.!?\\n]$')) AS open_ended,
  count(*) FILTER (WHERE length(content) < 50) AS too_short, count(*) FILTER (WHERE length(content) > 1000) AS too_long FROM chunks GROUP BY 1""")
 def _(t):
-    return ch.chunk_quality(ch.chunk_documents(t.documents, "doc_id", "text"), "doc_id", "content")
+    return ch.chunk_quality(ch.chunk_documents(texts(t), "doc_id", "text"), "doc_id", "content")
 
 
 @query("t10_context_usage", "T10", sql=r"""WITH w AS (SELECT conv_id * 100 + turn AS k, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') AS ws, lower(replace(text, 'la ', '')) AS a FROM conversations),
@@ -148,7 +153,7 @@ TOKENS = rf"list_filter(regexp_split_to_array(regexp_replace(lower(text), '[^\p{
 
 @query("t11_tokens", "T11", sql=f"SELECT token, count(*) AS n FROM (SELECT unnest({TOKENS}) AS token FROM documents) GROUP BY 1")
 def _(t):
-    return t.documents.select(F.explode(tx.tokens(F.col("text"))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return texts(t).select(F.explode(tx.tokens(F.col("text"))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("t13_html_text", "T13", sql=r"""SELECT page_id, md5(body) AS digest, length(body) AS size FROM (SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(
