@@ -153,7 +153,7 @@ def one_vs_rest(df: DataFrame, label: str, scores: dict[str, Column]) -> DataFra
 def fairness(df: DataFrame, slice_by: str, label: str, predicted: str) -> DataFrame:
     """Quality per slice, with its distance from the best slice."""
     out = averages(per_class(confusion(df, label, predicted, [slice_by]), [slice_by]), [slice_by])
-    return out.withColumn("gap", F.max("accuracy").over(Window.partitionBy()) - F.col("accuracy"))
+    return out.withColumn("gap", out.agg(F.max("accuracy").alias("m")).scalar() - F.col("accuracy"))
 
 
 # --- experiments -----------------------------------------------------------

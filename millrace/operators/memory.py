@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.chunking import within_budget
+from millrace.operators.ordered import running_totals
 from millrace.operators.select import newest_per_key
 
 
@@ -30,12 +30,11 @@ def prompt_history(df: DataFrame, session: str, turn: str, role: str, text: str,
     """Newest lines that fit in ``4 * max_tokens`` characters, back in order, one per line.
 
     Walks from the newest and stops at the first line that would not fit; line breaks are not
-    counted. A line is at least ``": "`` long, so a session's newest ``2 * max_tokens + 1``
-    lines always contain the answer: that cut is made before the shuffle.
+    counted. The running length comes from bucketed totals, so a session of any size is split.
     """
     limit = 4 * max_tokens
     line = F.concat(F.initcap(F.col(role)), F.lit(": "), F.col(text))
-    lines = newest_per_key(df.withColumn("__line", line), [session], [F.col(turn).desc()], limit // 2 + 1)
-    fits = within_budget(lines.withColumn("__back", -F.col(turn)), [session], "__back", F.length("__line"), limit)
+    lines = df.select(session, turn, line.alias("__line"), F.length(line).cast("long").alias("__size"))
+    fits = running_totals(lines, [session], turn, {"__newer": "__size"}, descending=True).filter(F.col("__newer") + F.col("__size") <= limit)
     ordered = F.array_sort(F.collect_list(F.struct(F.col(turn).alias("t"), F.col("__line").alias("l"))))
     return fits.groupBy(session).agg(F.array_join(F.transform(ordered, lambda x: x["l"]), "\n").alias("history"), F.count(F.lit(1)).alias("lines"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import drop_context, linear_quantiles, number_rows, with_preceding
@@ -101,8 +101,14 @@ def best_attribute(metric: str, key: str, attribute: str) -> Column:
 
 
 def share_of_classes(df: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """(keys.., label, count, share). The totals are an aggregate of their own, never one task's window."""
     counts = df.groupBy(*keys, label).agg(F.count(F.lit(1)).alias("count"))
-    return counts.withColumn("share", F.col("count") / F.sum("count").over(Window.partitionBy(*keys)))
+    if not keys:
+        whole = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+        return counts.withColumn("__n", whole).withColumn("share", F.col("count") / F.col("__n")).drop("__n")
+    totals = counts.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys]).agg(F.sum("count").alias("__n"))
+    same = reduce(lambda a, b: a & b, [counts[k].eqNullSafe(totals[f"__k_{k}"]) for k in keys])
+    return counts.join(totals, same).select(*keys, label, "count", (F.col("count") / F.col("__n")).alias("share"))
 
 
 def unpivot_numeric(df: DataFrame, columns: list[str], keep: list[str] | None = None) -> DataFrame:
