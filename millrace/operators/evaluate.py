@@ -126,7 +126,7 @@ def roc_curve(df: DataFrame, keys: list[str], label: str, score: str) -> DataFra
     counts = df.groupBy(*keys, score).agg(F.sum(F.col(label).cast("long")).alias("__p"), F.sum(1 - F.col(label).cast("long")).alias("__n"))
     running = running_totals(counts, keys, score, {"__tp": "__p", "__fp": "__n"}, descending=True)
     whole = counts.groupBy(*keys).agg(F.sum("__p").alias("__pos"), F.sum("__n").alias("__neg"))
-    joined = running.join(F.broadcast(whole), keys) if keys else running.select(
+    joined = running.join(whole, keys) if keys else running.select(
         "*", counts.agg(F.sum("__p").alias("p")).scalar().alias("__pos"), counts.agg(F.sum("__n").alias("n")).scalar().alias("__neg")
     )
     return joined.select(

@@ -11,8 +11,8 @@ from millrace.functions.text import tokens
 from millrace.operators.ordered import number_rows
 from millrace.operators.vectorsearch import rank_hits
 
-POSTINGS = "doc long, term string, tf long, doc_len long"
-DOCUMENTS = "doc long, doc_len long"
+POSTINGS = "doc {key}, term string, tf long, doc_len long"
+DOCUMENTS = "doc {key}, doc_len long"
 
 
 class KeywordIndex:
@@ -24,7 +24,7 @@ class KeywordIndex:
 
     @staticmethod
     def build(docs: DataFrame, doc: str, text: str) -> KeywordIndex:
-        listed = docs.select(F.col(doc).cast("long").alias("doc"), tokens(F.col(text)).alias("__t"))
+        listed = docs.select(F.col(doc).alias("doc"), tokens(F.col(text)).alias("__t"))
         documents = listed.select("doc", F.size("__t").cast("long").alias("doc_len"))
         rows = listed.select("doc", F.size("__t").cast("long").alias("doc_len"), F.explode("__t").alias("term"))
         postings = rows.groupBy("doc", "doc_len", "term").agg(F.count(F.lit(1)).alias("tf")).select("doc", "term", "tf", "doc_len")
@@ -34,20 +34,21 @@ class KeywordIndex:
     def create(docs: DataFrame, doc: str, text: str, root: str, part: int = 0) -> KeywordIndex:
         """Tokenise once and store the index as one part; parts add up, and the statistics are
         always those of the whole. Lengths come from the stored postings, not from the texts again."""
-        base, spark = root.rstrip("/"), docs.sparkSession
+        base, spark, key = root.rstrip("/"), docs.sparkSession, docs.schema[doc].dataType.simpleString()
         KeywordIndex.build(docs, doc, text).postings.write.mode("overwrite").parquet(f"{base}/postings/part={part}")
-        stored = spark.read.schema(POSTINGS).parquet(f"{base}/postings/part={part}").select("doc", "doc_len").distinct()
-        every = docs.select(F.col(doc).cast("long").alias("doc")).distinct()
+        stored = spark.read.schema(POSTINGS.format(key=key)).parquet(f"{base}/postings/part={part}").select("doc", "doc_len").distinct()
+        every = docs.select(F.col(doc).alias("doc")).distinct()
         lengths = every.join(stored, "doc", "left").select("doc", F.coalesce("doc_len", F.lit(0).cast("long")).alias("doc_len"))
         lengths.write.mode("overwrite").parquet(f"{base}/documents/part={part}")
-        return KeywordIndex.read(spark, root)
+        return KeywordIndex.read(spark, root, key)
 
     @staticmethod
-    def read(spark: SparkSession, root: str) -> KeywordIndex:
+    def read(spark: SparkSession, root: str, key: str = "bigint") -> KeywordIndex:
+        """A stored index; ``key`` is the type of the document ids."""
         base = root.rstrip("/")
         return KeywordIndex(
-            spark.read.schema(POSTINGS + ", part int").parquet(f"{base}/postings").drop("part"),
-            spark.read.schema(DOCUMENTS + ", part int").parquet(f"{base}/documents").drop("part"),
+            spark.read.schema(POSTINGS.format(key=key) + ", part int").parquet(f"{base}/postings").drop("part"),
+            spark.read.schema(DOCUMENTS.format(key=key) + ", part int").parquet(f"{base}/documents").drop("part"),
         )
 
     def append(self, docs: DataFrame, doc: str, text: str, root: str, part: int) -> KeywordIndex:
@@ -68,7 +69,7 @@ class KeywordIndex:
         sums. The query side carries its idf before it meets the postings, scores combine per task
         before the shuffle, and a frequent term is split by the adaptive skew join.
         """
-        asked = queries.select(F.col(query).cast("long").alias("query_id"), F.explode(tokens(F.col(text))).alias("term"))
+        asked = queries.select(F.col(query).alias("query_id"), F.explode(tokens(F.col(text))).alias("term"))
         asked = asked.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("times"))
         weighed = asked.join(self.terms(), "term").select("query_id", "term", "times", "idf")
         average = self.documents.agg(F.avg("doc_len").alias("a")).scalar()

@@ -8,13 +8,17 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators.select import newest_per_key
 
 # A query table up to this many cells (rows times dimensions) travels to every task.
 BROADCAST_CELLS = 8_000_000
-# Beyond that, queries go in blocks of this many rows.
+# Beyond that, queries go in blocks of this many rows and meet chunks in blocks of that many.
 QUERY_BLOCK = 4096
+CHUNK_BLOCK = 100_000
+# Scores held at once: this many queries against one batch of chunks.
+TILE = 512
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
@@ -32,23 +36,28 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return keep[np.lexsort((ids[keep], -scores[keep]))][:k]
 
 
-def _search_batches(batches: Iterator[pd.DataFrame], query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[pd.DataFrame]:
+def _search_batches(batches: Iterator[pd.DataFrame], query_ids: list, queries: np.ndarray, k: int) -> Iterator[pd.DataFrame]:
     """Running top-k per query over the batches of one task."""
     ids, scores = [None] * len(query_ids), [None] * len(query_ids)
     for batch in batches:
         if batch.empty:
             continue
-        # Twelve places: equal vectors tie wherever they sit in a batch.
-        found = np.round(queries @ _unit(np.stack(batch["v"].to_numpy()).astype("float64")).T, 12)
-        new_ids = batch["id"].to_numpy()
-        for q in range(len(query_ids)):
-            all_ids = new_ids if ids[q] is None else np.concatenate([ids[q], new_ids])
-            all_scores = found[q] if scores[q] is None else np.concatenate([scores[q], found[q]])
-            top = _best(all_scores, all_ids, k)
-            ids[q], scores[q] = all_ids[top], all_scores[top]
+        units = _unit(np.stack(batch["v"].to_numpy()).astype("float64")).T
+        new_ids = np.asarray(batch["id"].tolist())
+        for low in range(0, len(query_ids), TILE):
+            # Twelve places: equal vectors tie wherever they sit in a batch.
+            found = np.round(queries[low:low + TILE] @ units, 12)
+            for q in range(low, low + len(found)):
+                row = found[q - low]
+                all_ids = new_ids if ids[q] is None else np.concatenate([ids[q], new_ids])
+                all_scores = row if scores[q] is None else np.concatenate([scores[q], row])
+                top = _best(all_scores, all_ids, k)
+                ids[q], scores[q] = all_ids[top], all_scores[top]
     for q, query_id in enumerate(query_ids):
         if ids[q] is not None:
-            yield pd.DataFrame({"query_id": query_id, "id": ids[q], "score": scores[q]})
+            kept = pd.Series(ids[q].tolist(), dtype=object if ids[q].dtype.kind == "U" else ids[q].dtype)
+            asked = pd.Series([query_id] * len(kept), dtype=object if isinstance(query_id, str) else None)
+            yield pd.DataFrame({"query_id": asked, "id": kept, "score": scores[q]})
 
 
 def cosine_top_k(
@@ -69,20 +78,20 @@ def cosine_top_k(
     A larger one is cut into blocks that meet chunk blocks by an equi-join key; ``blocks``
     forces that path. Vectors that are NULL or of another length are left out.
     """
-    q = queries.filter(F.col(query_vector).isNotNull()).select(F.col(query_id).cast("long").alias("query_id"), F.col(query_vector).cast("array<double>").alias("v"))
+    q = queries.filter(F.col(query_vector).isNotNull()).select(F.col(query_id).alias("query_id"), F.col(query_vector).cast("array<double>").alias("v"))
     size = dimensions or q.agg(F.max(F.size("v"))).first()[0] or 0
     q = q.filter(F.size("v") == size)
     c = chunks.filter(F.col(chunk_vector).isNotNull() & (F.size(chunk_vector) == size)).select(
-        F.col(chunk_id).cast("long").alias("id"), F.col(chunk_vector).cast("array<float>").alias("v")
+        F.col(chunk_id).alias("id"), F.col(chunk_vector).cast("array<float>").alias("v")
     )
     bound = max(1, BROADCAST_CELLS // max(size, 1))
     if blocks is None:
         held = q.limit(bound + 1).count()
         blocks = 0 if held <= bound else -1
-    schema = "query_id long, id long, score double"
+    schema = T.StructType([q.schema["query_id"], c.schema["id"], T.StructField("score", T.DoubleType())])
     if blocks == 0:
         rows = q.orderBy("query_id").collect()
-        query_ids = np.array([r["query_id"] for r in rows], dtype="int64")
+        query_ids = [r["query_id"] for r in rows]
         matrix = _unit(np.array([r["v"] for r in rows], dtype="float64").reshape(len(rows), size))
         shared = chunks.sparkSession.sparkContext.broadcast((query_ids, matrix))
 
@@ -92,7 +101,7 @@ def cosine_top_k(
         partial = c.mapInPandas(search, schema)
     else:
         n_query = blocks if blocks > 0 else max(1, -(-q.count() // QUERY_BLOCK))
-        n_chunk = max(1, int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+        n_chunk = max(2, -(-c.count() // CHUNK_BLOCK))
         spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
         left = q.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(n_query))).withColumn("cb", spread(n_chunk))
         right = c.withColumn("cb", F.pmod(F.xxhash64("id"), F.lit(n_chunk))).withColumn("qb", spread(n_query))
@@ -101,7 +110,8 @@ def cosine_top_k(
             if qs.empty or cs.empty:
                 return pd.DataFrame({"query_id": [], "id": [], "score": []})
             matrix = _unit(np.stack(qs["v"].to_numpy()).astype("float64"))
-            return pd.concat(list(_search_batches(iter([cs]), qs["query_id"].to_numpy(), matrix, k)))
+            slices = (cs.iloc[i:i + 8192] for i in range(0, len(cs), 8192))
+            return pd.concat(list(_search_batches(slices, qs["query_id"].tolist(), matrix, k)))
 
         partial = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(meet, schema)
     return rank_hits(partial, "query_id", "id", "score", k)
@@ -161,7 +171,9 @@ def mmr(hits: DataFrame, queries: DataFrame, vectors: DataFrame, k: int = 5, wei
             "query_id": pdf["query_id"].iloc[0], "id": pdf["id"].to_numpy()[chosen], "pick": np.arange(1, len(chosen) + 1), "mmr": scores,
         })
 
-    return rows.select("query_id", "id", "rank", "v", "q").groupBy("query_id").applyInPandas(pick, "query_id long, id long, pick long, mmr double")
+    return rows.select("query_id", "id", "rank", "v", "q").groupBy("query_id").applyInPandas(
+        pick, T.StructType([rows.schema["query_id"], rows.schema["id"], T.StructField("pick", T.LongType()), T.StructField("mmr", T.DoubleType())])
+    )
 
 
 def missing_document_probe(hits: DataFrame, wanted: DataFrame, query: str, key: str, document: str, late: int = 10) -> DataFrame:

@@ -435,3 +435,16 @@ def test_corpus(spark, tmp_path):
     with pytest.raises(Exception, match="unsupported file type"):
         files.load_corpus(spark, str(tmp_path)).collect()
     assert files.load_corpus(spark, str(tmp_path), on_unknown="skip").count() == 2
+
+
+def test_text_ids(spark):
+    """Chunk ids are text; ties go to the smaller one."""
+    chunks = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [2.0, 0.0]), ("c", [0.0, 1.0])], "chunk_id string, vector array<float>")
+    queries = spark.createDataFrame([("q", [1.0, 0.0])], "query_id string, vector array<float>")
+    for blocks in (None, 2):
+        rows = vs.cosine_top_k(queries, chunks, 2, dimensions=2, blocks=blocks).orderBy("rank").collect()
+        assert [(r["id"], r["score"]) for r in rows] == [("a", 1.0), ("b", 1.0)]
+    docs = spark.createDataFrame([("x", "red fox"), ("y", "")], "d string, text string")
+    index = keywords.KeywordIndex.build(docs, "d", "text")
+    assert index.search(spark.createDataFrame([("q", "fox")], "q string, text string"), "q", "text").first()["id"] == "x"
+    assert {r["doc"]: r["doc_len"] for r in index.documents.collect()} == {"x": 2, "y": 0}
