@@ -6,9 +6,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from millrace.operators.select import newest_per_key
 
@@ -106,14 +108,17 @@ def cosine_top_k(
         left = q.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(n_query))).withColumn("cb", spread(n_chunk))
         right = c.withColumn("cb", F.pmod(F.xxhash64("id"), F.lit(n_chunk))).withColumn("qb", spread(n_query))
 
-        def meet(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
-            if qs.empty or cs.empty:
-                return pd.DataFrame({"query_id": [], "id": [], "score": []})
+        target = to_arrow_schema(schema)
+
+        def meet(qs: pa.Table, cs: pa.Table) -> pa.Table:
+            if not qs.num_rows or not cs.num_rows:
+                return target.empty_table()
             matrix = _unit(np.stack(qs["v"].to_numpy()).astype("float64"))
-            slices = (cs.iloc[i:i + 8192] for i in range(0, len(cs), 8192))
-            return pd.concat(list(_search_batches(slices, qs["query_id"].tolist(), matrix, k)))
+            slices = (cs.slice(i, 8192).to_pandas() for i in range(0, cs.num_rows, 8192))
+            found = [pa.Table.from_pandas(f, schema=target, preserve_index=False) for f in _search_batches(slices, qs["query_id"].to_pylist(), matrix, k)]
+            return pa.concat_tables(found).combine_chunks()
 
-        partial = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(meet, schema)
+        partial = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(meet, schema)
     return rank_hits(partial, "query_id", "id", "score", k)
 
 
