@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat, decontaminate, fingerprints
+from millrace.llm import chat, decontaminate, fingerprints, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -59,3 +60,8 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)""")
 def op10(spark: SparkSession, directory: str) -> DataFrame:
     return decontaminate.report(read(spark, directory, "documents"), read(spark, directory, "benchmark"))
+
+
+@registered("op6_packing")
+def op6(spark: SparkSession, directory: str) -> DataFrame:
+    return packing.pack(read(spark, directory, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
