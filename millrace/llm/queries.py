@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat, decontaminate, fingerprints, packing
+from millrace.llm import chat, decontaminate, fingerprints, huffman, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -65,3 +65,8 @@ def op10(spark: SparkSession, directory: str) -> DataFrame:
 @registered("op6_packing")
 def op6(spark: SparkSession, directory: str) -> DataFrame:
     return packing.pack(read(spark, directory, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+
+
+@registered("op2_token_store")
+def op2(spark: SparkSession, directory: str) -> DataFrame:
+    return huffman.round_trip(read(spark, directory, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
