@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat, decontaminate, fingerprints, huffman, packing
+from millrace.llm import chat, decontaminate, fingerprints, huffman, packing, spans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -70,3 +70,16 @@ def op6(spark: SparkSession, directory: str) -> DataFrame:
 @registered("op2_token_store")
 def op2(spark: SparkSession, directory: str) -> DataFrame:
     return huffman.round_trip(read(spark, directory, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+@registered("op9_substring_dedup", sql="""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+ g AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 34)) AS i FROM d WHERE len(w) >= 35)),
+ r AS (SELECT doc_id, i FROM g JOIN (SELECT s FROM g GROUP BY s HAVING count(*) > 1) USING (s)),
+ c AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 34)) AS p FROM r),
+ k AS (SELECT doc_id, list(p) AS ps, count(*) AS n_removed FROM c GROUP BY 1),
+ u AS (SELECT d.doc_id, w, n_removed, unnest(generate_series(1, len(w))) AS p FROM d LEFT JOIN k USING (doc_id) WHERE len(w) > 0),
+ t AS (SELECT u.doc_id, string_agg(w[u.p], ' ' ORDER BY u.p) AS kept FROM u LEFT JOIN c ON u.doc_id = c.doc_id AND u.p = c.p WHERE c.p IS NULL GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id) LEFT JOIN t USING (doc_id)""")
+def op9(spark: SparkSession, directory: str) -> DataFrame:
+    return spans.report(read(spark, directory, "documents"))
