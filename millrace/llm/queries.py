@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat, decontaminate, fingerprints, huffman, packing, spans
+from millrace.llm import chat, decontaminate, fingerprints, huffman, language, packing, spans, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -83,3 +83,20 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_
 FROM d LEFT JOIN k USING (doc_id) LEFT JOIN t USING (doc_id)""")
 def op9(spark: SparkSession, directory: str) -> DataFrame:
     return spans.report(read(spark, directory, "documents"))
+
+
+@registered("op4_language")
+def op4(spark: SparkSession, directory: str) -> DataFrame:
+    return language.report(read(spark, directory, "documents"))
+
+
+#: The rules of this query.
+URL_RULES = [
+    urls.Rule("allow", "com", "/"), urls.Rule("block", "example.com", "/en/"), urls.Rule("allow", "www.example.com", "/en/"),
+    urls.Rule("block", "net", "/es/"), urls.Rule("block", "net", "/fr/"),
+]
+
+
+@registered("op7_url_filter")
+def op7(spark: SparkSession, directory: str) -> DataFrame:
+    return urls.judge(read(spark, directory, "pages"), URL_RULES)
