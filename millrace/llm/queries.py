@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat, decontaminate, fingerprints, huffman, language, packing, spans, urls
+from millrace.llm import chat, decontaminate, fingerprints, huffman, language, packing, pitmanyor, spans, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -100,3 +100,8 @@ URL_RULES = [
 @registered("op7_url_filter")
 def op7(spark: SparkSession, directory: str) -> DataFrame:
     return urls.judge(read(spark, directory, "pages"), URL_RULES)
+
+
+@registered("op3_pitman_yor")
+def op3(spark: SparkSession, directory: str) -> DataFrame:
+    return pitmanyor.score(read(spark, directory, "documents"))
