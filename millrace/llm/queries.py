@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat, decontaminate, fingerprints, huffman, language, packing, pitmanyor, spans, urls
+from millrace.llm import chat, decontaminate, fingerprints, huffman, jaccard, language, packing, pitmanyor, spans, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -105,3 +105,8 @@ def op7(spark: SparkSession, directory: str) -> DataFrame:
 @registered("op3_pitman_yor")
 def op3(spark: SparkSession, directory: str) -> DataFrame:
     return pitmanyor.score(read(spark, directory, "documents"))
+
+
+@registered("op1_jaccard_join")
+def op1(spark: SparkSession, directory: str) -> DataFrame:
+    return jaccard.report(read(spark, directory, "documents"))
