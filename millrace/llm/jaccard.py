@@ -37,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.bitmaps import bitmap, marked
@@ -480,3 +480,20 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule
     least = linked.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("key").alias("least"))
     named = linked.join(least, "root", "left")
     return named.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("least", "key").alias("component_id"), F.col("class").alias("class_id"))
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule | None = None) -> DataFrame:
+    """The rows of ``docs``, columns as they were, that have the smallest id of their component (of
+    equal ids the one with the smallest digest); of rows with equal id and text one. Rows with an
+    empty set all stay, but for such repetitions."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    digest = F.unhex(F.md5(F.concat_ws("\x00", F.coalesce(F.col(key).cast("string"), F.lit("")), body)))
+    named = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), digest.alias("digest"))
+    source = docs.select(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), digest.alias("digest")).alias("name"), F.col(text).alias("body"))
+    linked = cut_lineage(link(source, "name", "body", rule), "linked")
+    alone = linked.filter(F.col("root").isNull()).select("key.digest")
+    least = linked.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("key").alias("key")).select("key.digest")
+    kept = alone.unionByName(least).distinct()
+    once = Window.partitionBy("digest").orderBy("digest")
+    rows = named.join(kept, "digest", "left_semi").withColumn("at", F.row_number().over(once)).filter(F.col("at") == 1)
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -18,8 +18,7 @@ the words of the text itself are cut there.
 
 Hot paths cost no more than others: counts combine before they move, and the joins that carry one
 row an occurrence have a single row of the path on the other side, which Spark may split and copy.
-Minimizers that cannot repeat are recognised in the second scan by a bitmap of fixed size
-(``FILTER_BITS``); a false positive only moves a row that the join then drops.
+Minimizers that cannot repeat are recognised in the second scan by a bitmap of fixed size; a false positive only moves a row that the join then drops.
 
 Words stand as 64-bit hashes; two different paths are taken for one only if both the minimizer's and
 the path's hashes agree.
@@ -36,16 +35,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.texts import PLAIN, binary_column, find_words, run_hashes, slices
+from millrace.llm.bitmaps import bitmap, marked
+from millrace.llm.texts import PLAIN, find_words, run_hashes, slices
 from millrace.session import cut_lineage
 
 WINDOW = 35
 SEED = 12
-FILTER_BITS = 1 << 25
-_CHUNK_LOG2 = 15
 
 
 class Paths:
@@ -103,36 +101,14 @@ def _list_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"minimizer": _signed(found.minimizer), "path": _signed(found.path)})
 
 
-def _slot(minimizer: Column) -> Column:
-    return F.pmod(minimizer, F.lit(FILTER_BITS))
-
-
-def bitmap(keys: DataFrame, column: str) -> np.ndarray:
-    """A bitmap of fixed size with a bit for every value; the driver sees ``FILTER_BITS`` bits at most."""
-    slot = keys.select(_slot(F.col(column)).alias("slot"))
-    chunk = F.shiftright("slot", _CHUNK_LOG2).cast("int")
-    rows = slot.groupBy(chunk.alias("chunk")).agg(
-        F.bitmap_construct_agg(F.col("slot").bitwiseAND(F.lit((1 << _CHUNK_LOG2) - 1))).alias("bits")
-    ).collect()
-    out = np.zeros((FILTER_BITS >> _CHUNK_LOG2, 1 << (_CHUNK_LOG2 - 3)), np.uint8)
-    for row in rows:
-        out[row.chunk] = np.frombuffer(row.bits, np.uint8)
-    return out.ravel()
-
-
-def _marked(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    slot = np.mod(values.view(np.int64), FILTER_BITS)
-    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
-
-
 def _place_paths(repeated: np.ndarray, branching: np.ndarray):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in slices(batch, "text"):
                 found = Paths(data, offsets)
-                keep = np.flatnonzero(_marked(repeated, found.minimizer))
+                keep = np.flatnonzero(marked(repeated, found.minimizer))
                 first, last, minimizer = found.first[keep], found.last[keep], found.minimizer[keep]
-                opened = _marked(branching, minimizer)
+                opened = marked(branching, minimizer)
                 hashes, ends = found.windows(first[opened], last[opened])
                 begin = np.zeros(len(keep) + 1, np.int64)
                 begin[1:] = np.cumsum(np.where(opened, last - first + 1, 0))
@@ -229,3 +205,15 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """Per row: words, removed words and the digest of what is kept."""
     cut = cut_repeats(docs.select(key, text), key, text)
     return cut.select(F.col(f"row.{key}").alias(key), "n_words", "n_removed", "kept_sha256")
+
+
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str = "n_chars") -> DataFrame:
+    """``docs`` with its columns, where texts that have repeated words are their kept words joined by
+    one blank; a column named ``length`` follows. Other texts stay as they are, and no row goes."""
+    cut = cut_repeats(docs, key, text)
+    changed = F.col("n_removed") > 0
+    own = {c: F.col("row").getField(c) for c in docs.columns if c != text}
+    own[text] = F.when(changed, F.col("kept")).otherwise(F.col("text"))
+    if length in own and length != text:
+        own[length] = F.when(changed, F.length("kept").cast(docs.schema[length].dataType)).otherwise(own[length])
+    return cut.select(*[own[c].alias(c) for c in docs.columns])
