@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.texts import binary_column, slices, worker_memory
 
@@ -250,7 +251,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Every row of ``docs`` as ``row`` (a struct without the text) and ``text``, with ``lang_pred`` and ``score``."""
     rest = [F.col(c) for c in docs.columns if c != text]
     rows = docs.select(F.struct(*(rest or [F.lit(1).alias("none")])).alias("row"), F.col(text).alias("text"))
-    return rows.mapInArrow(_judge(model), f"row {rows.schema['row'].dataType.simpleString()}, text string, lang_pred string, score double")
+    out = T.StructType([rows.schema["row"], T.StructField("text", T.StringType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(_judge(model), out)
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", held_out: int = 0) -> DataFrame:

@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.bitmaps import bitmap, marked
 from millrace.llm.texts import PLAIN, find_words, run_hashes, slices
@@ -197,8 +198,9 @@ def cut_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     digest = F.unhex(F.md5(F.concat_ws("\x00", F.coalesce(F.col(key).cast("string"), F.lit("")), body)))
     rows = docs.select(digest.alias("key"), F.struct(*rest).alias("row"), F.col(text).alias("text"))
     joined = rows.join(repeated_spans(docs, key, text), "key", "left").select("row", "text", "spans")
-    out = f"row {rows.schema['row'].dataType.simpleString()}, text string, n_words bigint, n_removed bigint, kept string, kept_sha256 string"
-    return joined.mapInArrow(_cut, out)
+    counts = [T.StructField(c, T.LongType()) for c in ("n_words", "n_removed")]
+    texts = [T.StructField(c, T.StringType()) for c in ("kept", "kept_sha256")]
+    return joined.mapInArrow(_cut, T.StructType([rows.schema["row"], T.StructField("text", T.StringType()), *counts, *texts]))
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
