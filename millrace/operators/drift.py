@@ -66,6 +66,13 @@ def top_values(df: DataFrame, columns: list[str], k: int = 5) -> DataFrame:
     return best.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("column_name")))
 
 
+def category_shares(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Every value per column with its share among the column's known values."""
+    counts = unpivot_text(df, columns).filter(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    totals = counts.groupBy("column_name").agg(F.sum("n").alias("__all"))
+    return counts.join(totals, "column_name").withColumn("share", F.col("n") / F.col("__all")).drop("__all")
+
+
 def numeric_drift(base: DataFrame, current: DataFrame, threshold: float = 0.2) -> DataFrame:
     """Rows (column_name, metric, baseline, current, change_pct, drift) from two numeric profiles."""
     metrics = ["mean", "std", "min", "max"]
@@ -83,7 +90,7 @@ def numeric_drift(base: DataFrame, current: DataFrame, threshold: float = 0.2) -
 
 
 def categorical_drift(base: DataFrame, current: DataFrame, threshold: float = 0.1) -> DataFrame:
-    """One row per column from two ``top_values`` frames: the largest shift in points, new and
+    """One row per column from two ``category_shares`` frames: the largest shift in points, new and
     missing categories, and a true boolean for drift (stated intent; category sets never leak out
     in its place)."""
     key = F.struct("column_name", "value").alias("category")

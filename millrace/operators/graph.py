@@ -109,18 +109,21 @@ def lineage_edges(jobs: DataFrame) -> DataFrame:
     return jobs.select(F.explode("inputs").alias("input"), "outputs").select("input", F.explode("outputs").alias("output")).distinct()
 
 
-def impact(starts: DataFrame, edges: DataFrame, max_depth: int = 8) -> DataFrame:
+def impact(starts: DataFrame, edges: DataFrame, max_depth: int | None = None) -> DataFrame:
     """(start, dataset, depth): everything downstream, at its shortest depth.
 
-    A dataset is visited once per start, so a cycle ends by itself; each round is written out,
-    which keeps the plan flat and survives lost executors.
+    The walk goes on until nothing new is reached. A dataset is visited once per start, so a cycle
+    ends by itself; each round is written out, which keeps the plan flat and survives lost
+    executors. With ``max_depth`` a deeper lineage is an error, never a shorter answer.
     """
     frontier = starts.select("start").distinct().withColumn("dataset", F.col("start"))
-    seen = frontier.withColumn("depth", F.lit(0))
-    for depth in range(1, max_depth + 1):
+    seen, depth = frontier.withColumn("depth", F.lit(0)), 0
+    while True:
+        depth += 1
         steps = frontier.join(edges, F.col("dataset") == F.col("input")).select("start", F.col("output").alias("dataset")).distinct()
         frontier = cut_lineage(steps.join(seen.select("start", "dataset"), ["start", "dataset"], "left_anti"), "impact")
         if frontier.isEmpty():
-            break
+            return seen.filter(F.col("depth") > 0)
+        if max_depth is not None and depth > max_depth:
+            raise ValueError(f"lineage is deeper than {max_depth}")
         seen = seen.unionByName(frontier.withColumn("depth", F.lit(depth)))
-    return seen.filter(F.col("depth") > 0)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import tokens
-from millrace.operators.ordered import number_rows
+from millrace.operators.ordered import number_values
 from millrace.operators.vectorsearch import rank_hits
 
 POSTINGS = "doc {key}, term string, tf long, doc_len long"
@@ -89,10 +89,7 @@ def tfidf_vectors(index: KeywordIndex, indexed: bool = True) -> DataFrame:
     n = index.documents.agg(F.count(F.lit(1)).alias("n")).scalar()
     terms = index.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     if indexed:
-        # The first bytes of a term as a number keep its place in the order.
-        prefix = F.conv(F.rpad(F.substring(F.hex(F.col("term").cast("binary")), 1, 12), 12, "0"), 16, 10).cast("long")
-        terms = number_rows(terms.withColumn("__p", prefix), [], "__p", ["term"], name="__no")
-        terms = terms.withColumn("term_index", F.col("__no") - 1).drop("__no", "__p")
+        terms = number_values(terms, "term", "term_index")
     terms = terms.withColumn("__n", n).withColumn("idf", F.ln((1 + F.col("__n")) / (1 + F.col("df"))) + 1)
     weights = index.postings.join(terms, "term").withColumn("__w", F.col("tf") * F.col("idf"))
     norms = weights.groupBy(F.col("doc").alias("__d")).agg(F.sqrt(F.sum(F.col("__w") * F.col("__w"))).alias("__norm"))

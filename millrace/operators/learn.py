@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
@@ -13,7 +14,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import number_rows
+from millrace.operators.ordered import number_values
 from millrace.operators.select import hash_share, right_closed_bins
 
 
@@ -33,14 +34,9 @@ def standardise(df: DataFrame, columns: list[str], statistics: dict[str, tuple[f
 
 
 def alphabetical_codes(df: DataFrame, column: str) -> DataFrame:
-    """(value, code) in byte order of the value, codes from 0, NULL standing as "None".
-
-    The first bytes as a number keep a value's place, so codes are numbered in parallel.
-    """
+    """(value, code) in byte order of the value, codes from 0, NULL standing as "None"."""
     values = df.select(F.coalesce(F.col(column).cast("string"), F.lit("None")).alias("value")).distinct()
-    prefix = F.conv(F.rpad(F.substring(F.hex(F.col("value").cast("binary")), 1, 12), 12, "0"), 16, 10).cast("long")
-    numbered = number_rows(values.withColumn("__p", prefix), [], "__p", ["value"], name="__no")
-    return numbered.select("value", (F.col("__no") - 1).alias("code"))
+    return number_values(values, "value", "code")
 
 
 def label_encode(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -62,18 +58,25 @@ def train_test(df: DataFrame, key: str, test_share: float = 0.2, seed: int = 42)
     return df.filter(~test), df.filter(test)
 
 
-def random_forest(trees: int = 100, depth: int = 10, seed: int = 42) -> RandomForestClassifier:
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, labelCol="label", featuresCol="features")
+# The deepest tree the library grows: what "no limit" means here.
+DEEPEST = 30
+
+
+def random_forest(trees: int = 100, depth: int | None = 10, seed: int = 42, split: int = 2) -> RandomForestClassifier:
+    """``split`` rows are needed to split a node; each side of a split then keeps half of them at least."""
+    return RandomForestClassifier(
+        numTrees=trees, maxDepth=DEEPEST if depth is None else depth, minInstancesPerNode=max(1, split // 2), seed=seed, labelCol="label", featuresCol="features"
+    )
 
 
-def families(binary: bool = True, trees: int = 20) -> dict[str, Estimator]:
+def families(binary: bool = True, trees: int = 100, iterations: int = 1000) -> dict[str, Estimator]:
     """Comparable model families. Boosted trees and the linear SVM are binary, so more classes go one against the rest."""
-    boosted = GBTClassifier(maxIter=10, maxDepth=3, seed=42, labelCol="label")
-    margin = LinearSVC(maxIter=50, labelCol="label")
+    boosted = GBTClassifier(maxIter=trees, maxDepth=3, seed=42, labelCol="label")
+    margin = LinearSVC(maxIter=iterations, labelCol="label")
     wrap = (lambda c: c) if binary else (lambda c: OneVsRest(classifier=c, labelCol="label"))
     return {
-        "random_forest": random_forest(trees, 5), "gradient_boosting": wrap(boosted),
-        "logistic_regression": LogisticRegression(maxIter=100, labelCol="label"), "linear_svm": wrap(margin),
+        "random_forest": random_forest(trees), "gradient_boosting": wrap(boosted),
+        "logistic_regression": LogisticRegression(maxIter=iterations, labelCol="label"), "linear_svm": wrap(margin),
     }
 
 
@@ -82,10 +85,23 @@ def fit(estimator: Estimator, train: DataFrame, columns: list[str]) -> PipelineM
 
 
 def quality(model: Model, test: DataFrame) -> dict[str, float]:
-    scored = model.transform(test)
-    multi = MulticlassClassificationEvaluator(labelCol="label")
-    names = ("accuracy", "weightedPrecision", "weightedRecall", "f1")
-    return {n: multi.evaluate(scored, {multi.metricName: n}) for n in names}
+    """Accuracy and the class-weighted precision, recall and F1, from one pass that counts (label, prediction)."""
+    counts = model.transform(test).groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n")).collect()
+    total = sum(r.n for r in counts)
+    hits = {r.label: r.n for r in counts if r.label == r.prediction}
+    actual, called = Counter(), Counter()
+    for r in counts:
+        actual[r.label] += r.n
+        called[r.prediction] += r.n
+    out = dict.fromkeys(("accuracy", "weightedPrecision", "weightedRecall", "f1"), 0.0)
+    for label, n in actual.items():
+        hit, share = hits.get(label, 0), n / total
+        precision, recall = hit / called[label] if called[label] else 0.0, hit / n
+        out["accuracy"] += hit / total
+        out["weightedPrecision"] += share * precision
+        out["weightedRecall"] += share * recall
+        out["f1"] += share * (2 * precision * recall / (precision + recall) if hit else 0.0)
+    return out
 
 
 def compare_families(train: DataFrame, test: DataFrame, columns: list[str], models: dict[str, Estimator]) -> DataFrame:
@@ -97,18 +113,18 @@ def compare_families(train: DataFrame, test: DataFrame, columns: list[str], mode
     return train.sparkSession.createDataFrame(rows, "model string, accuracy double, f1 double")
 
 
-# The grid of a small search, as (trees, depth).
-SEARCH_GRID = [(10, 2), (50, 3), (100, 5), (100, 10), (200, None)]
+# The grid of a small search, as (trees, depth, rows needed to split).
+SEARCH_GRID = [(10, 3, 2), (50, 5, 2), (100, 10, 5), (200, None, 2), (100, 5, 10)]
 
 
-def grid_search(train: DataFrame, test: DataFrame, columns: list[str], grid: list[tuple[int, int | None]] = SEARCH_GRID) -> DataFrame:
+def grid_search(train: DataFrame, test: DataFrame, columns: list[str], grid: list[tuple[int, int | None, int]] = SEARCH_GRID) -> DataFrame:
     """Accuracy of every configuration in grid order, the first best one marked."""
     rows = []
-    for i, (trees, depth) in enumerate(grid):
-        accuracy = quality(fit(random_forest(trees, depth or 10), train, columns), test)["accuracy"]
-        rows.append((i, trees, depth, float(accuracy)))
-    best = max(rows, key=lambda r: (r[3], -r[0]))[0]
-    return train.sparkSession.createDataFrame([(*r, r[0] == best) for r in rows], "config int, trees int, depth int, accuracy double, best boolean")
+    for i, (trees, depth, split) in enumerate(grid):
+        accuracy = quality(fit(random_forest(trees, depth, split=split), train, columns), test)["accuracy"]
+        rows.append((i, trees, depth, split, float(accuracy)))
+    best = max(rows, key=lambda r: (r[4], -r[0]))[0]
+    return train.sparkSession.createDataFrame([(*r, r[0] == best) for r in rows], "config int, trees int, depth int, split int, accuracy double, best boolean")
 
 
 def cross_validate(df: DataFrame, key: str, columns: list[str], estimator: Estimator, grid: list | None = None, folds: int = 5, parallelism: int = 2):

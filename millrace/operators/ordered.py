@@ -92,6 +92,19 @@ def number_rows(
     return counted.drop("__one").withColumn(name, F.col(name) + 1)
 
 
+def number_values(df: DataFrame, value: str, name: str, first: int = 0) -> DataFrame:
+    """Number rows by ``value``, from ``first``, on its full length: one range exchange, counts of the
+    ranges, and numbers inside each. ``value`` holds each value once."""
+    ranged = df.repartitionByRange(max(16, 4 * shuffle_width(df.sparkSession)), value).withColumn("__range", F.spark_partition_id())
+    written = cut_lineage(ranged, "ranges")
+    counts = written.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
+    inside = Window.partitionBy("__range").orderBy(value)
+    numbered = written.withColumn("__at", F.row_number().over(inside)).join(bases, "__range")
+    return numbered.select(*df.columns, (F.col("__at") + F.col("__base") + (first - 1)).alias(name))
+
+
 def with_preceding(df: DataFrame, keys: list[str], row_no: str, width: int, block: int = 4096) -> tuple[DataFrame, object]:
     """Cut each numbered key into blocks, copying the last ``width`` rows of a block into the next.
 

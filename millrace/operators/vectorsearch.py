@@ -3,22 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from millrace.operators.select import newest_per_key
+from millrace.session import cut_lineage
 
-# A query table up to this many cells (rows times dimensions) travels to every task.
-BROADCAST_CELLS = 8_000_000
-# Beyond that, queries go in blocks of this many rows and meet chunks in blocks of that many.
-QUERY_BLOCK = 4096
-CHUNK_BLOCK = 100_000
+# Numbers (rows times dimensions) of a block of queries, about: what travels to every task.
+BROADCAST_CELLS = 4_000_000
 # Scores held at once: this many queries against one batch of chunks.
 TILE = 512
 
@@ -62,6 +59,19 @@ def _search_batches(batches: Iterator[pd.DataFrame], query_ids: list, queries: n
             yield pd.DataFrame({"query_id": asked, "id": kept, "score": scores[q]})
 
 
+def vector_dimension(chunks: DataFrame, vector: str) -> int:
+    """The length most of a table's vectors have; 0 for a table without vectors."""
+    sizes = chunks.filter(F.col(vector).isNotNull()).groupBy(F.size(vector).alias("size")).agg(F.count(F.lit(1)).alias("n"))
+    row = sizes.agg(F.max_by("size", F.struct("n", "size"))).first()
+    return row[0] or 0
+
+
+def rejected_vectors(df: DataFrame, key: str, vector: str, dimensions: int) -> DataFrame:
+    """(key, size) of the rows a search cannot use: no vector (size NULL) or one of another length."""
+    size = F.when(F.col(vector).isNotNull(), F.size(vector))
+    return df.select(key, size.alias("size")).filter(F.col("size").isNull() | (F.col("size") != dimensions))
+
+
 def cosine_top_k(
     queries: DataFrame,
     chunks: DataFrame,
@@ -75,24 +85,25 @@ def cosine_top_k(
 ) -> DataFrame:
     """The ``k`` highest cosines per query as (query_id, id, score, rank), the smaller id first on ties.
 
-    Each task keeps its own top-k per query, so at most k rows per query and task are shuffled.
-    A query table of checked size is sent to the tasks and the chunk table is read in place.
-    A larger one is cut into blocks that meet chunk blocks by an equi-join key; ``blocks``
-    forces that path. Vectors that are NULL or of another length are left out.
+    Queries travel in blocks of at most ``BROADCAST_CELLS`` numbers and the chunk table is read in
+    place, once a block; each task keeps its own top-k per query, so at most k rows per query and
+    task are shuffled. ``blocks`` asks for more blocks than that. Vectors are as long as most of the
+    chunk table's, or ``dimensions``; see ``rejected_vectors`` for rows that are not.
     """
+    size = dimensions or vector_dimension(chunks, chunk_vector)
     q = queries.filter(F.col(query_vector).isNotNull()).select(F.col(query_id).alias("query_id"), F.col(query_vector).cast("array<double>").alias("v"))
-    size = dimensions or q.agg(F.max(F.size("v"))).first()[0] or 0
     q = q.filter(F.size("v") == size)
     c = chunks.filter(F.col(chunk_vector).isNotNull() & (F.size(chunk_vector) == size)).select(
         F.col(chunk_id).alias("id"), F.col(chunk_vector).cast("array<float>").alias("v")
     )
-    bound = max(1, BROADCAST_CELLS // max(size, 1))
-    if blocks is None:
-        held = q.limit(bound + 1).count()
-        blocks = 0 if held <= bound else -1
     schema = T.StructType([q.schema["query_id"], c.schema["id"], T.StructField("score", T.DoubleType())])
-    if blocks == 0:
-        rows = q.orderBy("query_id").collect()
+    held = max(1, BROADCAST_CELLS // max(size, 1))
+    count = max(blocks or 1, -(-q.count() // held))
+    if count > 1:
+        q = cut_lineage(q.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(count))), "queries")
+
+    def against(block: DataFrame) -> DataFrame:
+        rows = block.orderBy("query_id").collect()
         query_ids = [r["query_id"] for r in rows]
         matrix = _unit(np.array([r["v"] for r in rows], dtype="float64").reshape(len(rows), size))
         shared = chunks.sparkSession.sparkContext.broadcast((query_ids, matrix))
@@ -100,25 +111,11 @@ def cosine_top_k(
         def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield from _search_batches(batches, *shared.value, k)
 
-        partial = c.mapInPandas(search, schema)
-    else:
-        n_query = blocks if blocks > 0 else max(1, -(-q.count() // QUERY_BLOCK))
-        n_chunk = max(2, -(-c.count() // CHUNK_BLOCK))
-        spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-        left = q.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(n_query))).withColumn("cb", spread(n_chunk))
-        right = c.withColumn("cb", F.pmod(F.xxhash64("id"), F.lit(n_chunk))).withColumn("qb", spread(n_query))
-
-        target = to_arrow_schema(schema)
-
-        def meet(qs: pa.Table, cs: pa.Table) -> pa.Table:
-            if not qs.num_rows or not cs.num_rows:
-                return target.empty_table()
-            matrix = _unit(np.stack(qs["v"].to_numpy()).astype("float64"))
-            slices = (cs.slice(i, 8192).to_pandas() for i in range(0, cs.num_rows, 8192))
-            found = [pa.Table.from_pandas(f, schema=target, preserve_index=False) for f in _search_batches(slices, qs["query_id"].to_pylist(), matrix, k)]
-            return pa.concat_tables(found).combine_chunks()
-
-        partial = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(meet, schema)
+        return c.mapInPandas(search, schema)
+
+    if count == 1:
+        return rank_hits(against(q), "query_id", "id", "score", k)
+    partial = reduce(DataFrame.unionByName, [against(q.filter(F.col("block") == i).drop("block")) for i in range(count)])
     return rank_hits(partial, "query_id", "id", "score", k)
 
 

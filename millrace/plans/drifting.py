@@ -13,16 +13,20 @@ CUT = "1999-01-01"
 COLUMNS = ["l_quantity", "l_extendedprice", "moved", "spread"]
 
 
-def halves(t):
-    """Two frames; ``moved`` grows and ``spread`` widens with the years."""
+def lines(t):
+    """``moved`` grows and ``spread`` widens with the years."""
     year = F.year("l_shipdate")
-    rows = t.lineitem.select(
+    return t.lineitem.select(
         "l_shipdate", "l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice",
         (F.col("l_quantity") + (year - 1995) * 4).alias("moved"),
         (F.col("l_discount") * (year - 1990)).alias("spread"),
         F.concat(F.lit("y"), F.greatest(year, F.lit(1998)).cast("string")).alias("era"),
     )
-    cut = F.lit(CUT).cast("timestamp")
+
+
+def halves(t):
+    """The lines before and after the cut."""
+    rows, cut = lines(t), F.lit(CUT).cast("timestamp")
     return rows.filter(F.col("l_shipdate") < cut), rows.filter(F.col("l_shipdate") >= cut)
 
 
@@ -35,26 +39,27 @@ PROFILE = f"""{HALVES}, profile AS (SELECT side, column_name, count(value) AS co
   list_sort(list(value))[floor(count(value) * 0.25)::INT + 1] AS p25, list_sort(list(value))[floor(count(value) * 0.75)::INT + 1] AS p75 FROM cells GROUP BY 1, 2)"""
 
 
-@query("d01_numeric_profile", "D1", sql=f"WITH {PROFILE} SELECT * EXCLUDE (side), NULL::VARCHAR AS error FROM profile WHERE side = 'b'")
+@query("d01_numeric_profile", "D1", sql=f"WITH {PROFILE.replace('SELECT side, column_name, count(value)', 'SELECT column_name, count(value)').replace('FROM cells GROUP BY 1, 2)', 'FROM cells GROUP BY 1)')} SELECT *, NULL::VARCHAR AS error FROM profile")
 def _(t):
-    return d.numeric_profile(halves(t)[0], COLUMNS)
+    return d.numeric_profile(lines(t), COLUMNS)
 
 
 TOPS = """tops AS (SELECT side, column_name, value, n, n / sum(n) OVER (PARTITION BY side, column_name) AS share FROM (
   SELECT side, column_name, value, count(*) AS n FROM (SELECT side, unnest(['l_returnflag', 'l_linestatus', 'era']) AS column_name, unnest([l_returnflag, l_linestatus, era]) AS value FROM lines) GROUP BY 1, 2, 3
   QUALIFY row_number() OVER (PARTITION BY side, column_name ORDER BY count(*) DESC, value) <= 5))"""
 TEXT_COLUMNS = ["l_returnflag", "l_linestatus", "era"]
+SHARES = TOPS.replace("tops AS", "shares AS").replace("\n  QUALIFY row_number() OVER (PARTITION BY side, column_name ORDER BY count(*) DESC, value) <= 5", "")
 
 
 @query("d02_categorical_profile", "D2", sql=f"""WITH {HALVES} SELECT column_name, count(value) AS count, count(*) - count(value) AS null_count, count(DISTINCT value) AS unique_count
-FROM (SELECT side, unnest(['l_returnflag', 'l_linestatus', 'era']) AS column_name, unnest([l_returnflag, l_linestatus, era]) AS value FROM lines) WHERE side = 'c' GROUP BY 1""")
+FROM (SELECT side, unnest(['l_returnflag', 'l_linestatus', 'era']) AS column_name, unnest([l_returnflag, l_linestatus, era]) AS value FROM lines) GROUP BY 1""")
 def _(t):
-    return d.categorical_profile(halves(t)[1], TEXT_COLUMNS)
+    return d.categorical_profile(lines(t), TEXT_COLUMNS)
 
 
-@query("d02_top_values", "D2", sql=f"WITH {HALVES}, {TOPS} SELECT column_name, value, n, round(share, 9) AS share FROM tops WHERE side = 'c'")
+@query("d02_top_values", "D2", sql=f"WITH {HALVES}, {TOPS.replace('SELECT side,', 'SELECT').replace('BY side, column_name', 'BY column_name').replace('GROUP BY 1, 2, 3', 'GROUP BY 1, 2')} SELECT column_name, value, n, round(share, 9) AS share FROM tops")
 def _(t):
-    return d.top_values(halves(t)[1], TEXT_COLUMNS).withColumn("share", F.round("share", 9))
+    return d.top_values(lines(t), TEXT_COLUMNS).withColumn("share", F.round("share", 9))
 
 
 @query("d03_numeric_drift", "D3", sql=f"""WITH {PROFILE}, m AS (SELECT side, column_name, unnest(['mean', 'std', 'min', 'max']) AS metric, unnest([mean, std, min, max]) AS v FROM profile),
@@ -65,13 +70,13 @@ def _(t):
     return d.numeric_drift(d.numeric_profile(base, COLUMNS), d.numeric_profile(current, COLUMNS))
 
 
-@query("d04_categorical_drift", "D4", sql=f"""WITH {HALVES}, {TOPS}, j AS (SELECT coalesce(b.column_name, c.column_name) AS column_name, coalesce(b.share, 0) AS b, coalesce(c.share, 0) AS c
- FROM (SELECT * FROM tops WHERE side = 'b') b FULL JOIN (SELECT * FROM tops WHERE side = 'c') c ON b.column_name = c.column_name AND b.value = c.value)
+@query("d04_categorical_drift", "D4", sql=f"""WITH {HALVES}, {SHARES}, j AS (SELECT coalesce(b.column_name, c.column_name) AS column_name, coalesce(b.share, 0) AS b, coalesce(c.share, 0) AS c
+ FROM (SELECT * FROM shares WHERE side = 'b') b FULL JOIN (SELECT * FROM shares WHERE side = 'c') c ON b.column_name = c.column_name AND b.value = c.value)
 SELECT column_name, max(round(abs(c - b) * 100, 2)) AS max_shift, count(*) FILTER (WHERE b = 0) AS new_categories, count(*) FILTER (WHERE c = 0) AS missing_categories,
  max(round(abs(c - b) * 100, 2)) > 10 OR count(*) FILTER (WHERE b = 0 OR c = 0) > 0 AS drift FROM j GROUP BY 1""")
 def _(t):
     base, current = halves(t)
-    return d.categorical_drift(d.top_values(base, TEXT_COLUMNS), d.top_values(current, TEXT_COLUMNS))
+    return d.categorical_drift(d.category_shares(base, TEXT_COLUMNS), d.category_shares(current, TEXT_COLUMNS))
 
 
 PSI = f"""{HALVES}, edges AS (SELECT column_name, unnest(quantile_cont(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS e FROM cells WHERE side = 'b' GROUP BY 1),

@@ -66,7 +66,7 @@ def _(t):
 @query("m06_grid_search", "M6")
 def _(t):
     train, test = ml.train_test(labelled(t), "customer_id")
-    return ml.grid_search(train, test, FEATURES, [(5, 2), (10, 3), (20, 3), (20, 5), (30, 5)])
+    return ml.grid_search(train, test, FEATURES)
 
 
 @query("m07_batch_scoring", "M7", "P6")
@@ -80,7 +80,7 @@ def _(t):
 @query("e09_cross_validation", "E9")
 def _(t):
     data = labelled(t)
-    model = ml.cross_validate(data, "customer_id", FEATURES, ml.random_forest(10, 4))
+    model = ml.cross_validate(data, "customer_id", FEATURES, ml.random_forest())
     return t.spark.createDataFrame([(float(model.avgMetrics[0]), float(model.stdMetrics[0]), 5)], "mean double, std double, folds int")
 
 

@@ -60,7 +60,7 @@ def _(t):
     return tables.list_days(t.events, "ts")
 
 
-@query("s07_day_extract", "S7", sql="SELECT event_id, value FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15' ORDER BY event_id LIMIT 10000")
+@query("s07_day_extract", "S7", sql="SELECT event_id, value FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'")
 def _(t):
     return tables.day_extract(t.events, "ts", "2024-01-15", "event_id").select("event_id", "value")
 
@@ -68,19 +68,19 @@ def _(t):
 def _staged(t):
     root = scratch(t.spark, "staging")
     ddl = "event_id long, value decimal(10,2), created_at timestamp"
-    for batch, day in (("b1", "2024-01-01"), ("b2", "2024-01-09")):
-        kind = "click" if batch == "b1" else "view"
-        tables.stage(t.events.filter(F.col("event_type") == kind).select("event_id", "value"), root, batch, day, "value")
+    early = F.col("event_type").isin("click", "error", "signup")
+    for batch, day, rows in (("b1", "2024-01-01", early), ("b2", "2024-01-09", ~early)):
+        tables.stage(t.events.filter(rows).select("event_id", "value"), root, batch, day, "value")
     return root, ddl
 
 
-@query("s08_staged_append", "S8", sql="""SELECT CASE event_type WHEN 'click' THEN 'b1' ELSE 'b2' END AS batch_id, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(10,2))) AS DOUBLE) AS total FROM events WHERE event_type IN ('click', 'view') GROUP BY 1""")
+@query("s08_staged_append", "S8", sql="""SELECT CASE WHEN event_type IN ('click', 'error', 'signup') THEN 'b1' ELSE 'b2' END AS batch_id, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(10,2))) AS DOUBLE) AS total FROM events GROUP BY 1""")
 def _(t):
     root, ddl = _staged(t)
     return tables.read_staging(t.spark, root, ddl).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.sum("value").cast("double").alias("total"))
 
 
-@query("s09_staging_retention", "S9", sql="SELECT 'b2' AS batch_id, count(*) AS n FROM events WHERE event_type = 'view'")
+@query("s09_staging_retention", "S9", sql="SELECT 'b2' AS batch_id, count(*) AS n FROM events WHERE event_type NOT IN ('click', 'error', 'signup')")
 def _(t):
     root, ddl = _staged(t)
     kept = tables.clean_staging(t.spark, root, ddl, "b1", "2024-01-10", scratch(t.spark, "staging"))

@@ -83,10 +83,11 @@ def list_days(df: DataFrame, ts: str) -> DataFrame:
     return df.groupBy(F.to_date(ts).cast("string").alias("day")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def day_extract(df: DataFrame, ts: str, day: str, key: str, limit: int = 10000) -> DataFrame:
-    """Rows of one day up to a limit, in key order so that the cut repeats."""
+def day_extract(df: DataFrame, ts: str, day: str, key: str, limit: int | None = None) -> DataFrame:
+    """Rows of one day; with a limit, the first ones in key order, so that the cut repeats."""
     start = F.lit(day).cast("timestamp")
-    return df.filter((F.col(ts) >= start) & (F.col(ts) < start + F.expr("interval 1 day"))).orderBy(key).limit(limit)
+    rows = df.filter((F.col(ts) >= start) & (F.col(ts) < start + F.expr("interval 1 day")))
+    return rows if limit is None else rows.orderBy(key).limit(limit)
 
 
 # --- S6, S11: incremental --------------------------------------------------
