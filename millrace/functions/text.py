@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import operator
 from functools import reduce
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -101,20 +102,37 @@ def keyword_coverage(answer: Column, expected: list[str]) -> Column:
 
 # --- HTML ------------------------------------------------------------------
 
-# Named entities that occur in prose; the ampersand comes last so that nothing is unescaped twice.
-ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "copy": "©", "middot": "·", "hellip": "…", "mdash": "—", "ndash": "–", "euro": "€", "amp": "&"}
+# The public table of named character references, as the standard library carries it.
+ENTITIES = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+# Those met most often; looked at before the table.
+_COMMON = ["amp", "lt", "gt", "quot", "nbsp", "apos"]
+_REFERENCE = r"&(?:#[0-9]{1,9}|#[xX][0-9A-Fa-f]{1,8}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def _decoded(reference: Column) -> Column:
+    """The text of one character reference; an unknown name stays as it is, a number that is no
+    character becomes the replacement character."""
+    name = F.substring(reference, F.lit(2), F.length(reference) - 2)
+    is_hex = F.lower(F.substring(name, 2, 1)) == "x"
+    code = F.when(is_hex, F.conv(F.substr(name, F.lit(3)), 16, 10)).otherwise(F.substr(name, F.lit(2))).cast("long")
+    valid = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))
+    number = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+    out = F.when(F.startswith(name, F.lit("#")), number)
+    for common in _COMMON:
+        out = out.when(name == common, F.lit(ENTITIES[common]))
+    table = F.create_map(*[F.lit(x) for entry in ENTITIES.items() for x in entry])
+    return out.otherwise(F.coalesce(F.try_element_at(table, name), reference))
 
 
 def unescape(text: Column) -> Column:
-    """Numeric and common named entities as characters."""
-    def code(entity: Column) -> Column:
-        body = F.regexp_extract(entity, r"^&#(x?)([0-9A-Fa-f]+);$", 2)
-        base = F.when(F.lower(F.substring(entity, 3, 1)) == "x", F.conv(body, 16, 16)).otherwise(F.conv(body, 10, 16))
-        return F.decode(F.unhex(F.lpad(base, 8, "0")), "UTF-32")
-
-    numeric = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#(?:[xX][0-9A-Fa-f]{1,5}|[0-9]{1,6});"), 0))
-    out = F.aggregate(numeric, text, lambda acc, e: F.replace(acc, e, code(e)))
-    return reduce(lambda t, kv: F.replace(t, F.lit(f"&{kv[0]};"), F.lit(kv[1])), ENTITIES.items(), out)
+    """Named and numeric character references as characters, in one pass from left to right, so
+    that nothing is decoded twice."""
+    def put(found: Column) -> Column:
+        gaps = F.split(text, _REFERENCE)
+        return F.array_join(F.zip_with(gaps, found, lambda gap, one: F.concat(gap, F.coalesce(_decoded(one), F.lit("")))), "")
+
+    found = F.regexp_extract_all(text, F.lit(_REFERENCE), 0)
+    return F.when(F.contains(text, F.lit("&")), let(found, put)).otherwise(text)
 
 
 def html_to_text(html: Column) -> Column:

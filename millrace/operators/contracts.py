@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,8 +46,10 @@ _KINDS = "map(" + ", ".join(f"{_text(k)}, {_text(v)}" for k, v in _NAMES.items()
 
 
 def _kind(value: str) -> str:
-    """The kind of a variant; only its outermost level matters."""
-    return f"coalesce(element_at({_KINDS}, substring(schema_of_variant({value}), 1, 3)), 'NoneType')"
+    """The kind of a variant; only its outermost level matters. An integer too long for a long is a
+    decimal without places."""
+    schema = f"schema_of_variant({value})"
+    return f"CASE WHEN {schema} RLIKE '^DECIMAL[(][0-9]+,0[)]$' THEN 'int' ELSE coalesce(element_at({_KINDS}, substring({schema}, 1, 3)), 'NoneType') END"
 
 
 def _rule(rule: dict | None) -> str:
@@ -109,24 +111,30 @@ def validate_events(df: DataFrame, json: str, versions: dict[str, dict] = USER_E
 
 
 def upgrade(validated: DataFrame, json: str) -> DataFrame:
-    """Valid events in v2 form: a v1 event gets source "unknown" and a mark of where it came from."""
-    rows = validated.filter("valid")
+    """Valid events in v2 form: a v1 event gets source "unknown" and a mark of where it came from.
+
+    Values are read as validation saw them: a boolean id is valid there and is 1 or 0 here; an id
+    beyond 64 bits becomes NULL.
+    """
+    rows = validated.filter("valid").withColumn("__v", F.try_parse_json(json))
     old = F.col("schema_version") == "v1"
-    field = lambda name, kind: F.get_json_object(F.col(json), f"$.{name}").cast(kind)
+    field = lambda name, kind: F.try_variant_get("__v", f"$.{name}", kind)
     return rows.withColumns({
         "event_id": field("event_id", "string"), "user_id": field("user_id", "long"), "event_type": field("event_type", "string"),
         "timestamp": field("timestamp", "string"), "source": F.when(old, "unknown").otherwise(field("source", "string")),
         "upgraded_from": F.when(old, "v1"),
-    })
+    }).drop("__v")
 
 
-def split_dead_letters(validated: DataFrame, valid_path: str, dead_path: str) -> None:
-    """Valid rows to one place, invalid rows with errors and version to another.
+def split_dead_letters(validated: DataFrame, root: str) -> None:
+    """Valid and invalid rows in one write, under ``root/valid=true`` and ``root/valid=false``, so every
+    event is judged once. It replaces what an earlier try left."""
+    validated.write.mode("overwrite").partitionBy("valid").parquet(root)
 
-    Both writes replace what an earlier try left.
-    """
-    validated.filter("valid").drop("errors").write.mode("overwrite").parquet(valid_path)
-    validated.filter("NOT valid").write.mode("overwrite").parquet(dead_path)
+
+def read_letters(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """Rows that ``split_dead_letters`` wrote, with their ``valid`` flag; a filter on it prunes the files."""
+    return spark.read.schema(f"{schema}, valid boolean").parquet(root)
 
 
 def triage(df: DataFrame, retries: str = "retry_count", limit: int = 5) -> DataFrame:
@@ -160,7 +168,7 @@ def compatibility(fields: DataFrame, old: str, new: str) -> DataFrame:
         F.when(F.size("added") > 0, F.concat(F.lit("New required fields: "), listed("added"))),
     ))
     return sides.select(
-        (F.size("removed") == 0).alias("backward_compatible"), F.lit(False).alias("forward_compatible"),
+        (F.size("removed") == 0).alias("backward_compatible"), (F.size("added") == 0).alias("forward_compatible"),
         F.array_join(breaking, "; ").alias("breaking_changes"),
         listed("added").alias("new_fields"),
     )

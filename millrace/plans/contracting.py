@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import contracts as c
 from millrace.plans.registry import query
-from millrace.session import scratch, spread
+from millrace.session import cut_lineage, scratch, spread
 
 
 def json_events(t):
@@ -45,20 +45,19 @@ def _(t):
     return out.select("event_id", "schema_version", F.array_join("errors", " | ").alias("errors"), "valid")
 
 
-@query("q20_event_upgrade", "Q20", sql=f"""WITH {VALIDATED} SELECT 'evt_' || e AS event_id, CASE WHEN e % 19 = 0 THEN NULL ELSE user_id END AS user_id, kind AS event_type,
+@query("q20_event_upgrade", "Q20", sql=f"""WITH {VALIDATED} SELECT 'evt_' || e AS event_id, CASE WHEN e % 19 = 0 THEN 1 ELSE user_id END AS user_id, kind AS event_type,
  CASE WHEN newer THEN CASE WHEN e % 4 = 0 THEN 'web' ELSE 'api' END ELSE 'unknown' END AS source, CASE WHEN NOT newer THEN 'v1' END AS upgraded_from FROM checked WHERE len(errors) = 0""")
 def _(t):
     valid = c.validate_events(json_events(t), "body")
-    rows = valid.withColumn("body", F.regexp_replace("body", '"user_id": true', '"user_id": null'))
-    return c.upgrade(rows, "body").select("event_id", "user_id", "event_type", "source", "upgraded_from")
+    return c.upgrade(valid, "body").select("event_id", "user_id", "event_type", "source", "upgraded_from")
 
 
 @query("q21_dead_letters", "Q21", sql=f"WITH {VALIDATED} SELECT CASE WHEN len(errors) = 0 THEN 'valid' ELSE 'dead' END AS side, schema_version, count(*) AS n FROM checked GROUP BY 1, 2")
 def _(t):
     root = scratch(t.spark, "letters")
-    c.split_dead_letters(c.validate_events(json_events(t), "body"), f"{root}/valid", f"{root}/dead")
-    read = lambda side: t.spark.read.schema("event_id long, body string, schema_version string").parquet(f"{root}/{side}").withColumn("side", F.lit(side))
-    return read("valid").unionByName(read("dead")).groupBy("side", "schema_version").agg(F.count(F.lit(1)).alias("n"))
+    c.split_dead_letters(c.validate_events(json_events(t), "body"), root)
+    read = c.read_letters(t.spark, root, "event_id long, body string, schema_version string")
+    return read.groupBy(F.when(F.col("valid"), "valid").otherwise("dead").alias("side"), "schema_version").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("q21_error_counts", "Q19", "Q21", sql=f"WITH {VALIDATED} SELECT schema_version, unnest(errors) AS error, count(*) AS n FROM checked GROUP BY 1, 2")
@@ -73,10 +72,22 @@ def _(t):
     return c.triage(letters).groupBy("action").agg(F.count(F.lit(1)).alias("n"), F.sum("retry_count").alias("retries"))
 
 
-@query("q23_schema_compatibility", "Q23", sql="""SELECT true AS backward_compatible, false AS forward_compatible, 'New required fields: source' AS breaking_changes, 'source' AS new_fields FROM events HAVING count(*) > 0""")
+@query("q23_schema_compatibility", "Q23", sql="""WITH e AS (SELECT CASE WHEN event_id % 2 = 0 THEN 'v2' ELSE 'v1' END AS version, list_filter(['event_id', CASE WHEN event_id % 11 <> 0 THEN 'user_id' END, 'event_type',
+  CASE WHEN event_id % 29 <> 0 THEN 'timestamp' END, CASE WHEN event_id % 2 = 0 THEN 'source' END, CASE WHEN event_id % 31 = 0 THEN 'metadata' END], lambda x: x IS NOT NULL) AS fields FROM events),
+ n AS (SELECT version, count(*) AS n FROM e GROUP BY 1),
+ f AS (SELECT version, field, count(*) AS n FROM (SELECT version, unnest(fields) AS field FROM e) GROUP BY 1, 2),
+ r AS (SELECT f.version, field FROM f JOIN n USING (version) WHERE f.n = n.n),
+ pairs AS (SELECT * FROM (VALUES ('v1', 'v2'), ('v2', 'v1'), ('v1', 'v1')) v(old, new)),
+ d AS (SELECT old, new, coalesce((SELECT string_agg(field, ', ' ORDER BY field) FROM r WHERE version = old AND field NOT IN (SELECT field FROM r WHERE version = new)), '') AS removed,
+  coalesce((SELECT string_agg(field, ', ' ORDER BY field) FROM r WHERE version = new AND field NOT IN (SELECT field FROM r WHERE version = old)), '') AS added FROM pairs)
+SELECT old, new, removed = '' AS backward_compatible, added = '' AS forward_compatible,
+ concat_ws('; ', CASE WHEN removed <> '' THEN 'Removed required fields: ' || removed END, CASE WHEN added <> '' THEN 'New required fields: ' || added END) AS breaking_changes, added AS new_fields FROM d""")
 def _(t):
     events = json_events(t).withColumn("version", F.when(F.json_object_keys("body").isNotNull() & F.array_contains(F.json_object_keys("body"), "source"), "v2").otherwise("v1"))
-    return c.compatibility(c.observed_fields(events, "body", F.col("version")), "v1", "v2")
+    fields = cut_lineage(c.observed_fields(events, "body", F.col("version")), "fields")
+    pairs = [("v1", "v2"), ("v2", "v1"), ("v1", "v1")]
+    compared = [c.compatibility(fields, old, new).select(F.lit(old).alias("old"), F.lit(new).alias("new"), "*") for old, new in pairs]
+    return compared[0].unionByName(compared[1]).unionByName(compared[2])
 
 
 @query("q24_signature", "Q24", sql="SELECT l_orderkey, CAST(l_quantity AS BIGINT) AS l_quantity, CAST(l_linenumber AS DOUBLE) AS l_linenumber FROM lineitem")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import features as fs
+from millrace.operators.contracts import read_letters
 from millrace.plans.contracting import VALIDATED, json_events
 from millrace.plans.registry import query
 from millrace.plans.relating import PREDICTIONS, predictions
@@ -61,12 +62,18 @@ def _(t):
     return out.withColumn("avg_ms", F.round("avg_ms", 6))
 
 
+@query("x03_query_analytics_batch", "X3", sql=f"WITH {QUERY_LOG} SELECT date_trunc('hour', created_at) AS window_start, tenant_id, count(*) AS queries, round(avg(latency_ms), 6) AS avg_ms, max(latency_ms) AS max_ms FROM query_log GROUP BY 1, 2")
+def _(t):
+    """The same totals over a table, the windows that a stream still holds open included."""
+    return jobs.window_totals(query_log(t)).withColumn("avg_ms", F.round("avg_ms", 6))
+
+
 @query("x04_dead_letter_stream", "X4", sql=f"WITH {VALIDATED} SELECT CASE WHEN len(errors) = 0 THEN 'valid' ELSE 'dead' END AS side, schema_version, count(*) AS n FROM checked GROUP BY 1, 2")
 def _(t):
     root = scratch(t.spark, "x4")
-    jobs.run_to_end(jobs.dead_letter_split(json_events(stream(t)), "body", root, f"{root}/checkpoint"))
-    read = lambda side: t.spark.read.schema("schema_version string").parquet(f"{root}/{side}").select(F.lit(side).alias("side"), "schema_version")
-    return read("valid").unionByName(read("dead")).groupBy("side", "schema_version").agg(F.count(F.lit(1)).alias("n"))
+    jobs.run_to_end(jobs.dead_letter_split(json_events(stream(t)), "body", f"{root}/out", f"{root}/checkpoint"))
+    letters = read_letters(t.spark, f"{root}/out", "schema_version string, batch long")
+    return letters.groupBy(F.when(F.col("valid"), "valid").otherwise("dead").alias("side"), "schema_version").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("x05_feature_push_stream", "X5", "F3", sql="SELECT user_id, max(ts) AS ts, arg_max(value, ts) AS value, arg_max(event_type, ts) AS event_type FROM events GROUP BY 1")
@@ -82,7 +89,7 @@ def _(t):
     root = scratch(t.spark, "x6")
     rows = messages(stream(t))
     jobs.run_to_end(jobs.remember_last(rows, "conv_id", ["ts", "turn"], 20, f"{root}/out", f"{root}/checkpoint"))
-    memory = jobs.remembered(t.spark, f"{root}/out", rows.schema, "conv_id", ["ts", "turn"], 20)
+    memory = jobs.remembered(t.spark, f"{root}/out", rows.schema)
     return jobs.live_sessions(memory, "conv_id", "ts", "2024-01-05 12:00:00").select("conv_id", "turn", "role")
 
 
@@ -110,6 +117,6 @@ def _(t):
     root = scratch(t.spark, "x9")
     rows = predictions(stream(t)).filter(F.col("actual").isNotNull())
     jobs.run_to_end(jobs.remember_last(rows, "model", ["ts", "event_id"], 100, f"{root}/out", f"{root}/checkpoint"))
-    memory = jobs.remembered(t.spark, f"{root}/out", rows.schema, "model", ["ts", "event_id"], 100)
+    memory = jobs.remembered(t.spark, f"{root}/out", rows.schema)
     out = jobs.monitor_report(memory, "model", ["ts", "event_id"], 100)
     return out.withColumns({"accuracy": F.round("accuracy", 9), "max_share": F.round("max_share", 9)})

@@ -20,6 +20,22 @@ def read_all(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(full).parquet(root)
 
 
+def put_version(rows: DataFrame, root: str, version: int) -> None:
+    """A whole state as one version. Two slots take turns, so the version before it stays readable
+    and nothing piles up; a version written again replaces itself."""
+    rows.withColumn("version", F.lit(version).cast("long")).write.mode("overwrite").parquet(f"{root.rstrip('/')}/slot={version % 2}")
+
+
+def read_version(spark: SparkSession, root: str, schema: T.StructType, version: int | None = None) -> DataFrame:
+    """The newest version, or a given one of the last two."""
+    full = T.StructType([*schema.fields, T.StructField("version", T.LongType()), T.StructField("slot", T.IntegerType())])
+    stored = spark.read.schema(full).parquet(root)
+    wanted = stored.agg(F.max("version")).scalar() if version is None else F.lit(version)
+    if version is not None:
+        stored = stored.filter(F.col("slot") == version % 2)
+    return stored.filter(F.col("version") == wanted).drop("version", "slot")
+
+
 def newest(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The row with the largest ``order`` per key, by an aggregate that combines before the shuffle."""
     rest = [c for c in df.columns if c != key and c not in order]

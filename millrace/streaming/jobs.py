@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.contracts import validate_events
+from millrace.operators.contracts import split_dead_letters, validate_events
 from millrace.operators.features import FeatureView, push
 from millrace.operators.relate import recent_accuracy, share_of_classes
 from millrace.operators.select import newest_per_key
+from millrace.session import cut_lineage
 from millrace.sources import state
 
 
@@ -25,10 +26,21 @@ def file_stream(spark: SparkSession, directory: str, schema: str, pattern: str =
     return reader.parquet(directory)
 
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str, per_batch: int = 100) -> DataFrame:
-    """A topic as (key, value) text rows, at most ``per_batch`` offsets per trigger. Needs the Kafka connector package."""
+#: Run over what is there and end; the other choice is ``every("10 seconds")``.
+TO_THE_END = {"availableNow": True}
+
+
+def every(interval: str) -> dict:
+    """Run on and on, a batch each ``interval``."""
+    return {"processingTime": interval}
+
+
+def kafka_stream(spark: SparkSession, servers: str, topic: str, per_batch: int | None = None) -> DataFrame:
+    """A topic as (key, value) text rows, with a bound at most ``per_batch`` offsets per trigger. Needs the Kafka connector package."""
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-    return reader.option("maxOffsetsPerTrigger", per_batch).load().selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value")
+    if per_batch:
+        reader = reader.option("maxOffsetsPerTrigger", per_batch)
+    return reader.load().selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value")
 
 
 def run_to_end(query: StreamingQuery) -> None:
@@ -38,8 +50,8 @@ def run_to_end(query: StreamingQuery) -> None:
         raise query.exception()
 
 
-def each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict = TO_THE_END) -> StreamingQuery:
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 # --- X1, X2: consume and publish -------------------------------------------
@@ -54,12 +66,12 @@ def count_by_type(events: DataFrame) -> DataFrame:
     return events.groupBy(F.coalesce("event_type", F.lit("unknown")).alias("event_type")).agg(F.count(F.lit(1)).alias("count"))
 
 
-def running_counts(events: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+def running_counts(events: DataFrame, out: str, checkpoint: str, trigger: dict = TO_THE_END) -> StreamingQuery:
     """Current counts per type, replaced as a whole after every batch."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    return count_by_type(events).writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return count_by_type(events).writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def as_messages(events: DataFrame, key: str) -> DataFrame:
@@ -67,9 +79,9 @@ def as_messages(events: DataFrame, key: str) -> DataFrame:
     return events.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
 
 
-def publish(events: DataFrame, key: str, path: str, checkpoint: str) -> StreamingQuery:
+def publish(events: DataFrame, key: str, path: str, checkpoint: str, trigger: dict = TO_THE_END) -> StreamingQuery:
     """Messages to files; to a topic with ``format("kafka")`` in place of parquet."""
-    return as_messages(events, key).writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return as_messages(events, key).writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 # --- X3, X8: analytics ------------------------------------------------------
@@ -78,7 +90,11 @@ def publish(events: DataFrame, key: str, path: str, checkpoint: str) -> Streamin
 def query_analytics(log: DataFrame, ts: str = "created_at", width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Volume and latency per tenant and window; rows later than ``late`` are left out, as in any
     watermarked window."""
-    return log.withWatermark(ts, late).groupBy(F.window(ts, width).alias("w"), "tenant_id").agg(
+    return window_totals(log.withWatermark(ts, late), ts, width)
+
+
+def window_totals(log: DataFrame, ts: str = "created_at", width: str = "1 hour") -> DataFrame:
+    return log.groupBy(F.window(ts, width).alias("w"), "tenant_id").agg(
         F.count(F.lit(1)).alias("queries"), F.avg("latency_ms").alias("avg_ms"), F.max("latency_ms").alias("max_ms")
     ).select(F.col("w.start").alias("window_start"), "tenant_id", "queries", "avg_ms", "max_ms")
 
@@ -87,48 +103,60 @@ def low_ratings(log: DataFrame, limit: int = 2) -> DataFrame:
     return log.filter(F.col("rating") <= limit)
 
 
-def append_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    return stream.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def append_files(stream: DataFrame, path: str, checkpoint: str, trigger: dict = TO_THE_END) -> StreamingQuery:
+    return stream.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 # --- X4: dead letters -------------------------------------------------------
 
 
-def dead_letter_split(messages: DataFrame, json: str, root: str, checkpoint: str) -> StreamingQuery:
-    """Valid and invalid events of every batch, each under its batch id."""
+def dead_letter_split(messages: DataFrame, json: str, root: str, checkpoint: str, trigger: dict = TO_THE_END) -> StreamingQuery:
+    """Valid and invalid events of every batch in one write under its batch id (see ``read_letters``)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        judged = validate_events(batch, json)
-        judged.filter("valid").drop("errors").write.mode("overwrite").parquet(f"{root}/valid/batch={batch_id}")
-        judged.filter("NOT valid").write.mode("overwrite").parquet(f"{root}/dead/batch={batch_id}")
+        split_dead_letters(validate_events(batch, json), f"{root}/batch={batch_id}")
 
-    return each_batch(messages, write, checkpoint)
+    return each_batch(messages, write, checkpoint, trigger)
 
 
 # --- X5: feature push -------------------------------------------------------
 
 
-def push_features(rows: DataFrame, view: FeatureView, root: str, checkpoint: str) -> StreamingQuery:
+def push_features(rows: DataFrame, view: FeatureView, root: str, checkpoint: str, trigger: dict = TO_THE_END) -> StreamingQuery:
     """The newest row per key of each batch; readers take the newest over batches, so late older rows lose."""
-    return each_batch(rows, lambda batch, batch_id: push(batch, view, root, batch_id), checkpoint)
+    return each_batch(rows, lambda batch, batch_id: push(batch, view, root, batch_id), checkpoint, trigger)
 
 
 # --- X6, X9: bounded memory per key ----------------------------------------
 
 
-def remember_last(rows: DataFrame, key: str, order: list[str], n: int, root: str, checkpoint: str) -> StreamingQuery:
-    """Each batch stores its last ``n`` rows per key: the last ``n`` of all are among them.
+def remember_last(
+    rows: DataFrame, key: str, order: list[str], n: int, root: str, checkpoint: str, trigger: dict = TO_THE_END,
+    ts: str | None = None, ttl_hours: int | None = None,
+) -> StreamingQuery:
+    """Memory of the last ``n`` rows per key, folded batch by batch: a batch is put together with the
+    memory before it and stored as the new one, so what is stored stays bounded by n per key.
 
-    The cut happens before the shuffle, so one busy key costs no more than any other.
+    With ``ts`` and ``ttl_hours`` a key whose newest row is older than that, by the newest event time
+    seen, is forgotten. Rows are cut to n before the shuffle, so one busy key costs no more than any
+    other. A batch that runs again replaces its own result and starts from the same memory.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        state.put(newest_per_key(batch, [key], [F.col(c).desc() for c in order], n), root, batch_id)
-
-    return each_batch(rows, write, checkpoint)
-
-
-def remembered(spark: SparkSession, root: str, schema: T.StructType, key: str, order: list[str], n: int) -> DataFrame:
-    stored = state.read_all(spark, root, schema).drop("batch")
-    return newest_per_key(stored, [key], [F.col(c).desc() for c in order], n)
+        spark = batch.sparkSession
+        latest = [F.col(c).desc() for c in order]
+        before = state.read_version(spark, root, batch.schema, batch_id - 1) if batch_id else None
+        kept = newest_per_key(batch if before is None else before.unionByName(batch), [key], latest, n)
+        if ts and ttl_hours is not None:
+            kept = cut_lineage(kept, "memory")
+            now = kept.agg(F.max(ts)).first()[0]
+            kept = live_sessions(kept, key, ts, str(now), ttl_hours) if now is not None else kept
+        state.put_version(kept, root, batch_id)
+
+    return each_batch(rows, write, checkpoint, trigger)
+
+
+def remembered(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """The memory after the last finished batch."""
+    return state.read_version(spark, root, schema)
 
 
 def live_sessions(memory: DataFrame, key: str, ts: str, now: str, ttl_hours: int = 24) -> DataFrame:

@@ -55,7 +55,7 @@ def test_zero_baseline_drift(spark):
 
 def test_new_category_is_drift(spark):
     base, now = values(spark, "c", *"aaab"), values(spark, "c", *"aaabc")
-    row = drift.categorical_drift(drift.top_values(base, ["c"]), drift.top_values(now, ["c"])).first()
+    row = drift.categorical_drift(drift.category_shares(base, ["c"]), drift.category_shares(now, ["c"])).first()
     assert row["new_categories"] == 1 and row["missing_categories"] == 0 and row["drift"] is True
 
 

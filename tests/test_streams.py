@@ -48,11 +48,31 @@ def test_last_rows_per_key(spark, sf_dir, parts, tmp_path):
 
     rows = predictions(Parts(spark, sf_dir))
     jobs.run_to_end(jobs.remember_last(rows, "model", ["ts", "event_id"], 20, f"{tmp_path}/out", f"{tmp_path}/cp"))
-    got = jobs.remembered(spark, f"{tmp_path}/out", rows.schema, "model", ["ts", "event_id"], 20)
+    got = jobs.remembered(spark, f"{tmp_path}/out", rows.schema)
     want = newest_per_key(predictions(Tables(spark, sf_dir)), ["model"], [F.col("ts").desc(), F.col("event_id").desc()], 20)
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
 
 
+def test_memory_stays_bounded_and_expires(spark, tmp_path):
+    """Ten batches of one row per key; one key falls silent and is forgotten."""
+    rows = spark.range(40).select((F.col("id") % 4).alias("k"), F.timestamp_seconds(F.col("id") * 3600).alias("ts"), "id").filter("k <> 3 OR id < 8")
+    rows.repartitionByRange(10, "id").sortWithinPartitions("id").write.parquet(f"{tmp_path}/in")
+    stream = jobs.file_stream(spark, f"{tmp_path}/in", rows.schema, files_per_batch=1)
+    jobs.run_to_end(jobs.remember_last(stream, "k", ["ts"], 3, f"{tmp_path}/out", f"{tmp_path}/cp", ts="ts", ttl_hours=20))
+    kept = jobs.remembered(spark, f"{tmp_path}/out", rows.schema)
+    assert {r.k for r in kept.collect()} == {0, 1, 2} and kept.groupBy("k").count().agg(F.max("count")).first()[0] == 3
+    assert spark.read.parquet(f"{tmp_path}/out").count() <= 2 * 12
+
+
+def test_trigger_is_the_callers(spark, parts, tmp_path):
+    query = jobs.append_files(stream(spark, parts).select("event_id"), f"{tmp_path}/out", f"{tmp_path}/cp", trigger=jobs.every("1 second"))
+    try:
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+
+
 def test_late_older_rows_lose(spark, tmp_path):
     from millrace.operators.features import push
 
