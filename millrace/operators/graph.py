@@ -48,16 +48,17 @@ def merge_entities(mentions: DataFrame) -> DataFrame:
 
 
 def related(starts: DataFrame, edges: DataFrame, depth: int = 2, label: str | None = None, first_label: bool = False) -> DataFrame:
-    """(start, name, distance) for all nodes within ``depth`` undirected hops, each at its shortest distance.
+    """(start, name, relations, distance) for all nodes within ``depth`` undirected hops, each at its
+    shortest distance, with the labels along the least of its shortest paths.
 
-    ``edges`` is (src, label, dst). Every hop joins the distinct frontier only, so no path is
+    ``edges`` is (src, label, dst). Every hop joins the frontier only, one row per node, so no path is
     enumerated; a walk that turns back along its edge ends at a node already seen. With
-    ``first_label`` the label of the first hop is part of the answer.
+    ``first_label`` nodes are told apart by the label of the first hop as well.
     """
     chosen = edges if label is None else edges.filter(F.col("label") == label)
     both = chosen.select("src", "label", "dst").unionByName(chosen.select(F.col("dst").alias("src"), "label", F.col("src").alias("dst"))).distinct()
     keys = ["start", "first", "name"] if first_label else ["start", "name"]
-    frontier = starts.select("start").distinct().withColumn("name", F.col("start"))
+    frontier = starts.select("start").distinct().withColumns({"name": F.col("start"), "relations": F.array().cast("array<string>")})
     if first_label:
         frontier = frontier.withColumn("first", F.lit(""))
     seen = frontier.withColumn("distance", F.lit(0))
@@ -65,18 +66,25 @@ def related(starts: DataFrame, edges: DataFrame, depth: int = 2, label: str | No
         steps = frontier.join(both, F.col("name") == F.col("src"))
         if first_label:
             steps = steps.withColumn("first", F.when(F.col("first") == "", F.col("label")).otherwise(F.col("first")))
-        reached = steps.select(*[F.col("dst").alias("name") if k == "name" else F.col(k) for k in keys]).filter(F.col("name") != F.col("start")).distinct()
+        walked = steps.select(*[F.col("dst").alias("name") if k == "name" else F.col(k) for k in keys], F.concat("relations", F.array("label")).alias("relations"))
+        reached = walked.filter(F.col("name") != F.col("start")).groupBy(*keys).agg(F.min("relations").alias("relations"))
         frontier = reached.join(seen.select(*keys), keys, "left_anti")
         seen = seen.unionByName(frontier.withColumn("distance", F.lit(hop)))
     return seen.filter(F.col("distance") > 0)
 
 
+def with_types(reached: DataFrame, entities: DataFrame) -> DataFrame:
+    """Add the ``type`` of every reached node from (entity, type)."""
+    return reached.join(entities.select(F.col("entity").alias("name"), "type"), "name", "left").select(*reached.columns, "type")
+
+
 def nearest(reached: DataFrame, limit: int = 20) -> DataFrame:
     return newest_per_key(reached, ["start"], [F.col("distance"), F.col("name")], limit)
 
 
 def related_contexts(reached: DataFrame, mentions: DataFrame, chunks: DataFrame, contexts: int = 3) -> DataFrame:
-    """Up to ``contexts`` chunk texts mentioning each related entity, in text order."""
+    """Up to ``contexts`` chunk texts mentioning each related entity, in text order; see ``reached`` for
+    its type and the relations that lead to it."""
     names = reached.select(F.col("name").alias("entity")).distinct()
     texts = mentions.select("chunk_id", "entity").join(names, "entity").join(chunks.select("chunk_id", "content"), "chunk_id")
     first = newest_per_key(texts.select("entity", "content").distinct(), ["entity"], [F.col("content")], contexts)

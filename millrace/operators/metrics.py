@@ -99,25 +99,51 @@ def trace_summary(spans: DataFrame) -> DataFrame:
     )
 
 
-# Alert rules as (name, metric, comparison, threshold, severity).
+# Alert rules as (name, metric, comparison, threshold, severity, minutes the condition
+# must hold). Names of alerts and metrics are general ones; readiness of single servers is not ruled here.
 ALERT_RULES = [
-    ("DAGRunningTooLong", "workflow_duration_seconds", ">", 7200.0, "warning"),
-    ("ExperimentFailed", "failed_runs_1h", ">", 5.0, "warning"),
-    ("ModelAccuracyDegraded", "model_accuracy", "<", 0.8, "critical"),
-    ("HighPredictionLatency", "prediction_latency_p95", ">", 1.0, "warning"),
-    ("DataDriftDetected", "data_drift_score", ">", 0.3, "warning"),
-    ("HighLatency", "query_latency_p95", ">", 3.0, "warning"),
-    ("HighErrorRate", "error_ratio", ">", 0.05, "critical"),
-    ("LowRetrievalQuality", "retrieval_score", "<", 0.5, "warning"),
+    ("RunFailure", "failed_runs", ">", 0.0, "warning", 5),
+    ("DAGRunningTooLong", "workflow_duration_seconds", ">", 7200.0, "warning", 10),
+    ("ExperimentFailed", "failed_runs_1h", ">", 5.0, "warning", 5),
+    ("ModelAccuracyDegraded", "model_accuracy", "<", 0.8, "critical", 15),
+    ("HighPredictionLatency", "prediction_latency_p95", ">", 1.0, "warning", 10),
+    ("DataDriftDetected", "data_drift_score", ">", 0.3, "warning", 30),
+    ("HighPredictionErrorRate", "prediction_error_ratio", ">", 0.05, "critical", 5),
+    ("HighLatency", "query_latency_p95", ">", 3.0, "warning", 5),
+    ("HighErrorRate", "error_ratio", ">", 0.05, "critical", 5),
+    ("LowRetrievalQuality", "retrieval_score", "<", 0.5, "warning", 10),
 ]
 
 
-def evaluate_rules(values: DataFrame, rules: list[tuple] = ALERT_RULES) -> DataFrame:
-    """(alert, metric, value, severity, firing) for every (metric, value) a rule names."""
-    cells = F.array(*[F.struct(F.lit(n).alias("alert"), F.lit(m).alias("m"), F.lit(op).alias("op"), F.lit(t).alias("threshold"), F.lit(s).alias("severity")) for n, m, op, t, s in rules])
+def _judged(values: DataFrame, rules: list[tuple]) -> DataFrame:
+    """A row for every value and rule that names its metric, with the rule as ``r`` and whether it ``hit``."""
+    names = ("alert", "m", "op", "threshold", "severity", "minutes")
+    cells = F.array(*[F.struct(*[F.lit(x).alias(n) for n, x in zip(names, rule, strict=True)]) for rule in rules])
     joined = values.withColumn("r", F.explode(F.filter(cells, lambda r: r["m"] == F.col("metric"))))
-    firing = F.when(F.col("r.op") == ">", F.col("value") > F.col("r.threshold")).otherwise(F.col("value") < F.col("r.threshold"))
-    return joined.select(F.col("r.alert").alias("alert"), "metric", "value", F.col("r.severity").alias("severity"), firing.alias("firing"))
+    return joined.withColumn("hit", F.when(F.col("r.op") == ">", F.col("value") > F.col("r.threshold")).otherwise(F.col("value") < F.col("r.threshold")))
+
+
+def evaluate_rules(values: DataFrame, rules: list[tuple] = ALERT_RULES) -> DataFrame:
+    """(alert, metric, value, severity, firing) for every (metric, value) a rule names, hold times aside."""
+    return _judged(values, rules).select(F.col("r.alert").alias("alert"), "metric", "value", F.col("r.severity").alias("severity"), F.col("hit").alias("firing"))
+
+
+def alert_states(samples: DataFrame, rules: list[tuple] = ALERT_RULES) -> DataFrame:
+    """(alert, metric, severity, value, since, state) after the newest of (metric, ts, value) samples.
+
+    A condition that holds is pending until it has held for the rule's minutes, then it is firing;
+    ``since`` is the first sample after the last one that did not meet it. Two small aggregates per
+    alert, whatever the length of a series.
+    """
+    judged = _judged(samples, rules).select(F.col("r.alert").alias("alert"), "metric", F.col("r.severity").alias("severity"), F.col("r.minutes").alias("minutes"), "ts", "value", "hit")
+    ends = judged.groupBy("alert", "metric", "severity", "minutes").agg(
+        F.max("ts").alias("newest"), F.max(F.when(~F.col("hit"), F.col("ts"))).alias("quiet"), F.max_by("value", "ts").alias("value")
+    )
+    met = judged.filter("hit").select(F.col("alert").alias("__a"), F.col("ts").alias("__t")).join(ends.select(F.col("alert").alias("__a"), "quiet"), "__a")
+    since = met.filter(F.col("quiet").isNull() | (F.col("__t") > F.col("quiet"))).groupBy("__a").agg(F.min("__t").alias("since"))
+    held = F.unix_micros("newest") - F.unix_micros("since")
+    state = F.when(F.col("since").isNull(), "inactive").when(held >= F.col("minutes") * 60_000_000, "firing").otherwise("pending")
+    return ends.join(since, F.col("alert") == F.col("__a"), "left").select("alert", "metric", "severity", "value", "since", state.alias("state"))
 
 
 # --- cost ------------------------------------------------------------------

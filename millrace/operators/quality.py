@@ -29,6 +29,7 @@ class Check:
     measures: Callable[[DataFrame], dict[str, Column]]
     verdict: Callable[[Callable[[str], Column]], tuple[Column, Column, Column]]
     subqueries: Callable[[DataFrame], dict[str, Column]] = field(default=lambda df: {})
+    bad: Callable[[], Column] | None = None
 
 
 def _rows() -> Column:
@@ -40,10 +41,15 @@ def _counting(name: str, column: str, bad: Callable[[], Column]) -> Check:
     return Check(
         name, column,
         lambda df: {"bad": F.count_if(F.coalesce(bad(), F.lit(False))), "rows": _rows()},
-        lambda m: (m("bad") == 0, m("bad"), m("rows")),
+        lambda m: (m("bad") == 0, m("bad"), m("rows")), bad=bad,
     )
 
 
+def passing_rows(checks: Sequence[Check]) -> Column:
+    """True for the rows that no row-level check of the suite counts as unexpected."""
+    return reduce(operator.and_, [~F.coalesce(c.bad(), F.lit(False)) for c in checks if c.bad], F.lit(True))
+
+
 def _measuring(name: str, column: str, value: Callable[[], Column], low, high) -> Check:
     """A table-level measure that must lie in [low, high]; an open end is ``None``."""
 

@@ -164,7 +164,12 @@ ALERT_LEVELS = {
     "P3": (["slack_alerts"], "Medium - Action required today"),
     "P4": (["log"], "Low - Informational"),
 }
-ALERT_TEAMS = ["data-engineering", "ml-platform", "analytics"]
+# team: channel, mail, service
+ALERT_TEAMS = {
+    "data-engineering": ("#data-eng-alerts", "data-eng@example.com", "data-engineering"),
+    "ml-platform": ("#ml-alerts", "ml-team@example.com", "ml-platform"),
+    "analytics": ("#analytics-alerts", "analytics@example.com", "analytics"),
+}
 DEFAULT_TEAM = "data-engineering"
 
 
@@ -185,7 +190,8 @@ def alert_team(tags: Column) -> Column:
 
 
 def route_alerts(df: DataFrame, workflow: str, task: str, tries: str, tags: str) -> DataFrame:
-    """One row per alert and channel. The level table is four rows, carried as a literal map."""
+    """One row per alert and channel, with the channel, mail and service of the team that owns it.
+    The level and team tables are a few rows, carried as literal maps."""
     channels = F.create_map(
         *[x for level, (names, _) in ALERT_LEVELS.items() for x in (F.lit(level), F.array(*[F.lit(n) for n in names]))]
     )
@@ -196,6 +202,9 @@ def route_alerts(df: DataFrame, workflow: str, task: str, tries: str, tags: str)
             "team": alert_team(F.col(tags)),
         }
     )
+    for i, name in enumerate(("slack_channel", "email", "service")):
+        own = F.create_map(*[F.lit(x) for team, where in ALERT_TEAMS.items() for x in (team, where[i])])
+        routed = routed.withColumn(name, own[F.col("team")])
     return routed.withColumn("description", notes[F.col("severity")]).withColumn(
         "channel", F.explode(channels[F.col("severity")])
     )

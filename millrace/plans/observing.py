@@ -11,6 +11,7 @@ from millrace.operators import usercode as uc
 from millrace.plans.registry import query
 from millrace.plans.texting import FOLD, texts
 from millrace.plans.views import QUERY_LOG, query_log
+from millrace.session import cut_lineage
 
 
 def triple_text(t):
@@ -25,8 +26,9 @@ TRIPLES = """tri AS (SELECT s_suppkey, s_name AS subject, 'located in' AS relati
  UNION ALL SELECT s_suppkey, n_name, 'part of', r_name FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
  both_ways AS (SELECT DISTINCT * FROM (SELECT subject AS src, upper(replace(relation, ' ', '_')) AS label, object AS dst FROM tri UNION ALL SELECT object, upper(replace(relation, ' ', '_')), subject FROM tri)),
  starts AS (SELECT r_name AS start FROM region UNION ALL SELECT n_name FROM nation),
- hop1 AS (SELECT DISTINCT start, dst AS name, 1 AS distance FROM starts JOIN both_ways ON src = start),
- hop2 AS (SELECT DISTINCT h.start, b.dst AS name, 2 AS distance FROM hop1 h JOIN both_ways b ON b.src = h.name WHERE b.dst <> h.start AND (h.start, b.dst) NOT IN (SELECT (start, name) FROM hop1)),
+ hop1 AS (SELECT start, dst AS name, min([label]) AS relations, 1 AS distance FROM starts JOIN both_ways ON src = start GROUP BY 1, 2),
+ hop2 AS (SELECT h.start, b.dst AS name, min(list_append(h.relations, b.label)) AS relations, 2 AS distance FROM hop1 h JOIN both_ways b ON b.src = h.name WHERE b.dst <> h.start AND (h.start, b.dst) NOT IN (SELECT (start, name) FROM hop1) GROUP BY 1, 2),
+ kinds AS (SELECT r_name AS entity, 'region' AS "type" FROM region UNION ALL SELECT n_name, 'nation' FROM nation UNION ALL SELECT s_name, 'supplier' FROM supplier),
  reached AS (SELECT * FROM hop1 UNION ALL SELECT * FROM hop2)"""
 
 
@@ -39,6 +41,12 @@ def starts(t):
     return t.region.select(F.col("r_name").alias("start")).unionByName(t.nation.select(F.col("n_name").alias("start")))
 
 
+def kinds(t):
+    """(entity, type) of everything the triples name."""
+    kind = lambda df, name, text: df.select(F.col(name).alias("entity"), F.lit(text).alias("type"))
+    return kind(t.region, "r_name", "region").unionByName(kind(t.nation, "n_name", "nation")).unionByName(kind(t.supplier, "s_name", "supplier"))
+
+
 @query("g01_triples", "G1", sql=f"WITH {TRIPLES} SELECT * FROM tri")
 def _(t):
     return g.parse_triples(triple_text(t), "s_suppkey", "text")
@@ -52,8 +60,8 @@ MENTIONS = f"""{FOLD}, ent AS (SELECT doc_id, start_char, end_char, unnest(es) A
 def chunk_graph(t):
     """Capitalised words as entities; consecutive ones are related, and one candidate relation per
     entity points at a word that is no entity."""
-    chunks = ch.chunk_documents(texts(t), "doc_id", "text")
-    mentions = uc.extract_entities(chunks, "chunk_id", "content")
+    chunks = cut_lineage(ch.chunk_documents(texts(t), "doc_id", "text").select("doc_id", "chunk_id", "content"), "chunks")
+    mentions = cut_lineage(uc.extract_entities(chunks, "chunk_id", "content"), "mentions")
     nxt = mentions.select("chunk_id", (F.col("position") - 1).alias("position"), F.col("entity").alias("object"))
     follows = mentions.join(nxt, ["chunk_id", "position"]).select("chunk_id", F.col("entity").alias("subject"), F.lit("next to").alias("predicate"), "object")
     stray = mentions.select("chunk_id", F.col("entity").alias("subject"), F.lit("points at").alias("predicate"), F.lit("nowhere").alias("object"))
@@ -81,20 +89,22 @@ def _(t):
     return g.merge_entities(chunk_graph(t)[2])
 
 
-@query("g04_related_entities", "G4", sql=f"WITH {TRIPLES} SELECT start, name, distance FROM reached QUALIFY row_number() OVER (PARTITION BY start ORDER BY distance, name) <= 20")
+@query("g04_related_entities", "G4", sql=f"WITH {TRIPLES} SELECT start, name, \"type\", array_to_string(relations, ' > ') AS relations, distance FROM reached JOIN kinds ON entity = name QUALIFY row_number() OVER (PARTITION BY start ORDER BY distance, name) <= 20")
 def _(t):
-    return g.nearest(g.related(starts(t), edges(t)))
+    found = g.with_types(g.nearest(g.related(starts(t), edges(t))), kinds(t))
+    return found.select("start", "name", "type", F.array_join("relations", " > ").alias("relations"), "distance")
 
 
 @query("g05_related_contexts", "G5", sql=f"""WITH {TRIPLES}, m AS (SELECT DISTINCT name AS entity, text FROM reached JOIN (SELECT s_suppkey, unnest([s_name, n_name, r_name]) AS entity, s_name || ' | located in | ' || n_name || chr(10) || 'see | also' || chr(10) || ' ' || n_name || ' | part of |  ' || r_name AS text
  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) c ON c.entity = name), f AS (SELECT entity, text FROM m QUALIFY row_number() OVER (PARTITION BY entity ORDER BY text) <= 3)
-SELECT entity, string_agg(text, '//' ORDER BY text) AS contexts FROM f GROUP BY 1""")
+SELECT start, name AS entity, "type", array_to_string(relations, ' > ') AS relations, contexts FROM reached JOIN kinds k ON k.entity = name JOIN (SELECT entity, string_agg(text, '//' ORDER BY text) AS contexts FROM f GROUP BY 1) c ON c.entity = name""")
 def _(t):
     chunks = triple_text(t).select(F.col("s_suppkey").alias("chunk_id"), F.col("text").alias("content"))
     tri = g.parse_triples(chunks, "chunk_id", "content")
     mentions = tri.select("chunk_id", F.col("subject").alias("entity")).unionByName(tri.select("chunk_id", F.col("object").alias("entity"))).distinct()
-    out = g.related_contexts(g.related(starts(t), edges(t)), mentions, chunks)
-    return out.select("entity", F.array_join("contexts", "//").alias("contexts"))
+    reached = cut_lineage(g.with_types(g.related(starts(t), edges(t)), kinds(t)), "reached")
+    out = reached.withColumnRenamed("name", "entity").join(g.related_contexts(reached, mentions, chunks), "entity")
+    return out.select("start", "entity", "type", F.array_join("relations", " > ").alias("relations"), F.array_join("contexts", "//").alias("contexts"))
 
 
 @query("g06_entity_search", "G6", sql="SELECT c_name AS entity, c_mktsegment AS \"type\" FROM customer WHERE contains(lower(c_name), 'mer#00000012') AND c_mktsegment = 'BUILDING' ORDER BY 1 LIMIT 10")
@@ -114,7 +124,7 @@ def job_events(t):
 
 @query("g07_lineage_impact", "G7", sql="""WITH RECURSIVE e AS (SELECT DISTINCT 'customer/' || c_nationkey AS i, 'orders/' || o_orderstatus AS o FROM customer JOIN orders ON c_custkey = o_custkey
  UNION SELECT DISTINCT 'orders/' || o_orderstatus, 'lines/' || l_returnflag FROM orders JOIN lineitem ON o_orderkey = l_orderkey UNION SELECT DISTINCT 'lines/' || l_returnflag, 'model/' || year(l_shipdate) FROM lineitem),
- r AS (SELECT 'customer/' || n_nationkey AS start, 'customer/' || n_nationkey AS dataset, 0 AS depth FROM nation UNION SELECT start, e.o, depth + 1 FROM r JOIN e ON e.i = r.dataset WHERE depth < 8)
+ r AS (SELECT 'customer/' || n_nationkey AS start, 'customer/' || n_nationkey AS dataset, 0 AS depth FROM nation UNION SELECT start, e.o, depth + 1 FROM r JOIN e ON e.i = r.dataset WHERE depth < 20)
 SELECT start, dataset, min(depth) AS depth FROM r WHERE depth > 0 AND dataset LIKE 'model/%' GROUP BY 1, 2""")
 def _(t):
     begin = t.nation.select(F.concat(F.lit("customer/"), F.col("n_nationkey").cast("string")).alias("start"))
@@ -218,6 +228,25 @@ def _(t):
     return m.evaluate_rules(facts.select(F.explode(F.array(*cells)).alias("v")).select("v.*")).withColumn("value", F.round("value", 9))
 
 
+RULED = """w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS ts, count(*) FILTER (WHERE event_type = 'error') / count(*) AS ratio, count(*) FILTER (WHERE event_type = 'error') AS failed, avg(value) / 100 AS score FROM events GROUP BY 1),
+ s AS (SELECT ts, unnest(['prediction_error_ratio', 'failed_runs', 'retrieval_score']) AS metric, unnest([ratio, failed::DOUBLE, score]) AS value FROM w),
+ rules AS (SELECT * FROM (VALUES ('HighPredictionErrorRate', 'prediction_error_ratio', '>', 0.05, 'critical', 5), ('RunFailure', 'failed_runs', '>', 0.0, 'warning', 5), ('LowRetrievalQuality', 'retrieval_score', '<', 0.5, 'warning', 10)) r(alert, metric, op, threshold, severity, minutes)),
+ j AS (SELECT alert, s.metric, severity, minutes, ts, value, CASE op WHEN '>' THEN value > threshold ELSE value < threshold END AS hit FROM s JOIN rules r ON r.metric = s.metric),
+ e AS (SELECT alert, metric, severity, minutes, max(ts) AS newest, max(ts) FILTER (WHERE NOT hit) AS quiet, arg_max(value, ts) AS value FROM j GROUP BY ALL),
+ f AS (SELECT e.*, (SELECT min(ts) FROM j WHERE j.alert = e.alert AND hit AND ts > coalesce(quiet, TIMESTAMP '1900-01-01')) AS since FROM e)"""
+
+
+@query("l08_alert_states", "L8", sql=f"""WITH {RULED} SELECT alert, metric, severity, round(value, 9) AS value, since, CASE WHEN since IS NULL THEN 'inactive' WHEN newest - since >= minutes * INTERVAL 1 MINUTE THEN 'firing' ELSE 'pending' END AS state FROM f""")
+def _(t):
+    windows = t.events.groupBy(F.window("ts", "5 minutes").alias("w")).agg(
+        (F.count_if(F.col("event_type") == "error") / F.count(F.lit(1))).alias("prediction_error_ratio"),
+        F.count_if(F.col("event_type") == "error").cast("double").alias("failed_runs"), (F.avg("value") / 100).alias("retrieval_score"),
+    )
+    cells = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in ("prediction_error_ratio", "failed_runs", "retrieval_score")])
+    samples = windows.select(F.col("w.start").alias("ts"), F.explode(cells).alias("c")).select("ts", "c.*")
+    return m.alert_states(samples).withColumn("value", F.round("value", 9))
+
+
 # --- cost ------------------------------------------------------------------
 
 MODELS = ["gpt-4-turbo", "gpt-3.5-turbo", "claude-3-sonnet", "llama-3.1-8b"]

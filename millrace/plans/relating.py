@@ -87,12 +87,12 @@ def _(t):
     return seen.groupBy("user_id").agg(N().alias("visible"))
 
 
-@query("j08_full_outer_compare", "J8", sql="""WITH b AS (SELECT p_brand AS brand, count(*) / sum(count(*)) OVER () AS s FROM part WHERE p_size <= 4 GROUP BY 1),
- c AS (SELECT p_brand AS brand, count(*) / sum(count(*)) OVER () AS s FROM part WHERE p_size > 46 GROUP BY 1)
+@query("j08_full_outer_compare", "J8", sql="""WITH b AS (SELECT p_brand AS brand, count(*) / sum(count(*)) OVER () AS s FROM part WHERE p_size <= 25 GROUP BY 1),
+ c AS (SELECT p_brand AS brand, count(*) / sum(count(*)) OVER () AS s FROM part WHERE p_size > 25 GROUP BY 1)
 SELECT coalesce(b.brand, c.brand) AS brand, round(coalesce(b.s, 0), 9) AS baseline, round(coalesce(c.s, 0), 9) AS "current" FROM b FULL JOIN c ON b.brand = c.brand""")
 def _(t):
     share = lambda d: rel.share_of_classes(d.withColumnRenamed("p_brand", "brand"), [], "brand")
-    out = rel.full_compare(share(t.part.filter("p_size <= 4")), share(t.part.filter("p_size > 46")), "brand", "share")
+    out = rel.full_compare(share(t.part.filter("p_size <= 25")), share(t.part.filter("p_size > 25")), "brand", "share")
     return out.select("brand", F.round("baseline", 9).alias("baseline"), F.round("current", 9).alias("current"))
 
 
@@ -165,7 +165,7 @@ def _(t):
 
 
 @query("a10_variant_results", "A10", sql="""WITH v AS (SELECT unnest(['control', 'fast', 'wide', 'unused']) AS variant),
- m AS (SELECT ['control', 'fast', 'wide'][(user_id % 3 + 1)::INT] AS variant, event_type AS metric, value FROM events WHERE event_type IN ('click', 'purchase')),
+ m AS (SELECT ['control', 'fast', 'wide'][(user_id % 3 + 1)::INT] AS variant, event_type AS metric, value FROM events),
  r AS (SELECT variant, metric, count(*) AS n, round(avg(value), 6) AS mean, min(value) AS low, max(value) AS high FROM m GROUP BY 1, 2),
  s AS (SELECT variant, count(*) AS sample_size FROM m GROUP BY 1)
 SELECT v.variant, metric, coalesce(n, 0) AS n, mean, low, high, coalesce(sample_size, 0) AS sample_size FROM v LEFT JOIN r ON r.variant = v.variant LEFT JOIN s ON s.variant = v.variant""")
@@ -173,7 +173,7 @@ def _(t):
     from millrace.operators.evaluate import variant_results
 
     names = F.array(*[F.lit(x) for x in ("control", "fast", "wide")])
-    rows = t.events.filter(F.col("event_type").isin("click", "purchase")).select(
+    rows = t.events.select(
         F.get(names, (F.col("user_id") % 3).cast("int")).alias("variant"), F.col("event_type").alias("metric"), "value"
     )
     return variant_results(rows, ["control", "fast", "wide", "unused"]).withColumn("mean", F.round("mean", 6))
@@ -367,12 +367,12 @@ def _(t):
 # --- set computations ------------------------------------------------------
 
 
-@query("u01_category_difference", "U1", sql="""WITH b AS (SELECT DISTINCT p_name FROM part WHERE p_size < 3), c AS (SELECT DISTINCT p_name FROM part WHERE p_size > 47)
-SELECT 'new' AS side, p_name FROM (SELECT * FROM c EXCEPT SELECT * FROM b) UNION ALL SELECT 'missing', p_name FROM (SELECT * FROM b EXCEPT SELECT * FROM c)""")
+@query("u01_category_difference", "U1", sql="""WITH b AS (SELECT DISTINCT p_name, p_brand, p_type FROM part WHERE p_size <= 25), c AS (SELECT DISTINCT p_name, p_brand, p_type FROM part WHERE p_size > 25)
+SELECT 'new' AS side, * FROM (SELECT * FROM c EXCEPT SELECT * FROM b) UNION ALL SELECT 'missing', * FROM (SELECT * FROM b EXCEPT SELECT * FROM c)""")
 def _(t):
-    base, current = t.part.filter("p_size < 3").select("p_name"), t.part.filter("p_size > 47").select("p_name")
-    return current.subtract(base).select(F.lit("new").alias("side"), "p_name").unionByName(
-        base.subtract(current).select(F.lit("missing").alias("side"), "p_name")
+    base, current = t.part.filter("p_size <= 25").select("p_name", "p_brand", "p_type"), t.part.filter("p_size > 25").select("p_name", "p_brand", "p_type")
+    return current.subtract(base).select(F.lit("new").alias("side"), "*").unionByName(
+        base.subtract(current).select(F.lit("missing").alias("side"), "*")
     )
 
 
@@ -384,7 +384,8 @@ def _(t):
 
 
 @query("u03_union_first_per_id", "U3", sql="""WITH u AS (SELECT 1 AS list, l_suppkey AS query, l_partkey AS id, min(l_orderkey) AS pos FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1, 2, 3
- UNION ALL SELECT 2, l_suppkey, l_partkey, min(l_orderkey) FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2, 3),
+ UNION ALL SELECT 2, l_suppkey, l_partkey, min(l_orderkey) FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2, 3
+ UNION ALL SELECT 3, l_suppkey, l_partkey, min(l_orderkey) FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1, 2, 3),
  f AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY query, id ORDER BY list, pos) = 1)
 SELECT query, id, list FROM f QUALIFY row_number() OVER (PARTITION BY query ORDER BY list, pos, id) <= 5""")
 def _(t):
@@ -392,5 +393,5 @@ def _(t):
         rows = t.lineitem.filter(F.col("l_returnflag") == flag)
         return rows.groupBy(F.col("l_suppkey").alias("query"), F.col("l_partkey").alias("id")).agg(F.min("l_orderkey").alias("pos")).withColumn("list", F.lit(number))
 
-    merged = hits("A", 1).unionByName(hits("R", 2))
+    merged = hits("A", 1).unionByName(hits("R", 2)).unionByName(hits("N", 3))
     return rel.first_per_id(merged, "query", "id", ["list", "pos", "id"], 5).select("query", "id", "list")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import select as sel
+from millrace.operators.runfilter import run_filter
 from millrace.plans.registry import query
 from millrace.plans.views import AS_OF, CUSTOMER_ACTIVITY, MODEL_RUNS, QUERY_LOG, customer_activity, model_runs, query_log
 
@@ -159,7 +160,8 @@ def _(t):
  CASE WHEN value < 50 THEN ['misc', 'analytics', 'ml-platform'] WHEN value < 100 THEN ['ml-platform'] ELSE ['misc'] END AS tags FROM events),
  r AS (SELECT event_id, CASE WHEN wf LIKE 'prod%' AND tries > 2 THEN 'P1' WHEN wf LIKE 'prod%' OR task LIKE '%critical%' THEN 'P2' WHEN tries > 1 THEN 'P3' ELSE 'P4' END AS severity,
  coalesce(list_filter(tags, lambda x: x IN ('data-engineering', 'ml-platform', 'analytics'))[1], 'data-engineering') AS team FROM a)
-SELECT event_id, severity, team, unnest(CASE severity WHEN 'P1' THEN ['pagerduty', 'slack_incidents', 'email_leadership']
+SELECT event_id, severity, team, CASE team WHEN 'ml-platform' THEN '#ml-alerts' WHEN 'analytics' THEN '#analytics-alerts' ELSE '#data-eng-alerts' END AS slack_channel,
+ CASE team WHEN 'ml-platform' THEN 'ml-team@example.com' WHEN 'analytics' THEN 'analytics@example.com' ELSE 'data-eng@example.com' END AS email, team AS service, unnest(CASE severity WHEN 'P1' THEN ['pagerduty', 'slack_incidents', 'email_leadership']
  WHEN 'P2' THEN ['slack_alerts', 'email_team'] WHEN 'P3' THEN ['slack_alerts'] ELSE ['log'] END) AS channel FROM r""")
 def _(t):
     lits = lambda *x: F.array(*[F.lit(v) for v in x])
@@ -170,7 +172,7 @@ def _(t):
         (F.col("event_id") % 4 + 1).alias("tries"),
         F.when(F.col("value") < 50, lits("misc", "analytics", "ml-platform")).when(F.col("value") < 100, lits("ml-platform")).otherwise(lits("misc")).alias("tags"),
     )
-    return sel.route_alerts(alerts, "wf", "task", "tries", "tags").select("event_id", "severity", "team", "channel")
+    return sel.route_alerts(alerts, "wf", "task", "tries", "tags").select("event_id", "severity", "team", "slack_channel", "email", "service", "channel")
 
 
 @query("p21_chunk_metadata", "P21", sql="""SELECT conv_id, turn AS chunk_index, count(*) OVER (PARTITION BY conv_id) AS total_chunks, length(text) AS char_count,
@@ -180,13 +182,24 @@ def _(t):
     return out.select("conv_id", "chunk_index", "total_chunks", "char_count", "word_count")
 
 
-@query("p22_run_filter", "P22", sql=f"""WITH {MODEL_RUNS} SELECT run_id, accuracy FROM runs
-WHERE accuracy > 0.5 AND CAST(n_estimators AS INT) >= 10 AND lower(model) LIKE '%m%' AND team IN ('Brand#1', 'Brand#2', 'Brand#3')""")
+# The kinds of filter that runs are asked for, with names and values of the runs here.
+RUN_FILTERS = {
+    "params.n_estimators = '10'": "n_estimators = '10'",
+    "metrics.accuracy > 0.95": "accuracy > 0.95",
+    "tags.team = 'Brand#1'": "team = 'Brand#1'",
+    "tags.reviewed = 'false'": "reviewed = 'false'",
+    "params.n_estimators = '45' AND metrics.accuracy > 0.90": "n_estimators = '45' AND accuracy > 0.90",
+    "tags.team LIKE 'Brand#1%'": "team LIKE 'Brand#1%'",
+    "params.model_type LIKE '%brass%'": "lower(model) LIKE '%brass%'",
+    "tags.team IN ('Brand#1', 'Brand#23')": "team IN ('Brand#1', 'Brand#23')",
+    "params.n_estimators > 40.5 AND metrics.cv_std <= 0.09": "n_estimators::DOUBLE > 40.5 AND cv_std <= 0.09",
+    "attributes.status = 'FINISHED' AND metrics.accuracy >= 0.5 AND metrics.cv_std < 0.05 OR attributes.status != 'FINISHED'": "status = 'FINISHED' AND accuracy >= 0.5 AND cv_std < 0.05 OR status <> 'FINISHED'",
+    "metrics.loss < 0.1": "false",
+}
+
+
+@query("p22_run_filter", "P22", sql=f"WITH {MODEL_RUNS} " + " UNION ALL ".join(f"SELECT {i} AS filter, run_id, accuracy FROM runs WHERE {c}" for i, c in enumerate(RUN_FILTERS.values())))
 def _(t):
     runs = model_runs(t)
-    return runs.filter(
-        (F.col("metrics")["accuracy"] > 0.5)
-        & (F.col("params")["n_estimators"].cast("int") >= 10)
-        & F.col("params")["model_type"].like("%m%")
-        & F.col("tags")["team"].isin("Brand#1", "Brand#2", "Brand#3")
-    ).select("run_id", F.col("metrics")["accuracy"].alias("accuracy"))
+    fits = F.array(*[F.when(run_filter(text), F.lit(i)) for i, text in enumerate(RUN_FILTERS)])
+    return runs.select(F.explode(F.array_compact(fits)).alias("filter"), "run_id", F.col("metrics")["accuracy"].alias("accuracy"))
