@@ -7,39 +7,66 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.text import tokens
+from millrace.functions.text import let, tokens
 from millrace.operators.ordered import number_values
 from millrace.operators.vectorsearch import rank_hits
 
-POSTINGS = "doc {key}, term string, tf long, doc_len long"
-DOCUMENTS = "doc {key}, doc_len long"
+ENTRIES = "doc {key}, doc_len long, terms array<struct<term: string, tf: long>>"
+FREQUENCIES = "term string, df long"
+
+
+def term_counts(terms: Column) -> Column:
+    """(term, tf) of every distinct term of a list, by run lengths over the sorted list: no shuffle."""
+    def runs(ordered: Column) -> Column:
+        last = F.size(ordered) - 1
+        places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+        count = lambda starts_, i, p: (F.coalesce(F.get(starts_, i + 1), F.size(ordered)) - p).cast("long")
+        return let(starts, lambda at: F.transform(at, lambda p, i: F.struct(F.get(ordered, p).alias("term"), count(at, i, p).alias("tf"))))
+
+    return let(F.sort_array(terms), runs)
 
 
 class KeywordIndex:
-    """Postings and document lengths as two tables, so that many searches read one tokenisation."""
+    """One row per document with its term counts, and how many documents hold each term.
+
+    Term counts come from the document's own row. Only document frequencies are shuffled, as counts
+    combined per task, and they are worked out when the index is built, not at every search.
+    """
+
+    def __init__(self, entries: DataFrame, frequencies: DataFrame):
+        self.entries = entries
+        self.frequencies = frequencies
 
-    def __init__(self, postings: DataFrame, documents: DataFrame):
-        self.postings = postings
-        self.documents = documents
+    @property
+    def documents(self) -> DataFrame:
+        return self.entries.select("doc", "doc_len")
+
+    @property
+    def postings(self) -> DataFrame:
+        rows = self.entries.select("doc", "doc_len", F.explode("terms").alias("t"))
+        return rows.select("doc", F.col("t.term").alias("term"), F.col("t.tf").alias("tf"), "doc_len")
 
     @staticmethod
-    def build(docs: DataFrame, doc: str, text: str) -> KeywordIndex:
+    def entries_of(docs: DataFrame, doc: str, text: str) -> DataFrame:
         listed = docs.select(F.col(doc).alias("doc"), tokens(F.col(text)).alias("__t"))
-        documents = listed.select("doc", F.size("__t").cast("long").alias("doc_len"))
-        rows = listed.select("doc", F.size("__t").cast("long").alias("doc_len"), F.explode("__t").alias("term"))
-        postings = rows.groupBy("doc", "doc_len", "term").agg(F.count(F.lit(1)).alias("tf")).select("doc", "term", "tf", "doc_len")
-        return KeywordIndex(postings, documents)
+        return listed.select("doc", F.size("__t").cast("long").alias("doc_len"), term_counts(F.col("__t")).alias("terms"))
+
+    @staticmethod
+    def build(docs: DataFrame, doc: str, text: str) -> KeywordIndex:
+        """An index that is not stored; every use tokenises again."""
+        entries = KeywordIndex.entries_of(docs, doc, text)
+        return KeywordIndex(entries, KeywordIndex(entries, entries).postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
 
     @staticmethod
     def create(docs: DataFrame, doc: str, text: str, root: str, part: int = 0) -> KeywordIndex:
-        """Tokenise once and store the index as one part; parts add up, and the statistics are
-        always those of the whole. Lengths come from the stored postings, not from the texts again."""
+        """Tokenise once and store the index as one part; parts add up, and the statistics are always
+        those of the whole. Frequencies come from the stored counts, not from the texts again."""
         base, spark, key = root.rstrip("/"), docs.sparkSession, docs.schema[doc].dataType.simpleString()
-        KeywordIndex.build(docs, doc, text).postings.write.mode("overwrite").parquet(f"{base}/postings/part={part}")
-        stored = spark.read.schema(POSTINGS.format(key=key)).parquet(f"{base}/postings/part={part}").select("doc", "doc_len").distinct()
-        every = docs.select(F.col(doc).alias("doc")).distinct()
-        lengths = every.join(stored, "doc", "left").select("doc", F.coalesce("doc_len", F.lit(0).cast("long")).alias("doc_len"))
-        lengths.write.mode("overwrite").parquet(f"{base}/documents/part={part}")
+        KeywordIndex.entries_of(docs, doc, text).write.mode("overwrite").parquet(f"{base}/entries/part={part}")
+        stored = spark.read.schema(ENTRIES.format(key=key)).parquet(f"{base}/entries/part={part}")
+        terms = stored.select(F.explode("terms.term").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        terms.write.mode("overwrite").parquet(f"{base}/frequencies/part={part}")
         return KeywordIndex.read(spark, root, key)
 
     @staticmethod
@@ -47,18 +74,19 @@ class KeywordIndex:
         """A stored index; ``key`` is the type of the document ids."""
         base = root.rstrip("/")
         return KeywordIndex(
-            spark.read.schema(POSTINGS.format(key=key) + ", part int").parquet(f"{base}/postings").drop("part"),
-            spark.read.schema(DOCUMENTS.format(key=key) + ", part int").parquet(f"{base}/documents").drop("part"),
+            spark.read.schema(ENTRIES.format(key=key) + ", part int").parquet(f"{base}/entries").drop("part"),
+            spark.read.schema(FREQUENCIES + ", part int").parquet(f"{base}/frequencies").drop("part"),
         )
 
     def append(self, docs: DataFrame, doc: str, text: str, root: str, part: int) -> KeywordIndex:
-        """Add documents. Frequencies are recomputed over all parts, for every term, not only the new ones."""
+        """Add documents. Frequencies add up over all parts, for every term, not only the new ones."""
         return KeywordIndex.create(docs, doc, text, root, part)
 
-    def terms(self, floor: float = 0.25) -> DataFrame:
-        """(term, df, idf): idf = max(ln((N - df + .5) / (df + .5) + 1), floor)."""
+    def terms(self, floor: float = 0.25, only: DataFrame | None = None) -> DataFrame:
+        """(term, df, idf): idf = max(ln((N - df + .5) / (df + .5) + 1), floor); ``only`` limits it to given terms."""
         n = self.documents.agg(F.count(F.lit(1)).alias("n")).scalar()
-        df = self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("__n", n)
+        rows = self.frequencies if only is None else self.frequencies.join(only, "term", "left_semi")
+        df = rows.groupBy("term").agg(F.sum("df").alias("df")).withColumn("__n", n)
         idf = F.greatest(F.ln((F.col("__n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1), F.lit(floor))
         return df.withColumn("idf", idf).drop("__n")
 
@@ -71,7 +99,7 @@ class KeywordIndex:
         """
         asked = queries.select(F.col(query).alias("query_id"), F.explode(tokens(F.col(text))).alias("term"))
         asked = asked.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("times"))
-        weighed = asked.join(self.terms(), "term").select("query_id", "term", "times", "idf")
+        weighed = asked.join(self.terms(only=asked.select("term")), "term").select("query_id", "term", "times", "idf")
         average = self.documents.agg(F.avg("doc_len").alias("a")).scalar()
         hits = self.postings.join(weighed, "term").withColumn("__avg", average)
         gain = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("doc_len") / F.col("__avg")))
@@ -87,7 +115,7 @@ def tfidf_vectors(index: KeywordIndex, indexed: bool = True) -> DataFrame:
     ``term_index`` is the alphabetical position of the term, numbered in parallel over the vocabulary.
     """
     n = index.documents.agg(F.count(F.lit(1)).alias("n")).scalar()
-    terms = index.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    terms = index.frequencies.groupBy("term").agg(F.sum("df").alias("df"))
     if indexed:
         terms = number_values(terms, "term", "term_index")
     terms = terms.withColumn("__n", n).withColumn("idf", F.ln((1 + F.col("__n")) / (1 + F.col("df"))) + 1)

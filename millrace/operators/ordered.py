@@ -129,25 +129,33 @@ def drop_context(df: DataFrame) -> DataFrame:
 
 
 def values_at_ranks(df: DataFrame, keys: list[str], value: str, ranks: dict, buckets: int | None = None) -> DataFrame:
-    """Per key the values at given zero-based ranks. ``ranks`` maps a name to a function from
-    the key's size (a Column) to the rank. Equal values are collapsed before anything is ordered.
+    """Per key the values at given zero-based ranks, exactly. ``ranks`` maps a name to a function from
+    the key's size (a Column) to the rank.
+
+    A selection, not a sort: rows are counted per (key, bucket), the buckets that hold a wanted rank
+    are found from the counts, and only their rows are looked at again, as counts per value.
     """
-    counts = cut_lineage(df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")), "counts")
-    ranked = running_totals(counts, keys, value, {"__before": "__n"}, buckets=buckets)
-    sizes = counts.groupBy(*keys).agg(F.sum("__n").alias("__size"))
-    if keys:
-        sizes = sizes.select(*[F.col(k).alias(f"__r_{k}") for k in keys], "__size")
-        ranked = ranked.join(sizes, _null_safe(ranked, sizes, keys))
-    else:
-        ranked = ranked.withColumn("__size", counts.agg(F.sum("__n").alias("s")).scalar())
-
-    def hit(rank) -> Column:
-        target = F.least(rank(F.col("__size")), F.col("__size") - 1)
-        return (F.col("__before") <= target) & (target < F.col("__before") + F.col("__n"))
-
-    return ranked.groupBy(*keys).agg(
-        F.max("__size").alias("n"),
-        *[F.max(F.when(hit(rank), F.col(value))).alias(name) for name, rank in ranks.items()],
+    bucketed = bucket_by_order(df.filter(F.col(value).isNotNull()).select(*keys, value), value, buckets)
+    counts = bucketed.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("__n"))
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("__size", F.sum("__n").over(whole)).withColumn("__below", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+
+    def hit(name: str, rank) -> Column:
+        at = F.least(rank(F.col("__size")), F.col("__size") - 1).cast("long") - F.col("__below")
+        return F.when((at >= 0) & (at < F.col("__n")), F.struct(F.lit(name).alias("name"), at.alias("at")))
+
+    wanted = counts.select(
+        *[F.col(k).alias(f"__r_{k}") for k in [*keys, _B]], "__size", F.array_compact(F.array(*[hit(n, r) for n, r in ranks.items()])).alias("__hits")
+    ).filter(F.size("__hits") > 0)
+    near = bucketed.join(wanted, _null_safe(bucketed, wanted, [*keys, _B]))
+    values = near.groupBy(*keys, _B, value).agg(F.count(F.lit(1)).alias("__n"), F.any_value("__size").alias("__size"), F.any_value("__hits").alias("__hits"))
+    inside = Window.partitionBy(*keys, _B).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    placed = values.withColumn("__before", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
+    met = lambda x: (x["at"] >= F.col("__before")) & (x["at"] < F.col("__before") + F.col("__n"))
+    found = placed.withColumn("__names", F.transform(F.filter("__hits", met), lambda x: x["name"]))
+    return found.groupBy(*keys).agg(
+        F.max("__size").alias("n"), *[F.max(F.when(F.array_contains("__names", name), F.col(value))).alias(name) for name in ranks]
     )
 
 
