@@ -55,8 +55,9 @@ def drop_incomplete_and_repeated(df: DataFrame) -> DataFrame:
 
 
 def exact_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """Exactly ``n`` rows, the same ones on every run and at every partitioning."""
-    draw = F.xxhash64(F.lit(seed), F.col(key))
+    """Exactly ``n`` rows, the same ones on every run and at every partitioning; the draw is an md5, so
+    that any engine can repeat it."""
+    draw = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
     return df.orderBy(draw, key).limit(n)
 
 

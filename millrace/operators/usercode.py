@@ -50,9 +50,12 @@ def encode(df: DataFrame, text: str, factory: Callable[[], Callable[[list[str]],
     """Add a vector per row. Each distinct text is encoded once, in batches of ``batch``.
 
     ``factory`` builds the encoder once per task; ``prefix`` is the instruction some model
-    families want before a query.
+    families want before a query. Texts are told apart and joined back by their digests, so no text
+    is a shuffle key.
     """
-    distinct = df.select(F.col(text).alias("t")).filter(F.col("t").isNotNull()).distinct()
+    digest = F.unhex(F.sha2(F.col(text).cast("binary"), 256))
+    texts = df.select(digest.alias("h"), F.col(text).alias("t")).filter(F.col("t").isNotNull())
+    distinct = texts.dropDuplicates(["h"])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = factory()
@@ -60,25 +63,32 @@ def encode(df: DataFrame, text: str, factory: Callable[[], Callable[[list[str]],
             texts = frame["t"].tolist()
             parts = [np.asarray(model([prefix + x for x in texts[i:i + batch]]), dtype="float32") for i in range(0, len(texts), batch)]
             if parts:
-                yield pd.DataFrame({"t": texts, "v": list(np.concatenate(parts))})
+                yield pd.DataFrame({"h": frame["h"], "v": list(np.concatenate(parts))})
 
-    vectors = distinct.mapInPandas(run, "t string, v array<float>")
-    vectors = vectors.select(F.col("t").alias("__t"), F.col("v").alias(vector))
-    return df.join(vectors, F.col(text) == F.col("__t"), "left").drop("__t")
+    vectors = distinct.mapInPandas(run, "h binary, v array<float>").select(F.col("h").alias("__h"), F.col("v").alias(vector))
+    return df.withColumn("__d", digest).join(vectors, F.col("__d") == F.col("__h"), "left").drop("__h", "__d")
 
 
 def hashing_encoder(dimensions: int = 64) -> Callable[[], Callable[[list[str]], np.ndarray]]:
-    """A model-free encoder: signed token counts by hash. For tests and for use without a model."""
+    """A model-free encoder: signed token counts by md5. For tests and for use without a model."""
 
     def factory():
-        from zlib import crc32
+        from hashlib import md5
+
+        known: dict[str, int] = {}
+
+        def number(token: str) -> int:
+            if token not in known:
+                if len(known) > 200_000:
+                    known.clear()
+                known[token] = int(md5(token.encode()).hexdigest()[:8], 16)
+            return known[token]
 
         def run(texts: list[str]) -> np.ndarray:
             out = np.zeros((len(texts), dimensions), dtype="float32")
             for row, text in enumerate(texts):
-                for token in text.lower().split():
-                    h = crc32(token.encode())
-                    out[row, h % dimensions] += 1.0 if (h >> 16) & 1 else -1.0
+                h = np.fromiter(map(number, text.lower().split()), np.int64)
+                out[row] = np.bincount(h % dimensions, np.where((h >> 16) & 1, 1.0, -1.0), dimensions)
             return out
 
         return run

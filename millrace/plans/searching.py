@@ -191,7 +191,20 @@ def _(t):
     return ranked(vs.rerank(candidates(t), uc.batch_scorer(overlap), 5))
 
 
-@query("v06_diverse_rerank", "V6", "K7")
+def _mmr_sql(steps: int = 5, weight: float = 0.7) -> str:
+    """The greedy choice written out step by step: at each, the candidate with the best mix of closeness
+    to the query and distance from the nearest one picked."""
+    picks = [f"p1 AS (SELECT query_id, arg_max(id, {{'s': {weight} * rel + {1 - weight}, 'r': -rank}}) AS id, max({weight} * rel + {1 - weight}) AS mmr, 1 AS pick FROM c GROUP BY 1)"]
+    for i in range(2, steps + 1):
+        before = " UNION ALL ".join(f"SELECT * FROM p{j}" for j in range(1, i))
+        picks.append(f"""b{i} AS ({before}), n{i} AS (SELECT c.query_id, c.id, c.rank, any_value(c.rel) AS rel, max(list_dot_product(c.v, o.v)) AS near FROM c JOIN b{i} b ON b.query_id = c.query_id JOIN c o ON o.query_id = b.query_id AND o.id = b.id
+ WHERE (c.query_id, c.id) NOT IN (SELECT (query_id, id) FROM b{i}) GROUP BY 1, 2, 3),
+ p{i} AS (SELECT query_id, arg_max(id, {{'s': {weight} * rel + {1 - weight} * (1 - near), 'r': -rank}}) AS id, max({weight} * rel + {1 - weight} * (1 - near)) AS mmr, {i} AS pick FROM n{i} GROUP BY 1)""")
+    return ",\n ".join(picks) + " " + " UNION ALL ".join(f"SELECT query_id::BIGINT AS query_id, id, pick::BIGINT AS pick, round(mmr, 6) AS mmr FROM p{i}" for i in range(1, steps + 1))
+
+
+@query("v06_diverse_rerank", "V6", "K7", sql=f"""WITH {vector_hits(20)}, unit AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]))) AS v FROM embeddings),
+ c AS (SELECT query_id, id, rank, score AS rel, v FROM hits JOIN unit ON vec_id = id), {_mmr_sql()}""")
 def _(t):
     vectors = chunk_vectors(t).select(F.col("chunk_id").alias("id"), "vector")
     out = vs.mmr(hits(t, 20), centroids(t), vectors, 5, 0.7)
@@ -234,7 +247,10 @@ def _(t):
     return vs.collection_stats(t.embeddings, "label", "embedding")
 
 
-@query("v17_batch_encode", "V17", "K2")
+@query("v17_batch_encode", "V17", "K2", sql=r"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower('passage: ' || text), '\S+')) AS token FROM documents WHERE text IS NOT NULL),
+ h AS (SELECT doc_id, ('0x' || substr(md5(token), 1, 8))::BIGINT AS h FROM w),
+ d AS (SELECT doc_id, h % 64 AS d, sum(CASE WHEN (h >> 16) & 1 = 1 THEN 1.0 ELSE -1.0 END) AS x FROM h GROUP BY 1, 2)
+SELECT doc_id, 64 AS dimensions, round(sqrt(sum(x * x)), 6) AS norm FROM d GROUP BY 1""")
 def _(t):
     coded = uc.encode(t.documents.select("doc_id", "text"), "text", uc.hashing_encoder(64), prefix="passage: ")
     return coded.select("doc_id", F.size("vector").alias("dimensions"), F.round(vec.l2_norm(F.col("vector")), 6).alias("norm"))

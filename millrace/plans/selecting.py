@@ -66,7 +66,7 @@ def _(t):
     return sel.drop_incomplete_and_repeated(rows)
 
 
-@query("p09_exact_sample", "P9")
+@query("p09_exact_sample", "P9", sql="SELECT o_orderkey, o_totalprice FROM orders ORDER BY md5(o_orderkey || ':42'), o_orderkey LIMIT 1000")
 def _(t):
     return sel.exact_sample(t.orders.select("o_orderkey", "o_totalprice"), "o_orderkey", 1000)
 
