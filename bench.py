@@ -7,7 +7,7 @@ import os
 import time
 
 from millrace.plans import REGISTRY
-from millrace.session import local_session
+from millrace.session import clear_scratch, local_session
 
 HEADLINE = [
     "flagship_customer_activity", "q14_suite_rows", "q19_event_validation", "j01_left_join_totals", "j03_point_in_time", "a01_group_totals",
@@ -28,6 +28,7 @@ def main() -> None:
         start = time.perf_counter()
         REGISTRY[name](spark, directory).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+    clear_scratch(spark)
     spark.stop()
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds,

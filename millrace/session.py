@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -49,7 +50,7 @@ def shared_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("millrace.shared.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="millrace-")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
@@ -58,12 +59,24 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new, unused location under the shared folder."""
-    return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unused location under this application's part of the shared folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_root(spark).rstrip('/')}/millrace-{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything ``scratch`` and ``cut_lineage`` have written for this application. The job that
+    owns the session calls it once its results are stored; frames still unread lose their inputs."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: a reliable cut that survives lost executors."""
+    """Write ``df`` to the shared folder and read it back: a reliable cut that survives lost executors.
+    The table stays until ``clear_scratch``."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -448,3 +448,101 @@ def test_text_ids(spark):
     index = keywords.KeywordIndex.build(docs, "d", "text")
     assert index.search(spark.createDataFrame([("q", "fox")], "q string, text string"), "q", "text").first()["id"] == "x"
     assert {r["doc"]: r["doc_len"] for r in index.documents.collect()} == {"x": 2, "y": 0}
+
+
+# --- answers that used to be cut -------------------------------------------
+
+
+def test_lineage_goes_to_its_end(spark):
+    edges = spark.createDataFrame([(f"d{i}", f"d{i + 1}") for i in range(13)] + [("d13", "d4")], "input string, output string")
+    starts = spark.createDataFrame([("d0",)], "start string")
+    assert {r.dataset: r.depth for r in graph.impact(starts, edges).collect()} == {f"d{i}": i for i in range(1, 14)}
+    with pytest.raises(ValueError, match="deeper"):
+        graph.impact(starts, edges, max_depth=5)
+
+
+def test_malformed_vectors_are_reported_not_contagious(spark):
+    from millrace.operators import vectorsearch as vs
+
+    chunks = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 1.0, 1.0]), (4, None)], "chunk_id long, vector array<double>")
+    queries = spark.createDataFrame([(7, [1.0, 0.1]), (8, [1.0, 2.0, 3.0])], "query_id long, vector array<double>")
+    got = vs.cosine_top_k(queries, chunks, 2).collect()
+    assert [(r.query_id, r.id) for r in sorted(got, key=lambda r: r["rank"])] == [(7, 1), (7, 2)]
+    assert vs.vector_dimension(chunks, "vector") == 2
+    assert {(r.chunk_id, r.size) for r in vs.rejected_vectors(chunks, "chunk_id", "vector", 2).collect()} == {(3, 3), (4, None)}
+
+
+def test_codes_of_values_with_a_long_common_prefix(spark):
+    from millrace.operators import learn
+
+    df = spark.range(3000).select(F.concat(F.lit("https://example.org/a/very/long/prefix/"), (F.col("id") * 7919 % 3000).cast("string")).alias("v"))
+    codes = learn.alphabetical_codes(df, "v")
+    assert [r.value for r in codes.orderBy("code").collect()] == sorted(r.v for r in df.collect())
+    spread = ordered_sizes(codes, df)
+    assert max(spread) < 3000 / 3
+
+
+def ordered_sizes(codes, df):
+    """Rows per range that the numbering made."""
+    ranged = df.repartitionByRange(16, "v").groupBy(F.spark_partition_id()).count()
+    return [r["count"] for r in ranged.collect()]
+
+
+def test_entities_are_decoded_once(spark):
+    from millrace.functions.text import unescape
+
+    given = ["caf&eacute;", "&#x10FFFF;", "&#38;lt;", "&amp;amp;", "&nosuch; &#0; a & b", None, ""]
+    want = ["caf\u00e9", "\U0010ffff", "&lt;", "&amp;", "&nosuch; \ufffd a & b", None, ""]
+    df = spark.createDataFrame(list(enumerate(given)), "i int, t string")
+    assert [r.u for r in df.orderBy("i").select(unescape(F.col("t")).alias("u")).collect()] == want
+
+
+def test_sixth_category_is_no_drift(spark):
+    rows = lambda counts: spark.createDataFrame([(c,) for c, n in counts.items() for _ in range(n)], "c string")
+    base = {"a": 60, "b": 50, "c": 40, "d": 30, "e": 20, "f": 19}
+    now = {**base, "f": 21}
+    row = drift.categorical_drift(drift.category_shares(rows(base), ["c"]), drift.category_shares(rows(now), ["c"])).first()
+    assert (row["new_categories"], row["missing_categories"], row["drift"]) == (0, 0, False)
+
+
+def test_event_ids_as_validation_takes_them(spark):
+    from millrace.operators import contracts
+
+    event = '{"event_id": "evt_1", "user_id": %s, "event_type": "login", "timestamp": "2024-01-01T00:00:00Z"}'
+    df = spark.createDataFrame([(v, event % v) for v in ("true", "12", "12345678901234567890", "2.5")], "v string, body string")
+    judged = {r.v: r["errors"] for r in contracts.validate_events(df, "body").collect()}
+    assert judged["true"] == judged["12"] == judged["12345678901234567890"] == []
+    assert judged["2.5"] == ["Field user_id: expected integer, got float"]
+    ids = {r.v: r.user_id for r in contracts.upgrade(contracts.validate_events(df, "body"), "body").collect()}
+    assert ids == {"true": 1, "12": 12, "12345678901234567890": None}
+
+
+@pytest.mark.parametrize(("text", "ids"), [
+    ("metrics.a > 0.5", [1]), ("metrics.a != 0.9 OR tags.t = 'x' AND params.p IN ('1', '2')", [1, 2]), ("params.p >= 10", [3]),
+    ("tags.t LIKE 'y%' and attributes.id < 3", [2]), ("tags.`odd name` = 'it''s'", [3]), ("metrics.none = 1", []), ("params.p NOT IN ('1')", [2, 3]),
+])
+def test_run_filters(spark, text, ids):
+    from millrace.operators.runfilter import run_filter
+
+    rows = [(1, {"a": 0.9}, {"t": "x"}, {"p": "1"}), (2, {"a": 0.1}, {"t": "yes"}, {"p": "abc"}), (3, {}, {"odd name": "it's"}, {"p": "10"})]
+    df = spark.createDataFrame(rows, "id int, metrics map<string,double>, tags map<string,string>, params map<string,string>")
+    assert [r.id for r in df.filter(run_filter(text)).orderBy("id").collect()] == ids
+
+
+@pytest.mark.parametrize("text", ["", "metrics.a >", "metrics.a > 1 XOR tags.t = 'x'", "other.a = 1", "metrics.a > 1 AND"])
+def test_run_filter_errors(text):
+    from millrace.operators.runfilter import run_filter
+
+    with pytest.raises(ValueError):
+        run_filter(text)
+
+
+def test_alerts_wait_for_their_hold_time(spark):
+    from millrace.operators import metrics
+
+    rules = [("Hot", "temp", ">", 1.0, "warning", 10), ("Cold", "temp", "<", 0.0, "warning", 0)]
+    series = lambda values: spark.createDataFrame([("temp", 60 * 5 * i, float(v)) for i, v in enumerate(values)], "metric string, s long, value double").withColumn("ts", F.timestamp_seconds("s"))
+    state = lambda values: {r.alert: r.state for r in metrics.alert_states(series(values), rules).collect()}
+    assert state([2, 0, 2, 2]) == {"Hot": "pending", "Cold": "inactive"}
+    assert state([0, 2, 2, 2]) == {"Hot": "firing", "Cold": "inactive"}
+    assert state([2, 2, 2, -1]) == {"Hot": "inactive", "Cold": "firing"}

@@ -23,6 +23,26 @@ def test_native_plans(spark, sf_dir, name):
     assert not re.search("ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas", text)
 
 
+@pytest.mark.parametrize("name", [n for n in sorted(REGISTRY) if n not in NATIVE and n[0] != "x"])
+def test_other_plans_join_on_keys(spark, sf_dir, name):
+    assert not re.search("CartesianProduct|BroadcastNestedLoopJoin", plan(REGISTRY[name](spark, sf_dir)))
+
+
+def test_ranks_are_selected_without_a_written_copy(spark, sf_dir, monkeypatch):
+    t = Tables(spark, sf_dir)
+    monkeypatch.setattr(ordered, "cut_lineage", None)
+    text = plan(ordered.value_at_rank(t.events.select("event_type", "value"), ["event_type"], "value", {"p50": 0.5, "p95": 0.95}))
+    assert text.count("FileScan") <= 2
+    assert not re.search(r"Window \[.*\], \[event_type#\d+\], \[value", text)
+
+
+def test_keyword_entries_need_no_shuffle(spark, sf_dir):
+    from millrace.operators.keywords import KeywordIndex
+
+    t = Tables(spark, sf_dir)
+    assert "Exchange" not in plan(KeywordIndex.entries_of(t.documents, "doc_id", "text"))
+
+
 def test_top_n_is_cut_before_the_shuffle(spark, sf_dir):
     t = Tables(spark, sf_dir)
     text = plan(select.newest_per_key(t.events, ["user_id"], [F.col("ts").desc()], 5))
