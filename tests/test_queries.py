@@ -14,9 +14,16 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
+# Their moment in time has no rows in the smallest tables.
+ON_MORE_ROWS = {"w07_session_memory", "x06_session_memory_stream"}
+
+
 @pytest.mark.parametrize("name", WITH_SQL)
 def test_query_equals_sql(spark, sf_dir, con, name):
     query = REGISTRY[name]
+    if name in ON_MORE_ROWS:
+        sf_dir = sf_dir.replace("sf0.001", "sf0.01")
+        con = connect(sf_dir)
     assert compare(query(spark, sf_dir), con, query.sql) is None
 
 
