@@ -196,21 +196,42 @@ def average_rank(df: DataFrame, keys: list[str], value: str, name: str = "rank",
     return df.join(ranked, _null_safe(df, ranked, [*keys, value])).select(*df.columns, name)
 
 
+#: Rows of one key that may share a time bucket before narrower buckets are taken.
+BUCKET_ROWS = 200_000
+WIDTHS = (86400, 3600, 600, 60, 10, 1)
+
+
+def fitting_width(df: DataFrame, keys: list[Column], seconds: Column, widths: list[int], rows: int | None = None) -> int:
+    """The widest of the given bucket widths with which no key has more than ``rows`` rows in a bucket,
+    or the narrowest. One aggregate that combines per task for each width tried; the first nearly always fits."""
+    limit = BUCKET_ROWS if rows is None else rows
+    for width in widths[:-1]:
+        counts = df.groupBy(*keys, F.floor(seconds / width)).agg(F.count(F.lit(1)).alias("__n"))
+        if (counts.agg(F.max("__n")).first()[0] or 0) <= limit:
+            return width
+    return widths[-1]
+
+
 def trailing_range(
     df: DataFrame,
     key: str,
     seconds: str,
     value: str,
     windows: dict[str, int],
-    bucket_seconds: int = 3600,
+    bucket_seconds: int | None = None,
 ) -> DataFrame:
     """For every row the count, sum and max of ``value`` over the same key in [t - length, t].
 
+    Buckets are an hour wide, or as narrow as the busiest key needs (see ``fitting_width``).
+
     ``seconds`` is the row's time as seconds (double or long). A window is put together from
     three parts: the row's own bucket up to the row, whole buckets in between from a small
     aggregate, and the far bucket from the row's offset on. The far part is read from copies
     moved ahead by the window length, so no task ever holds more than a bucket per copy.
     """
+    if bucket_seconds is None:
+        fitting = [w for w in WIDTHS if w <= 3600 and all(length % w == 0 for length in windows.values())]
+        bucket_seconds = fitting_width(df, [F.col(key)], F.col(seconds), fitting)
     for length in windows.values():
         if length % bucket_seconds:
             raise ValueError("window lengths must be whole numbers of buckets")
@@ -283,17 +304,22 @@ def as_of_join(
     columns: list[str],
     created_ts: str | None = None,
     ttl_seconds: int | None = None,
-    bucket_seconds: int = 86400,
+    bucket_seconds: int | None = None,
     entity_id: str | None = None,
 ) -> DataFrame:
     """Point-in-time join: per entity row the newest feature row at or before its time.
 
     Equal event times are settled by the newest ``created_ts``. With a TTL, a feature older
     than that is NULL. Feature and entity rows of one (key, time bucket) meet in one window;
-    the newest feature of earlier buckets reaches a bucket as one carried row.
+    the newest feature of earlier buckets reaches a bucket as one carried row. Buckets are a day
+    wide, or as narrow as the busiest key needs. Entities without a key meet nothing and no window.
     """
     entity_cols = entities.columns
     micros = lambda c: F.unix_micros(F.col(c))
+    if bucket_seconds is None:
+        keyed = lambda df, ts: df.filter(F.col(key).isNotNull()).select(F.col(key).alias("k"), (micros(ts) / 1_000_000).alias("s"))
+        both = keyed(entities, entity_ts).unionByName(keyed(features, feature_ts))
+        bucket_seconds = fitting_width(both, [F.col("k")], F.col("s"), list(WIDTHS))
     width = bucket_seconds * 1_000_000
     payload = F.struct(
         micros(feature_ts).alias("__fts"),
@@ -303,7 +329,8 @@ def as_of_join(
     feats = features.filter(F.col(key).isNotNull() & F.col(feature_ts).isNotNull()).select(
         F.col(key).alias("__k"), micros(feature_ts).alias("__t"), payload.alias("__f")
     )
-    ents = entities.select(
+    unkeyed = entities.filter(F.col(key).isNull())
+    ents = entities.filter(F.col(key).isNotNull()).select(
         F.col(key).alias("__k"), micros(entity_ts).alias("__t"), F.struct(*[F.col(c) for c in entity_cols]).alias("__e")
     )
     bucket = F.floor(F.col("__t") / width).cast("long").alias(_B)
@@ -330,7 +357,8 @@ def as_of_join(
     if ttl_seconds is not None:
         fresh = fresh & (F.col("__t") - F.col("__m.__fts") <= ttl_seconds * 1_000_000)
     clash = set(entity_cols)
-    return matched.select(
-        *[F.col(f"__e.{c}").alias(c) for c in entity_cols],
-        *[F.when(fresh, F.col(f"__m.{c}")).alias(c if c not in clash else f"feature_{c}") for c in columns],
+    shown = {c: c if c not in clash else f"feature_{c}" for c in columns}
+    met = matched.select(
+        *[F.col(f"__e.{c}").alias(c) for c in entity_cols], *[F.when(fresh, F.col(f"__m.{c}")).alias(shown[c]) for c in columns]
     )
+    return met.unionByName(unkeyed.select(*entity_cols, *[F.lit(None).cast(met.schema[shown[c]].dataType).alias(shown[c]) for c in columns]))

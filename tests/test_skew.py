@@ -111,3 +111,22 @@ def test_vector_search_paths_agree(spark, width):
         want = sorted(cos, key=lambda i: (-cos[i], i))[:6]
         got = [r["id"] for r in sorted(sent, key=lambda r: r["rank"]) if r["query_id"] == q["query_id"]]
         assert got == want
+
+
+def test_a_busy_hour_is_split(spark, monkeypatch):
+    """A third of the rows in one key and hour: narrower buckets, the same answer."""
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("k"),
+                                    F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.col("id") * 700).alias("s"), (F.col("id") % 11).cast("double").alias("v"))
+    want = ordered.trailing_range(rows, "k", "s", "v", {"w": 7200}).toPandas().sort_values("id").reset_index(drop=True)
+    monkeypatch.setattr(ordered, "BUCKET_ROWS", 50)
+    assert ordered.fitting_width(rows, [F.col("k")], F.col("s"), [3600, 600, 60, 10, 1]) == 60
+    got = ordered.trailing_range(rows, "k", "s", "v", {"w": 7200}).toPandas().sort_values("id").reset_index(drop=True)
+    pd.testing.assert_frame_equal(got, want)
+
+
+def test_entities_without_a_key_meet_nothing(spark):
+    ts = lambda c: F.timestamp_seconds(c)
+    entities = spark.createDataFrame([(1, "a", 100), (2, None, 100)], "id long, k string, s long").withColumn("ts", ts("s"))
+    features = spark.createDataFrame([("a", 50, 7), (None, 50, 8)], "k string, s long, x long").withColumn("fts", ts("s"))
+    got = ordered.as_of_join(entities, features.select("k", "fts", "x"), "k", "ts", "fts", ["x"])
+    assert {r.id: r.x for r in got.collect()} == {1: 7, 2: None}
