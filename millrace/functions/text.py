@@ -14,15 +14,20 @@ BLANK = r"(?U)[\s\x1c-\x1f]+"
 SENTENCE_END = r"(?U)(?<=[.!?])[\s\x1c-\x1f]+"
 
 # Words the keyword index leaves out.
-STOP_WORDS = """the a an and or but is are was were be been being have has had do does did will would could should may
-might must shall can to of in for on with at by from as into through during before after above below between under again
-further then once here there when where why how all each few more most other some such no nor not only own same so than
-too very just it its""".split()
-
-# Words that point back into a conversation. "the same" is two tokens, so it is
-# looked for as a phrase.
-BACK_REFERENCES = """it this that these those they them he she previous earlier before again more another also too""".split()
-BACK_PHRASES = ["the same"]
+STOP_WORDS = [
+    "the", "a", "an", "and", "or", "but", "is", "are", "was", "were", "be", "been", "being", "have", "has", "had",
+    "do", "does", "did", "will", "would", "could", "should", "may", "might", "must", "shall", "can", "to", "of",
+    "in", "for", "on", "with", "at", "by", "from", "as", "into", "through", "during", "before", "after", "above",
+    "below", "between", "under", "again", "further", "then", "once", "here", "there", "when", "where", "why", "how",
+    "all", "each", "few", "more", "most", "other", "some", "such", "no", "nor", "not", "only", "own", "same", "so",
+    "than", "too", "very", "just", "it", "its",
+]
+
+# Words and a phrase that point back into a conversation.
+BACK_REFERENCES = [
+    "it", "this", "that", "these", "those", "they", "them", "he", "she", "the same",
+    "previous", "earlier", "before", "again", "more", "another", "also", "too",
+]
 
 # Phrases that mark a compound question.
 COMPOUND_PHRASES = ["and", "or", "vs", "versus", "compare", "difference", "relationship", "how does", "why does", "what are the", "list", "explain"]
@@ -80,11 +85,12 @@ def uuid5(name: Column, namespace: str = DNS_NAMESPACE) -> Column:
 
 
 def needs_context(question: Column) -> Column:
-    """True when the question points back at the conversation."""
-    lowered = F.lower(question)
-    known = F.arrays_overlap(words(lowered), F.array(*[F.lit(w) for w in BACK_REFERENCES]))
+    """True when the question points back at the conversation. An entry of several words is looked for
+    as a phrase, the others as words."""
+    single = [w for w in BACK_REFERENCES if " " not in w]
+    known = F.arrays_overlap(words(F.lower(question)), F.array(*[F.lit(w) for w in single]))
     padded = F.concat(F.lit(" "), normalised(question), F.lit(" "))
-    return known | reduce(operator.or_, [padded.contains(f" {p} ") for p in BACK_PHRASES])
+    return known | reduce(operator.or_, [padded.contains(f" {p} ") for p in BACK_REFERENCES if " " in p])
 
 
 def needs_decomposition(question: Column) -> Column:

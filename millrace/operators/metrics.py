@@ -155,6 +155,11 @@ PRICES_2024 = [
 ]
 PRICES_HOSTED = [("groq-8b", "0.00000005", "0.00000008"), ("groq-70b", "0.00000059", "0.00000079"), ("gpt-3.5", "0.0000005", "0.0000015"), ("gpt-4", "0.00001", "0.00003")]
 VECTOR_TIERS = [(1_000_000, 25), (5_000_000, 95), (10_000_000, 380)]
+# Dollars a month: self-hosted vectors per million, a database and a cache below and from so many
+# queries, monitoring from so many.
+VECTORS_PER_MILLION = 15
+DATABASE, CACHE, LARGE_FROM = (15, 50), (5, 30), 10_000
+MONITORING, MONITORED_FROM = 50, 1000
 _PRICE = "decimal(18,9)"
 
 
@@ -191,11 +196,12 @@ def monthly_model(scenarios: DataFrame, prices: list[tuple[str, str, str]] = PRI
     for size, price in sorted(tiers):
         hit = F.col("total_vectors") <= size
         tier = F.when(hit, F.lit(float(price))) if tier is None else tier.when(hit, F.lit(float(price)))
-    vectors = F.when(F.col("managed"), tier).otherwise(F.col("total_vectors") / 1_000_000 * 15)
-    small = monthly < 10000
+    vectors = F.when(F.col("managed"), tier).otherwise(F.col("total_vectors") / 1_000_000 * VECTORS_PER_MILLION)
+    small = monthly < LARGE_FROM
     out = scenarios.withColumns({
         "monthly_queries": monthly, "effective_llm_calls": F.floor(calls).cast("long"), "llm_cost": llm, "vector_db_cost": vectors,
-        "postgres_cost": F.when(small, 15).otherwise(50), "redis_cost": F.when(small, 5).otherwise(30), "monitoring_cost": F.when(monthly < 1000, 0).otherwise(50),
+        "postgres_cost": F.when(small, DATABASE[0]).otherwise(DATABASE[1]), "redis_cost": F.when(small, CACHE[0]).otherwise(CACHE[1]),
+        "monitoring_cost": F.when(monthly < MONITORED_FROM, 0).otherwise(MONITORING),
     })
     total = F.col("llm_cost") + F.col("vector_db_cost") + F.col("postgres_cost") + F.col("redis_cost") + F.col("monitoring_cost")
     return out.withColumns({"total_monthly_cost": F.round(total, 2), "cost_per_query": F.round(total / F.col("monthly_queries"), 4), "llm_cost": F.round("llm_cost", 2)})

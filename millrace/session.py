@@ -29,7 +29,7 @@ def local_session(cpus: int = 8, shuffle_partitions: int = 8, **extra: str) -> S
     settings = {
         **SETTINGS,
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
-        "spark.driver.memory": "16g",
+        "spark.driver.memory": "12g",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.bindAddress": "127.0.0.1",
         "spark.driver.host": "127.0.0.1",

@@ -10,12 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CUSTOMER_SCHEMA = (
-    "customer_id long, age int, gender string, tenure int, total_purchases int, avg_purchase_value double, "
-    "days_since_last_purchase int, support_tickets int, churn int"
-)
-CUSTOMER_COLUMNS = [f.split()[0] for f in CUSTOMER_SCHEMA.split(", ")]
-
 
 # --- S1: databases ---------------------------------------------------------
 
