@@ -1,10 +1,11 @@
 """Token ids of whole texts by a public tokenizer, remembered per piece of text.
 
-A piece is a run of ASCII white space and the run of other bytes after it. Both vocabularies here
-split a text before white space that follows something else, so a text's ids are those of its pieces
-one after the other. Pieces repeat a great deal: Arrow gives each piece of a slice a number, every
-Python worker keeps the ids of the pieces it has met (up to a bound, then it starts anew), and only
-unknown ones go to the tokenizer. The result is the tokenizer's own on the whole text. The one case
+A piece begins where both vocabularies here split a text whatever stands around the place: before
+ASCII white space that follows something else, between an ASCII letter and a following ASCII digit or
+mark, between a digit or a mark other than the apostrophe and a following ASCII letter, and after a
+single line feed or tab. So a text's ids are those of its pieces one after the other. Pieces repeat a great deal: Arrow gives each piece of a slice a number, every
+Python worker keeps the ids of the pieces it has met lately (up to a bound), and only unknown ones go
+to the tokenizer. The result is the tokenizer's own on the whole text. The one case
 where a cut would change it, other Unicode white space just before ASCII white space under a
 vocabulary that keeps blanks, goes to the tokenizer whole.
 """
@@ -18,10 +19,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from millrace.llm.texts import PLAIN, find_words, slices, worker_memory
+from millrace.llm.texts import LOWER, byte_class, slices, worker_memory
 
 #: Pieces one worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 800_000
 #: Pieces handed to the tokenizer at once, as one string.
 AT_ONCE = 128
 #: Bytes of text numbered together: the more, the more often a piece is met again.
@@ -31,6 +32,31 @@ _WIDE_BLANK = re.compile(rb"(?:\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa
 _WIDE_LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
 
 
+def _kinds() -> np.ndarray:
+    """By byte: 0 wide, 1 letter, 2 digit, 3 apostrophe, 4 other mark, 5 blank, 6 other white space."""
+    kind = np.where(byte_class((0x80, 0xFF)), 0, 4).astype(np.uint8)
+    kind[byte_class((0x41, 0x5A), (0x61, 0x7A))] = 1
+    kind[byte_class((0x30, 0x39))] = 2
+    kind[0x27], kind[0x20] = 3, 5
+    kind[byte_class((0x09, 0x0D))] = 6
+    return kind
+
+
+def _splits() -> np.ndarray:
+    """By two neighbouring kinds (8 * before + after): whether a piece begins between them."""
+    table = np.zeros(64, bool)
+    for before in range(7):
+        for after in range(7):
+            blank = before < 5 <= after
+            into_mark = before == 1 and after in (2, 3, 4)
+            into_letter = before in (2, 4) and after == 1
+            table[8 * before + after] = blank or into_mark or into_letter
+    return table
+
+
+KIND, SPLIT = _kinds(), _splits()
+
+
 class Encoder:
     """Ids of slices of texts."""
 
@@ -40,8 +66,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        #: Whether white space has ids; else the vocabulary also takes capitals for small letters.
         self.blank_matters = blank_matters
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def whole(self, text: bytes) -> bytes:
         ids = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
@@ -76,18 +104,18 @@ class Encoder:
 
     def _pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray]:
         """The pieces of a slice, numbered, and where each text's begin."""
-        found = find_words(data, offsets, PLAIN, lower=False)
-        if self.blank_matters:
-            cut = np.zeros(len(data) + 1, bool)
-            cut[found.end] = cut[offsets] = True
-            bounds = np.flatnonzero(cut)
-            first = np.searchsorted(bounds, offsets)
-        else:
-            data = data[PLAIN[data]]
-            bounds = np.concatenate([[0], np.cumsum(found.end - found.start)])
-            first = found.first
+        kind = KIND[data]
+        cut = np.zeros(len(data) + 1, bool)
+        cut[1:-1] = SPLIT[kind[:-1] * np.uint8(8) + kind[1:]]
+        # After white space that is no blank and stands alone, before anything else in ASCII.
+        cut[2:-1] |= (kind[1:-1] == 6) & (kind[:-2] < 5) & (kind[2:] > 0) & (kind[2:] < 5)
+        cut[offsets] = True
+        if not self.blank_matters:
+            data = LOWER[data]
+        bounds = np.flatnonzero(cut)
         held = [None, pa.py_buffer(np.ascontiguousarray(bounds, np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
-        return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, held).dictionary_encode(), first
+        numbered = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, held).dictionary_encode()
+        return numbered, np.searchsorted(bounds, offsets)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the slice's texts, and the offsets of each text's ids."""
@@ -95,11 +123,14 @@ class Encoder:
         pieces = numbered.dictionary.to_pylist()
         values = list(map(self.known.get, pieces))
         if None in values:
-            new = [piece for piece, value in zip(pieces, values, strict=True) if value is None]
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known.clear()
-                new = pieces
-            self._learn(new)
+            lacking = [piece for piece, value in zip(pieces, values, strict=True) if value is None]
+            if len(self.known) + len(lacking) > REMEMBERED // 2:
+                # What is met again moves over from the older half; the rest is forgotten with it.
+                self.older, self.known = self.known, {}
+                lacking = pieces
+            old = {piece: self.older[piece] for piece in lacking if piece in self.older}
+            self.known.update(old)
+            self._learn([piece for piece in lacking if piece not in old])
             values = list(map(self.known.get, pieces))
         width = np.array([len(v) // 4 for v in values], np.int64)
         flat = np.frombuffer(b"".join(values), "<u4")
