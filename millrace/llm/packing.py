@@ -27,8 +27,8 @@ from millrace.llm.tokens import encoded
 from millrace.session import cut_lineage
 
 CAPACITY = 2048
-#: Pieces of one length that are ranked in one group, about.
-RANKED_TOGETHER = 200_000
+#: Pieces of one length that are ranked in one group, about, and the least number of groups.
+RANKED_TOGETHER, GROUPS = 200_000, 16
 
 
 def piece_lengths(total: int, capacity: int) -> list[int]:
@@ -189,7 +189,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             own["offset"] = pa.array(offsets[at], pa.int64())
             yield pa.RecordBatch.from_pydict(own)
 
-    with_rank = ranked(pieces, max(1, total // RANKED_TOGETHER))
+    with_rank = ranked(pieces, max(GROUPS, total // RANKED_TOGETHER))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
     return with_rank.mapInArrow(put, f"{kinds}, sequence_id bigint, offset bigint")
 
