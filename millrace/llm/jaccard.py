@@ -51,7 +51,7 @@ PERCENT = 85
 HEAVY, HEAVY_IN_CHUNK, FREQUENT = 64, 8, 100_000
 CHUNK = 1 << 21
 #: Bits per shingle in a set's bitmap (rounded up to a power of two), and its longest bitmap.
-BITS_PER_SHINGLE, LONGEST = 4, 1 << 20
+BITS_PER_SHINGLE, LONGEST = 2, 1 << 20
 NODE = 4096
 LEAF, FANOUT = 32, 8
 #: Rows worked on together when blocks are small.
@@ -153,9 +153,10 @@ def _shared_prefixes(bits: np.ndarray):
         for batch in batches:
             lists = batch.column("prefix")
             flat = lists.flatten().to_numpy(zero_copy_only=False)
-            owner = np.repeat(batch.column("class").to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False))
+            owner = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
             some = marked(bits, flat)
-            yield pa.RecordBatch.from_pydict({"shingle": pa.array(flat[some]), "class": pa.array(owner[some])})
+            rows = pa.array(owner[some])
+            yield pa.RecordBatch.from_pydict({"shingle": pa.array(flat[some]), "class": batch.column("class").take(rows), "n": batch.column("n").take(rows)})
 
     return keep
 
@@ -397,9 +398,9 @@ def _band(size: Column, rule: Rule) -> Column:
 def _dealt(members: DataFrame, rule: Rule) -> DataFrame:
     """``unit`` and ``side`` for every member: a block of up to ``NODE`` classes is one unit; of a
     larger one, parts by size band and hash make units with themselves and with every part they may
-    link with."""
+    link with. Members are small rows here; their bitmaps come later."""
     counts = members.groupBy("shingle").agg(F.count(F.lit(1)).alias("members"))
-    sized = members.join(counts, "shingle")
+    sized = cut_lineage(members.join(counts, "shingle"), "sized")
     plain = sized.filter(F.col("members") <= NODE).withColumn("unit", F.lit(0).cast("long")).withColumn("side", F.lit(0))
     large = sized.filter(F.col("members") > NODE).withColumn("band", _band(F.col("n"), rule))
     bands = large.groupBy("shingle", "band").agg(F.ceil(F.count(F.lit(1)) / NODE).cast("int").alias("parts"))
@@ -414,10 +415,12 @@ def _dealt(members: DataFrame, rule: Rule) -> DataFrame:
     return plain.select(*columns).unionByName(spread.select(*columns))
 
 
-def _tests(members: DataFrame, rule: Rule, spanning: bool) -> DataFrame:
-    """Distinct pairs of classes (a < b) to compare; ``members`` has shingle, class, n, bits, group."""
-    dealt = _dealt(members, rule).repartition("shingle", "unit").sortWithinPartitions("shingle", "unit", "n", "class")
-    rows = dealt.select("shingle", "unit", "side", "class", "n", "bits", "group")
+def _tests(members: DataFrame, entries: DataFrame, rule: Rule, spanning: bool) -> DataFrame:
+    """Distinct pairs of classes (a < b) to compare; ``members`` has shingle, class, n and group,
+    ``entries`` the bitmap of every class."""
+    dealt = _dealt(members, rule).join(entries, "class")
+    rows = dealt.repartition("shingle", "unit").sortWithinPartitions("shingle", "unit", "n", "class")
+    rows = rows.select("shingle", "unit", "side", "class", "n", "bits", "group")
     return rows.mapInArrow(_walked(rule, spanning), "a bigint, b bigint").distinct()
 
 
@@ -448,15 +451,15 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule |
     prefixes = filled.select("class", F.explode("prefix").alias("shingle"))
     shared = prefixes.groupBy("shingle").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter(F.col("low") != F.col("high"))
     shared = cut_lineage(shared.select("shingle"), "shared")
-    met = filled.select("class", "prefix").mapInArrow(_shared_prefixes(bitmap(shared, "shingle")), "shingle bigint, class bigint")
+    met = filled.select("class", "n", "prefix").mapInArrow(_shared_prefixes(bitmap(shared, "shingle")), "shingle bigint, class bigint, n bigint")
     met = cut_lineage(met.distinct().join(shared, "shingle"), "blocks")
     # Blocks with the same members are walked once: they agree in number, sum and xor.
     alike = met.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.sum(F.col("class").cast("decimal(20,0)")).alias("s"), F.bit_xor(F.xxhash64("class")).alias("x"))
     once = alike.groupBy("c", "s", "x").agg(F.min("shingle").alias("shingle")).select("shingle")
-    entries = filled.select("class", "n", "bits").dropDuplicates(["class"])
-    members = cut_lineage(met.join(once, "shingle").join(entries, "class"), "members")
+    members = cut_lineage(met.join(once, "shingle"), "members")
+    entries = filled.select("class", "bits").dropDuplicates(["class"])
 
-    tests = cut_lineage(_tests(members.withColumn("group", F.col("class")), rule, spanning=True), "tests")
+    tests = cut_lineage(_tests(members.withColumn("group", F.col("class")), entries, rule, spanning=True), "tests")
     passed = cut_lineage(tests.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "passed")
     chosen = source.select("text").mapInArrow(_chosen_sets(rule, bitmap(passed, "class")), "class bigint, shingles array<bigint>")
     sets = cut_lineage(chosen.dropDuplicates(["class"]).join(passed, "class", "left_semi"), "shingles")
@@ -466,7 +469,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule |
     again = members.join(passed, "class").join(first.withColumnRenamed("node", "class"), "class", "left")
     again = again.withColumn("group", F.coalesce("root", "class")).drop("root")
     open_blocks = again.groupBy("shingle").agg(F.min("group").alias("l"), F.max("group").alias("h")).filter(F.col("l") != F.col("h"))
-    rest = _tests(again.join(open_blocks.select("shingle"), "shingle"), rule, spanning=False)
+    rest = _tests(again.join(open_blocks.select("shingle"), "shingle"), entries, rule, spanning=False)
     more = _linked(rest.join(tests, ["a", "b"], "left_anti"), sets, rule)
     roots = components(edges.unionByName(more))
 
