@@ -15,10 +15,11 @@ class from the start; what follows sees each different set once.
    largest possible overlap is below what their smallest sizes need.
 3. Spanning tests. A walk joins what it may not drop in a forest, so a block gives fewer tests than
    members, however many of its pairs are close. Tested pairs are compared as exact sets; those that
-   link make first components.
+   link make first components. ``SPANNING`` such rounds, each over what is still apart and in another
+   order, bring close groups together.
 4. Closing walk. Classes that passed any walk are walked again; now pairs of one component are
-   dropped, and every other pair that the trees cannot rule out is tested. So no link between
-   different components is missed.
+   dropped, and every other pair that the trees cannot rule out is tested, in the first of the blocks
+   that both are in. So no link between different components is missed.
 
 Blocks larger than ``NODE`` classes are split by size band and by hash; pairs of parts are walked
 by different tasks. Bitmaps that filter a scan have a fixed size.
@@ -54,6 +55,7 @@ CHUNK = 1 << 21
 BITS_PER_SHINGLE, LONGEST = 2, 1 << 20
 NODE = 4096
 LEAF, FANOUT = 32, 8
+SPANNING = 2
 #: Rows worked on together when blocks are small.
 TOGETHER = 8192
 
@@ -277,10 +279,26 @@ def _entries(tree: Tree) -> dict:
     return {"low": tree.sizes, "high": tree.sizes, "excess": tree.excess, "bits": tree.bits}
 
 
-def block_pairs(rule: Rule, sizes: np.ndarray, bits: list[bytes], groups: np.ndarray, side: np.ndarray, spanning: bool) -> list[tuple[int, int]]:
+def _met_before(blocks: list[np.ndarray], here: int) -> np.ndarray:
+    """A bit per member and block before this one that it is in: members with a common bit meet there."""
+    before = [b[b < here] for b in blocks]
+    names = np.unique(np.concatenate([*before, np.zeros(0, np.int64)]))
+    out = np.zeros((len(blocks), max(1, -(-len(names) // 8))), np.uint8)
+    if len(names):
+        owner = np.repeat(np.arange(len(blocks)), [len(b) for b in before])
+        place = np.searchsorted(names, np.concatenate(before))
+        np.bitwise_or.at(out, (owner, place >> 3), (1 << (place & 7)).astype(np.uint8))
+    return out
+
+
+def block_pairs(
+    rule: Rule, sizes: np.ndarray, bits: list[bytes], groups: np.ndarray, side: np.ndarray, spanning: bool,
+    before: np.ndarray | None = None, seed: int = 0,
+) -> list[tuple[int, int]]:
     """Pairs of members of one block that may link and are in different ``groups``; members with
     ``side`` 1 are not paired with each other (their own part does that), nor those with side 0 if
-    any has side 1. ``spanning``: only a forest of them."""
+    any has side 1. ``spanning``: only a forest of them, another one for every ``seed``. ``before`` (see
+    ``_met_before``): not those that meet in an earlier block."""
     forest = Forest(groups)
     width = np.array([len(b) // 8 for b in bits])
     two_sided = bool(side.any())
@@ -299,8 +317,10 @@ def block_pairs(rule: Rule, sizes: np.ndarray, bits: list[bytes], groups: np.nda
             i, j = np.repeat(x, len(y)), np.tile(y, len(x))
             if same:
                 i, j = i[i < j], j[i < j]
-            ga, gb = forest.roots(a[i]), forest.roots(b[j])
-            i, j = i[ga != gb], j[ga != gb]
+            open_pairs = forest.roots(a[i]) != forest.roots(b[j])
+            if before is not None:
+                open_pairs[open_pairs] = ~(before[a[i[open_pairs]]] & before[b[j[open_pairs]]]).any(axis=1)
+            i, j = i[open_pairs], j[open_pairs]
             if not len(i):
                 continue
             ok = _may_link(rule, _entries(left), i, _entries(right), j)
@@ -308,7 +328,7 @@ def block_pairs(rule: Rule, sizes: np.ndarray, bits: list[bytes], groups: np.nda
                 if not spanning or forest.union(m, n):
                     out.append((m, n))
 
-    order = np.lexsort((np.arange(len(sizes)), sizes))
+    order = np.lexsort((np.random.Generator(np.random.PCG64(seed)).permutation(len(sizes)), sizes))
     widths = np.unique(width)
     for w in widths:
         for wider in (w, 2 * w):
@@ -338,7 +358,7 @@ def _small_pairs(rule: Rule, sizes: np.ndarray, bits: list[bytes], groups: np.nd
     return ok
 
 
-def _walked(rule: Rule, spanning: bool):
+def _walked(rule: Rule, spanning: bool, seed: int):
     """Rows sorted by block and part: (a, b) class pairs to test."""
 
     def work(table: pa.Table) -> pa.RecordBatch:
@@ -347,6 +367,7 @@ def _walked(rule: Rule, spanning: bool):
         bits = table.column("bits").to_pylist()
         side = table.column("side").to_numpy()
         block = np.stack([table.column("shingle").to_numpy(), table.column("unit").to_numpy()])
+        blocks = [] if spanning else [np.array(b, np.int64) for b in table.column("blocks").to_pylist()]
         cuts = np.concatenate([[0], np.flatnonzero((block[:, 1:] != block[:, :-1]).any(axis=0)) + 1, [len(names)]])
         left, right = [], []
         count = np.diff(cuts)
@@ -358,7 +379,8 @@ def _walked(rule: Rule, spanning: bool):
             left.append(i[ok])
             right.append(i[ok] + step)
         for low, high in zip(cuts[:-1][~small].tolist(), cuts[1:][~small].tolist(), strict=True):
-            pairs = block_pairs(rule, sizes[low:high], bits[low:high], groups[low:high], side[low:high], spanning)
+            before = None if spanning else _met_before(blocks[low:high], int(block[0, low]))
+            pairs = block_pairs(rule, sizes[low:high], bits[low:high], groups[low:high], side[low:high], spanning, before, abs(int(block[0, low])) + seed)
             found = np.array(pairs, np.int64).reshape(-1, 2) + low
             left.append(found[:, 0])
             right.append(found[:, 1])
@@ -415,13 +437,25 @@ def _dealt(members: DataFrame, rule: Rule) -> DataFrame:
     return plain.select(*columns).unionByName(spread.select(*columns))
 
 
-def _tests(members: DataFrame, entries: DataFrame, rule: Rule, spanning: bool) -> DataFrame:
+def _tests(members: DataFrame, entries: DataFrame, rule: Rule, spanning: bool, seed: int = 0) -> DataFrame:
     """Distinct pairs of classes (a < b) to compare; ``members`` has shingle, class, n and group,
     ``entries`` the bitmap of every class."""
     dealt = _dealt(members, rule).join(entries, "class")
+    if not spanning:
+        # No longer than a prefix.
+        dealt = dealt.join(members.groupBy("class").agg(F.collect_set("shingle").alias("blocks")), "class")
     rows = dealt.repartition("shingle", "unit").sortWithinPartitions("shingle", "unit", "n", "class")
-    rows = rows.select("shingle", "unit", "side", "class", "n", "bits", "group")
-    return rows.mapInArrow(_walked(rule, spanning), "a bigint, b bigint").distinct()
+    rows = rows.select("shingle", "unit", "side", "class", "n", "bits", "group", *([] if spanning else ["blocks"]))
+    return rows.mapInArrow(_walked(rule, spanning, seed), "a bigint, b bigint").distinct()
+
+
+def _still_apart(members: DataFrame, passed: DataFrame, edges: DataFrame) -> DataFrame:
+    """The members that passed a walk, with their component so far as ``group``, in the blocks that
+    hold more than one component."""
+    known = components(edges).withColumnRenamed("node", "class")
+    again = members.join(passed, "class").join(known, "class", "left").withColumn("group", F.coalesce("root", "class")).drop("root")
+    apart = again.groupBy("shingle").agg(F.min("group").alias("l"), F.max("group").alias("h")).filter(F.col("l") != F.col("h"))
+    return cut_lineage(again.join(apart.select("shingle"), "shingle"), "apart")
 
 
 def _linked(tests: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -464,12 +498,12 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule |
     chosen = source.select("text").mapInArrow(_chosen_sets(rule, bitmap(passed, "class")), "class bigint, shingles array<bigint>")
     sets = cut_lineage(chosen.dropDuplicates(["class"]).join(passed, "class", "left_semi"), "shingles")
     edges = cut_lineage(_linked(tests, sets, rule), "links")
-    first = components(edges)
-
-    again = members.join(passed, "class").join(first.withColumnRenamed("node", "class"), "class", "left")
-    again = again.withColumn("group", F.coalesce("root", "class")).drop("root")
-    open_blocks = again.groupBy("shingle").agg(F.min("group").alias("l"), F.max("group").alias("h")).filter(F.col("l") != F.col("h"))
-    rest = _tests(again.join(open_blocks.select("shingle"), "shingle"), entries, rule, spanning=False)
+    for seed in range(1, SPANNING):
+        apart = _still_apart(members, passed, edges)
+        fresh = cut_lineage(_tests(apart, entries, rule, True, seed).join(tests, ["a", "b"], "left_anti"), "tests")
+        edges = cut_lineage(edges.unionByName(_linked(fresh, sets, rule)), "links")
+        tests = tests.unionByName(fresh)
+    rest = _tests(_still_apart(members, passed, edges), entries, rule, spanning=False)
     more = _linked(rest.join(tests, ["a", "b"], "left_anti"), sets, rule)
     roots = components(edges.unionByName(more))
 
