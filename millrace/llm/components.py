@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.session import cut_lineage
 
+#: Edges that one task contracts.
+EDGES_AT_ONCE = 500_000
+
 
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -26,19 +32,46 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
     return out.filter(F.col("a") != F.col("b")).distinct()
 
 
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges of one part as stars: every node with the least node it is connected with there."""
+    up: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root = x
+        while (above := up.setdefault(root, root)) != root:
+            root = above
+        while up[x] != root:
+            up[x], x = root, up[x]
+        return root
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            a, b = find(a), find(b)
+            if a != b:
+                up[max(a, b)] = min(a, b)
+    stars = [(x, root) for x in list(up) if (root := find(x)) != x]
+    yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in stars], pa.int64()), "b": pa.array([b for _, b in stars], pa.int64())})
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root``, the least node it is connected with, for every node of ``edges`` (a, b).
 
-    Large-star and small-star rounds until the edges are stars; each round is written, so a lost
-    executor costs one round. The number of rounds grows with the logarithm of the longest path."""
-    edges = cut_lineage(edges.filter(F.col("a") != F.col("b")).select("a", "b").distinct(), "edges")
+    Parts of at most ``EDGES_AT_ONCE`` edges are contracted to stars first, which leaves fewer edges
+    than nodes a part. Large-star and small-star rounds then go on until nothing changes; each round
+    is written, so a lost executor costs one round, and their number grows with the logarithm of the
+    longest path."""
+    edges = cut_lineage(edges.filter(F.col("a") != F.col("b")).select("a", "b"), "edges")
+    parts = max(1, -(-edges.count() // EDGES_AT_ONCE))
+    edges = cut_lineage(edges.repartition(parts).mapInArrow(_contracted, "a bigint, b bigint").distinct(), "edges")
+    before = _digest(edges)
     while True:
-        after = cut_lineage(_star(_star(edges, larger=True), larger=False), "edges")
-        if _digest(after) == _digest(edges):
-            return after.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
-                after.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+        edges = cut_lineage(_star(_star(edges, larger=True), larger=False), "edges")
+        after = _digest(edges)
+        if after == before:
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
+                edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
             )
-        edges = after
+        before = after
 
 
 def _digest(edges: DataFrame) -> tuple:

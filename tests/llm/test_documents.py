@@ -117,7 +117,9 @@ def test_signature_tree_drops_no_link():
     assert linked <= pairs and len(pairs) < len(sets) ** 2 / 8
 
 
-def test_components(spark):
+@pytest.mark.parametrize("at_once", [500_000, 40])
+def test_components(spark, monkeypatch, at_once):
+    monkeypatch.setattr(components, "EDGES_AT_ONCE", at_once)
     pick = np.random.default_rng(2)
     edges = [(int(a), int(b)) for a, b in pick.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(1000, 1060)]
     up = {x: x for e in edges for x in e}
