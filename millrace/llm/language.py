@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.texts import binary_column, slices, worker_memory
+from millrace.llm.texts import binary_column, release, slices, worker_memory
 
 SLOTS_LOG2 = 16
 SLOTS = 1 << SLOTS_LOG2
@@ -96,6 +96,7 @@ def _own_slots(found: Grams, row: int) -> np.ndarray:
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
     total, seen, rows = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, bool), 0
     for batch in batches:
         for part, data, offsets in slices(batch, "text"):
@@ -191,14 +192,18 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     frequency[list(counted)] = list(counted.values())
     inverse = np.log((1 + rows) / (1 + frequency)) + 1
 
+    # Draw by hash so that about twice the wanted number is left of each language, then take the first.
+    sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
+        return Model([], np.zeros((SLOTS + 1, 0), np.float32), np.zeros(0), 1.0)
+    below = F.create_map(*[F.lit(x) for name, n in sizes.items() for x in (name, min(1 << 31, (2 * per_language << 31) // n))])
+    near = labelled.filter(F.pmod(F.xxhash64("draw"), F.lit(1 << 31)) < below[F.col("lang")])
     drawn = Window.partitionBy("lang").orderBy("draw")
-    sample = labelled.withColumn("at", F.row_number().over(drawn)).filter(F.col("at") <= per_language).drop("at")
+    sample = near.withColumn("at", F.row_number().over(drawn)).filter(F.col("at") <= per_language).drop("at")
     sample = sample.withColumn("calibrate", F.col("part") == (held_out + 1) % 5)
     rows = sample.mapInArrow(_sparse, "lang string, draw bigint, calibrate boolean, slots binary, counts binary").collect()
     rows.sort(key=lambda r: (r.draw, r.lang))
     languages = sorted({r.lang for r in rows})
-    if not languages:
-        return Model([], np.zeros((SLOTS + 1, 0), np.float32), np.zeros(0), 1.0)
     leader = Leader(SLOTS, len(languages))
 
     def example(r) -> tuple[np.ndarray, np.ndarray, int]:
