@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.bitmaps import bitmap, marked
 from millrace.llm.components import components
-from millrace.llm.texts import PLAIN, binary_column, find_words, mix, run_hashes, slices
+from millrace.llm.texts import PLAIN, binary_column, find_words, mix, release, run_hashes, slices
 from millrace.session import cut_lineage
 
 WORDS = 4
@@ -104,6 +104,7 @@ def bits_of(shingles: np.ndarray) -> bytes:
 
 def _frequent(words: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         held, size = [], 0
 
         def counted() -> pa.RecordBatch:

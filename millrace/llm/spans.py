@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.bitmaps import bitmap, marked
-from millrace.llm.texts import PLAIN, find_words, run_hashes, slices
+from millrace.llm.texts import PLAIN, find_words, release, run_hashes, slices
 from millrace.session import cut_lineage
 
 WINDOW = 35
@@ -96,6 +96,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _list_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
     for batch in batches:
         for _, data, offsets in slices(batch, "text"):
             found = Paths(data, offsets)

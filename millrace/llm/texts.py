@@ -56,6 +56,12 @@ def worker_memory(name: str) -> dict:
     return holder.__dict__.setdefault(name, {})
 
 
+def release() -> None:
+    """Give back what operators that are over have left in this worker's memory."""
+    for name in ("encoders", "automaton"):
+        worker_memory(name).clear()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit numbers (the splitmix finaliser)."""
     x = x ^ (x >> np.uint64(30))
