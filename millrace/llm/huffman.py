@@ -24,7 +24,6 @@ store.
 from __future__ import annotations
 
 import struct
-import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 

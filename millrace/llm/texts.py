@@ -158,10 +158,6 @@ def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Itera
         row = stop
 
 
-def text_at(data: np.ndarray, offsets: np.ndarray, row: int) -> bytes:
-    return data[offsets[row] : offsets[row + 1]].tobytes()
-
-
 def binary_column(parts: list[bytes]) -> pa.Array:
     return pa.array(parts, pa.binary())
 
