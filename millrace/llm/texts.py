@@ -60,6 +60,7 @@ def release() -> None:
     """Give back what operators that are over have left in this worker's memory."""
     for name in ("encoders", "automaton"):
         worker_memory(name).clear()
+    pa.default_memory_pool().release_unused()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -22,11 +22,11 @@ import pyarrow as pa
 from millrace.llm.texts import LOWER, byte_class, slices, worker_memory
 
 #: Pieces one worker remembers.
-REMEMBERED = 800_000
+REMEMBERED = 600_000
 #: Pieces handed to the tokenizer at once, as one string.
 AT_ONCE = 128
 #: Bytes of text numbered together: the more, the more often a piece is met again.
-SLICE = 12 << 20
+SLICE = 5 << 20
 
 _WIDE_BLANK = re.compile(rb"(?:\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80)[\t-\r ]")
 _WIDE_LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
@@ -166,6 +166,7 @@ def encoder(path: str, blank_matters: bool) -> Encoder:
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str, blank_matters: bool, column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """The batches in slices, with the ids of their texts and the offsets of each text's."""
+    pa.default_memory_pool().release_unused()
     worker = encoder(path, blank_matters)
     for batch in batches:
         for part, data, offsets in slices(batch, column, SLICE):
