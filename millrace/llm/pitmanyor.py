@@ -1,10 +1,9 @@
 """A hierarchical Pitman-Yor language model, sampled and scored where its counts lie.
 
-The root restaurant serves words; below it every context (the word before) has a restaurant whose
-new tables are customers of the root. A word that makes up at least 2**-``CONTEXT_LOG2`` of the
-training tokens is a context of its own (so there are at most 2**``CONTEXT_LOG2``); all other words
-share one context, the start of a text is another. The base of the root gives ``UNSEEN`` to the one
-unseen type and shares the rest among the known words; discounts follow from counts of counts.
+The root restaurant serves words; below it every context (the word before, or the start of a text)
+has a restaurant of its own, whose new tables are customers of the root. The base of the root gives
+``UNSEEN`` to the one unseen type and shares the rest among the known words; discounts follow from
+counts of counts.
 
 Seating is sampled by blocked Gibbs sweeps: given the root's probabilities and the number of tables
 of a context, the tables of every (context, word) are drawn anew by seating its customers one after
@@ -12,13 +11,15 @@ the other; then the root's tables are drawn. The score of a text uses predictive
 averaged over the last sweeps.
 
 How it runs. Texts are read once into chunks of about ``CHUNK`` tokens; a chunk's distinct
-(context, word) pairs go to buckets by word, and its tokens stay behind as places in that list. A
-word that is frequent enough to be a context has its pairs dealt over all buckets instead. A bucket
-holds all counts of its words, so the root's customers of a rare word are known there; what spans
-buckets (tables per context and per frequent word, totals) is summed between rounds into a table of
-at most 2 * 2**``CONTEXT_LOG2`` rows. At the end every bucket answers every chunk with the
-probabilities of the chunk's own pairs. All that moves grows with the distinct pairs of the chunks
-and the tokens, never with their square; no task holds more than a chunk or a bucket.
+(context, word) pairs go to buckets, and its tokens stay behind as places in that list. Every rare
+word has a home bucket: pairs that serve it lie there, and pairs of a frequent word in its context.
+Pairs of two frequent words (at least 2**-``CONTEXT_LOG2`` of the training tokens, so at most
+2**``CONTEXT_LOG2`` of them) are dealt over all buckets. So the root's customers of a rare word are
+known where it is served; sums of frequent words and contexts go between rounds into a table of at
+most 2 * 2**``CONTEXT_LOG2`` rows on the driver. Customers and tables of a rare context are summed at
+its home, which answers every bucket that holds some of its pairs. At the end every bucket answers
+every chunk with the probabilities of the chunk's own pairs. All that moves grows with the distinct
+pairs of the chunks and the tokens, never with their square; no task holds more than a chunk or a bucket.
 
 Defined results: a null text is empty and holds its end alone; without training texts every token is
 of the unseen type; repeated rows are scored each.
@@ -26,6 +27,8 @@ of the unseen type; repeated rows are scored each.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -36,8 +39,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.texts import PLAIN, binary_column, find_words, mix, packed, slices, unpacked
-from millrace.session import cut_lineage
+from millrace.llm.texts import PLAIN, binary_column, find_words, mix, packed, release, slices, unpacked
+from millrace.session import cut_lineage, scratch, shuffle_width
 
 CONTEXT_LOG2 = 16
 CHUNK = 1 << 21
@@ -50,7 +53,9 @@ UNSEEN = 0.5
 #: Customers seated one by one; after them the next new table is drawn at once.
 ONE_BY_ONE = 64
 
-START, RARE, OWN = 0, 1, 2
+#: Codes of contexts: the start of a text, frequent words from ``OWN``; from ``HASHED`` on they are places
+#: in a list of hashes that comes with the pairs.
+START, OWN, HASHED = 0, 2, 1 << 20
 END = mix(np.array([0x5EED], np.uint64))[0]
 _PLANES = 5
 
@@ -85,6 +90,13 @@ def _chunks(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tup
         yield np.concatenate(tokens), counts, kept
 
 
+def _by_value(values: np.ndarray) -> dict[int, np.ndarray]:
+    """Places of every distinct value, in order."""
+    order = np.argsort(values, kind="stable")
+    distinct, begins = np.unique(values[order], return_index=True)
+    return dict(zip(distinct.tolist(), np.split(order, begins[1:]), strict=True)) if len(values) else {}
+
+
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for tokens, _, _ in _chunks(batches, []):
         word, count = np.unique(tokens, return_counts=True)
@@ -109,26 +121,56 @@ class Layout(NamedTuple):
         at = np.minimum(np.searchsorted(self.frequent, words), len(self.frequent) - 1)
         return np.where(self.frequent[at] == words, at, -1)
 
-    def bucket(self, words: np.ndarray, own: np.ndarray, contexts: np.ndarray) -> np.ndarray:
-        spread = np.where(own >= 0, words ^ mix(contexts.astype(np.uint64) + np.uint64(1)), words)
-        return (mix(spread) % np.uint64(self.buckets)).astype(np.int64)
+    def home(self, words: np.ndarray) -> np.ndarray:
+        """The bucket of a rare word, as a word and as a context."""
+        return (mix(words) % np.uint64(self.buckets)).astype(np.int64)
+
+    def bucket(self, words: np.ndarray, own: np.ndarray, contexts: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Of pairs; ``before`` has the hashes of the contexts that are not frequent."""
+        dealt = np.where(contexts >= HASHED, before, words ^ mix(contexts.astype(np.uint64) + np.uint64(1)))
+        return self.home(np.where(own >= 0, dealt, words))
+
+
+def _framed(counts: list[int], parts: list[bytes]) -> bytes:
+    return np.array([*counts, *map(len, parts)], "<u8").tobytes() + b"".join(parts)
+
+
+def _unframed(blob: bytes, n_counts: int, n_parts: int) -> tuple[list[int], list[bytes]]:
+    head = np.frombuffer(blob, "<u8", n_counts + n_parts).tolist()
+    cuts = np.cumsum([8 * len(head), *head[n_counts:]])
+    return head[:n_counts], [blob[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
 
+def _packed_sorted(hashes: np.ndarray) -> bytes:
+    return packed(np.diff(hashes, prepend=np.uint64(0)), 8)
 
-def _pairs_blob(words: np.ndarray, contexts: np.ndarray, counts: np.ndarray) -> bytes:
-    """Pairs in order of word: the distinct words, the pairs of each, contexts and training counts."""
-    new = np.concatenate([[True], words[1:] != words[:-1]]) if len(words) else np.zeros(0, bool)
-    at = np.flatnonzero(new)
-    parts = [packed(words[at], 8), packed(np.diff(np.append(at, len(words))), 3), packed(contexts, 3), packed(counts, _PLANES)]
-    head = np.array([len(at), len(words), *map(len, parts)], "<u8").tobytes()
-    return head + b"".join(parts)
 
+def _unpacked_sorted(blob: bytes, count: int) -> np.ndarray:
+    return np.cumsum(unpacked(blob, count, 8), dtype=np.uint64)
 
-def _read_pairs(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n_words, n_pairs, *sizes = np.frombuffer(blob, "<u8", 6).tolist()
-    cuts = np.cumsum([48, *sizes])
-    parts = [blob[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    words = np.repeat(unpacked(parts[0], n_words, 8), unpacked(parts[1], n_words, 3).astype(np.int64))
-    return words, unpacked(parts[2], n_pairs, 3).astype(np.int64), unpacked(parts[3], n_pairs, _PLANES).astype(np.int64)
+
+def _pairs_blob(words: np.ndarray, contexts: np.ndarray, counts: np.ndarray, hashes: np.ndarray | None = None) -> bytes:
+    """Pairs in order of word: the words and the sorted ``hashes`` that the contexts from ``HASHED`` on mean
+    as one list, the pairs of each, contexts and training counts."""
+    hashes = np.zeros(0, np.uint64) if hashes is None else hashes
+    named = np.union1d(words, hashes)
+    far = contexts >= HASHED
+    codes = contexts.copy()
+    codes[far] = HASHED + np.searchsorted(named, hashes)[contexts[far] - HASHED]
+    pairs = np.diff(np.searchsorted(words, named), append=len(words))
+    return _framed([len(named), len(words)], [_packed_sorted(named), packed(pairs, 3), packed(codes, 4), packed(counts, _PLANES)])
+
+
+def _read_pairs(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words, contexts and counts of the pairs, and the hashes that the contexts from ``HASHED`` on mean."""
+    (n_named, n_pairs), parts = _unframed(blob, 2, 4)
+    named = _unpacked_sorted(parts[0], n_named)
+    words = np.repeat(named, unpacked(parts[1], n_named, 3).astype(np.int64))
+    contexts, counts = unpacked(parts[2], n_pairs, 4).astype(np.int64), unpacked(parts[3], n_pairs, _PLANES).astype(np.int64)
+    far = contexts >= HASHED
+    used, contexts[far] = np.unique(contexts[far] - HASHED, return_inverse=True)
+    contexts[far] += HASHED
+    return words, contexts, counts, named[used]
 
 
 def _chunk_rows(layout: Layout, key_type: pa.DataType):
@@ -140,12 +182,12 @@ def _chunk_rows(layout: Layout, key_type: pa.DataType):
             words, at = np.unique(tokens, return_inverse=True)
             own = layout.place(words)
             context = np.full(len(tokens), START, np.int64)
-            context[1:] = np.where(own >= 0, own + OWN, RARE)[at[:-1]]
+            context[1:] = np.where(own >= 0, own + OWN, HASHED + np.arange(len(words)))[at[:-1]]
             context[np.cumsum(sizes)[:-1]] = START
-            code, where = np.unique(at.astype(np.int64) << 20 | context, return_inverse=True)
+            code, where = np.unique(at.astype(np.int64) << 32 | context, return_inverse=True)
             count = np.bincount(where[np.repeat(learn, sizes)], minlength=len(code))
-            word, context = code >> 20, code & ((1 << 20) - 1)
-            bucket = layout.bucket(words[word], own[word], context)
+            word, context = code >> 32, code & ((1 << 32) - 1)
+            bucket = layout.bucket(words[word], own[word], context, words[np.maximum(context - HASHED, 0)])
             order = np.argsort(bucket, kind="stable")
             back = np.empty(len(order), np.int64)
             back[order] = np.arange(len(order))
@@ -153,7 +195,11 @@ def _chunk_rows(layout: Layout, key_type: pa.DataType):
             blobs, filled = [], [b for b in range(layout.buckets) if cuts[b] < cuts[b + 1]]
             for b in filled:
                 some = order[cuts[b] : cuts[b + 1]]
-                blobs.append(_pairs_blob(words[word[some]], context[some], count[some]))
+                codes = context[some]
+                far = codes >= HASHED
+                named, codes[far] = np.unique(codes[far] - HASHED, return_inverse=True)
+                codes[far] += HASHED
+                blobs.append(_pairs_blob(words[word[some]], codes, count[some], words[named]))
             none = [None] * len(filled)
             keys = pa.concat_arrays([c.cast(key_type) for c in kept["key"]])
             yield pa.RecordBatch.from_pydict({
@@ -168,15 +214,20 @@ def _chunk_rows(layout: Layout, key_type: pa.DataType):
 
 def _merge(table: pa.Table) -> pa.Table:
     """One row per bucket: its distinct pairs with counts, and where each chunk's pairs went."""
+    release()
     table = table.sort_by("chunk")
     read = [_read_pairs(blob.as_py()) for blob in table.column("pairs")]
     words = np.concatenate([r[0] for r in read])
-    contexts = np.concatenate([r[1] for r in read])
+    hashes, named = np.unique(np.concatenate([r[3] for r in read]), return_inverse=True)
+    begins = np.cumsum([0, *(len(r[3]) for r in read)])
+    contexts = np.concatenate([r[1] + np.where(r[1] >= HASHED, begin, 0) for r, begin in zip(read, begins, strict=False)])
+    contexts[contexts >= HASHED] = HASHED + named[contexts[contexts >= HASHED] - HASHED]
     counts = np.concatenate([r[2] for r in read])
     distinct, at = np.unique(words, return_inverse=True)
-    code, where = np.unique(at.astype(np.int64) << 20 | contexts, return_inverse=True)
+    code, where = np.unique(at.astype(np.int64) << 32 | contexts, return_inverse=True)
     total = np.bincount(where, counts, len(code)).astype(np.int64)
-    merged = _pairs_blob(distinct[code >> 20], code & ((1 << 20) - 1), total)
+    code_contexts = code & ((1 << 32) - 1)
+    merged = _pairs_blob(distinct[code >> 32], code_contexts, total, hashes)
     return pa.table({
         "bucket": pa.array([table.column("bucket")[0].as_py()], pa.int32()), "pairs": pa.array([merged], pa.binary()),
         "chunks": pa.array([table.column("chunk").to_pylist()], pa.list_(pa.int64())),
@@ -185,7 +236,7 @@ def _merge(table: pa.Table) -> pa.Table:
 
 
 class World(NamedTuple):
-    """What all buckets share: by context the customers and tables, by frequent word the root's
+    """What all buckets share: by frequent context the customers and tables, by frequent word the root's
     customers (tables of all contexts), its own tables and the training count; totals; discounts."""
 
     customers: np.ndarray
@@ -240,8 +291,17 @@ def seat(customers: np.ndarray, strength: np.ndarray, discount: float, rng: np.r
 class Bucket:
     """The pairs of a bucket, and its share of a Gibbs sweep."""
 
-    def __init__(self, number: int, blob: bytes, layout: Layout):
-        self.pair_words, self.contexts, self.counts = _read_pairs(blob)
+    def __init__(self, number: int, blob: bytes, layout: Layout, answers: dict[int, bytes] | None = None):
+        self.number = number
+        self.pair_words, self.contexts, self.counts, self.hashes = _read_pairs(blob)
+        self.far = self.contexts >= HASHED
+        self.homes = _by_value(layout.home(self.hashes))
+        # Customers and tables of the rare contexts, as their homes gave them.
+        self.far_customers, self.far_tables = np.zeros((2, len(self.hashes)), np.int64)
+        for h, blob_of_home in (answers or {}).items():
+            at = self.homes[h]
+            _, parts = _unframed(blob_of_home, 1, 2)
+            self.far_customers[at], self.far_tables[at] = (unpacked(part, len(at), _PLANES) for part in parts)
         self.words, self.of = np.unique(self.pair_words, return_inverse=True)
         self.own = layout.place(self.words)
         self.frequent = self.own[self.of] >= 0
@@ -255,6 +315,10 @@ class Bucket:
     def _serve(self) -> None:
         self.served = np.bincount(self.of, self.tables, len(self.words)).astype(np.int64)
 
+    def _of_contexts(self, near: np.ndarray, far: np.ndarray) -> np.ndarray:
+        """Values of each pair's context, from those of the frequent and of the rare contexts."""
+        return np.concatenate([near, far])[np.where(self.far, self.contexts - HASHED + len(near), self.contexts)]
+
     def probabilities(self, world: World) -> np.ndarray:
         """The root's probability of every word of the bucket."""
         at = np.maximum(self.own, 0)
@@ -267,7 +331,7 @@ class Bucket:
 
     def sweep(self, world: World) -> None:
         p = self.probabilities(world)[self.of]
-        strength = (CONCENTRATION + world.discount * world.tables[self.contexts]) * p
+        strength = (CONCENTRATION + world.discount * self._of_contexts(world.tables, self.far_tables)) * p
         self.tables = seat(self.counts, strength, world.discount, self.rng)
         self._serve()
         all_tables = world.root.sum() + world.root_rare
@@ -277,8 +341,16 @@ class Bucket:
     def predictive(self, world: World) -> np.ndarray:
         p = self.probabilities(world)[self.of]
         held = np.maximum(self.counts - world.discount * self.tables, 0)
-        new = (CONCENTRATION + world.discount * world.tables[self.contexts]) * p
-        return (held + new) / (CONCENTRATION + world.customers[self.contexts])
+        new = (CONCENTRATION + world.discount * self._of_contexts(world.tables, self.far_tables)) * p
+        return (held + new) / (CONCENTRATION + self._of_contexts(world.customers, self.far_customers))
+
+    def asks(self) -> Iterator[tuple[int, bytes]]:
+        """By home: this bucket's customers and tables of the home's contexts."""
+        at = self.contexts[self.far] - HASHED
+        customers, tables = (np.bincount(at, n[self.far], len(self.hashes)).astype(np.int64) for n in (self.counts, self.tables))
+        for home, some in self.homes.items():
+            parts = [_packed_sorted(self.hashes[some]), packed(customers[some], _PLANES), packed(tables[some], _PLANES)]
+            yield home, _framed([len(some)], parts)
 
     def sums(self) -> dict[str, np.ndarray]:
         """Sums across buckets, as (kind, id, n): see ``_world``."""
@@ -292,8 +364,9 @@ class Bucket:
             ns.append(total[some])
 
         one = lambda n: (np.zeros(1, np.int64), np.array([n], np.int64))
-        add(0, self.contexts, self.counts)
-        add(1, self.contexts, self.tables)
+        add(0, self.contexts[~self.far], self.counts[~self.far])
+        add(1, self.contexts[~self.far], self.tables[~self.far])
+        add(9, *one(self.counts[self.far].sum()))
         far = ~self.rare
         add(2, self.own[far], self.served[far])
         add(3, self.own[far], self.word_counts[far])
@@ -305,45 +378,79 @@ class Bucket:
         return {"kind": np.concatenate(kinds), "id": np.concatenate(ids), "n": np.concatenate(ns)}
 
 
-def _sampled(layout: Layout, world: World | None, sweeps: int):
+def _swept(bucket: Bucket) -> pa.Table:
+    """A bucket's sums for the world (``home`` is null) and what it asks the homes of its contexts."""
+    sums, asked = bucket.sums(), list(bucket.asks())
+    asks = {
+        "home": pa.array([home for home, _ in asked], pa.int32()), "bucket": pa.array([bucket.number] * len(asked), pa.int32()),
+        "totals": pa.array([blob for _, blob in asked], pa.binary()),
+    }
+    table = {k: pa.concat_arrays([pa.array(v, pa.int64()), pa.nulls(len(asked), pa.int64())]) for k, v in sums.items()}
+    return pa.table(table | {k: pa.concat_arrays([pa.nulls(len(sums["n"]), v.type), v]) for k, v in asks.items()})
+
+
+def _begun(layout: Layout):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, blob in zip(batch.column("bucket").to_pylist(), batch.column("pairs"), strict=True):
-                bucket = Bucket(number, blob.as_py(), layout)
-                for _ in range(sweeps):
-                    bucket.sweep(world)
-                yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in bucket.sums().items()})
+                yield from _swept(Bucket(number, blob.as_py(), layout)).to_batches()
 
     return run
 
 
+def _answered(row: pa.Table, totals: pa.Table, layout: Layout) -> Bucket:
+    release()
+    answers = dict(zip(totals.column("home").to_pylist(), totals.column("totals").to_pylist(), strict=True))
+    return Bucket(row.column("bucket")[0].as_py(), row.column("pairs")[0].as_py(), layout, answers)
+
+
+def _sampled(layout: Layout, world: World, sweeps: int):
+    def run(row: pa.Table, totals: pa.Table) -> pa.Table:
+        bucket = _answered(row, totals, layout)
+        for _ in range(sweeps):
+            bucket.sweep(world)
+        return _swept(bucket)
+
+    return run
+
+
+def _totals(table: pa.Table) -> pa.Table:
+    """At a home: customers and tables of its contexts over all buckets, in the order each bucket asked."""
+    asked = [_unframed(blob.as_py(), 1, 3) for blob in table.column("totals")]
+    hashes, at = np.unique(np.concatenate([_unpacked_sorted(parts[0], n) for (n,), parts in asked]), return_inverse=True)
+    sums = [np.bincount(at, np.concatenate([unpacked(parts[k], n, _PLANES) for (n,), parts in asked]), len(hashes)).astype(np.int64) for k in (1, 2)]
+    cuts = np.cumsum([0, *(n for (n,), _ in asked)])
+    blobs = [_framed([b - a], [packed(values[at[a:b]], _PLANES) for values in sums]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return pa.table({"bucket": table.column("bucket"), "home": table.column("home"), "totals": pa.array(blobs, pa.binary())})
+
+
 def _answers(layout: Layout, world: World, burn: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                bucket = Bucket(row["bucket"], row["pairs"], layout)
-                for _ in range(burn):
-                    bucket.sweep(world)
-                total = np.zeros(len(bucket.counts))
-                for _ in range(SAMPLES):
-                    bucket.sweep(world)
-                    total += bucket.predictive(world)
-                log_p = np.log10(total / SAMPLES).astype(np.float32)
-                seen = np.where(bucket.frequent, world.counts[np.maximum(bucket.own[bucket.of], 0)] if len(world.counts) else 0, bucket.word_counts[bucket.of])
-                where = unpacked(row["places"], sum(row["sizes"]), 4).astype(np.int64)
-                ends = np.cumsum([0, *row["sizes"]])
-                parts = [where[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-                yield pa.RecordBatch.from_pydict({
-                    "chunk": pa.array(row["chunks"], pa.int64()), "bucket": pa.array([row["bucket"]] * len(parts), pa.int32()),
-                    "log_p": binary_column([pa.compress(log_p[w].tobytes(), codec="zstd", asbytes=True) for w in parts]),
-                    "seen": binary_column([packed(seen[w], _PLANES) for w in parts]), "size": pa.array([len(w) for w in parts], pa.int64()),
-                })
+    def run(row: pa.Table, totals: pa.Table) -> pa.Table:
+        bucket = _answered(row, totals, layout)
+        for _ in range(burn):
+            bucket.sweep(world)
+        total = np.zeros(len(bucket.counts))
+        for _ in range(SAMPLES):
+            bucket.sweep(world)
+            total += bucket.predictive(world)
+        log_p = np.log10(total / SAMPLES).astype(np.float32)
+        seen = np.where(bucket.frequent, world.counts[np.maximum(bucket.own[bucket.of], 0)] if len(world.counts) else 0, bucket.word_counts[bucket.of])
+        chunks, sizes = row.column("chunks")[0].as_py(), row.column("sizes")[0].as_py()
+        where = unpacked(row.column("places")[0].as_py(), sum(sizes), 4).astype(np.int64)
+        ends = np.cumsum([0, *sizes])
+        parts = [where[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        return pa.table({
+            "chunk": pa.array(chunks, pa.int64()), "bucket": pa.array([bucket.number] * len(parts), pa.int32()),
+            "log_p": binary_column([pa.compress(log_p[w].tobytes(), codec="zstd", asbytes=True) for w in parts]),
+            "seen": binary_column([packed(seen[w], _PLANES) for w in parts]), "size": pa.array([len(w) for w in parts], pa.int64()),
+        })
 
     return run
 
 
 def _scored(key_type: pa.DataType, train_tokens: int, types: int):
     def score(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        release()
         answers = answers.sort_by("bucket")
         sizes = answers.column("size").to_pylist()
         log_p = np.concatenate([np.frombuffer(pa.decompress(b.as_py(), 4 * n, "zstd", asbytes=True), np.float32) for b, n in zip(answers.column("log_p"), sizes, strict=True)])
@@ -384,7 +491,7 @@ def _world(rows: list, layout: Layout, last: World | None) -> World:
     types = int((counts > 0).sum()) + by_kind.get(6, {}).get(0, 0)
     draft = World(
         customers, vector(1, own), served, (served > 0).astype(np.int64), counts, by_kind.get(4, {}).get(0, 0), by_kind.get(5, {}).get(0, 0),
-        types, int(customers.sum()), last.discount if last else discount(7), last.root_discount if last else discount(8),
+        types, int(customers.sum()) + by_kind.get(9, {}).get(0, 0), last.discount if last else discount(7), last.root_discount if last else discount(8),
     )
     if last is None:
         return draft
@@ -393,6 +500,15 @@ def _world(rows: list, layout: Layout, last: World | None) -> World:
     return draft._replace(root=drawn)
 
 
+def _bucketed(df: DataFrame, name: str) -> DataFrame:
+    """``cut_lineage`` that keeps the rows dealt by ``bucket``: what joins them later moves, they do not."""
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    table = re.sub(r"\W", "_", os.path.basename(path))
+    df.write.bucketBy(shuffle_width(spark), "bucket").option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def remainder(key) -> int:
     return zlib.crc32(b"" if key is None else str(key).encode()) % 5
 
@@ -416,13 +532,22 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", held_out: in
     chunks = cut_lineage(source.mapInArrow(_chunk_rows(layout, key_type), schema), "chunks")
     sent = chunks.filter("bucket >= 0").select("chunk", "bucket", "pairs")
     schema = "bucket int, pairs binary, chunks array<bigint>, sizes array<bigint>, places binary"
-    state = cut_lineage(sent.groupBy("bucket").applyInArrow(_merge, schema), "buckets")
+    state = _bucketed(sent.groupBy("bucket").applyInArrow(_merge, schema), "buckets")
 
+    pairs = state.select("bucket", "pairs")
+    schema = "kind bigint, id bigint, n bigint, home int, bucket int, totals binary"
     world = None
     for sweeps in range(ROUNDS + 1):
-        sums = state.select("bucket", "pairs").mapInArrow(_sampled(layout, world, sweeps), "kind bigint, id bigint, n bigint")
-        world = _world(sums.groupBy("kind", "id").agg(F.sum("n").alias("n")).collect(), layout, world)
-    replies = state.mapInArrow(_answers(layout, world, ROUNDS), "chunk bigint, bucket int, log_p binary, seen binary, size bigint")
+        if world is None:
+            swept = pairs.mapInArrow(_begun(layout), schema)
+        else:
+            swept = pairs.groupBy("bucket").cogroup(totals.groupBy("bucket")).applyInArrow(_sampled(layout, world, sweeps), schema)
+        swept = cut_lineage(swept, "swept")
+        world = _world(swept.filter("home IS NULL").groupBy("kind", "id").agg(F.sum("n").alias("n")).collect(), layout, world)
+        asked = swept.filter("home IS NOT NULL").select("home", "bucket", "totals")
+        totals = asked.groupBy("home").applyInArrow(_totals, "bucket int, home int, totals binary")
+    schema = "chunk bigint, bucket int, log_p binary, seen binary, size bigint"
+    replies = state.groupBy("bucket").cogroup(totals.groupBy("bucket")).applyInArrow(_answers(layout, world, ROUNDS), schema)
     held = chunks.filter("bucket < 0").select("chunk", "tokens", "keys", "sizes", "learn")
     scored = held.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
         _scored(key_type, world.tokens, world.types), f"key {name}, learn boolean, n_tokens bigint, n_known bigint, base_score double, score double"

@@ -351,6 +351,23 @@ def test_predictive_probabilities_sum_to_one():
     assert np.allclose(total, 1, atol=0.02)
 
 
+def test_every_training_word_is_a_context(frame, monkeypatch):
+    """Rare words keep their own restaurants, also where their pairs lie in several buckets."""
+    monkeypatch.setattr(pitmanyor, "CONTEXT_LOG2", 3)
+    monkeypatch.setattr(pitmanyor, "BUCKET", 300)
+    learn = [k for k in range(2000) if pitmanyor.remainder(k) != 1]
+    held = [k for k in range(2000) if pitmanyor.remainder(k) == 1]
+    rows = [(k, f"a{n % 30} b{n % 30}") for n, k in enumerate(learn[:600])]
+    rows += [(k, f"a{n} b{n}") for n, k in enumerate(held[:30])] + [(k, f"a{n} b{(n + 1) % 30}") for n, k in enumerate(held[30:60])]
+    got = {r.doc_id: r.score for r in pitmanyor.score(frame(rows)).collect()}
+    # After a{n} its own b{n} was seen 20 times and nothing else ever.
+    for n in range(30):
+        assert got[held[n]] > got[held[30 + n]] + 1
+    monkeypatch.setattr(pitmanyor, "CONTEXT_LOG2", 16)
+    on_driver = {r.doc_id: r.score for r in pitmanyor.score(frame(rows)).collect()}
+    assert max(abs(got[k] - on_driver[k]) for k in got) < 0.3
+
+
 def test_seating_matches_one_by_one():
     """The number of tables, drawn with and without the closed form for late customers."""
     customers, strength = np.full(4000, 900), np.full(4000, 0.8)
