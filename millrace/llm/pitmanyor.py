@@ -14,7 +14,7 @@ How it runs. Texts are read once into chunks of about ``CHUNK`` tokens; a chunk'
 (context, word) pairs go to buckets, and its tokens stay behind as places in that list. Every rare
 word has a home bucket: pairs that serve it lie there, and pairs of a frequent word in its context.
 Pairs of two frequent words (at least 2**-``CONTEXT_LOG2`` of the training tokens, so at most
-2**``CONTEXT_LOG2`` of them) are dealt over all buckets. So the root's customers of a rare word are
+2**``CONTEXT_LOG2`` of them, and the end of a text) are dealt over all buckets. So the root's customers of a rare word are
 known where it is served; sums of frequent words and contexts go between rounds into a table of at
 most 2 * 2**``CONTEXT_LOG2`` rows on the driver. Customers and tables of a rare context are summed at
 its home, which answers every bucket that holds some of its pairs. At the end every bucket answers
@@ -109,7 +109,7 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Layout(NamedTuple):
-    """Frequent words (sorted hashes) and the number of buckets."""
+    """Frequent words (sorted hashes, ``END`` among them) and the number of buckets."""
 
     frequent: np.ndarray
     buckets: int
@@ -322,10 +322,11 @@ class Bucket:
     def probabilities(self, world: World) -> np.ndarray:
         """The root's probability of every word of the bucket."""
         at = np.maximum(self.own, 0)
-        served, root = self.served, self.root
+        served, root, counts = self.served, self.root, self.word_counts
         if self.own.max(initial=-1) >= 0:
             served, root = np.where(self.rare, served, world.served[at]), np.where(self.rare, root, world.root[at])
-        known = (self.word_counts > 0) | ~self.rare
+            counts = np.where(self.rare, counts, world.counts[at])
+        known = counts > 0
         p = world.root_probability(served, root, np.where(known, world.known_base, world.unseen_base))
         return p
 
@@ -522,7 +523,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", held_out: in
     counted = counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("tokens").alias("tokens"))
     total = (cut := cut_lineage(counted, "words")).agg(F.sum("tokens")).first()[0] or 0
     frequent = cut.filter((F.col("n") > 0) & (F.col("n") >= total / (1 << CONTEXT_LOG2))).select("word").collect()
-    words = np.sort(np.array([r.word for r in frequent], np.int64).view(np.uint64))
+    # Every text has an end: its pairs are dealt like those of a frequent word, however short the texts.
+    words = np.sort(np.append(np.array([r.word for r in frequent], np.int64).view(np.uint64), END))
     layout = Layout(words, max(1, -(-total * 5 // (4 * BUCKET))))
 
     kind = docs.schema[key].dataType

@@ -368,6 +368,24 @@ def test_every_training_word_is_a_context(frame, monkeypatch):
     assert max(abs(got[k] - on_driver[k]) for k in got) < 0.3
 
 
+def test_ends_of_texts_are_dealt_over_the_buckets(frame, monkeypatch):
+    monkeypatch.setattr(pitmanyor, "BUCKET", 300)
+    layouts = []
+    make = pitmanyor.Layout
+    monkeypatch.setattr(pitmanyor, "Layout", lambda *a: layouts.append(make(*a)) or layouts[-1])
+    pitmanyor.score(frame([(k, f"u{k}") for k in range(900)]))
+    layout, end = layouts[0], np.full(900, pitmanyor.END)
+    own, contexts = layout.place(end), np.arange(900) + pitmanyor.OWN
+    assert layout.buckets > 4
+    sizes = np.bincount(layout.bucket(end, own, contexts, end), minlength=layout.buckets)
+    assert sizes.max() < 2 * 900 / layout.buckets
+
+
+def test_without_training_texts_all_is_unseen(frame):
+    held = next(k for k in range(99) if pitmanyor.remainder(k) == 1)
+    assert [(r.n_known, r.score) for r in pitmanyor.score(frame([(held, "a b")])).collect()] == [(0, 0.0)]
+
+
 def test_seating_matches_one_by_one():
     """The number of tables, drawn with and without the closed form for late customers."""
     customers, strength = np.full(4000, 900), np.full(4000, 0.8)
