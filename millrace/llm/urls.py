@@ -2,8 +2,7 @@
 
 A rule names a host with its subdomains and a start of the path; the longest fitting rule decides.
 URLs that a rule decides are the labelled ones. From all of them come the suffix statistics (how many
-URLs share the last one or two labels of the host, and how often these are blocked, hashed into
-``SUFFIX_SLOTS`` slots); the trees are fitted on at most ``FIT_ROWS`` of them, drawn by hash, with
+URLs share the last one or two labels of the host, and how often these are blocked); the trees are fitted on at most ``FIT_ROWS`` of them, drawn by hash, with
 lengths, depth, digit share, entropy, parameter counts and these statistics. Every URL that no rule
 fits gets the trees' verdict.
 
@@ -25,7 +24,8 @@ from pyspark.sql import functions as F
 from millrace.session import cut_lineage
 
 ALLOW, BLOCK = "allow", "block"
-SUFFIX_SLOTS = 4096
+#: Suffixes with at least this share of all URLs are joined where the URLs lie.
+HOT_SHARE = 1 / 1024
 FIT_ROWS = 20_000
 TREES, DEPTH = 20, 4
 #: Weight of the overall block rate in a suffix's rate, in URLs.
@@ -94,33 +94,42 @@ def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
     }
 
 
-def _slot(host: Column, labels: int) -> Column:
-    return F.pmod(F.xxhash64(F.substring_index(host, ".", -labels)), F.lit(SUFFIX_SLOTS)).cast("int")
+def _suffix(host: Column, labels: int) -> Column:
+    return F.substring_index(host, ".", -labels)
 
 
 def _suffix_tables(judged: DataFrame) -> tuple[dict[int, DataFrame], float]:
-    """Per number of labels: block rate and log count by slot. At most ``SUFFIX_SLOTS`` rows each."""
-    labelled = judged.filter(F.col("label").isNotNull())
-    rate = labelled.agg(F.avg("label")).first()[0]
+    """Per number of labels: block rate and log count by suffix, and whether the suffix is ``hot``."""
+    rate, rows = judged.agg(F.avg("label"), F.count(F.lit(1))).first()
     base = 0.0 if rate is None else rate
     tables = {}
     for labels in (1, 2):
-        grouped = labelled.groupBy(_slot(F.col("host"), labels).alias(f"s{labels}")).agg(F.sum("label").alias("b"), F.count(F.lit(1)).alias("n"))
+        grouped = judged.groupBy(_suffix(F.col("host"), labels).alias(f"s{labels}")).agg(
+            F.coalesce(F.sum("label"), F.lit(0.0)).alias("b"), F.count("label").alias("n"), (F.count(F.lit(1)) >= rows * HOT_SHARE).alias("hot")
+        )
         tables[labels] = grouped.select(
-            f"s{labels}", ((F.col("b") + PRIOR * base) / (F.col("n") + PRIOR)).alias(f"rate_{labels}"), F.log1p("n").alias(f"count_{labels}")
+            f"s{labels}", ((F.col("b") + PRIOR * base) / (F.col("n") + PRIOR)).alias(f"rate_{labels}"), F.log1p("n").alias(f"count_{labels}"), "hot"
         )
     return tables, base
 
 
+def _with_suffix(urls: DataFrame, table: DataFrame, labels: int, base: float) -> DataFrame:
+    """Hot suffixes (at most 1 / ``HOT_SHARE``) by broadcast, the others by a join that hot ones stay out of."""
+    suffix, names = f"s{labels}", [f"rate_{labels}", f"count_{labels}"]
+    hot = table.filter("hot").select(suffix, *(F.col(n).alias(f"hot_{n}") for n in names))
+    out = urls.withColumn(suffix, _suffix(F.col("host"), labels)).join(F.broadcast(hot), suffix, "left")
+    apart = F.concat(F.lit("\0"), F.xxhash64("url", "key").cast("string"))
+    out = out.withColumn(suffix, F.when(F.col(f"hot_{names[0]}").isNull(), F.col(suffix)).otherwise(apart))
+    out = out.join(table.filter("NOT hot").select(suffix, *names), suffix, "left").drop(suffix)
+    filled = {n: F.coalesce(f"hot_{n}", n, F.lit(default)) for n, default in zip(names, (base, 0.0), strict=True)}
+    return out.withColumns(filled).drop(*(f"hot_{n}" for n in names))
+
+
 def _with_features(judged: DataFrame, tables: dict[int, DataFrame], base: float) -> tuple[DataFrame, list[str]]:
-    features = lexical(F.col("url"), F.col("host"), F.col("path"))
-    out = judged.withColumns(features)
-    names = list(features)
+    out, features = judged, lexical(F.col("url"), F.col("host"), F.col("path"))
     for labels, table in tables.items():
-        out = out.withColumn(f"s{labels}", _slot(F.col("host"), labels)).join(F.broadcast(table), f"s{labels}", "left").drop(f"s{labels}")
-        out = out.fillna({f"rate_{labels}": base, f"count_{labels}": 0.0})
-        names += [f"rate_{labels}", f"count_{labels}"]
-    return out, names
+        out = _with_suffix(out, table, labels, base)
+    return out.withColumns(features), [*features, *(f"{kind}_{labels}" for labels in tables for kind in ("rate", "count"))]
 
 
 def judge(pages: DataFrame, rules: list[Rule], key: str = "page_id", url: str = "url", fit_rows: int = FIT_ROWS) -> DataFrame:

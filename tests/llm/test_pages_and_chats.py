@@ -1,6 +1,7 @@
 """URL rules and perspective rotation on odd rows."""
 
 import collections
+import math
 import re
 
 from millrace.llm import chat, urls
@@ -103,3 +104,18 @@ def test_rotation_runs_no_python(spark):
     table = spark.createDataFrame([(1, 0, "a", "x")], "conv_id long, turn long, role string, text string")
     plan = chat.rotate(table)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|NestedLoop|Cartesian", plan)
+
+
+def test_suffix_statistics_are_by_suffix(spark):
+    """More hosts than any table of slots had, hot and rare ones, each with its own rate."""
+    hosts = [(f"h{n}.x", float(n % 2)) for n in range(6000)] + [("often.y", 1.0)] * 300 + [("new.z", None)]
+    rows = [(k, f"http://{host}/", host, "/", label) for k, (host, label) in enumerate(hosts)]
+    judged = spark.createDataFrame(rows, "key long, url string, host string, path string, label double")
+    tables, base = urls._suffix_tables(judged)
+    got, names = urls._with_features(judged, tables, base)
+    got = {r.host: (r.rate_2, r.count_2, r.rate_1) for r in got.select("host", "label", *names).collect()}
+    assert len(got) == 6002
+    for host, (rate, count, _) in got.items():
+        blocked, n = {"often.y": (300, 300), "new.z": (0, 0)}.get(host) or (int(host[1:-2]) % 2, 1)
+        assert abs(rate - (blocked + urls.PRIOR * base) / (n + urls.PRIOR)) < 1e-9 and abs(count - math.log1p(n)) < 1e-9
+    assert abs(got["h0.x"][2] - (3000 + urls.PRIOR * base) / (6000 + urls.PRIOR)) < 1e-9
