@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat, decontaminate, fingerprints, huffman, jaccard, language, packing, pitmanyor, spans, urls
+from millrace.llm import chat, decontaminate, fingerprints, huffman, jaccard, language, packing, pitmanyor, simhash, spans, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run}
 SQL: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
@@ -111,3 +111,8 @@ def op3(spark: SparkSession, directory: str) -> DataFrame:
 @registered("op1_jaccard_join")
 def op1(spark: SparkSession, directory: str) -> DataFrame:
     return jaccard.report(read(spark, directory, "documents"))
+
+
+@registered("op13_simhash")
+def op13(spark: SparkSession, directory: str) -> DataFrame:
+    return simhash.report(read(spark, directory, "documents"))
