@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.bitmaps import bitmap, marked
+from millrace.llm.bitmaps import Bitmap, bitmap
 from millrace.llm.components import components
 from millrace.llm.texts import PLAIN, binary_column, find_words, mix, release, run_hashes, slices
 from millrace.session import cut_lineage
@@ -151,26 +151,26 @@ def _described(rule: Rule, heavy: np.ndarray, weight: np.ndarray):
     return describe
 
 
-def _shared_prefixes(bits: np.ndarray):
+def _shared_prefixes(shared: Bitmap):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("prefix")
             flat = lists.flatten().to_numpy(zero_copy_only=False)
             owner = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
-            some = marked(bits, flat)
+            some = shared.marked(flat)
             rows = pa.array(owner[some])
             yield pa.RecordBatch.from_pydict({"shingle": pa.array(flat[some]), "class": batch.column("class").take(rows), "n": batch.column("n").take(rows)})
 
     return keep
 
 
-def _chosen_sets(rule: Rule, bits: np.ndarray):
+def _chosen_sets(rule: Rule, wanted: Bitmap):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, data, offsets in slices(batch, "text"):
                 sets = [s for s in sets_of(data, offsets, rule.words) if len(s)]
                 names = np.array([class_of(s) for s in sets], np.int64)
-                keep = np.flatnonzero(marked(bits, names)) if len(names) else np.zeros(0, np.int64)
+                keep = np.flatnonzero(wanted.marked(names)) if len(names) else np.zeros(0, np.int64)
                 chosen = [sets[i] for i in keep]
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in chosen])])
                 flat = np.concatenate([*chosen, np.zeros(0, np.uint64)]).view(np.int64)

@@ -18,7 +18,8 @@ the words of the text itself are cut there.
 
 Hot paths cost no more than others: counts combine before they move, and the joins that carry one
 row an occurrence have a single row of the path on the other side, which Spark may split and copy.
-Minimizers that cannot repeat are recognised in the second scan by a bitmap of fixed size; a false positive only moves a row that the join then drops.
+Minimizers that cannot repeat are recognised in the second scan by a bitmap sized by the count of
+those that do (see ``bitmaps``); a false positive only moves a row that the join then drops.
 
 Words stand as 64-bit hashes; two different paths are taken for one only if both the minimizer's and
 the path's hashes agree.
@@ -35,11 +36,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.bitmaps import bitmap, marked
+from millrace.llm.bitmaps import Bitmap, bitmap
 from millrace.llm.texts import PLAIN, find_words, release, run_hashes, slices
 from millrace.session import cut_lineage
 
@@ -103,14 +104,14 @@ def _list_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"minimizer": _signed(found.minimizer), "path": _signed(found.path)})
 
 
-def _place_paths(repeated: np.ndarray, branching: np.ndarray):
+def _place_paths(repeated: Bitmap, branching: Bitmap):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in slices(batch, "text"):
                 found = Paths(data, offsets)
-                keep = np.flatnonzero(marked(repeated, found.minimizer))
+                keep = np.flatnonzero(repeated.marked(found.minimizer))
                 first, last, minimizer = found.first[keep], found.last[keep], found.minimizer[keep]
-                opened = marked(branching, minimizer)
+                opened = branching.marked(minimizer)
                 hashes, ends = found.windows(first[opened], last[opened])
                 begin = np.zeros(len(keep) + 1, np.int64)
                 begin[1:] = np.cumsum(np.where(opened, last - first + 1, 0))
@@ -136,10 +137,11 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     keyed = _keyed(docs, key, text)
     paths = keyed.select("text").mapInArrow(_list_paths, "minimizer bigint, path bigint")
     counted = paths.groupBy("minimizer", "path").agg(F.count(F.lit(1)).alias("times"))
-    together = Window.partitionBy("minimizer")
-    met = counted.withColumn("total", F.sum("times").over(together)).withColumn("kinds", F.count(F.lit(1)).over(together))
-    met = cut_lineage(met.filter(F.col("total") > 1).select("minimizer", "path", "times", "kinds"), "paths")
-    repeated, branching = bitmap(met, "minimizer"), bitmap(met.filter(F.col("kinds") > 1), "minimizer")
+    # A minimizer may have a path in every text: its paths are counted by an aggregate and joined back.
+    kinds = counted.groupBy("minimizer").agg(F.count(F.lit(1)).alias("kinds"), F.sum("times").alias("total")).filter(F.col("total") > 1)
+    met = cut_lineage(counted.join(kinds.drop("total"), "minimizer"), "paths")
+    known = met.select("minimizer", (F.col("kinds") > 1).alias("branches")).distinct()
+    repeated, branching = bitmap(known, "minimizer"), bitmap(known.filter("branches"), "minimizer")
     schema = "key binary, minimizer bigint, path bigint, at bigint, windows bigint, hashes array<bigint>"
     placed = keyed.mapInArrow(_place_paths(repeated, branching), schema)
     placed = cut_lineage(placed.join(met, ["minimizer", "path"]), "placed")
