@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat, decontaminate, fingerprints, huffman, jaccard, language, packing, pitmanyor, simhash, spans, urls
+from millrace.llm import chat, decontaminate, fingerprints, huffman, jaccard, language, lexical, packing, pitmanyor, simhash, spans, spelling, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run}
 SQL: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
@@ -113,6 +113,37 @@ def op1(spark: SparkSession, directory: str) -> DataFrame:
     return jaccard.report(read(spark, directory, "documents"))
 
 
+@registered("op11_spelling", sql="""WITH r AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents),
+ k AS (SELECT doc_id, run, count(*) AS times, hex(encode(CAST(doc_id AS VARCHAR) || ':' || run)) AS x FROM r WHERE length(run) >= 6 GROUP BY doc_id, run),
+ h AS (SELECT run, times, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, length(x) // 2), lambda i: 16 * (instr('0123456789ABCDEF', x[2 * i + 1]) - 1) + instr('0123456789ABCDEF', x[2 * i + 2]) - 1)),
+   lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))), 4294967295) AS h FROM k),
+ w AS (SELECT CASE WHEN h % 199 = 0 THEN left(run, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, times FROM h),
+ v AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM w WHERE length(word) >= 6 GROUP BY 1 HAVING sum(times) >= 5),
+ d AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+ p AS (SELECT a.word AS word, b.word AS near, b.n AS near_n FROM d a JOIN d b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word),
+ q AS (SELECT DISTINCT d.word, v.word AS near, v.n AS near_n FROM d JOIN v ON d.rest = v.word),
+ e AS (SELECT * FROM p UNION ALL SELECT * FROM q UNION ALL SELECT q.near, q.word, v.n FROM q JOIN v ON q.word = v.word),
+ g AS (SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS near, max(near_n) AS near_n FROM e GROUP BY 1),
+ f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * v.n THEN near END AS form, CASE WHEN near_n >= 5 * v.n THEN near_n END AS form_n FROM v LEFT JOIN g ON v.word = g.word),
+ o AS (WITH RECURSIVE s AS (SELECT word, form AS root FROM f WHERE form IS NOT NULL UNION ALL SELECT s.word, f.form FROM s JOIN f ON s.root = f.word WHERE f.form IS NOT NULL) SELECT s.word, root FROM s JOIN f ON s.root = f.word WHERE f.form IS NULL)
+SELECT f.word, n, n_near, form, form_n, coalesce(root, f.word) AS root FROM f LEFT JOIN o ON f.word = o.word""")
+def op11(spark: SparkSession, directory: str) -> DataFrame:
+    return spelling.variants(read(spark, directory, "documents"))
+
+
+@registered("op12_ranked_search", sql="""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+ q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+ s AS (SELECT CAST(count(*) AS BIGINT) AS nd, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+ t AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY 1, 2),
+ f AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS weight FROM (SELECT term, count(*) AS df FROM t GROUP BY 1), s),
+ m AS (SELECT doc_id, 50 + (50 * CAST(len(w) AS BIGINT) * nd) // l AS m FROM d, s WHERE len(w) > 0),
+ c AS (SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score FROM q JOIN t USING (term) JOIN f USING (term) JOIN m USING (doc_id) GROUP BY 1, 2),
+ r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM c WHERE score > 0)
+SELECT * FROM r WHERE rank <= 50""")
+def op12(spark: SparkSession, directory: str) -> DataFrame:
+    return lexical.rank(read(spark, directory, "documents"), read(spark, directory, "benchmark"))
+
+
 @registered("op13_simhash")
 def op13(spark: SparkSession, directory: str) -> DataFrame:
     return simhash.report(read(spark, directory, "documents"))
