@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import as_of_join
-from millrace.sources.state import newest, put, read_all
+from millrace.sources.state import KeyedState, newest
 
 
 @dataclass(frozen=True)
@@ -24,8 +24,9 @@ class FeatureView:
     ttl_seconds: int | None = None
 
 
-def historical_features(entities: DataFrame, entity_ts: str, views: list[tuple[FeatureView, DataFrame]], bucket_seconds: int = 86400) -> DataFrame:
-    """Entity rows with, per view, the features as they were known at the row's time."""
+def historical_features(entities: DataFrame, entity_ts: str, views: list[tuple[FeatureView, DataFrame]], bucket_seconds: int | None = None) -> DataFrame:
+    """Entity rows with, per view, the features as they were known at the row's time. Time buckets are
+    as narrow as the busiest key needs, unless ``bucket_seconds`` sets them."""
     out = entities
     for view, table in views:
         names = [f"{view.name}__{f}" for f in view.features]
@@ -48,8 +49,11 @@ def current_features(table: DataFrame, view: FeatureView) -> DataFrame:
     return newest(table.select(*columns), view.key, _version_order(view))
 
 
-def online_features(requests: DataFrame, online: DataFrame, view: FeatureView, now: Column | None = None, position: str = "position") -> DataFrame:
-    """Requested keys in their order with the stored values; unknown or outlived keys get NULLs."""
+def online_features(requests: DataFrame, online: DataFrame | KeyedState, view: FeatureView, now: Column | None = None, position: str = "position") -> DataFrame:
+    """Requested keys in their order with the stored values; unknown or outlived keys get NULLs.
+    Of a stored state only the requests are shuffled, to its buckets."""
+    if isinstance(online, KeyedState):
+        requests, online = requests.repartition(online.buckets, view.key), online.current()
     stored = online.select(F.col(view.key).alias("__k"), F.col(view.event_ts).alias("__ts"), *view.features)
     fresh = F.col("__ts").isNotNull()
     if view.ttl_seconds is not None and now is not None:
@@ -66,16 +70,20 @@ def materialise(table: DataFrame, view: FeatureView, start: str | None, end: str
     return current_features(rows, view)
 
 
+def serving_state(spark: SparkSession, view: FeatureView, root: str, like: DataFrame) -> KeyedState:
+    """The online rows of a view as a bucketed state; ``like`` has the columns' types."""
+    schema = like.select(view.key, *_version_order(view), *view.features).schema
+    return KeyedState(spark, root, schema, view.key, _version_order(view))
+
+
 def push(rows: DataFrame, view: FeatureView, root: str, batch: int) -> None:
     """Append new values; only the newest of the batch per key is stored."""
-    put(current_features(rows, view), root, batch)
+    serving_state(rows.sparkSession, view, root, rows).put(rows, batch)
 
 
 def serving_table(spark: SparkSession, view: FeatureView, root: str, like: DataFrame) -> DataFrame:
     """The online rows: per key the newest event time over all batches; late older rows lose."""
-    schema = like.select(view.key, *_version_order(view), *view.features).schema
-    stored = read_all(spark, root, schema).drop("batch")
-    return newest(stored, view.key, _version_order(view))
+    return serving_state(spark, view, root, like).current()
 
 
 def materialise_incremental(table: DataFrame, view: FeatureView, root: str, batch: int, last_end: str | None, end: str) -> str:
@@ -88,7 +96,7 @@ def materialise_incremental(table: DataFrame, view: FeatureView, root: str, batc
         start = table.sparkSession.range(1).select(
             (F.lit(end).cast("timestamp") - F.make_dt_interval(secs=F.lit(view.ttl_seconds))).cast("string")
         ).first()[0]
-    put(materialise(table, view, start, end), root, batch)
+    push(materialise(table, view, start, end), view, root, batch)
     return end
 
 

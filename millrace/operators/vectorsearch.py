@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from millrace.operators.select import newest_per_key
 from millrace.session import cut_lineage
+from millrace.sources.state import KeyedState
 
 # Numbers (rows times dimensions) of a block of queries, about: what travels to every task.
 BROADCAST_CELLS = 4_000_000
@@ -133,6 +134,11 @@ def upsert(state: DataFrame, batch: DataFrame, key: str, vector: str, order: str
     return newest_per_key(rows, [key], [F.col(order).desc()])
 
 
+def upsert_chunks(store: KeyedState, rows: DataFrame, vector: str, batch: int) -> None:
+    """The same on a stored state: only the batch is shuffled."""
+    store.put(rows.filter(F.col(vector).isNotNull()), batch)
+
+
 def delete_document(state: DataFrame, documents: DataFrame, document: str) -> DataFrame:
     """State without any chunk of the given documents."""
     return state.join(documents.select(document).distinct(), document, "left_anti")

@@ -15,6 +15,7 @@ from millrace.operators.keywords import KeywordIndex, reciprocal_rank_fusion, tf
 from millrace.plans.registry import query
 from millrace.plans.texting import TOKENS
 from millrace.session import scratch, spread
+from millrace.sources.state import KeyedState
 
 
 def centroids(t):
@@ -74,9 +75,12 @@ def _(t):
 
 @query("v03_upsert", "V3", sql="""SELECT vec_id, CASE WHEN label IN (2, 3) THEN 2 ELSE 1 END AS load_no, CASE WHEN label IN (2, 3) THEN 'new' ELSE 'old' END AS origin FROM embeddings WHERE label <> 4 OR label IN (2, 3)""")
 def _(t):
-    state = t.embeddings.select("vec_id", F.when(F.col("label") != 4, F.col("embedding")).alias("vector"), F.lit(1).alias("load_no"), F.lit("old").alias("origin"))
-    batch = t.embeddings.filter("label in (2, 3, 4)").select("vec_id", F.when(F.col("label") != 4, F.col("embedding")).alias("vector"), F.lit(2).alias("load_no"), F.lit("new").alias("origin"))
-    return vs.upsert(state, batch, "vec_id", "vector", "load_no").select("vec_id", "load_no", "origin")
+    rows = lambda df, n, name: df.select("vec_id", F.when(F.col("label") != 4, F.col("embedding")).alias("vector"), F.lit(n).alias("load_no"), F.lit(name).alias("origin"))
+    first, second = rows(t.embeddings, 1, "old"), rows(t.embeddings.filter("label in (2, 3, 4)"), 2, "new")
+    store = KeyedState(t.spark, scratch(t.spark, "chunks"), first.schema, "vec_id", ["load_no"])
+    vs.upsert_chunks(store, first, "vector", 1)
+    vs.upsert_chunks(store, second, "vector", 2)
+    return store.current().select("vec_id", "load_no", "origin")
 
 
 @query("v04_delete_document", "V4", sql="SELECT doc_id, lang FROM documents WHERE source NOT IN (SELECT source FROM documents WHERE lang = 'es' GROUP BY 1 HAVING count(*) > 5)")

@@ -9,7 +9,7 @@ from millrace.operators import features as fs
 from millrace.plans.registry import query
 from millrace.plans.views import CUSTOMER_ACTIVITY, customer_activity
 from millrace.session import scratch
-from millrace.sources import files, state, tables
+from millrace.sources import files, tables
 
 ORDERS_DDL = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
 
@@ -174,7 +174,7 @@ def _(t):
     # The order key stands for the created time: the larger key was stored later.
     orders = t.orders.select(F.col("o_custkey").alias("user_id"), "o_orderdate", F.timestamp_micros("o_orderkey").alias("created"), "o_totalprice")
     order_view = fs.FeatureView("orders", "user_id", "o_orderdate", ("o_totalprice",), created_ts="created")
-    out = fs.historical_features(entities, "ts", [(VIEW, history), (order_view, orders)], bucket_seconds=6 * 3600)
+    out = fs.historical_features(entities, "ts", [(VIEW, history), (order_view, orders)])
     return out.select("event_id", "activity__value", "activity__event_type", "orders__o_totalprice")
 
 
@@ -182,7 +182,9 @@ def _(t):
  CASE WHEN TIMESTAMP '2024-01-31' - ts <= INTERVAL 1 DAY THEN event_type END AS event_type FROM conversations LEFT JOIN (SELECT user_id, max(ts) AS ts, arg_max(value, ts) AS value, arg_max(event_type, ts) AS event_type FROM events GROUP BY 1) e ON e.user_id = (conv_id * 8 + turn) % 200""")
 def _(t):
     requests = t.conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("position"), ((F.col("conv_id") * 8 + F.col("turn")) % 200).alias("user_id"))
-    return fs.online_features(requests, fs.current_features(t.events, VIEW), VIEW, F.lit("2024-01-31").cast("timestamp"))
+    root = scratch(t.spark, "online")
+    fs.push(t.events, VIEW, root, 0)
+    return fs.online_features(requests, fs.serving_state(t.spark, VIEW, root, t.events), VIEW, F.lit("2024-01-31").cast("timestamp"))
 
 
 @query("j09_on_demand", "J9", sql=f"""WITH {CUSTOMER_ACTIVITY} SELECT customer_id, round(c_acctbal / (total_spend + 1), 9) AS balance_to_spend, CASE WHEN total_purchases / 10 > 0.8 THEN 1 ELSE 0 END AS is_loyal FROM activity""")
@@ -214,5 +216,6 @@ def _(t):
     root = scratch(t.spark, "online")
     for batch, kind in enumerate(("view", "click", "purchase", "error", "signup")):
         fs.push(t.events.filter(F.col("event_type") == kind), VIEW, root, batch)
-    compacted = state.compact(t.spark, root, t.events.select("user_id", "ts", "value", "event_type").schema, "user_id", ["ts"], scratch(t.spark, "online"))
-    return compacted.drop("batch")
+    online = fs.serving_state(t.spark, VIEW, root, t.events)
+    online.merge(everything=True)
+    return online.current()

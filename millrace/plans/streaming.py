@@ -89,7 +89,7 @@ def _(t):
     root = scratch(t.spark, "x6")
     rows = messages(stream(t))
     jobs.run_to_end(jobs.remember_last(rows, "conv_id", ["ts", "turn"], 20, f"{root}/out", f"{root}/checkpoint"))
-    memory = jobs.remembered(t.spark, f"{root}/out", rows.schema)
+    memory = jobs.remembered(t.spark, f"{root}/out", rows.schema, "conv_id")
     return jobs.live_sessions(memory, "conv_id", "ts", "2024-01-05 12:00:00").select("conv_id", "turn", "role")
 
 
@@ -117,6 +117,6 @@ def _(t):
     root = scratch(t.spark, "x9")
     rows = predictions(stream(t)).filter(F.col("actual").isNotNull())
     jobs.run_to_end(jobs.remember_last(rows, "model", ["ts", "event_id"], 100, f"{root}/out", f"{root}/checkpoint"))
-    memory = jobs.remembered(t.spark, f"{root}/out", rows.schema)
+    memory = jobs.remembered(t.spark, f"{root}/out", rows.schema, "model")
     out = jobs.monitor_report(memory, "model", ["ts", "event_id"], 100)
     return out.withColumns({"accuracy": F.round("accuracy", 9), "max_share": F.round("max_share", 9)})

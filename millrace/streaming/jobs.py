@@ -13,9 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.operators.contracts import split_dead_letters, validate_events
 from millrace.operators.features import FeatureView, push
 from millrace.operators.relate import recent_accuracy, share_of_classes
-from millrace.operators.select import newest_per_key
-from millrace.session import cut_lineage
-from millrace.sources import state
+from millrace.streaming import keyed
 
 
 def file_stream(spark: SparkSession, directory: str, schema: str, pattern: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -133,30 +131,15 @@ def remember_last(
     rows: DataFrame, key: str, order: list[str], n: int, root: str, checkpoint: str, trigger: dict = TO_THE_END,
     ts: str | None = None, ttl_hours: int | None = None,
 ) -> StreamingQuery:
-    """Memory of the last ``n`` rows per key, folded batch by batch: a batch is put together with the
-    memory before it and stored as the new one, so what is stored stays bounded by n per key.
-
-    With ``ts`` and ``ttl_hours`` a key whose newest row is older than that, by the newest event time
-    seen, is forgotten. Rows are cut to n before the shuffle, so one busy key costs no more than any
-    other. A batch that runs again replaces its own result and starts from the same memory.
-    """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        latest = [F.col(c).desc() for c in order]
-        before = state.read_version(spark, root, batch.schema, batch_id - 1) if batch_id else None
-        kept = newest_per_key(batch if before is None else before.unionByName(batch), [key], latest, n)
-        if ts and ttl_hours is not None:
-            kept = cut_lineage(kept, "memory")
-            now = kept.agg(F.max(ts)).first()[0]
-            kept = live_sessions(kept, key, ts, str(now), ttl_hours) if now is not None else kept
-        state.put_version(kept, root, batch_id)
-
-    return each_batch(rows, write, checkpoint, trigger)
+    """Memory of the last ``n`` rows per key as keyed stream state: a batch touches the keys it holds
+    and stores what changed. With ``ts`` and ``ttl_hours`` a key whose newest row is older than that,
+    by the newest event time seen, is forgotten. See ``streaming.keyed``."""
+    return keyed.remember_last(rows, key, order, n, root, checkpoint, trigger, ts, ttl_hours)
 
 
-def remembered(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+def remembered(spark: SparkSession, root: str, schema: T.StructType, key: str) -> DataFrame:
     """The memory after the last finished batch."""
-    return state.read_version(spark, root, schema)
+    return keyed.remembered(spark, root, schema, key)
 
 
 def live_sessions(memory: DataFrame, key: str, ts: str, now: str, ttl_hours: int = 24) -> DataFrame:

@@ -48,20 +48,51 @@ def test_last_rows_per_key(spark, sf_dir, parts, tmp_path):
 
     rows = predictions(Parts(spark, sf_dir))
     jobs.run_to_end(jobs.remember_last(rows, "model", ["ts", "event_id"], 20, f"{tmp_path}/out", f"{tmp_path}/cp"))
-    got = jobs.remembered(spark, f"{tmp_path}/out", rows.schema)
+    got = jobs.remembered(spark, f"{tmp_path}/out", rows.schema, "model")
     want = newest_per_key(predictions(Tables(spark, sf_dir)), ["model"], [F.col("ts").desc(), F.col("event_id").desc()], 20)
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
 
 
-def test_memory_stays_bounded_and_expires(spark, tmp_path):
-    """Ten batches of one row per key; one key falls silent and is forgotten."""
-    rows = spark.range(40).select((F.col("id") % 4).alias("k"), F.timestamp_seconds(F.col("id") * 3600).alias("ts"), "id").filter("k <> 3 OR id < 8")
-    rows.repartitionByRange(10, "id").sortWithinPartitions("id").write.parquet(f"{tmp_path}/in")
-    stream = jobs.file_stream(spark, f"{tmp_path}/in", rows.schema, files_per_batch=1)
+def hourly(spark):
+    """40 hours, a row each; key 3 falls silent after the eighth."""
+    return spark.range(40).select((F.col("id") % 4).alias("k"), F.timestamp_seconds(F.col("id") * 3600).alias("ts"), "id", F.array(F.col("id")).alias("a")).filter("k <> 3 OR id < 8")
+
+
+def write_files(rows, path, files):
+    rows.repartitionByRange(files, "id").sortWithinPartitions("id").write.mode("append").parquet(path)
+
+
+def test_memory_is_bounded_and_expires(spark, tmp_path):
+    write_files(hourly(spark), f"{tmp_path}/in", 5)
+    stream = jobs.file_stream(spark, f"{tmp_path}/in", hourly(spark).schema, files_per_batch=1)
     jobs.run_to_end(jobs.remember_last(stream, "k", ["ts"], 3, f"{tmp_path}/out", f"{tmp_path}/cp", ts="ts", ttl_hours=20))
-    kept = jobs.remembered(spark, f"{tmp_path}/out", rows.schema)
-    assert {r.k for r in kept.collect()} == {0, 1, 2} and kept.groupBy("k").count().agg(F.max("count")).first()[0] == 3
-    assert spark.read.parquet(f"{tmp_path}/out").count() <= 2 * 12
+    kept = jobs.remembered(spark, f"{tmp_path}/out", hourly(spark).schema, "k")
+    assert sorted((r.k, r.id, r.a) for r in kept.collect()) == [(k, i, [i]) for k in range(3) for i in range(28 + k, 40, 4)]
+
+
+def test_a_batch_stores_the_keys_it_changes_and_goes_on_after_a_stop(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("millrace.sources.state.FAN", 100)
+    rows = spark.range(400).select((F.col("id") / 40).cast("long").alias("k"), F.timestamp_seconds(F.col("id")).alias("ts"), "id")
+    late = spark.range(3).select(F.lit(0).cast("long").alias("k"), F.timestamp_seconds(F.lit(-5)).alias("ts"), (F.col("id") + 1000).alias("id"))
+    for part in (rows.filter("id < 200"), rows.filter("id >= 200"), late):
+        write_files(part, f"{tmp_path}/in", 1)
+        stream = jobs.file_stream(spark, f"{tmp_path}/in", rows.schema, files_per_batch=1)
+        jobs.run_to_end(jobs.remember_last(stream, "k", ["ts"], 3, f"{tmp_path}/out", f"{tmp_path}/cp"))
+    memory = jobs.keyed._memory(spark, f"{tmp_path}/out", rows.schema, "k")
+    stored = sorted((r.batch, r["count"]) for r in memory.rows().groupBy("batch").count().collect())
+    # Five keys a batch; the late rows change nothing and store nothing.
+    assert stored == [(0, 5), (1, 5)]
+    kept = jobs.remembered(spark, f"{tmp_path}/out", rows.schema, "k")
+    assert sorted((r.k, r.id) for r in kept.collect()) == [(k, 40 * k + 37 + i) for k in range(10) for i in range(3)]
+
+
+def test_keys_without_a_value_have_a_memory_of_their_own(spark, tmp_path):
+    rows = spark.createDataFrame([(None, 1, "x"), (None, 2, None), ("a", None, "y"), ("a", 3, "z"), ("a", 3, "w")], "k string, o long, v string")
+    rows.write.parquet(f"{tmp_path}/in")
+    stream = jobs.file_stream(spark, f"{tmp_path}/in", rows.schema)
+    jobs.run_to_end(jobs.remember_last(stream, "k", ["o", "v"], 2, f"{tmp_path}/out", f"{tmp_path}/cp"))
+    kept = jobs.remembered(spark, f"{tmp_path}/out", rows.schema, "k")
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([(None, 2, None), (None, 1, "x"), ("a", 3, "z"), ("a", 3, "w")], key=repr)
 
 
 def test_trigger_is_the_callers(spark, parts, tmp_path):
