@@ -12,7 +12,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, jaccard, language, packing, spans
+from millrace.llm import decontaminate, jaccard, language, packing, spans, tokens
 from millrace.session import scratch
 
 #: The stages that SQL cannot express (language ID, packing) make the whole so.
@@ -36,7 +36,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, directory: str) -> D
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, directory: str) -> DataFrame:
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, memory=tokens.TIGHT)
 
 
 STAGES = [

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.tokens import encoded
+from millrace.llm.tokens import ROOMY, Memory, encoded
 from millrace.session import cut_lineage
 
 CAPACITY = 2048
@@ -36,14 +36,16 @@ def piece_lengths(total: int, capacity: int) -> list[int]:
     return [rest] * (rest > 0) + [capacity] * (total // capacity)
 
 
-def token_pieces(docs: DataFrame, key: str, text: str, path: str, end_id: int, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, key: str, text: str, path: str, end_id: int, capacity: int = CAPACITY, keep_ids: bool = False, memory: Memory = ROOMY
+) -> DataFrame:
     """One row per piece: ``key``, ``piece``, ``start``, ``length``, ``ids_crc32`` and, if asked for, ``ids``
     (little-endian unsigned 32-bit)."""
     kind = docs.schema[key].dataType.simpleString()
     schema = "key " + kind + ", piece int, start bigint, length bigint, ids_crc32 bigint" + (", ids binary" if keep_ids else "")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, ids, ends in encoded(batches, path, blank_matters=True):
+        for part, ids, ends in encoded(batches, path, blank_matters=True, memory=memory):
             rows, pieces, starts, widths, sums, kept = [], [], [], [], [], []
             for row in range(part.num_rows):
                 own = np.append(ids[ends[row] : ends[row + 1]], end_id).astype("<u4")
@@ -194,9 +196,12 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return with_rank.mapInArrow(put, f"{kinds}, sequence_id bigint, offset bigint")
 
 
-def pack(docs: DataFrame, path: str, end_id: int, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
-    """Tokenize ``docs`` with the vocabulary at ``path``, end each text with ``end_id`` and pack all pieces."""
-    pieces = cut_lineage(token_pieces(docs, key, text, path, end_id, capacity, keep_ids), "pieces")
+def pack(
+    docs: DataFrame, path: str, end_id: int, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, keep_ids: bool = False, memory: Memory = ROOMY
+) -> DataFrame:
+    """Tokenize ``docs`` with the vocabulary at ``path``, end each text with ``end_id`` and pack all
+    pieces. ``memory`` is the tokenizer's: the result is the same with any."""
+    pieces = cut_lineage(token_pieces(docs, key, text, path, end_id, capacity, keep_ids, memory), "pieces")
     placed = place(pieces, capacity)
     return placed.withColumnRenamed("key", key)
 

@@ -15,18 +15,27 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 
 from millrace.llm.texts import LOWER, byte_class, slices, worker_memory
 
-#: Pieces one worker remembers.
-REMEMBERED = 600_000
-#: Pieces handed to the tokenizer at once, as one string.
-AT_ONCE = 128
-#: Bytes of text numbered together: the more, the more often a piece is met again.
-SLICE = 5 << 20
+#: Pieces handed to the tokenizer at once, as one string, and such strings of a call.
+AT_ONCE, STRINGS = 64, 64
+
+
+class Memory(NamedTuple):
+    """Pieces one worker remembers, and bytes of text numbered together: the more, the more often a
+    piece is met again."""
+
+    pieces: int
+    slice_bytes: int
+
+
+#: For a job that has the worker to itself, and for one that shares it with other operators.
+ROOMY, TIGHT = Memory(800_000, 12 << 20), Memory(600_000, 5 << 20)
 
 _WIDE_BLANK = re.compile(rb"(?:\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80)[\t-\r ]")
 _WIDE_LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
@@ -68,6 +77,9 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         #: Whether white space has ids; else the vocabulary also takes capitals for small letters.
         self.blank_matters = blank_matters
+        self.separator = b"\n" if blank_matters else b"\n|\n"
+        (self.separator_id,) = self.tokenizer.encode(self.separator.decode(), add_special_tokens=False).ids
+        self.memory = ROOMY
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
@@ -76,31 +88,36 @@ class Encoder:
         return np.array(ids, "<u4").tobytes()
 
     def _learn(self, pieces: list[bytes]) -> None:
-        """Encode unknown pieces in long strings, one to a line; a token's place says whose it is.
-        Pieces that begin with other white space than one blank would join with the line's end."""
+        """Encode unknown pieces in long strings, a separator of one known id between them. Pieces that
+        begin with other white space than one blank would join with a separator that is white space."""
         joined = []
         for piece in pieces:
+            lead = piece[0] if piece[0] != 0x20 or len(piece) == 1 else piece[1]
+            if not self.blank_matters or 0x20 < lead < 0x7F:
+                joined.append(piece)
+                continue
             head = piece[:8].decode("utf-8", "replace")[: 2 if piece[:1] == b" " else 1]
-            if self.blank_matters and head[-1:].isspace():
+            if head[-1:].isspace():
                 self.known[piece] = self.whole(piece)
             else:
                 joined.append(piece)
-        for at in range(0, len(joined), AT_ONCE):
-            self._learn_joined(joined[at : at + AT_ONCE])
-
-    def _learn_joined(self, pieces: list[bytes]) -> None:
-        lines = [piece.decode("utf-8", "replace") for piece in pieces]
-        encoding = self.tokenizer.encode("\n".join(lines), add_special_tokens=False)
-        ids = np.array(encoding.ids, "<u4")
-        places = np.array([a for a, _ in encoding.offsets], np.int64)
-        ends = np.cumsum([len(line) + 1 for line in lines])
-        owner = np.searchsorted(ends, places, "right")
-        own = places != ends[np.minimum(owner, len(ends) - 1)] - 1
-        ids, owner = ids[own], owner[own]
-        cuts = (4 * np.searchsorted(owner, np.arange(len(pieces) + 1))).tolist()
+        step = AT_ONCE * STRINGS
+        for low in range(0, len(joined), step):
+            strings = [joined[at : at + AT_ONCE] for at in range(low, min(low + step, len(joined)), AT_ONCE)]
+            texts = [self.separator.join(own).decode("utf-8", "replace") for own in strings]
+            for own, encoding in zip(strings, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                self._keep(own, np.array(encoding.ids, "<u4"))
+
+    def _keep(self, pieces: list[bytes], ids: np.ndarray) -> None:
+        at = np.flatnonzero(ids == self.separator_id)
+        if len(at) != len(pieces) - 1:
+            # A piece holds the separator's id itself.
+            self.known.update((piece, self.whole(piece)) for piece in pieces)
+            return
+        starts, ends = [0, *(4 * at + 4).tolist()], [*(4 * at).tolist(), 4 * len(ids)]
         raw = ids.tobytes()
-        for i, piece in enumerate(pieces):
-            self.known[piece] = raw[cuts[i] : cuts[i + 1]]
+        for piece, start, end in zip(pieces, starts, ends, strict=True):
+            self.known[piece] = raw[start:end]
 
     def _pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray]:
         """The pieces of a slice, numbered, and where each text's begin."""
@@ -120,11 +137,11 @@ class Encoder:
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the slice's texts, and the offsets of each text's ids."""
         numbered, first = self._pieces(data, offsets)
-        pieces = numbered.dictionary.to_pylist()
+        pieces = _listed(numbered.dictionary)
         values = list(map(self.known.get, pieces))
         if None in values:
             lacking = [piece for piece, value in zip(pieces, values, strict=True) if value is None]
-            if len(self.known) + len(lacking) > REMEMBERED // 2:
+            if len(self.known) + len(lacking) > self.memory.pieces // 2:
                 # What is met again moves over from the older half; the rest is forgotten with it.
                 self.older, self.known = self.known, {}
                 lacking = pieces
@@ -156,6 +173,15 @@ class Encoder:
         return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
 
+def _listed(column: pa.LargeBinaryArray) -> list[bytes]:
+    """The values of a column without nulls; slices of its buffer, several times as fast as ``to_pylist``."""
+    if not len(column):
+        return []
+    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1].tolist()
+    raw = column.buffers()[2].to_pybytes()
+    return [raw[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
 def encoder(path: str, blank_matters: bool) -> Encoder:
     """The worker's encoder for the vocabulary file at ``path``."""
     kept = worker_memory("encoders")
@@ -164,10 +190,13 @@ def encoder(path: str, blank_matters: bool) -> Encoder:
     return kept[path]
 
 
-def encoded(batches: Iterator[pa.RecordBatch], path: str, blank_matters: bool, column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def encoded(
+    batches: Iterator[pa.RecordBatch], path: str, blank_matters: bool, column: str = "text", memory: Memory = ROOMY
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """The batches in slices, with the ids of their texts and the offsets of each text's."""
     pa.default_memory_pool().release_unused()
     worker = encoder(path, blank_matters)
+    worker.memory = memory
     for batch in batches:
-        for part, data, offsets in slices(batch, column, SLICE):
+        for part, data, offsets in slices(batch, column, memory.slice_bytes):
             yield part, *worker.encode(data, offsets)
