@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import re
 import shutil
@@ -74,6 +75,19 @@ def clear_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete one location that ``scratch`` gave, when nothing reads it any more."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of finished steps now; it notices only when the
+    driver collects its garbage, which on a quiet driver is every half hour."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a reliable cut that survives lost executors.
     The table stays until ``clear_scratch``."""
