@@ -10,8 +10,8 @@ of a context, the tables of every (context, word) are drawn anew by seating its
 the other; then the root's tables are drawn. The score of a text uses predictive probabilities
 averaged over the last sweeps.
 
-How it runs. Texts are read once into chunks of about ``CHUNK`` tokens; a chunk's distinct
-(context, word) pairs go to buckets, and its tokens stay behind as places in that list. Every rare
+How it runs. Texts are read in chunks of about ``CHUNK`` tokens; a chunk's distinct (context, word)
+pairs go to buckets. At the end the texts are read again, as places in that list. Every rare
 word has a home bucket: pairs that serve it lie there, and pairs of a frequent word in its context.
 Pairs of two frequent words (at least 2**-``CONTEXT_LOG2`` of the training tokens, so at most
 2**``CONTEXT_LOG2`` of them, and the end of a text) are dealt over all buckets. So the root's customers of a rare word are
@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.texts import PLAIN, binary_column, find_words, mix, packed, release, slices, unpacked
-from millrace.session import cut_lineage, scratch, shuffle_width
+from millrace.session import cut_lineage, drop_scratch, free_shuffles, scratch, shuffle_width
 
 CONTEXT_LOG2 = 16
 CHUNK = 1 << 21
@@ -173,7 +173,24 @@ def _read_pairs(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return words, contexts, counts, named[used]
 
 
-def _chunk_rows(layout: Layout, key_type: pa.DataType):
+def _pair_rows(chunk: int, words: np.ndarray, word: np.ndarray, context: np.ndarray, count: np.ndarray, order: np.ndarray, cuts: np.ndarray) -> pa.RecordBatch:
+    """The pairs of a chunk, a row for each bucket that has some."""
+    blobs, filled = [], np.flatnonzero(np.diff(cuts)).tolist()
+    for b in filled:
+        some = order[cuts[b] : cuts[b + 1]]
+        codes = context[some]
+        far = codes >= HASHED
+        named, codes[far] = np.unique(codes[far] - HASHED, return_inverse=True)
+        codes[far] += HASHED
+        blobs.append(_pairs_blob(words[word[some]], codes, count[some], words[named]))
+    return pa.RecordBatch.from_pydict({
+        "chunk": pa.array([chunk] * len(filled), pa.int64()), "bucket": pa.array(filled, pa.int32()), "pairs": pa.array(blobs, pa.binary()),
+    })
+
+
+def _chunk_rows(layout: Layout, key_type: pa.DataType | None = None):
+    """With a ``key_type`` the texts of every chunk, their tokens as places among the chunk's pairs in
+    order of bucket; without one those pairs. Both come from the same scan and agree in every chunk."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         for number, (tokens, counts, kept) in enumerate(_chunks(batches, ["key", "learn"])):
@@ -192,21 +209,14 @@ def _chunk_rows(layout: Layout, key_type: pa.DataType):
             back = np.empty(len(order), np.int64)
             back[order] = np.arange(len(order))
             cuts = np.searchsorted(bucket[order], np.arange(layout.buckets + 1))
-            blobs, filled = [], [b for b in range(layout.buckets) if cuts[b] < cuts[b + 1]]
-            for b in filled:
-                some = order[cuts[b] : cuts[b + 1]]
-                codes = context[some]
-                far = codes >= HASHED
-                named, codes[far] = np.unique(codes[far] - HASHED, return_inverse=True)
-                codes[far] += HASHED
-                blobs.append(_pairs_blob(words[word[some]], codes, count[some], words[named]))
-            none = [None] * len(filled)
+            if key_type is None:
+                yield _pair_rows(task << 32 | number, words, word, context, count, order, cuts)
+                continue
             keys = pa.concat_arrays([c.cast(key_type) for c in kept["key"]])
             yield pa.RecordBatch.from_pydict({
-                "chunk": pa.array([task << 32 | number] * (1 + len(filled)), pa.int64()), "bucket": pa.array([-1, *filled], pa.int32()),
-                "pairs": pa.array([None, *blobs], pa.binary()), "tokens": pa.array([packed(back[where], 4), *none], pa.binary()),
-                "keys": pa.array([keys.to_pylist(), *none], pa.list_(key_type)), "sizes": pa.array([sizes.tolist(), *none], pa.list_(pa.int64())),
-                "learn": pa.array([learn.tolist(), *none], pa.list_(pa.bool_())),
+                "chunk": pa.array([task << 32 | number], pa.int64()), "tokens": pa.array([packed(back[where], 4)], pa.binary()),
+                "keys": pa.array([keys.to_pylist()], pa.list_(key_type)), "sizes": pa.array([sizes.tolist()], pa.list_(pa.int64())),
+                "learn": pa.array([learn.tolist()], pa.list_(pa.bool_())),
             })
 
     return read
@@ -507,7 +517,10 @@ def _bucketed(df: DataFrame, name: str) -> DataFrame:
     path = scratch(spark, name)
     table = re.sub(r"\W", "_", os.path.basename(path))
     df.write.bucketBy(shuffle_width(spark), "bucket").option("path", path).saveAsTable(table)
-    return spark.table(table)
+    try:
+        return spark.table(table).select("*")
+    finally:
+        spark.sql(f"DROP TABLE {table}")  # from the catalog; the files stay
 
 
 def remainder(key) -> int:
@@ -517,6 +530,7 @@ def remainder(key) -> int:
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", held_out: int = 1) -> DataFrame:
     """Per row: whether it was held out of training (crc32 of the id as text, modulo 5, is
     ``held_out``), tokens, known tokens, training tokens, the base score and the model's."""
+    spark = docs.sparkSession
     part = (F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % 5).cast("int")
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), (part != held_out).alias("learn"))
     counted = source.filter("learn").select("text").mapInArrow(_frequent, "word bigint, n bigint, tokens bigint")
@@ -530,27 +544,31 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", held_out: in
     kind = docs.schema[key].dataType
     key_type = pa.string() if kind.typeName() == "string" else pa.int64()
     name = "string" if kind.typeName() == "string" else "bigint"
-    schema = f"chunk bigint, bucket int, pairs binary, tokens binary, keys array<{name}>, sizes array<bigint>, learn array<boolean>"
-    chunks = cut_lineage(source.mapInArrow(_chunk_rows(layout, key_type), schema), "chunks")
-    sent = chunks.filter("bucket >= 0").select("chunk", "bucket", "pairs")
+    # Pairs go from the texts into the shuffle; the texts are read again where the answers meet them.
+    sent = source.mapInArrow(_chunk_rows(layout), "chunk bigint, bucket int, pairs binary")
     schema = "bucket int, pairs binary, chunks array<bigint>, sizes array<bigint>, places binary"
     state = _bucketed(sent.groupBy("bucket").applyInArrow(_merge, schema), "buckets")
 
     pairs = state.select("bucket", "pairs")
     schema = "kind bigint, id bigint, n bigint, home int, bucket int, totals binary"
-    world = None
+    world, before = None, None
     for sweeps in range(ROUNDS + 1):
         if world is None:
             swept = pairs.mapInArrow(_begun(layout), schema)
         else:
             swept = pairs.groupBy("bucket").cogroup(totals.groupBy("bucket")).applyInArrow(_sampled(layout, world, sweeps), schema)
-        swept = cut_lineage(swept, "swept")
+        path = scratch(spark, "swept")
+        swept.write.parquet(path)
+        if before:
+            drop_scratch(spark, before)
+        swept, before = spark.read.schema(schema).parquet(path), path
+        free_shuffles(spark)
         world = _world(swept.filter("home IS NULL").groupBy("kind", "id").agg(F.sum("n").alias("n")).collect(), layout, world)
         asked = swept.filter("home IS NOT NULL").select("home", "bucket", "totals")
         totals = asked.groupBy("home").applyInArrow(_totals, "bucket int, home int, totals binary")
     schema = "chunk bigint, bucket int, log_p binary, seen binary, size bigint"
     replies = state.groupBy("bucket").cogroup(totals.groupBy("bucket")).applyInArrow(_answers(layout, world, ROUNDS), schema)
-    held = chunks.filter("bucket < 0").select("chunk", "tokens", "keys", "sizes", "learn")
+    held = source.mapInArrow(_chunk_rows(layout, key_type), f"chunk bigint, tokens binary, keys array<{name}>, sizes array<bigint>, learn array<boolean>")
     scored = held.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
         _scored(key_type, world.tokens, world.types), f"key {name}, learn boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     )

@@ -324,6 +324,14 @@ def test_pitman_yor(frame, numbered, monkeypatch):
     assert collections.Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in got) == want
     assert all(r.score < 0 for r in got)
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
+    assert not [x for x in frame([]).sparkSession.catalog.listTables() if x.name.startswith("buckets")]
+
+
+def test_pitman_yor_beats_its_base_on_held_out_texts(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    out = [r for r in pitmanyor.score(docs).collect() if r.held_out]
+    assert len(out) > 20
+    assert sum(r.score for r in out) / sum(r.n_tokens for r in out) > 0.1 + sum(r.base_score for r in out) / sum(r.n_tokens for r in out)
 
 
 def test_predictive_probabilities_sum_to_one():
