@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import let, tokens
+from millrace.operators import postings as stored_postings
 from millrace.operators.ordered import number_values
 from millrace.operators.vectorsearch import rank_hits
 
@@ -27,16 +28,26 @@ def term_counts(terms: Column) -> Column:
     return let(F.sort_array(terms), runs)
 
 
+def _parts(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the parts stored in a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    return sorted(int(n.removeprefix("part=")) for n in names if n.startswith("part="))
+
+
 class KeywordIndex:
     """One row per document with its term counts, and how many documents hold each term.
 
     Term counts come from the document's own row. Only document frequencies are shuffled, as counts
-    combined per task, and they are worked out when the index is built, not at every search.
+    combined per task, and they are worked out when the index is built, not at every search. An
+    index that is stored to be searched also has its postings in ``blocks`` by term (see ``postings``).
     """
 
-    def __init__(self, entries: DataFrame, frequencies: DataFrame):
+    def __init__(self, entries: DataFrame, frequencies: DataFrame, blocks: DataFrame | None = None):
         self.entries = entries
         self.frequencies = frequencies
+        self.blocks = blocks
 
     @property
     def documents(self) -> DataFrame:
@@ -59,7 +70,7 @@ class KeywordIndex:
         return KeywordIndex(entries, KeywordIndex(entries, entries).postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
 
     @staticmethod
-    def create(docs: DataFrame, doc: str, text: str, root: str, part: int = 0) -> KeywordIndex:
+    def create(docs: DataFrame, doc: str, text: str, root: str, part: int = 0, searchable: bool = True) -> KeywordIndex:
         """Tokenise once and store the index as one part; parts add up, and the statistics are always
         those of the whole. Frequencies come from the stored counts, not from the texts again."""
         base, spark, key = root.rstrip("/"), docs.sparkSession, docs.schema[doc].dataType.simpleString()
@@ -67,20 +78,25 @@ class KeywordIndex:
         stored = spark.read.schema(ENTRIES.format(key=key)).parquet(f"{base}/entries/part={part}")
         terms = stored.select(F.explode("terms.term").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
         terms.write.mode("overwrite").parquet(f"{base}/frequencies/part={part}")
+        if searchable:
+            stored_postings.write_blocks(stored, base, part)
         return KeywordIndex.read(spark, root, key)
 
     @staticmethod
     def read(spark: SparkSession, root: str, key: str = "bigint") -> KeywordIndex:
-        """A stored index; ``key`` is the type of the document ids."""
+        """A stored index; ``key`` is the type of the document ids. It is searched by blocks if all its
+        parts have them."""
         base = root.rstrip("/")
+        parts, blocked = _parts(spark, f"{base}/entries"), _parts(spark, f"{base}/blocks")
         return KeywordIndex(
             spark.read.schema(ENTRIES.format(key=key) + ", part int").parquet(f"{base}/entries").drop("part"),
             spark.read.schema(FREQUENCIES + ", part int").parquet(f"{base}/frequencies").drop("part"),
+            stored_postings.read_blocks(spark, base, parts, key) if parts == blocked else None,
         )
 
-    def append(self, docs: DataFrame, doc: str, text: str, root: str, part: int) -> KeywordIndex:
+    def append(self, docs: DataFrame, doc: str, text: str, root: str, part: int, searchable: bool = True) -> KeywordIndex:
         """Add documents. Frequencies add up over all parts, for every term, not only the new ones."""
-        return KeywordIndex.create(docs, doc, text, root, part)
+        return KeywordIndex.create(docs, doc, text, root, part, searchable)
 
     def terms(self, floor: float = 0.25, only: DataFrame | None = None) -> DataFrame:
         """(term, df, idf): idf = max(ln((N - df + .5) / (df + .5) + 1), floor); ``only`` limits it to given terms."""
@@ -94,13 +110,16 @@ class KeywordIndex:
         """(query_id, id, score, matched, rank): query words count as often as they are asked.
 
         Scores are rounded to nine places, so that equal texts tie whatever the order of their
-        sums. The query side carries its idf before it meets the postings, scores combine per task
-        before the shuffle, and a frequent term is split by the adaptive skew join.
+        sums. A stored index opens only blocks that may hold a hit. Without blocks all postings are
+        met: the query side carries its idf, scores combine per task before the shuffle, and a frequent
+        term is split by the adaptive skew join.
         """
         asked = queries.select(F.col(query).alias("query_id"), F.explode(tokens(F.col(text))).alias("term"))
         asked = asked.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("times"))
         weighed = asked.join(self.terms(only=asked.select("term")), "term").select("query_id", "term", "times", "idf")
         average = self.documents.agg(F.avg("doc_len").alias("a")).scalar()
+        if self.blocks is not None:
+            return stored_postings.Search(self.blocks, weighed, average, k, k1, b).hits()
         hits = self.postings.join(weighed, "term").withColumn("__avg", average)
         gain = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("doc_len") / F.col("__avg")))
         scores = hits.groupBy("query_id", F.col("doc").alias("id")).agg(

@@ -7,6 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,7 +89,9 @@ def cosine_top_k(
 
     Queries travel in blocks of at most ``BROADCAST_CELLS`` numbers and the chunk table is read in
     place, once a block; each task keeps its own top-k per query, so at most k rows per query and
-    task are shuffled. ``blocks`` asks for more blocks than that. Vectors are as long as most of the
+    task are shuffled. Of several blocks one is held at a time: its hits are written before the next
+    is read. ``blocks`` asks for more blocks than that. For a table that is searched again and again,
+    or queries by the million, there is ``vectorindex``. Vectors are as long as most of the
     chunk table's, or ``dimensions``; see ``rejected_vectors`` for rows that are not.
     """
     size = dimensions or vector_dimension(chunks, chunk_vector)
@@ -103,7 +106,7 @@ def cosine_top_k(
     if count > 1:
         q = cut_lineage(q.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(count))), "queries")
 
-    def against(block: DataFrame) -> DataFrame:
+    def against(block: DataFrame) -> tuple[DataFrame, Broadcast]:
         rows = block.orderBy("query_id").collect()
         query_ids = [r["query_id"] for r in rows]
         matrix = _unit(np.array([r["v"] for r in rows], dtype="float64").reshape(len(rows), size))
@@ -112,12 +115,16 @@ def cosine_top_k(
         def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield from _search_batches(batches, *shared.value, k)
 
-        return c.mapInPandas(search, schema)
+        return c.mapInPandas(search, schema), shared
 
     if count == 1:
-        return rank_hits(against(q), "query_id", "id", "score", k)
-    partial = reduce(DataFrame.unionByName, [against(q.filter(F.col("block") == i).drop("block")) for i in range(count)])
-    return rank_hits(partial, "query_id", "id", "score", k)
+        return rank_hits(against(q)[0], "query_id", "id", "score", k)
+    partial = []
+    for i in range(count):
+        found, shared = against(q.filter(F.col("block") == i).drop("block"))
+        partial.append(cut_lineage(found, "block_hits"))
+        shared.destroy()
+    return rank_hits(reduce(DataFrame.unionByName, partial), "query_id", "id", "score", k)
 
 
 def rank_hits(hits: DataFrame, query: str, key: str, score: str, k: int) -> DataFrame:

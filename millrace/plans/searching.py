@@ -12,6 +12,7 @@ from millrace.operators import relate as rel
 from millrace.operators import usercode as uc
 from millrace.operators import vectorsearch as vs
 from millrace.operators.keywords import KeywordIndex, reciprocal_rank_fusion, tfidf_vectors, weighted_fusion
+from millrace.operators.vectorindex import VectorIndex
 from millrace.plans.registry import query
 from millrace.plans.texting import TOKENS
 from millrace.session import scratch, spread
@@ -68,6 +69,17 @@ def _(t):
     return ranked(vs.cosine_top_k(centroids(t), chunk_vectors(t), 5, dimensions=64, blocks=3))
 
 
+def vector_index_of(t, chunks):
+    """The vector index of the given chunks, written once and read back."""
+    return VectorIndex.create(chunks, "chunk_id", "vector", scratch(t.spark, "vectors"), dimensions=64)
+
+
+@query("v02_indexed_top_k", "V2", sql=f"WITH {vector_hits(5)} {ROUNDED}")
+def _(t):
+    """The same from a stored index, which opens only the cells that may hold a hit."""
+    return ranked(vector_index_of(t, chunk_vectors(t)).search(centroids(t), 5))
+
+
 @query("v02_filtered_top_k", "V2", "P12", sql=f"""WITH {CENTROIDS} SELECT query_id::BIGINT AS query_id, id, round(score, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM scored WHERE label = 3 QUALIFY rank <= 5""")
 def _(t):
     return ranked(vs.cosine_top_k(centroids(t), chunk_vectors(t).filter("label = 3"), 5))
@@ -101,14 +113,14 @@ def keyword_hits(k, name="hits"):
     return f"{INDEX}, {name} AS (SELECT query_id, id, round(score, 9) AS score, matched, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM bm QUALIFY rank <= {k})"
 
 
-def index_of(t):
+def index_of(t, searchable=True):
     """The keyword index of all documents, written once and read back."""
-    return KeywordIndex.create(spread(t.documents.select("doc_id", "text")), "doc_id", "text", scratch(t.spark, "index"))
+    return KeywordIndex.create(spread(t.documents.select("doc_id", "text")), "doc_id", "text", scratch(t.spark, "index"), searchable=searchable)
 
 
 @query("v07_keyword_index", "V7", sql=f"WITH {INDEX} SELECT term, df, round(idf, 9) AS idf FROM terms")
 def _(t):
-    return index_of(t).terms().withColumn("idf", F.round("idf", 9))
+    return index_of(t, searchable=False).terms().withColumn("idf", F.round("idf", 9))
 
 
 @query("v08_keyword_search", "V8", sql=f"WITH {keyword_hits(10)} SELECT query_id, id, round(score, 6) AS score, matched, rank FROM hits")
@@ -121,8 +133,8 @@ def _(t):
 def _(t):
     """Three languages first, the fourth appended: every idf must equal that of the whole."""
     root = scratch(t.spark, "index")
-    first = KeywordIndex.create(t.documents.filter("lang <> 'en'"), "doc_id", "text", root, 0)
-    return first.append(t.documents.filter("lang = 'en'"), "doc_id", "text", root, 1).terms().withColumn("idf", F.round("idf", 9))
+    first = KeywordIndex.create(t.documents.filter("lang <> 'en'"), "doc_id", "text", root, 0, searchable=False)
+    return first.append(t.documents.filter("lang = 'en'"), "doc_id", "text", root, 1, searchable=False).terms().withColumn("idf", F.round("idf", 9))
 
 
 # A corpus with both: document i has the text of documents and the vector of embeddings with that id;
@@ -140,7 +152,7 @@ def question_vectors(t):
 
 def both_lists(t, k=20):
     vectors = chunk_vectors(t).join(t.documents.select(F.col("doc_id").alias("chunk_id")), "chunk_id", "left_semi")
-    dense = vs.cosine_top_k(question_vectors(t), vectors, k, dimensions=64)
+    dense = vector_index_of(t, vectors).search(question_vectors(t), k)
     return {"vector": dense, "keyword": index_of(t).search(t.benchmark, "item_id", "text", k)}
 
 
@@ -235,7 +247,7 @@ def _(t):
 @query("v14_tfidf_vectors", "V14", sql=f"""WITH {INDEX}, voc AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_index, ln((1 + (SELECT count(*) FROM lens)) / (1 + df)) + 1 AS i FROM terms),
  w AS (SELECT doc, term, term_index, tf * i AS w FROM postings JOIN voc USING (term)) SELECT doc, term, term_index, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc)), 9) AS value FROM w""")
 def _(t):
-    return tfidf_vectors(index_of(t)).withColumn("value", F.round("value", 9))
+    return tfidf_vectors(index_of(t, searchable=False)).withColumn("value", F.round("value", 9))
 
 
 @query("v15_missing_document", "V15", sql=f"""WITH {vector_hits(100)}, wanted AS (SELECT c.query_id, e.vec_id % 7 AS doc, e.vec_id AS id FROM centroids c, embeddings e WHERE e.label = c.query_id)
