@@ -231,7 +231,9 @@ def mask_pii(text: Column) -> Column:
     def mask(acc: Column, kind: str, pattern: str) -> Column:
         if kind != "CREDIT_CARD":
             return F.regexp_replace(acc, pattern, f"<{kind}>")
-        valid = F.filter(F.regexp_extract_all(acc, F.lit(pattern), 0), luhn)
-        return F.aggregate(F.array_distinct(valid), acc, lambda a, number: F.replace(a, number, F.lit(f"<{kind}>")))
+        # By place: a number that is valid here may stand inside a longer one that is none.
+        found = F.transform(F.regexp_extract_all(acc, F.lit(pattern), 0), lambda m: F.when(luhn(m), F.lit(f"<{kind}>")).otherwise(m))
+        between = F.split(acc, pattern, -1)
+        return F.array_join(F.zip_with(between, F.array_append(found, F.lit("")), lambda text_, m: F.concat(text_, m)), "")
 
     return reduce(lambda acc, kv: mask(acc, kv[0], kv[1][0]), PII_PATTERNS.items(), text)

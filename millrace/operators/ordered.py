@@ -9,6 +9,7 @@ here splits a key along the order column first: rows get a bucket from equi-dept
 from __future__ import annotations
 
 import math
+import re
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
@@ -18,22 +19,30 @@ from pyspark.sql import functions as F
 from millrace.session import cut_lineage, shuffle_width
 
 _B = "__bucket"
-
-
-def _bucket_count(df: DataFrame, buckets: int | None) -> int:
-    return buckets or max(16, 4 * shuffle_width(df.sparkSession))
+#: Rows of a bucket, about, and buckets at most.
+ROWS_OF_BUCKET, MOST_BUCKETS = 1_000_000, 20_000
 
 
 def bucket_by_order(df: DataFrame, order: str, buckets: int | None = None, name: str = _B) -> DataFrame:
     """Add an order-preserving bucket number: x <= y implies bucket(x) <= bucket(y).
 
     Edges come from one ``percentile_approx`` sketch over the same frame, so any group's
-    share of a bucket is at most the bucket's depth. Only the edges (one double per bucket)
-    reach the driver; the bucket of a row is found by binary search in the JVM.
+    share of a bucket is at most the bucket's depth. There are four buckets for every shuffle partition,
+    or as many as ``ROWS_OF_BUCKET`` asks for where that is more, by the sketch's own count. Only the
+    edges (one double per bucket) reach the driver; the bucket of a row is found by binary search in
+    the JVM.
     """
-    count = _bucket_count(df, buckets)
-    points = [i / count for i in range(1, count)]
-    edges = df.agg(F.percentile_approx(F.col(order).cast("double"), points, 20 * count)).first()[0] or []
+    def sketch(count: int) -> tuple[int, list]:
+        points = [i / count for i in range(1, count)]
+        value = F.col(order).cast("double")
+        return tuple(df.agg(F.count(value), F.percentile_approx(value, points, 20 * count)).first())
+
+    count = buckets or max(16, 4 * shuffle_width(df.sparkSession))
+    rows, edges = sketch(count)
+    wanted = min(MOST_BUCKETS, -(-rows // ROWS_OF_BUCKET))
+    if buckets is None and wanted > count:
+        _, edges = sketch(wanted)
+    edges = edges or []
     inner = sorted({float(e) for e in edges if e is not None and not math.isnan(e) and not math.isinf(e)})
     splits = [-math.inf, *(inner or [0.0]), math.inf]
     finder = Bucketizer(splits=splits, inputCol="__order", outputCol="__found", handleInvalid="keep")
@@ -41,6 +50,15 @@ def bucket_by_order(df: DataFrame, order: str, buckets: int | None = None, name:
     return found.withColumn(name, F.coalesce(F.col("__found").cast("int"), F.lit(-1))).drop("__order", "__found")
 
 
+_REPEATED_WORK = re.compile(r"\b(Join|Aggregate|Window|Generate|Expand|Sort|Repartition\w*|Rebalance\w*|MapIn\w+|FlatMap\w+|\w*EvalPython)\b")
+
+
+def evaluated_once(df: DataFrame) -> DataFrame:
+    """A frame that may be read several times: as it is if that only repeats a scan, else written once."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return cut_lineage(df, "once") if _REPEATED_WORK.search(plan) else df
+
+
 def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"__r_{k}"]) for k in keys])
 
@@ -55,7 +73,10 @@ def running_totals(
     buckets: int | None = None,
 ) -> DataFrame:
     """Add, for every ``new: column`` in ``sums``, the sum of ``column`` over the rows of the
-    same key that come strictly before this row in (``order``, ``ties``) order."""
+    same key that come strictly before this row in (``order``, ``ties``) order.
+
+    The rows are read for the edges, for the totals and for the result; work behind them is done once."""
+    df = evaluated_once(df)
     bucketed = bucket_by_order(df, order, buckets)
     across = Window.partitionBy(*keys).orderBy(F.col(_B).desc() if descending else F.col(_B))
     before = across.rowsBetween(Window.unboundedPreceding, -1)

@@ -22,12 +22,12 @@ def cents(c):
 
 @query("j01_left_join_totals", "J1", sql="""SELECT c_custkey, CASE WHEN c_nationkey < 8 THEN 'young' WHEN c_nationkey < 16 THEN 'middle' ELSE 'senior' END AS age_group,
  count(o_orderkey) AS order_count, round(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE), 2) AS total_spent, round(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o_orderkey), 8) AS avg_order
-FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'F') ON c_custkey = o_custkey GROUP BY 1, 2""")
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1, 2""")
 def _(t):
     users = t.customer.select(
         "c_custkey", F.when(F.col("c_nationkey") < 8, "young").when(F.col("c_nationkey") < 16, "middle").otherwise("senior").alias("age_group")
     )
-    orders = t.orders.filter(F.col("o_orderstatus") == "F").withColumn("amount", money("o_totalprice"))
+    orders = t.orders.withColumn("amount", money("o_totalprice"))
     out = rel.user_order_totals(users, orders, "c_custkey", "o_custkey", "o_orderkey", "amount")
     return out.select(
         "c_custkey", "age_group", "order_count", F.round(F.col("total_spent").cast("double"), 2).alias("total_spent"),
@@ -35,10 +35,10 @@ def _(t):
     )
 
 
-@query("j02_low_rated_queries", "J2", sql=f"""WITH {QUERY_LOG}, feedback AS (SELECT event_id AS query_id, event_id % 5 + 1 AS stars FROM events WHERE event_type <> 'view')
+@query("j02_low_rated_queries", "J2", sql=f"""WITH {QUERY_LOG}, feedback AS (SELECT event_id AS query_id, event_id % 5 + 1 AS stars FROM events)
 SELECT q.query_id, q.created_at, f.stars FROM query_log q JOIN feedback f ON q.query_id = f.query_id WHERE f.stars <= 2 ORDER BY q.created_at DESC, q.query_id LIMIT 20""")
 def _(t):
-    feedback = t.events.filter(F.col("event_type") != "view").select(F.col("event_id").alias("query_id"), (F.col("event_id") % 5 + 1).alias("stars"))
+    feedback = t.events.select(F.col("event_id").alias("query_id"), (F.col("event_id") % 5 + 1).alias("stars"))
     joined = query_log(t).join(feedback, "query_id").filter(F.col("stars") <= 2)
     return joined.orderBy(F.col("created_at").desc(), "query_id").limit(20).select("query_id", "created_at", "stars")
 
