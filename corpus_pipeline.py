@@ -5,6 +5,12 @@ again as the next stage's documents. The first four return the columns of ``docu
 stage drops what it cannot identify, the Jaccard join leaves the smallest id of every group of linked
 documents, the substring stage removes repeated words from texts (no row goes), decontamination drops
 documents in which a benchmark window occurs. The last packs the token ids of what is left.
+
+Defined cases: a null, empty or letterless text has no language, so its row goes in the first stage;
+what a later stage empties stays as an empty text and packs as its end id. Of rows with one id and one
+text one stays, of rows with one id and different texts each is judged for itself. A null id is an id
+like any other; in a group it is the last to stay. Extra columns pass the first four stages as they are.
+Empty tables give empty results.
 """
 
 from __future__ import annotations

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.names import named, packed_row, unpacked_row
 from millrace.llm.texts import ALNUM, LOWER, buffers, find_words, slices, worker_memory
 from millrace.session import cut_lineage
 
@@ -50,8 +51,8 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def windows_of(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
     """Distinct (item, window): the windows of every item, normalised."""
-    named = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text"))
-    return named.mapInArrow(_item_windows, "item string, window binary").distinct()
+    items = benchmark.select(named(item).cast("string").alias("item"), named(text).alias("text"))
+    return items.mapInArrow(_item_windows, "item string, window binary").distinct()
 
 
 class Automaton:
@@ -112,13 +113,13 @@ def _scan_slice(automaton: Automaton, part: pa.RecordBatch, raw: np.ndarray, off
     keep = inside | after
     plain = np.where(inside, LOWER[raw], np.uint8(0x20))
     counts, intervals, spans, items = np.diff(found.first), [], [], []
-    earlier, named = part.column("intervals").to_pylist(), part.column("items").to_pylist()
+    earlier, known = part.column("intervals").to_pylist(), part.column("items").to_pylist()
     for row in range(part.num_rows):
         low, high = offsets[row], offsets[row + 1]
         body = " " + plain[low:high][keep[low:high]].tobytes().decode("latin-1") + " "
         hits = list(automaton.occurrences(body))
         old = [(x["from"], x["to"]) for x in earlier[row]]
-        owners = set(named[row])
+        owners = set(known[row])
         first = int(found.first[row])
         start, end = found.start[first : first + counts[row]], found.end[first : first + counts[row]]
         if hits:
@@ -150,10 +151,9 @@ def scan(docs: DataFrame, windows: DataFrame, text: str = "text", block_bytes: i
     dealt = windows.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(blocks)))
     if blocks > 1:
         dealt = cut_lineage(dealt, "windows")
-    rest = [F.col(c) for c in docs.columns if c != text]
     nothing = "array<struct<from: bigint, to: bigint>>"
     state = docs.select(
-        F.struct(*(rest or [F.lit(1).alias("none")])).alias("row"), F.col(text).alias("text"), F.lit(0).cast("long").alias("n_words"),
+        packed_row(docs, text).alias("row"), named(text).alias("text"), F.lit(0).cast("long").alias("n_words"),
         F.array().cast(nothing).alias("intervals"), F.array().cast(nothing).alias("spans"), F.array().cast("array<string>").alias("items"),
     )
     for block in range(blocks):
@@ -166,10 +166,10 @@ def scan(docs: DataFrame, windows: DataFrame, text: str = "text", block_bytes: i
 
 def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """Per row of ``docs``: words, hit words, the number and the digest of the items that occur."""
-    found = scan(docs.select(key, text), windows_of(benchmark, item, item_text), text)
+    found = scan(docs.select(named(key), named(text)), windows_of(benchmark, item, item_text), text)
     n_hit = F.aggregate("intervals", F.lit(0).cast("long"), lambda acc, x: acc + x["to"] - x["from"])
     return found.select(
-        F.col(f"row.{key}").alias(key), "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.col("row").getField(key).alias(key), "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("intervals") > 0).alias("contaminated"),
     )
 
@@ -177,4 +177,4 @@ def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs``, columns as they were, that no benchmark window occurs in."""
     found = scan(docs, windows_of(benchmark, item, item_text), text).filter(F.size("intervals") == 0)
-    return found.select(*[F.col("text").alias(c) if c == text else F.col(f"row.{c}").alias(c) for c in docs.columns])
+    return found.select(*unpacked_row(docs, **{text: F.col("text")}))

@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.texts import binary_column
 from millrace.llm.tokens import encoded
@@ -311,6 +312,8 @@ def read_store(spark: SparkSession, folder: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, path: str, end_id: int, key: str = "doc_id", text: str = "text", folder: str | None = None) -> DataFrame:
     """Write the token ids of ``docs`` to a store and report what is read back from it."""
+    if not isinstance(docs.schema[key].dataType, T.NumericType):
+        raise TypeError(f"{key} orders the file and must be a number, it is {docs.schema[key].dataType.simpleString()}")
     folder = folder or scratch(docs.sparkSession, "store")
     ids = scratch(docs.sparkSession, "ids")
     token_ids(docs, key, text, path, end_id).write.option("compression", "zstd").parquet(ids)

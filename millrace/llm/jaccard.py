@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.bitmaps import Bitmap, bitmap
 from millrace.llm.components import components
+from millrace.llm.names import named, packed_row, unpacked_row
 from millrace.llm.texts import PLAIN, binary_column, find_words, mix, release, run_hashes, slices
 from millrace.session import cut_lineage
 
@@ -64,6 +65,9 @@ class Rule:
     """What links: shingle width and percentage."""
 
     def __init__(self, words: int = WORDS, percent: int = PERCENT):
+        # Bitmaps of sets of one and of two neighbouring widths are compared: half of the union is the least.
+        if words < 1 or not 50 <= percent <= 100:
+            raise ValueError("a rule needs a word at least and 50 to 100 percent")
         self.words, self.percent = words, percent
 
     def prefix(self, size: int) -> int:
@@ -472,7 +476,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule |
     """``key``, ``n`` (set size), ``class`` and ``root`` (equal for all documents of a component; null
     for empty sets) of every row of ``docs``."""
     rule = rule or Rule()
-    source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    source = docs.select(named(key).alias("key"), named(text).alias("text"))
     counted = source.select("text").mapInArrow(_frequent(rule.words), "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
     top = counted.filter(F.col("n") >= HEAVY).orderBy(F.col("n").desc(), "shingle").limit(FREQUENT).collect()
     top.sort(key=lambda r: np.int64(r.shingle).view(np.uint64))
@@ -508,30 +512,30 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule |
     more = _linked(rest.join(tests, ["a", "b"], "left_anti"), sets, rule)
     roots = components(edges.unionByName(more))
 
-    named = described.select("key", "n", "class").join(roots.withColumnRenamed("node", "class"), "class", "left")
-    return named.select("key", "n", "class", F.when(F.col("n") > 0, F.coalesce("root", "class")).alias("root"))
+    rooted = described.select("key", "n", "class").join(roots.withColumnRenamed("node", "class"), "class", "left")
+    return rooted.select("key", "n", "class", F.when(F.col("n") > 0, F.coalesce("root", "class")).alias("root"))
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule | None = None) -> DataFrame:
     """Per row: the size of its set, the smallest id of its component and its class."""
     linked = cut_lineage(link(docs, key, text, rule), "linked")
     least = linked.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("key").alias("least"))
-    named = linked.join(least, "root", "left")
-    return named.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("least", "key").alias("component_id"), F.col("class").alias("class_id"))
+    rows = linked.join(least, "root", "left")
+    return rows.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("least", "key").alias("component_id"), F.col("class").alias("class_id"))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule | None = None) -> DataFrame:
     """The rows of ``docs``, columns as they were, that have the smallest id of their component (of
     equal ids the one with the smallest digest); of rows with equal id and text one. Rows with an
     empty set all stay, but for such repetitions."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    digest = F.unhex(F.md5(F.concat_ws("\x00", F.coalesce(F.col(key).cast("string"), F.lit("")), body)))
-    named = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), digest.alias("digest"))
-    source = docs.select(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), digest.alias("digest")).alias("name"), F.col(text).alias("body"))
+    own, body = named(key), F.coalesce(named(text), F.lit(""))
+    digest = F.unhex(F.md5(F.concat_ws("\x00", F.coalesce(own.cast("string"), F.lit("")), body)))
+    whole = docs.select(packed_row(docs).alias("row"), digest.alias("digest"))
+    source = docs.select(F.struct(own.isNull().alias("none"), own.alias("id"), digest.alias("digest")).alias("name"), named(text).alias("body"))
     linked = cut_lineage(link(source, "name", "body", rule), "linked")
     alone = linked.filter(F.col("root").isNull()).select("key.digest")
     least = linked.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("key").alias("key")).select("key.digest")
     kept = alone.unionByName(least).distinct()
     once = Window.partitionBy("digest").orderBy("digest")
-    rows = named.join(kept, "digest", "left_semi").withColumn("at", F.row_number().over(once)).filter(F.col("at") == 1)
-    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    rows = whole.join(kept, "digest", "left_semi").withColumn("at", F.row_number().over(once)).filter(F.col("at") == 1)
+    return rows.select(*unpacked_row(docs))

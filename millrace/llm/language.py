@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.names import named, packed_row, unpacked_row
 from millrace.llm.texts import binary_column, release, slices, worker_memory
 
 SLOTS_LOG2 = 16
@@ -183,8 +184,8 @@ def remainder(key: Column) -> Column:
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", held_out: int = 0, per_language: int = PER_LANGUAGE) -> Model:
     """Learn from the documents whose ``remainder`` is not ``held_out`` and that have a language."""
-    part = remainder(F.col(key))
-    labelled = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), part.alias("part"), F.xxhash64(key, text).alias("draw"))
+    part = remainder(named(key))
+    labelled = docs.select(named(text).alias("text"), named(lang).alias("lang"), part.alias("part"), F.xxhash64(named(key), named(text)).alias("draw"))
     labelled = labelled.filter((F.col("part") != held_out) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counted = {r.slot: r.n for r in labelled.select("text").mapInArrow(_frequencies, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).collect()}
     rows = counted.pop(-1, 0)
@@ -254,8 +255,7 @@ def _judge(model: Model):
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Every row of ``docs`` as ``row`` (a struct without the text) and ``text``, with ``lang_pred`` and ``score``."""
-    rest = [F.col(c) for c in docs.columns if c != text]
-    rows = docs.select(F.struct(*(rest or [F.lit(1).alias("none")])).alias("row"), F.col(text).alias("text"))
+    rows = docs.select(packed_row(docs, text).alias("row"), named(text).alias("text"))
     out = T.StructType([rows.schema["row"], T.StructField("text", T.StringType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return rows.mapInArrow(_judge(model), out)
 
@@ -263,13 +263,12 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", held_out: int = 0) -> DataFrame:
     """Per row: whether it was held out, the predicted language and its calibrated probability."""
     model = fit(docs, key, text, lang, held_out)
-    found = identify(docs.select(key, text), model, text)
-    return found.select(
-        F.col(f"row.{key}").alias(key), (remainder(F.col(f"row.{key}")) == held_out).alias("held_out"), "lang_pred", "score"
-    )
+    found = identify(docs.select(named(key), named(text)), model, text)
+    own = F.col("row").getField(key)
+    return found.select(own.alias(key), (remainder(own) == held_out).alias("held_out"), "lang_pred", "score")
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows of ``docs``, columns as they were, whose language is told with probability ``least`` or more."""
     found = identify(docs, fit(docs, key, text, lang), text).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return found.select(*[F.col("text").alias(c) if c == text else F.col(f"row.{c}").alias(c) for c in docs.columns])
+    return found.select(*unpacked_row(docs, **{text: F.col("text")}))

@@ -36,11 +36,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.bitmaps import Bitmap, bitmap
+from millrace.llm.names import named, packed_row, unpacked_row
 from millrace.llm.texts import PLAIN, find_words, release, run_hashes, slices
 from millrace.session import cut_lineage
 
@@ -125,11 +126,13 @@ def _place_paths(repeated: Bitmap, branching: Bitmap):
     return scan
 
 
+def _digest(key: str, text: str) -> Column:
+    return F.unhex(F.md5(F.concat_ws("\x00", F.coalesce(named(key).cast("string"), F.lit("")), F.coalesce(named(text), F.lit("")))))
+
+
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``key``: a digest of the row's id and text. Rows that share it are the same text."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    digest = F.unhex(F.md5(F.concat_ws("\x00", F.coalesce(F.col(key).cast("string"), F.lit("")), body)))
-    return docs.select(digest.alias("key"), F.col(text).alias("text"))
+    return docs.select(_digest(key, text).alias("key"), named(text).alias("text"))
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -196,10 +199,7 @@ def _joined(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> bytes:
 def cut_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row of ``docs`` as ``row`` (a struct without the text) and ``text``, with ``n_words``,
     ``n_removed``, the text of the ``kept`` words joined by one blank, and its ``kept_sha256``."""
-    rest = [F.col(c) for c in docs.columns if c != text]
-    body = F.coalesce(F.col(text), F.lit(""))
-    digest = F.unhex(F.md5(F.concat_ws("\x00", F.coalesce(F.col(key).cast("string"), F.lit("")), body)))
-    rows = docs.select(digest.alias("key"), F.struct(*rest).alias("row"), F.col(text).alias("text"))
+    rows = docs.select(_digest(key, text).alias("key"), packed_row(docs, text).alias("row"), named(text).alias("text"))
     joined = rows.join(repeated_spans(docs, key, text), "key", "left").select("row", "text", "spans")
     counts = [T.StructField(c, T.LongType()) for c in ("n_words", "n_removed")]
     texts = [T.StructField(c, T.StringType()) for c in ("kept", "kept_sha256")]
@@ -208,8 +208,8 @@ def cut_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: words, removed words and the digest of what is kept."""
-    cut = cut_repeats(docs.select(key, text), key, text)
-    return cut.select(F.col(f"row.{key}").alias(key), "n_words", "n_removed", "kept_sha256")
+    cut = cut_repeats(docs.select(named(key), named(text)), key, text)
+    return cut.select(F.col("row").getField(key).alias(key), "n_words", "n_removed", "kept_sha256")
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str = "n_chars") -> DataFrame:
@@ -217,8 +217,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     one blank; a column named ``length`` follows. Other texts stay as they are, and no row goes."""
     cut = cut_repeats(docs, key, text)
     changed = F.col("n_removed") > 0
-    own = {c: F.col("row").getField(c) for c in docs.columns if c != text}
-    own[text] = F.when(changed, F.col("kept")).otherwise(F.col("text"))
-    if length in own and length != text:
-        own[length] = F.when(changed, F.length("kept").cast(docs.schema[length].dataType)).otherwise(own[length])
-    return cut.select(*[own[c].alias(c) for c in docs.columns])
+    own = {text: F.when(changed, F.col("kept")).otherwise(F.col("text"))}
+    if length in docs.columns and length != text:
+        own[length] = F.when(changed, F.length("kept").cast(docs.schema[length].dataType)).otherwise(F.col("row").getField(length))
+    return cut.select(*unpacked_row(docs, **own))

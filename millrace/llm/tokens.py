@@ -78,7 +78,9 @@ class Encoder:
         #: Whether white space has ids; else the vocabulary also takes capitals for small letters.
         self.blank_matters = blank_matters
         self.separator = b"\n" if blank_matters else b"\n|\n"
-        (self.separator_id,) = self.tokenizer.encode(self.separator.decode(), add_special_tokens=False).ids
+        own = self.tokenizer.encode(self.separator.decode(), add_special_tokens=False).ids
+        #: Without an id of its own nothing separates, and every piece is encoded alone.
+        self.separator_id = own[0] if len(own) == 1 else -1
         self.memory = ROOMY
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}

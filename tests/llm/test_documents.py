@@ -96,6 +96,39 @@ def test_large_blocks_are_split(frame, monkeypatch):
     assert len(set(roots)) < 90
 
 
+@pytest.mark.parametrize("words, percent", [(0, 80), (4, 49), (4, 101)])
+def test_rules_that_would_lose_links_are_refused(words, percent):
+    with pytest.raises(ValueError):
+        jaccard.Rule(words, percent)
+
+
+def test_links_of_the_least_rule(frame):
+    """Sets of 32 and 64 shingles, one within the other, at 50 percent: bitmaps of different widths."""
+    rows = [(i, " ".join(f"w{i // 3}x{k}" for k in range((32, 64, 65)[i % 3]))) for i in range(30)]
+    got = {r.doc_id: r.component_id for r in jaccard.report(frame(rows), rule=jaccard.Rule(1, 50)).collect()}
+    _, roots = grouped_by_links([t for _, t in rows], 1, 50)
+    assert got == dict(enumerate(roots))
+
+
+def test_one_phrase_in_every_text_and_a_full_bitmap(frame, monkeypatch):
+    monkeypatch.setattr("millrace.llm.bitmaps.MOST_LOG2", 16)
+    phrase = [f"p{i}" for i in range(40)]
+    rows = [(i, " ".join([f"a{i}x{k}" for k in range(30)] + phrase[i % 3 :] + [f"b{i}x{k}" for k in range(i % 7 * 10)])) for i in range(120)]
+    rows += [(500 + i, " ".join(f"c{i % 5}x{k}" for k in range(60))) for i in range(10)]
+    got = {r.doc_id: r.n_removed for r in spans.report(frame(rows)).collect()}
+    where = collections.Counter()
+    split = {key: plain_words(t) for key, t in rows}
+    for w in split.values():
+        where.update(tuple(w[i : i + 35]) for i in range(len(w) - 34))
+    assert got == {k: len({p for i in range(len(w) - 34) if where[tuple(w[i : i + 35])] > 1 for p in range(i, i + 35)}) for k, w in split.items()}
+
+
+def test_text_ids_have_no_order_in_a_store(frame):
+    docs = frame([(1, "a b")])
+    with pytest.raises(TypeError):
+        huffman.round_trip(docs.withColumn("doc_id", F.col("doc_id").cast("string")), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
 def test_signature_tree_drops_no_link():
     pick = np.random.default_rng(1)
     rule = jaccard.Rule()
