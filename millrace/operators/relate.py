@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import drop_context, linear_quantiles, number_rows, with_preceding
+from millrace.operators.ordered import drop_context, linear_quantiles, number_rows, number_values, with_preceding
 from millrace.operators.select import newest_per_key
 
 # --- joins -----------------------------------------------------------------
@@ -54,6 +54,21 @@ def visible_rows(rows: DataFrame, row_key: str, grants: DataFrame, principals: D
     return rows.join(allowed, row_key)
 
 
+def visible_counts(rows: DataFrame, row_key: str, grants: DataFrame, principals: DataFrame) -> DataFrame:
+    """(user_id, visible): how many of ``rows`` each principal user may see; users who see none are absent.
+
+    Rows are numbered densely, and the rows of a grant are bitmaps of 32,768 numbers each. A user's
+    bitmaps are united number range by number range and counted, so no (user, row) pair is made and
+    nothing is deduplicated; a grant that every row has is split over its ranges. ``visible_rows``
+    gives the rows themselves, for the principals of a request.
+    """
+    numbered = number_values(rows.select(row_key).distinct(), row_key, "__no")
+    held = grants.join(numbered, row_key).select("kind", "name", F.bitmap_bucket_number("__no").alias("__range"), F.bitmap_bit_position("__no").alias("__bit"))
+    maps = held.groupBy("kind", "name", "__range").agg(F.bitmap_construct_agg("__bit").alias("__map"))
+    united = principals.join(maps, ["kind", "name"]).groupBy("user_id", "__range").agg(F.bitmap_or_agg("__map").alias("__map"))
+    return united.groupBy("user_id").agg(F.sum(F.bitmap_count("__map")).alias("visible"))
+
+
 def full_compare(base: DataFrame, current: DataFrame, key: str, value: str) -> DataFrame:
     """Both sides of every category, a missing side counting 0."""
     left = base.select(F.col(key).alias("__l"), F.col(value).alias("__b"))

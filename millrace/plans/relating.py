@@ -83,8 +83,17 @@ def _(t):
     grants = t.documents.select(
         "doc_id", F.explode(F.array(who("user", d % 97), who("group", d % 11), who("role", d % 17))).alias("p")
     ).select("doc_id", "p.*")
-    seen = rel.visible_rows(t.documents.select("doc_id"), "doc_id", grants, principals)
-    return seen.groupBy("user_id").agg(N().alias("visible"))
+    return rel.visible_counts(t.documents.select("doc_id"), "doc_id", grants, principals)
+
+
+@query("j07_visible_to_a_user", "J7", sql="""SELECT doc_id, lang FROM documents WHERE doc_id % 97 = 7 OR doc_id % 11 = 7 % 5 OR doc_id % 17 = 7 % 3""")
+def _(t):
+    """The rows that one requesting user, with their group and role, may see."""
+    who = lambda kind, name: F.struct(F.lit(kind).alias("kind"), name.cast("string").alias("name"))
+    d = F.col("doc_id")
+    grants = t.documents.select("doc_id", F.explode(F.array(who("user", d % 97), who("group", d % 11), who("role", d % 17))).alias("p")).select("doc_id", "p.*")
+    asking = t.spark.createDataFrame([(7, "user", "7"), (7, "group", "2"), (7, "role", "1")], "user_id long, kind string, name string")
+    return rel.visible_rows(t.documents.select("doc_id", "lang"), "doc_id", grants, asking).select("doc_id", "lang")
 
 
 @query("j08_full_outer_compare", "J8", sql="""WITH b AS (SELECT p_brand AS brand, count(*) / sum(count(*)) OVER () AS s FROM part WHERE p_size <= 25 GROUP BY 1),

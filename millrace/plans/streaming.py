@@ -68,6 +68,14 @@ def _(t):
     return jobs.window_totals(query_log(t)).withColumn("avg_ms", F.round("avg_ms", 6))
 
 
+@query("x03_query_analytics_corrected", "X3", sql=f"WITH {QUERY_LOG} SELECT date_trunc('hour', created_at) AS window_start, tenant_id, count(*) AS queries, round(avg(latency_ms), 6) AS avg_ms, max(latency_ms)::DOUBLE AS max_ms FROM query_log GROUP BY 1, 2")
+def _(t):
+    """The stream with its late rows merged as corrections: what the batch says."""
+    root = scratch(t.spark, "x3")
+    jobs.run_to_end(jobs.corrected_analytics(query_log(stream(t)), f"{root}/out", f"{root}/checkpoint"))
+    return jobs.complete_windows(t.spark, f"{root}/out").withColumn("avg_ms", F.round("avg_ms", 6))
+
+
 @query("x04_dead_letter_stream", "X4", sql=f"WITH {VALIDATED} SELECT CASE WHEN len(errors) = 0 THEN 'valid' ELSE 'dead' END AS side, schema_version, count(*) AS n FROM checked GROUP BY 1, 2")
 def _(t):
     root = scratch(t.spark, "x4")

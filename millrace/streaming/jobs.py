@@ -87,7 +87,7 @@ def publish(events: DataFrame, key: str, path: str, checkpoint: str, trigger: di
 
 def query_analytics(log: DataFrame, ts: str = "created_at", width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Volume and latency per tenant and window; rows later than ``late`` are left out, as in any
-    watermarked window."""
+    watermarked window. ``corrected_analytics`` keeps them."""
     return window_totals(log.withWatermark(ts, late), ts, width)
 
 
@@ -97,6 +97,62 @@ def window_totals(log: DataFrame, ts: str = "created_at", width: str = "1 hour")
     ).select(F.col("w.start").alias("window_start"), "tenant_id", "queries", "avg_ms", "max_ms")
 
 
+_PARTIAL = "window_start timestamp, tenant_id {tenant}, queries long, timed long, sum_ms double, max_ms double, late boolean, seen timestamp, batch long"
+
+
+def corrected_analytics(
+    log: DataFrame, root: str, checkpoint: str, ts: str = "created_at", width: str = "1 hour", late: str = "10 minutes", trigger: dict = TO_THE_END
+) -> StreamingQuery:
+    """The same totals with nothing lost: every batch stores its share of each window under its id. A
+    share is late if its window had closed by the event times of the batches before: the newest of
+    them less ``late`` had passed its end. Read it with ``closed_windows``, ``corrections`` and
+    ``complete_windows``. Shares are sums per task before they move; a batch that runs again sees the
+    same batches before it and replaces itself."""
+    tenant = log.schema["tenant_id"].dataType.simpleString()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        before = F.lit(None).cast("timestamp")
+        if batch_id:
+            stored = _shares(batch.sparkSession, root, tenant).filter(F.col("batch") < batch_id)
+            before = F.lit(stored.agg(F.max("seen")).first()[0]).cast("timestamp")
+        shares = batch.filter(F.col(ts).isNotNull()).groupBy(F.window(ts, width).alias("w"), "tenant_id").agg(
+            F.count(F.lit(1)).alias("queries"), F.count("latency_ms").alias("timed"), F.sum(F.col("latency_ms").cast("double")).alias("sum_ms"),
+            F.max(F.col("latency_ms").cast("double")).alias("max_ms"), F.max(ts).alias("seen"),
+        )
+        closed = F.coalesce(F.col("w.end") <= before - F.expr(f"INTERVAL {late}"), F.lit(False))
+        rows = shares.select(F.col("w.start").alias("window_start"), "tenant_id", "queries", "timed", "sum_ms", "max_ms", closed.alias("late"), "seen")
+        rows.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+
+    return each_batch(log, write, checkpoint, trigger)
+
+
+def _shares(spark: SparkSession, root: str, tenant: str) -> DataFrame:
+    return spark.read.schema(_PARTIAL.format(tenant=tenant)).parquet(root)
+
+
+def _merged_shares(shares: DataFrame) -> DataFrame:
+    return shares.groupBy("window_start", "tenant_id").agg(
+        F.sum("queries").alias("queries"), (F.sum("sum_ms") / F.nullif(F.sum("timed"), F.lit(0))).alias("avg_ms"), F.max("max_ms").alias("max_ms")
+    )
+
+
+def closed_windows(spark: SparkSession, root: str, width: str = "1 hour", late: str = "10 minutes", tenant: str = "bigint") -> DataFrame:
+    """What a watermarked stream has given out: closed windows without their late rows."""
+    shares = _shares(spark, root, tenant)
+    passed = shares.agg(F.max("seen").alias("t")).select(F.col("t") - F.expr(f"INTERVAL {late}")).scalar()
+    return _merged_shares(shares.filter(~F.col("late") & (F.col("window_start") + F.expr(f"INTERVAL {width}") <= passed)))
+
+
+def corrections(spark: SparkSession, root: str, tenant: str = "bigint") -> DataFrame:
+    """The late shares of windows that had closed: (window_start, tenant_id, queries, timed, sum_ms, max_ms, batch)."""
+    return _shares(spark, root, tenant).filter("late").select("window_start", "tenant_id", "queries", "timed", "sum_ms", "max_ms", "batch")
+
+
+def complete_windows(spark: SparkSession, root: str, tenant: str = "bigint") -> DataFrame:
+    """All windows with all rows, late and open ones included."""
+    return _merged_shares(_shares(spark, root, tenant))
+
+
 def low_ratings(log: DataFrame, limit: int = 2) -> DataFrame:
     return log.filter(F.col("rating") <= limit)
 

@@ -53,6 +53,30 @@ def test_last_rows_per_key(spark, sf_dir, parts, tmp_path):
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
 
 
+def test_late_rows_are_corrections(spark, sf_dir, parts, tmp_path):
+    """Files out of time order: what closed before, the late shares and the rest make up the batch's totals."""
+    from millrace.plans.views import query_log
+
+    class Parts(Tables):
+        def __getattr__(self, name):
+            return stream(spark, parts)
+
+    out = f"{tmp_path}/out"
+    jobs.run_to_end(jobs.corrected_analytics(query_log(Parts(spark, sf_dir)), out, f"{tmp_path}/cp"))
+    place = lambda r: (r.window_start, r.tenant_id)
+    shown = lambda df: {place(r): (r.queries, None if r.avg_ms is None else round(r.avg_ms, 6), r.max_ms) for r in df.collect()}
+    batch = shown(jobs.window_totals(query_log(Tables(spark, sf_dir))))
+    assert shown(jobs.complete_windows(spark, out)) == batch
+    late, closed = jobs.corrections(spark, out).collect(), shown(jobs.closed_windows(spark, out))
+    more = {}
+    for r in late:
+        more[place(r)] = more.get(place(r), 0) + r.queries
+    # Only windows that had closed are corrected, and each correction completes its window.
+    assert len(late) > 10 and len(closed) > 10
+    assert all(batch[k][0] == closed.get(k, (0,))[0] + n for k, n in more.items())
+    assert all(closed[k] == batch[k] for k in closed if k not in more)
+
+
 def hourly(spark):
     """40 hours, a row each; key 3 falls silent after the eighth."""
     return spark.range(40).select((F.col("id") % 4).alias("k"), F.timestamp_seconds(F.col("id") * 3600).alias("ts"), "id", F.array(F.col("id")).alias("a")).filter("k <> 3 OR id < 8")

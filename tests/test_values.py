@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.text import mask_pii
-from millrace.operators import chunking, features, learn, ordered, select
+from millrace.operators import chunking, features, learn, ordered, relate, select
 from millrace.plans import REGISTRY
 from millrace.plans.learning import FEATURES, labelled
 from millrace.plans.texting import markdown
@@ -131,3 +131,13 @@ def test_history_of_a_busy_key(spark, monkeypatch):
         else:
             want[i] = last[k] * 2 if k in last and (i - last[k]) * 40 <= 3600 else None
     assert got == want and tried[0] < 86400
+
+
+def test_visible_counts_are_those_of_the_pairs(spark):
+    rows = spark.range(70_000).select((F.col("id") * 1_000_003 - 5).alias("d"))
+    grants = rows.select("d", F.explode(F.array(F.struct(F.lit("all").alias("kind"), F.lit("x").alias("name")), F.struct(F.lit("u").alias("kind"), (F.col("d") % 7).cast("string").alias("name")))).alias("g")).select("d", "g.*")
+    grants = grants.filter("kind = 'u' OR d % 3 = 0").unionByName(spark.createDataFrame([(-1, "u", "1")], "d long, kind string, name string"))
+    principals = spark.createDataFrame([(1, "all", "x"), (1, "u", "2"), (2, "u", "3"), (2, "u", "4"), (3, "u", "none"), (4, "u", "2"), (4, "u", "2")], "user_id long, kind string, name string")
+    pairs = relate.visible_rows(rows, "d", grants, principals).groupBy("user_id").count()
+    got = {r.user_id: r.visible for r in relate.visible_counts(rows, "d", grants, principals).collect()}
+    assert got == {r.user_id: r["count"] for r in pairs.collect()} and set(got) == {1, 2, 4}
