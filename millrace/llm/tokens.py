@@ -35,7 +35,7 @@ class Memory(NamedTuple):
 
 
 #: For a job that has the worker to itself, and for one that shares it with other operators.
-ROOMY, TIGHT = Memory(800_000, 12 << 20), Memory(600_000, 5 << 20)
+ROOMY, TIGHT = Memory(800_000, 12 << 20), Memory(400_000, 4 << 20)
 
 _WIDE_BLANK = re.compile(rb"(?:\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80)[\t-\r ]")
 _WIDE_LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
