@@ -68,3 +68,9 @@ def test_pairs_use_an_equi_join(spark):
     pairs = relate.unordered_pairs(df, "k", blocks=3)
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin", plan(pairs))
     assert pairs.count() == 190
+
+
+@pytest.mark.parametrize("name", ["q20_event_upgrade", "q21_error_counts"])
+def test_events_are_parsed_once(spark, sf_dir, name):
+    text = REGISTRY[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json(") == 1 and text.count("json_object_keys(") <= 1
