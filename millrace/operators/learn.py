@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.ordered import number_values
 from millrace.operators.select import hash_share, right_closed_bins
+from millrace.session import cut_lineage
 
 
 def scaling_statistics(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
@@ -58,14 +59,29 @@ def train_test(df: DataFrame, key: str, test_share: float = 0.2, seed: int = 42)
     return df.filter(~test), df.filter(test)
 
 
+def training_rows(df: DataFrame, key: str, rows: int, least: int = 2000) -> DataFrame:
+    """``df``, of about ``rows`` rows, written out in parts of ``least`` rows or more, one a core at most.
+
+    Training reads its rows many times, on as many cores as they have parts; few columns of a large
+    table would come out of a shuffle as one. Parts are by key and in its order, so samples repeat.
+    """
+    parts = min(df.sparkSession.sparkContext.defaultParallelism, -(-rows // least))
+    return cut_lineage(df.repartition(parts, key).sortWithinPartitions(key) if parts > 1 else df, "training")
+
+
 # The deepest tree the library grows: what "no limit" means here.
 DEEPEST = 30
 
 
 def random_forest(trees: int = 100, depth: int | None = 10, seed: int = 42, split: int = 2) -> RandomForestClassifier:
-    """``split`` rows are needed to split a node; each side of a split then keeps half of them at least."""
+    """``split`` rows are needed to split a node; each side of a split then keeps half of them at least.
+
+    Every row keeps the node it has come to in each tree, so that a pass over the rows neither sends
+    the trees grown so far to every task nor walks them from the root; the trees are the same.
+    """
     return RandomForestClassifier(
-        numTrees=trees, maxDepth=DEEPEST if depth is None else depth, minInstancesPerNode=max(1, split // 2), seed=seed, labelCol="label", featuresCol="features"
+        numTrees=trees, maxDepth=DEEPEST if depth is None else depth, minInstancesPerNode=max(1, split // 2), seed=seed, labelCol="label", featuresCol="features",
+        cacheNodeIds=True,
     )
 
 

@@ -18,12 +18,10 @@ FEATURES = ["c_acctbal", "total_purchases", "tenure_days", "days_since_last", "t
 
 def labelled(t):
     """Customers with encoded segment and label; written out once, as every training pass reads it."""
-    from millrace.session import cut_lineage
-
     rows = customer_activity(t).withColumn("segment_code", F.length("c_mktsegment"))
     cut = linear_quantiles(rows.select("total_spend"), [], "total_spend", {"q": 0.75}).select("q").scalar()
     rows = rows.select("*", (F.col("total_spend") >= cut).cast("double").alias("label"))
-    return cut_lineage(rows.fillna(0, ["tenure_days", "days_since_last"]), "labelled")
+    return ml.training_rows(rows.fillna(0, ["tenure_days", "days_since_last"]), "customer_id", t.customer.count())
 
 
 @query("m01_standard_scaling", "M1", sql="SELECT p_partkey, round((p_size - avg(p_size) OVER ()) / stddev_pop(p_size) OVER (), 9) AS p_size, round((p_retailprice - avg(p_retailprice) OVER ()) / stddev_pop(p_retailprice) OVER (), 6) AS p_retailprice FROM part")

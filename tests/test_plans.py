@@ -74,3 +74,18 @@ def test_pairs_use_an_equi_join(spark):
 def test_events_are_parsed_once(spark, sf_dir, name):
     text = REGISTRY[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("from_json(") == 1 and text.count("json_object_keys(") <= 1
+
+
+def test_training_rows_lie_in_parts(spark):
+    from millrace.operators import learn
+
+    few, many = (learn.training_rows(spark.range(n), "id", n) for n in (1999, 9000))
+    assert few.rdd.getNumPartitions() <= spark.range(1999).rdd.getNumPartitions() and few.count() == 1999
+    assert many.rdd.getNumPartitions() == 5 and many.count() == many.distinct().count() == 9000
+
+
+def test_forests_keep_the_nodes_of_rows():
+    from millrace.operators import learn
+
+    forest = learn.random_forest(2, 3)
+    assert forest.getCacheNodeIds()
