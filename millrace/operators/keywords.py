@@ -11,6 +11,7 @@ from millrace.functions.text import let, tokens
 from millrace.operators import postings as stored_postings
 from millrace.operators.ordered import number_values
 from millrace.operators.vectorsearch import rank_hits
+from millrace.session import cut_lineage, shuffle_width
 
 ENTRIES = "doc {key}, doc_len long, terms array<struct<term: string, tf: long>>"
 FREQUENCIES = "term string, df long"
@@ -110,9 +111,10 @@ class KeywordIndex:
         """(query_id, id, score, matched, rank): query words count as often as they are asked.
 
         Scores are rounded to nine places, so that equal texts tie whatever the order of their
-        sums. A stored index opens only blocks that may hold a hit. Without blocks all postings are
-        met: the query side carries its idf, scores combine per task before the shuffle, and a frequent
-        term is split by the adaptive skew join.
+        sums. A stored index opens only blocks that may hold a hit. Without blocks all documents are
+        met: they are dealt by their id, the query side carries its idf and is met where a document
+        lies, so a document's scores are summed and the best chosen in its task, and only those move.
+        Tasks grow in number with the pairs of query and document, not in size.
         """
         asked = queries.select(F.col(query).alias("query_id"), F.explode(tokens(F.col(text))).alias("term"))
         asked = asked.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("times"))
@@ -120,7 +122,10 @@ class KeywordIndex:
         average = self.documents.agg(F.avg("doc_len").alias("a")).scalar()
         if self.blocks is not None:
             return stored_postings.Search(self.blocks, weighed, average, k, k1, b).hits()
-        hits = self.postings.join(weighed, "term").withColumn("__avg", average)
+        weighed = cut_lineage(weighed.withColumn("__avg", average), "asked")
+        pairs = self.documents.count() * weighed.select("query_id").distinct().count()
+        dealt = KeywordIndex(self.entries.repartition(max(shuffle_width(weighed.sparkSession), -(-pairs // stored_postings.PAIRS)), "doc"), self.frequencies)
+        hits = dealt.postings.join(weighed, "term")
         gain = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("doc_len") / F.col("__avg")))
         scores = hits.groupBy("query_id", F.col("doc").alias("id")).agg(
             F.round(F.sum(F.col("times") * F.col("idf") * gain), 9).alias("score"), F.sum("times").alias("matched")

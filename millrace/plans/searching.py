@@ -15,7 +15,7 @@ from millrace.operators.keywords import KeywordIndex, reciprocal_rank_fusion, tf
 from millrace.operators.vectorindex import VectorIndex
 from millrace.plans.registry import query
 from millrace.plans.texting import TOKENS
-from millrace.session import scratch, spread
+from millrace.session import cut_lineage, scratch, spread
 from millrace.sources.state import KeyedState
 
 
@@ -189,7 +189,7 @@ JACCARD = f"""toks AS (SELECT doc_id AS id, list_distinct({TOKENS}) AS d FROM do
 
 
 def candidates(t, k=10):
-    found = index_of(t).search(t.benchmark, "item_id", "text", k)
+    found = cut_lineage(index_of(t).search(t.benchmark, "item_id", "text", k), "hits")
     return found.join(t.documents.select(F.col("doc_id").alias("id"), "text"), "id").join(
         t.benchmark.select(F.col("item_id").alias("query_id"), F.col("text").alias("question")), "query_id"
     )
@@ -240,7 +240,7 @@ def _(t):
 
 @query("v12_hybrid_rerank", "V12", sql=f"""WITH {BOTH}, {RRF}, cand AS (SELECT query_id, id FROM fused QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) <= 10), {JACCARD} {ROUNDED}""")
 def _(t):
-    fused = reciprocal_rank_fusion(both_lists(t, indexed=True), 10)
+    fused = cut_lineage(reciprocal_rank_fusion(both_lists(t, indexed=True), 10), "fused")
     found = fused.join(t.documents.select(F.col("doc_id").alias("id"), "text"), "id").join(
         t.benchmark.select(F.col("item_id").alias("query_id"), F.col("text").alias("question")), "query_id"
     )
@@ -296,7 +296,7 @@ CONTEXT = f"""{keyword_hits(5)}, h AS (SELECT query_id, rank, source, text, scor
 
 
 def context_rows(t, k=5):
-    found = index_of(t).search(t.benchmark, "item_id", "text", k)
+    found = cut_lineage(index_of(t).search(t.benchmark, "item_id", "text", k), "hits")
     return found.join(t.documents.select(F.col("doc_id").alias("id"), "source", "text"), "id").select("query_id", F.col("rank").cast("long").alias("rank"), "source", "text", "score")
 
 

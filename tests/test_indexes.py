@@ -122,3 +122,14 @@ def test_empty_vector_tables(spark, tmp_path):
     assert index.search(none.withColumnRenamed("chunk_id", "query_id")).collect() == []
     with pytest.raises(TypeError):
         VectorIndex.create(chunks.withColumn("chunk_id", F.lit(1.5)), "chunk_id", "vector", f"{tmp_path}/c")
+
+
+@pytest.mark.parametrize("searchable", [False, True])
+def test_scores_are_summed_where_a_document_lies(spark, tmp_path, searchable):
+    docs = spark.createDataFrame([(i, f"word{i % 7} common word{i % 11} other") for i in range(700)], "d long, text string")
+    asked = spark.createDataFrame([(1, "common word3 word5"), (2, "word3 word3 nothing")], "q long, text string")
+    stored = KeywordIndex.create(docs, "d", "text", str(tmp_path / "index"), searchable=searchable)
+    found = stored.search(asked, "q", "text", 5)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, KeywordIndex.build(docs, "d", "text").search(asked, "q", "text", 5).collect()))
+    moved = re.findall(r"hashpartitioning\(([^)]*)\)", found._jdf.queryExecution().executedPlan().toString())
+    assert not [m for m in moved if "query_id" in m and re.search(r"\b(doc|id|_groupingexpression)#", m)]
