@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from millrace.operators.ordered import drop_context, linear_quantiles, number_rows, number_values, with_preceding
 from millrace.operators.select import newest_per_key
+from millrace.session import cut_lineage, shuffle_width
+
+#: Bitmaps of 4 KB that one task unites, about.
+UNITED = 2**14
 
 # --- joins -----------------------------------------------------------------
 
@@ -57,16 +61,31 @@ def visible_rows(rows: DataFrame, row_key: str, grants: DataFrame, principals: D
 def visible_counts(rows: DataFrame, row_key: str, grants: DataFrame, principals: DataFrame) -> DataFrame:
     """(user_id, visible): how many of ``rows`` each principal user may see; users who see none are absent.
 
-    Rows are numbered densely, and the rows of a grant are bitmaps of 32,768 numbers each. A user's
-    bitmaps are united number range by number range and counted, so no (user, row) pair is made and
-    nothing is deduplicated; a grant that every row has is split over its ranges. ``visible_rows``
-    gives the rows themselves, for the principals of a request.
+    Rows are numbered densely, and the rows of a grant are bitmaps of 32,768 numbers each. Users who
+    hold the same grants are counted once. A set's bitmaps are united number range by number range and
+    counted, so no (user, row) pair is made and nothing is deduplicated; a grant that every row or many
+    sets have is split over its ranges and over ``UNITED`` sets. Bitmaps move only in as many parts as
+    hold ``UNITED`` of them each. ``visible_rows`` gives the rows themselves, for the principals of a request.
     """
+    grant = ["kind", "name"]
     numbered = number_values(rows.select(row_key).distinct(), row_key, "__no")
-    held = grants.join(numbered, row_key).select("kind", "name", F.bitmap_bucket_number("__no").alias("__range"), F.bitmap_bit_position("__no").alias("__bit"))
-    maps = held.groupBy("kind", "name", "__range").agg(F.bitmap_construct_agg("__bit").alias("__map"))
-    united = principals.join(maps, ["kind", "name"]).groupBy("user_id", "__range").agg(F.bitmap_or_agg("__map").alias("__map"))
-    return united.groupBy("user_id").agg(F.sum(F.bitmap_count("__map")).alias("visible"))
+    held = grants.join(numbered, row_key).select(*grant, F.bitmap_bucket_number("__no").alias("__range"), F.bitmap_bit_position("__no").alias("__bit"))
+    maps = cut_lineage(held.groupBy(*grant, "__range").agg(F.bitmap_construct_agg("__bit").alias("__map")), "maps")
+    ranges = maps.groupBy(*grant).agg(F.count(F.lit(1)).alias("__ranges"))
+    users = principals.join(ranges, grant, "left_semi").groupBy("user_id").agg(F.array_sort(F.collect_set(F.struct(*grant))).alias("__held"))
+    users = cut_lineage(users.withColumn("__set", F.sha2(F.to_json("__held").cast("binary"), 256)), "users")
+    sets = users.groupBy("__set").agg(F.first("__held").alias("__held")).select("__set", F.inline("__held"))
+    sizes = sets.groupBy(*grant).agg(F.count(F.lit(1)).alias("__sets")).join(ranges, grant)
+    bitmaps, most = sizes.agg(F.sum(F.col("__sets") * F.col("__ranges")), F.max("__sets")).first()
+    parts, shares = max(shuffle_width(rows.sparkSession), -(-(bitmaps or 0) // UNITED)), -(-(most or 1) // UNITED)
+    share = F.pmod(F.xxhash64("__set"), F.lit(shares)).alias("__share")
+    keys = [*grant, "__range", "__share"]
+    wanted = sets.join(maps.select(*grant, "__range"), grant).select("*", share).repartition(parts, *keys)
+    lying = maps.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))).alias("__share")).repartition(parts, *keys)
+    met = wanted.join(lying, keys).select("__set", "__range", "__map").repartition(parts, "__set", "__range")
+    united = met.groupBy("__set", "__range").agg(F.bitmap_or_agg("__map").alias("__map"))
+    counted = united.groupBy("__set").agg(F.sum(F.bitmap_count("__map")).alias("visible"))
+    return users.join(counted, "__set").select("user_id", "visible")
 
 
 def full_compare(base: DataFrame, current: DataFrame, key: str, value: str) -> DataFrame:

@@ -141,3 +141,17 @@ def test_visible_counts_are_those_of_the_pairs(spark):
     pairs = relate.visible_rows(rows, "d", grants, principals).groupBy("user_id").count()
     got = {r.user_id: r.visible for r in relate.visible_counts(rows, "d", grants, principals).collect()}
     assert got == {r.user_id: r["count"] for r in pairs.collect()} and set(got) == {1, 2, 4}
+
+
+def test_visible_counts_of_equal_sets_are_made_once(spark, monkeypatch):
+    monkeypatch.setattr(relate, "UNITED", 2)
+    rows = spark.range(70000).withColumnRenamed("id", "d")
+    grants = rows.selectExpr("d", "'group' AS kind", "CAST(d % 3 AS STRING) AS name").union(rows.filter("d < 10").selectExpr("d", "'user'", "CAST(d AS STRING)"))
+    principals = spark.range(40).selectExpr("id AS user_id", "explode(array(named_struct('kind', 'group', 'name', CAST(id % 4 AS STRING)), named_struct('kind', 'user', 'name', CAST(id AS STRING)))) AS p").select("user_id", "p.*")
+    principals = principals.union(principals.filter("user_id = 1")).union(spark.sql("SELECT CAST(NULL AS BIGINT), 'group', '1'"))
+    out = relate.visible_counts(rows, "d", grants, principals)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Aggregate \[__set#\d+, __range#\d+L?\], .*bitmap_or_agg", plan)
+    size = lambda g: len(range(g, 70000, 3))
+    want = {u: size(u % 4) + (u < 10 and u % 3 != u % 4) if u % 4 < 3 else int(u < 10) for u in range(40)}
+    assert {r.user_id: r.visible for r in out.collect()} == {None: size(1), **{u: n for u, n in want.items() if n}}
