@@ -12,13 +12,15 @@ from millrace.operators import usercode as uc
 from millrace.operators.ordered import linear_quantiles
 from millrace.plans.registry import query
 from millrace.plans.views import CUSTOMER_ACTIVITY, customer_activity
+from millrace.session import cut_lineage
 
 FEATURES = ["c_acctbal", "total_purchases", "tenure_days", "days_since_last", "tickets", "segment_code"]
 
 
 def labelled(t):
-    """Customers with encoded segment and label; written out once, as every training pass reads it."""
-    rows = customer_activity(t).withColumn("segment_code", F.length("c_mktsegment"))
+    """Customers with encoded segment and label; written out once, as every training pass reads it.
+    So is their activity, which the quantile of the label reads several times."""
+    rows = cut_lineage(customer_activity(t).withColumn("segment_code", F.length("c_mktsegment")), "activity")
     cut = linear_quantiles(rows.select("total_spend"), [], "total_spend", {"q": 0.75}).select("q").scalar()
     rows = rows.select("*", (F.col("total_spend") >= cut).cast("double").alias("label"))
     return ml.training_rows(rows.fillna(0, ["tenure_days", "days_since_last"]), "customer_id", t.customer.count())

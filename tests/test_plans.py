@@ -89,3 +89,24 @@ def test_forests_keep_the_nodes_of_rows():
 
     forest = learn.random_forest(2, 3)
     assert forest.getCacheNodeIds()
+
+
+def test_activity_is_written_before_it_is_labelled(spark, sf_dir, monkeypatch):
+    from millrace.plans import learning
+
+    monkeypatch.setattr(learning.ml, "training_rows", lambda df, key, rows: df)
+    rows = learning.labelled(Tables(spark, sf_dir))
+    assert "o_custkey" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_folds_are_fitted_two_at_a_time(spark, monkeypatch):
+    from threading import Barrier
+
+    from millrace.operators import learn
+
+    meet = Barrier(2, timeout=20)
+    monkeypatch.setattr(learn, "fit", lambda estimator, train, columns: (meet.wait(), train)[1])
+    monkeypatch.setattr(learn, "quality", lambda train, test: {"accuracy": test.count() / (train.count() + test.count())})
+    rows = spark.range(40).withColumn("label", F.col("id") % 2)
+    got = learn.fold_accuracies(rows, "id", ["id"], learn.random_forest(2, 3), folds=4).collect()
+    assert [r.fold for r in got] == [0, 1, 2, 3] and abs(sum(r.accuracy for r in got) - 1) < 1e-9
