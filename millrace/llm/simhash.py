@@ -263,4 +263,4 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: in
     ids = report(docs, key, text, words, radius).select(F.col(f"`{key}`").alias("id"), "component_id")
     kept = ids.filter(F.col("id") == F.col("component_id")).select("id").distinct()
     column = docs[f"`{key}`"]
-    return docs.filter(column.isNull()).unionByName(docs.join(kept, column.eqNullSafe(F.col("id")), "left_semi"))
+    return docs.filter(column.isNull()).union(docs.join(kept, column.eqNullSafe(F.col("id")), "left_semi"))

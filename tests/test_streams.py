@@ -94,6 +94,16 @@ def test_memory_is_bounded_and_expires(spark, tmp_path):
     assert sorted((r.k, r.id, r.a) for r in kept.collect()) == [(k, i, [i]) for k in range(3) for i in range(28 + k, 40, 4)]
 
 
+def test_a_key_filled_and_forgotten_in_one_batch_is_forgotten(spark, tmp_path):
+    row = lambda k, hour: spark.range(1).select(F.lit(k).alias("k"), F.timestamp_seconds(F.lit(hour * 3600)).alias("ts"), F.lit(hour).alias("id"))
+    for k, hour in ((0, 1), (0, 39), (3, 7)):
+        write_files(row(k, hour), f"{tmp_path}/in", 1)
+    stream = jobs.file_stream(spark, f"{tmp_path}/in", row(0, 0).schema, files_per_batch=1)
+    jobs.run_to_end(jobs.remember_last(stream, "k", ["ts"], 3, f"{tmp_path}/out", f"{tmp_path}/cp", ts="ts", ttl_hours=20))
+    kept = jobs.remembered(spark, f"{tmp_path}/out", row(0, 0).schema, "k")
+    assert sorted((r.k, r.id) for r in kept.collect()) == [(0, 1), (0, 39)]
+
+
 def test_a_batch_stores_the_keys_it_changes_and_goes_on_after_a_stop(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("millrace.sources.state.FAN", 100)
     rows = spark.range(400).select((F.col("id") / 40).cast("long").alias("k"), F.timestamp_seconds(F.col("id")).alias("ts"), "id")
