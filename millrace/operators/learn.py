@@ -16,6 +16,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators import forest
 from millrace.operators.ordered import number_values
 from millrace.operators.select import hash_share, right_closed_bins
 from millrace.session import cut_lineage
@@ -131,15 +132,34 @@ def compare_families(train: DataFrame, test: DataFrame, columns: list[str], mode
     return train.sparkSession.createDataFrame(rows, "model string, accuracy double, f1 double")
 
 
+# Nodes that MLlib may come to hold on the driver, at some 500 bytes each.
+DRIVER_NODES = 1 << 20
+
+
+def most_nodes(estimator: RandomForestClassifier, rows: int) -> int:
+    """What a forest over ``rows`` rows can have: full trees, or a leaf for every few rows that a leaf must have."""
+    leaves = max(1, rows // estimator.getMinInstancesPerNode())
+    return estimator.getNumTrees() * (2 * min(1 << estimator.getMaxDepth(), leaves) - 1)
+
+
+def fit_forest(estimator: RandomForestClassifier, train: DataFrame, columns: list[str], rows: int) -> Model | forest.ForestModel:
+    """MLlib's forest where the driver can hold all its nodes, else one of the same rules that lies in a table."""
+    if most_nodes(estimator, rows) <= DRIVER_NODES:
+        return fit(estimator, train, columns)
+    return forest.grow(
+        train, columns, estimator.getNumTrees(), estimator.getMaxDepth(), estimator.getMinInstancesPerNode(), estimator.getSeed(), estimator.getMaxBins(),
+    )
+
+
 # The grid of a small search, as (trees, depth, rows needed to split).
 SEARCH_GRID = [(10, 3, 2), (50, 5, 2), (100, 10, 5), (200, None, 2), (100, 5, 10)]
 
 
 def grid_search(train: DataFrame, test: DataFrame, columns: list[str], grid: list[tuple[int, int | None, int]] = SEARCH_GRID) -> DataFrame:
     """Accuracy of every configuration in grid order, the first best one marked."""
-    rows = []
+    rows, n = [], train.count()
     for i, (trees, depth, split) in enumerate(grid):
-        accuracy = quality(fit(random_forest(trees, depth, split=split), train, columns), test)["accuracy"]
+        accuracy = quality(fit_forest(random_forest(trees, depth, split=split), train, columns, n), test)["accuracy"]
         rows.append((i, trees, depth, split, float(accuracy)))
     best = max(rows, key=lambda r: (r[4], -r[0]))[0]
     return train.sparkSession.createDataFrame([(*r, r[0] == best) for r in rows], "config int, trees int, depth int, split int, accuracy double, best boolean")
